@@ -5,12 +5,12 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, functions as F
 
 from stayframe.operators.ordered import Running, arrange, done, running
-from stayframe.operators.scale import join_cohort
+from stayframe.operators.scale import MEASURE, Sizes, join_cohort
 
 
 def asof_join(left: DataFrame, right: DataFrame, by: list[str], left_time: str, right_time: str,
               columns: list[str], tie: str, tolerance: Column | None = None,
-              strict: bool = False, limit: int | None = None) -> DataFrame:
+              strict: bool = False, sizes: Sizes = MEASURE) -> DataFrame:
     """Every left row with the columns of the latest right row at or before it.
 
     ``strict`` excludes equal times, ``tolerance`` is an inclusive age limit,
@@ -27,7 +27,7 @@ def asof_join(left: DataFrame, right: DataFrame, by: list[str], left_time: str,
         F.col(tie).cast("long").alias("_tie"), payload.alias("_right"))
     both = rows.unionByName(matches, allowMissingColumns=True)
     order = ["_time", "_side", "_tie"]
-    laid = arrange(both, by, order, limit=limit)
+    laid = arrange(both, by, order, sizes)
     found = running(laid, by, order, [Running("_match", "last", F.col("_right"))])
     found = done(found).filter(F.col("_left").isNotNull())
     usable = F.col("_match").isNotNull()
@@ -40,10 +40,10 @@ def asof_join(left: DataFrame, right: DataFrame, by: list[str], left_time: str,
 
 
 def latest_before(events: DataFrame, cohort: DataFrame, on: list[str], key: str, before: Column,
-                  time: str, tie: str, column: str, rows: int | None = None) -> DataFrame:
+                  time: str, tie: str, column: str, sizes: Sizes = MEASURE) -> DataFrame:
     """Per cohort key, the column of the latest event strictly before a time.
 
     Reduces to one row per key map-side, for when only one time per key matters.
     """
-    found = join_cohort(events, cohort, on, F.col(time) < before, rows)
+    found = join_cohort(events, cohort, on, F.col(time) < before, sizes)
     return found.groupBy(key).agg(F.max_by(column, F.struct(time, tie)).alias(column))

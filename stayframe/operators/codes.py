@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from stayframe.functions.numeric import flag
 from stayframe.functions.text import any_prefix, in_codes
-from stayframe.operators.scale import join_cohort
+from stayframe.operators.scale import MEASURE, Sizes, join_cohort, with_cohort
 
 
 @dataclass(frozen=True)
@@ -42,7 +42,7 @@ class SepsisRule:
 
 
 def flags_per_key(codes: DataFrame, keys: DataFrame, by: str, rules: dict[str, CodeRule],
-                  normalise: bool = False, rows: int | None = None) -> DataFrame:
+                  normalise: bool = False, sizes: Sizes = MEASURE) -> DataFrame:
     """One row per key that has codes: 1 when any of its codes matches the rule.
 
     Codes no rule matches are dropped before the join and the aggregation.
@@ -53,30 +53,30 @@ def flags_per_key(codes: DataFrame, keys: DataFrame, by: str, rules: dict[str, C
     for mark in marks.values():
         any_mark = any_mark | mark
     hits = codes.filter(any_mark).select(by, *[flag(m).alias(n) for n, m in marks.items()])
-    found = join_cohort(hits, keys.select(by), [by], rows=rows)
+    found = join_cohort(hits, keys.select(by), [by], sizes=sizes)
     return found.groupBy(by).agg(*[F.max(name).alias(name) for name in rules])
 
 
 def code_flags(cohort: DataFrame, codes: DataFrame, by: str, rules: dict[str, CodeRule],
-               normalise: bool = False, rows: int | None = None) -> DataFrame:
+               normalise: bool = False, sizes: Sizes = MEASURE) -> DataFrame:
     """Every cohort key with a 0/1 flag per rule."""
-    found = flags_per_key(codes, cohort, by, rules, normalise, rows)
+    found = flags_per_key(codes, cohort, by, rules, normalise, sizes)
     flags = [F.coalesce(name, F.lit(0)).alias(name) for name in rules]
     return cohort.select(by).join(found, by, "left").select(by, *flags)
 
 
 def code_rule_score(cohort: DataFrame, admissions: DataFrame, diagnoses: DataFrame,
-                    procedures: DataFrame, rule: SepsisRule, rows: int | None = None) -> DataFrame:
+                    procedures: DataFrame, rule: SepsisRule, sizes: Sizes = MEASURE) -> DataFrame:
     """Severe-sepsis components and verdict for cohort admissions."""
-    by = "hadm_id"
+    by, sizes = "hadm_id", with_cohort(sizes, cohort)
     from_diagnoses = {
         "infection": rule.infection,
         "explicit_sepsis": rule.explicit_sepsis,
         "organ_dysfunction": rule.organ_dysfunction,
     }
-    diagnosed = flags_per_key(diagnoses, cohort, by, from_diagnoses, rows=rows)
-    treated = flags_per_key(procedures, cohort, by, {"mech_vent": rule.mech_vent}, rows=rows)
-    known = join_cohort(admissions.select(by), cohort.select(by), [by], rows=rows)
+    diagnosed = flags_per_key(diagnoses, cohort, by, from_diagnoses, sizes=sizes)
+    treated = flags_per_key(procedures, cohort, by, {"mech_vent": rule.mech_vent}, sizes=sizes)
+    known = join_cohort(admissions.select(by), cohort.select(by), [by], sizes=sizes)
     names = [*from_diagnoses, "mech_vent"]
     rows_out = (
         cohort.select("subject_id", by, "icustay_id")

@@ -13,7 +13,7 @@ from stayframe.operators.asof import latest_before
 from stayframe.operators.intervals import interval_summary
 from stayframe.operators.lookback import first_event, pick_items
 from stayframe.operators.ordered import numbered
-from stayframe.operators.scale import written
+from stayframe.operators.scale import MEASURE, Sizes, written
 
 
 @dataclass(frozen=True)
@@ -46,9 +46,9 @@ def first_stays(base: DataFrame) -> DataFrame:
     return first.select("subject_id", "_first.*").withColumn("stay_num", F.lit(1))
 
 
-def numbered_stays(base: DataFrame, limit: int | None = None) -> DataFrame:
+def numbered_stays(base: DataFrame, sizes: Sizes = MEASURE) -> DataFrame:
     """All stays with their position among the subject's stays."""
-    return numbered(base, ["subject_id"], ["admittime", "intime", "icustay_id"], "stay_num", limit)
+    return numbered(base, ["subject_id"], ["admittime", "intime", "icustay_id"], "stay_num", sizes)
 
 
 def service_number(service: Column) -> Column:
@@ -68,7 +68,7 @@ def exposure_times(chart: DataFrame, exposure_items) -> DataFrame:
 
 
 def cohort_flags(stays: DataFrame, tables: dict[str, DataFrame], exposure_items,
-                 rules: CohortRules = CohortRules(), rows: int | None = None) -> DataFrame:
+                 rules: CohortRules = CohortRules(), sizes: Sizes = MEASURE) -> DataFrame:
     """Demographic, exposure, ventilation, service and outcome columns per stay.
 
     ``stays`` is a written table of base rows with ``stay_num``.
@@ -81,7 +81,7 @@ def cohort_flags(stays: DataFrame, tables: dict[str, DataFrame], exposure_items,
     service = latest_before(
         services, stays.select("hadm_id", "icustay_id", "intime"), ["hadm_id"], "icustay_id",
         F.col("intime") + hours(rules.service_after_hours), "transfertime", "event_id",
-        "curr_service", rows)
+        "curr_service", sizes)
     joined = (
         stays.join(exposure, "icustay_id", "left")
         .join(vent, "icustay_id", "left")
@@ -169,12 +169,12 @@ def attrition(stays: DataFrame, steps: list[tuple[str, Column]]) -> DataFrame:
 
 
 def build_cohort(tables: dict[str, DataFrame], exposure_items,
-                 rules: CohortRules = CohortRules(), rows: int | None = None) -> DataFrame:
+                 rules: CohortRules = CohortRules(), sizes: Sizes = MEASURE) -> DataFrame:
     """The study cohort as a written table.
 
     The first adult stay is chosen before the flags are computed, so the
     service join only sees one stay per subject.
     """
     stays = written(first_stays(cohort_base(tables, rules)), "stays")
-    flagged = cohort_flags(stays, tables, exposure_items, rules, rows)
+    flagged = cohort_flags(stays, tables, exposure_items, rules, sizes)
     return written(select_cohort(flagged, inclusion_steps(rules)), "cohort")

@@ -7,7 +7,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 from stayframe.functions.numeric import first_match, flag, order_flag
 from stayframe.functions.timeutil import SECONDS_PER_DAY, days_between, seconds_between
 from stayframe.operators.ordered import Running, arrange, done, running
-from stayframe.operators.scale import join_cohort
+from stayframe.operators.scale import MEASURE, Sizes, join_cohort, with_cohort, with_largest
 
 # Marks that say a dose was disconnected.
 STOP_MARKS = ("Stopped", "D/C'd")
@@ -40,7 +40,7 @@ def start_mark(rate: Column, known: Column, previous: Column, previous_stopped:
 
 
 def rate_episodes(doses: DataFrame, by: str, item: str = "itemid", time: str = "charttime",
-                  stop_marks=STOP_MARKS, limit: int | None = None) -> DataFrame:
+                  stop_marks=STOP_MARKS, sizes: Sizes = MEASURE) -> DataFrame:
     """Start and end of each continuous delivery per entity and item.
 
     An episode starts at the first positive rate, after a zero rate or after a
@@ -51,7 +51,7 @@ def rate_episodes(doses: DataFrame, by: str, item: str = "itemid", time: str = "
     key = [by, item]
     real = doses.filter(F.col(by).isNotNull() & F.col(item).isNotNull())
     rows = one_row_per_time(real, key, time, stop_marks=stop_marks)
-    laid = arrange(rows, key, [time], size_of=real, limit=limit)
+    laid = arrange(rows, key, [time], with_largest(sizes, (real, key)))
     rate, previous = F.col("rate"), F.col("_previous")
     seen = running(laid, key, [time], [
         Running("_previous", "last", rate, inclusive=False),
@@ -109,10 +109,10 @@ def episode_features(cohort: DataFrame, episodes: DataFrame, by: str, prefix: st
 
 
 def ever_exposed(cohort: DataFrame, tables: list[DataFrame], by: str, name: str,
-                 rows: int | None = None) -> DataFrame:
+                 sizes: Sizes = MEASURE) -> DataFrame:
     """1 when the stay has a row in any of the tables."""
-    cohort_keys = cohort.select(by)
-    keys = [join_cohort(t.select(by), cohort_keys, [by], rows=rows).distinct() for t in tables]
+    sizes, cohort_keys = with_cohort(sizes, cohort), cohort.select(by)
+    keys = [join_cohort(t.select(by), cohort_keys, [by], sizes=sizes).distinct() for t in tables]
     union = keys[0]
     for part in keys[1:]:
         union = union.unionByName(part)

@@ -7,6 +7,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 from stayframe.functions.numeric import flag
 from stayframe.functions.timeutil import seconds_between
 from stayframe.operators.ordered import Running, arrange, done, numbered, running
+from stayframe.operators.scale import MEASURE, Sizes
 
 
 def interval_summary(intervals: DataFrame, by: str, start: str = "starttime",
@@ -28,7 +29,7 @@ def order_intervals(doses: DataFrame, by: list[str], start: str = "starttime",
 
 
 def merge_intervals(df: DataFrame, by: list[str], start: str = "starttime", end: str = "endtime",
-                    limit: int | None = None) -> DataFrame:
+                    sizes: Sizes = MEASURE) -> DataFrame:
     """Union of closed intervals per entity; touching ones merge, start > end is dropped.
 
     Sorted by start, an interval opens a new island when it starts after
@@ -36,7 +37,7 @@ def merge_intervals(df: DataFrame, by: list[str], start: str = "starttime", end:
     """
     valid = df.filter(F.col(start) <= F.col(end)).select(*by, start, end)
     order = [start, end]
-    laid = arrange(valid, by, order, limit=limit)
+    laid = arrange(valid, by, order, sizes)
     reach = running(laid, by, order, [Running("_reach", "max", F.col(end), inclusive=False)])
     opens = reach.withColumn(
         "_opens", flag(F.col("_reach").isNull() | (F.col(start) > F.col("_reach"))))
@@ -46,21 +47,21 @@ def merge_intervals(df: DataFrame, by: list[str], start: str = "starttime", end:
 
 
 def uncovered_starts(df: DataFrame, by: list[str], start: str = "starttime", end: str = "endtime",
-                     limit: int | None = None) -> DataFrame:
+                     sizes: Sizes = MEASURE) -> DataFrame:
     """Distinct starts that no earlier-starting interval of the entity reaches."""
     valid = df.filter(F.col(start) <= F.col(end))
     starts = valid.groupBy(*by, start).agg(F.max(end).alias(end))
-    laid = arrange(starts, by, [start], size_of=valid, limit=limit)
+    laid = arrange(starts, by, [start], sizes)
     reach = running(laid, by, [start], [Running("_reach", "max", F.col(end), inclusive=False)])
     free = F.col("_reach").isNull() | (F.col(start) > F.col("_reach"))
     return done(reach).filter(free).select(*by, start)
 
 
 def union_episodes(systems: list[DataFrame], by: list[str], number: str, start: str = "starttime",
-                   end: str = "endtime", limit: int | None = None) -> DataFrame:
+                   end: str = "endtime", sizes: Sizes = MEASURE) -> DataFrame:
     """Number each system's episodes per entity and take the distinct union."""
     parts = [
-        numbered(df.select(*by, start, end), by, [start, end], number, limit) for df in systems
+        numbered(df.select(*by, start, end), by, [start, end], number, sizes) for df in systems
     ]
     union = parts[0]
     for part in parts[1:]:

@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from stayframe.functions.numeric import first_match, flag
 from stayframe.functions.timeutil import hours
-from stayframe.operators.scale import join_cohort
+from stayframe.operators.scale import MEASURE, Sizes, join_cohort
 
 
 @dataclass(frozen=True)
@@ -106,21 +106,21 @@ def in_window(event_time: Column, index_time: Column, before_hours: float | None
 
 
 def lookback(events: DataFrame, cohort: DataFrame, on: list[str], index_time: str,
-             event_time: str, before_hours: float | None, rows: int | None = None) -> DataFrame:
+             event_time: str, before_hours: float | None, sizes: Sizes = MEASURE) -> DataFrame:
     """Events of the cohort inside the window before the index time."""
     window = in_window(F.col(event_time), F.col(index_time), before_hours)
-    return join_cohort(events, cohort, on, window, rows)
+    return join_cohort(events, cohort, on, window, sizes)
 
 
 def lookback_left(events: DataFrame, cohort: DataFrame, on: list[str], index_time: str,
                   event_time: str, before_hours: float | None, key: str,
-                  rows: int | None = None) -> DataFrame:
+                  sizes: Sizes = MEASURE) -> DataFrame:
     """As ``lookback``, plus one row with NULL event columns per subject without events.
 
     Built as matches plus the unmatched cohort rows, so that the event table
     is never the build side of an outer join. ``key`` is unique in the cohort.
     """
-    found = lookback(events, cohort, on, index_time, event_time, before_hours, rows)
+    found = lookback(events, cohort, on, index_time, event_time, before_hours, sizes)
     missing = cohort.join(found.select(key).distinct(), key, "left_anti")
     return found.unionByName(missing, allowMissingColumns=True)
 

@@ -10,31 +10,32 @@ from stayframe.functions.timeutil import days
 from stayframe.operators.intervals import share_before
 from stayframe.operators.lookback import Item, label_items, lookback
 from stayframe.operators.ordered import exact_median
-from stayframe.operators.scale import join_cohort
+from stayframe.operators.scale import MEASURE, Sizes, join_cohort, with_cohort
 
 
 def median_measure(events: DataFrame, cohort: DataFrame, items: dict[int, Item], index_time: str,
-                   before_hours: float | None, name: str, limit: int | None = None,
-                   rows: int | None = None) -> DataFrame:
+                   before_hours: float | None, name: str, sizes: Sizes = MEASURE) -> DataFrame:
     """Exact median of a subject's non-zero values in the window, per stay."""
     ids = list(items)
     values = events.filter(
         F.col("itemid").isin(ids) & F.col("valuenum").isNotNull() & (F.col("valuenum") != 0))
     labelled = label_items(values, items).select("subject_id", "charttime", "valuenum")
     narrow = cohort.select("subject_id", "icustay_id", index_time)
-    found = lookback(labelled, narrow, ["subject_id"], index_time, "charttime", before_hours, rows)
-    return exact_median(found, ["icustay_id"], "valuenum", name, limit)
+    found = lookback(labelled, narrow, ["subject_id"], index_time, "charttime", before_hours, sizes)
+    return exact_median(found, ["icustay_id"], "valuenum", name, sizes)
 
 
 def body_measure(cohort: DataFrame, chart: DataFrame, notes: DataFrame, weight_admit: dict[int, Item],
                  weight_daily: dict[int, Item], height: dict[int, Item],
-                 limit: int | None = None, rows: int | None = None) -> DataFrame:
+                 sizes: Sizes = MEASURE) -> DataFrame:
     """Weight, height and BMI: charted medians first, then the report's values.
 
     Weight is rounded to 2 digits, height is not.
     """
+    sizes = with_cohort(sizes, cohort)
+
     def window(items, index_time, before_hours, name):
-        return median_measure(chart, cohort, items, index_time, before_hours, name, limit, rows)
+        return median_measure(chart, cohort, items, index_time, before_hours, name, sizes)
 
     admit = window(weight_admit, "vent_starttime", 24, "weight_admit")
     daily = window(weight_daily, "vent_starttime", 24, "weight_daily")
@@ -57,7 +58,7 @@ def body_measure(cohort: DataFrame, chart: DataFrame, notes: DataFrame, weight_a
 
 def given_volumes(cohort: DataFrame, points: DataFrame, intervals: DataFrame,
                   point_items: dict[str, list[int]], interval_items: dict[str, list[int]],
-                  clip: bool = False, rows: int | None = None) -> DataFrame:
+                  clip: bool = False, sizes: Sizes = MEASURE) -> DataFrame:
     """Total and first-day volume per group of items, from both input systems.
 
     Point records count whole when charted in the first day. Interval records
@@ -66,6 +67,7 @@ def given_volumes(cohort: DataFrame, points: DataFrame, intervals: DataFrame,
     used as it is.
     """
     key = "icustay_id"
+    sizes = with_cohort(sizes, cohort)
     narrow = cohort.select(key, (F.col("intime") + days(1)).alias("_day1"))
     amount, day1, item = F.col("amount"), F.col("_day1"), F.col("itemid")
 
@@ -80,7 +82,7 @@ def given_volumes(cohort: DataFrame, points: DataFrame, intervals: DataFrame,
 
     point_rows = join_cohort(
         points.filter(item.isin(ids(point_items))).select(key, "charttime", "itemid", "amount"),
-        narrow, [key], rows=rows)
+        narrow, [key], sizes=sizes)
     point_sums = {}
     for name, group in point_items.items():
         point_sums[name] = (group, F.lit(True), amount)
@@ -90,7 +92,7 @@ def given_volumes(cohort: DataFrame, points: DataFrame, intervals: DataFrame,
     valid = item.isin(ids(interval_items)) & (F.col("statusdescription") != "Rewritten")
     interval_rows = join_cohort(
         intervals.filter(valid).select(key, "starttime", "endtime", "itemid", "amount"),
-        narrow, [key], rows=rows)
+        narrow, [key], sizes=sizes)
     share = share_before(F.col("starttime"), F.col("endtime"), amount, day1, clip)
     interval_sums = {}
     for name, group in interval_items.items():

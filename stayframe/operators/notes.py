@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame, functions as F
 from stayframe.functions.numeric import imperial_bmi
 from stayframe.functions.text import first_group, guarded_number
 from stayframe.functions.timeutil import day_floor, days, with_clock
-from stayframe.operators.scale import join_cohort
+from stayframe.operators.scale import MEASURE, Sizes, join_cohort
 
 # Report patterns, group 1 is the field.
 CLOCK_PATTERN = r"Date/Time: [\[\]0-9*-]+ at ([0-9:]+)"
@@ -38,7 +38,7 @@ def extract_fields(notes: DataFrame, patterns=None, text: str = "text") -> DataF
 
 
 def note_fields(cohort: DataFrame, notes: DataFrame, category: str = "Echo", days_before: int = 7,
-                index_time: str = "vent_starttime", rows: int | None = None) -> DataFrame:
+                index_time: str = "vent_starttime", sizes: Sizes = MEASURE) -> DataFrame:
     """Fields of each stay's earliest report in the days up to the index time.
 
     The report's clock time is read from its text; reports without one rank
@@ -50,7 +50,7 @@ def note_fields(cohort: DataFrame, notes: DataFrame, category: str = "Echo", day
     recent = (F.col("chartdate") <= F.col("_index")) & (
         F.col("chartdate") >= day_floor(F.col("_index") - days(days_before)))
     wanted = notes.filter(F.col("category") == category).select("row_id", "hadm_id", "chartdate", "text")
-    found = join_cohort(wanted, narrow, ["hadm_id"], recent, rows)
+    found = join_cohort(wanted, narrow, ["hadm_id"], recent, sizes)
     timed = found.withColumn(
         "charttime", with_clock(F.col("chartdate"), first_group(F.col("text"), CLOCK_PATTERN)))
     position = F.struct(F.col("charttime").isNull(), "charttime", "row_id")

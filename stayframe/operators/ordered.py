@@ -11,13 +11,12 @@ groups that span chunks is small by construction and is broadcast.
 from __future__ import annotations
 
 import math
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 from pyspark.sql import Column, DataFrame, Window as W, functions as F
 
-from stayframe.operators.scale import largest_group, written
+from stayframe.operators.scale import MEASURE, Sizes, fits_task, largest_group, written
 
-GROUP_ROWS = 2_000_000
 MAX_CHUNKS = 10_000
 CHUNK = "_chunk"
 
@@ -36,18 +35,18 @@ class Running:
     inclusive: bool = True
 
 
-def arrange(df: DataFrame, by: list[str], order: list[str],
-            size_of: DataFrame | None = None, limit: int | None = None) -> DataFrame:
+def arrange(df: DataFrame, by: list[str], order: list[str], sizes: Sizes = MEASURE) -> DataFrame:
     """Add a chunk number when a group is too large for one task.
 
-    ``size_of`` may be a cheaper table whose group sizes bound those of ``df``.
-    Group keys must not be NULL.
+    A known bound on the group size saves the measurement. Group keys must not
+    be NULL.
     """
-    limit = GROUP_ROWS if limit is None else limit
-    top, total = largest_group(df if size_of is None else size_of, by)
-    if top <= limit:
+    if sizes.largest is not None and sizes.largest <= sizes.group_limit:
         return df
-    chunks = min(MAX_CHUNKS, max(2, math.ceil(2 * total / limit)))
+    top, total = largest_group(df, by)
+    if top <= sizes.group_limit:
+        return df
+    chunks = min(MAX_CHUNKS, max(2, math.ceil(2 * total / sizes.group_limit)))
     ranged = df.repartitionByRange(chunks, *by, *order)
     return written(ranged.withColumn(CHUNK, F.spark_partition_id()), "chunks")
 
@@ -124,17 +123,17 @@ def _combine(spec: Running, here: Column, before: Column) -> Column:
 
 
 def carry_forward(df: DataFrame, by: list[str], time: str, column: str, name: str,
-                  limit: int | None = None) -> DataFrame:
+                  sizes: Sizes = MEASURE) -> DataFrame:
     """Add the latest known value of ``column`` at each row."""
-    laid = arrange(df, by, [time], limit=limit)
+    laid = arrange(df, by, [time], sizes)
     return done(running(laid, by, [time], [Running(name, "last", F.col(column))]))
 
 
 def previous_within(df: DataFrame, by: list[str], time: str, columns: list[str],
-                    tolerance: Column, prefix: str = "prev_", size_of: DataFrame | None = None,
-                    limit: int | None = None) -> DataFrame:
+                    tolerance: Column, prefix: str = "prev_",
+                    sizes: Sizes = MEASURE) -> DataFrame:
     """Add the columns of the previous row, if it is less than ``tolerance`` old."""
-    laid = arrange(df, by, [time], size_of=size_of, limit=limit)
+    laid = arrange(df, by, [time], sizes)
     row = F.struct(time, *columns)
     out = running(laid, by, [time], [Running("_prev", "last", row, inclusive=False)])
     recent = F.col(f"_prev.{time}") > F.col(time) - tolerance
@@ -143,27 +142,26 @@ def previous_within(df: DataFrame, by: list[str], time: str, columns: list[str],
 
 
 def numbered(df: DataFrame, by: list[str], order: list[str], name: str,
-             limit: int | None = None) -> DataFrame:
+             sizes: Sizes = MEASURE) -> DataFrame:
     """Add the 1-based position of each row in its group."""
-    laid = arrange(df, by, order, limit=limit)
+    laid = arrange(df, by, order, sizes)
     count = Running(name, "sum", F.lit(1))
     return done(running(laid, by, order, [count]))
 
 
 def exact_median(df: DataFrame, by: list[str], value: str, name: str,
-                 limit: int | None = None) -> DataFrame:
+                 sizes: Sizes = MEASURE) -> DataFrame:
     """Exact interpolated median per group; NULL values are ignored.
 
     ``percentile`` keeps all distinct values of a group in one buffer. For a
     huge group the values are counted and ranked instead, and only the middle
     values are read.
     """
-    limit = GROUP_ROWS if limit is None else limit
     known = df.filter(F.col(value).isNotNull())
-    if largest_group(known, by)[0] <= limit:
+    if fits_task(known, by, sizes):
         return known.groupBy(*by).agg(F.percentile(value, 0.5).alias(name))
     counted = known.groupBy(*by, value).agg(F.count("*").alias("_n"))
-    laid = arrange(counted, by, [value], size_of=known, limit=limit)
+    laid = arrange(counted, by, [value], replace(sizes, largest=None))
     ranked = running(laid, by, [value], [Running("_upto", "sum", F.col("_n"))])
     ranked = running(ranked, by, [value], [Running("_size", "total", F.col("_upto"))])
     lower, upper = F.floor((F.col("_size") - 1) / 2), F.floor(F.col("_size") / 2)

@@ -14,13 +14,32 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from dataclasses import dataclass, replace
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 BROADCAST_ROWS = 1_000_000
+GROUP_ROWS = 2_000_000
 SALTS = 64
 
 
+@dataclass(frozen=True)
+class Sizes:
+    """What is known about table sizes; unknown parts are measured when needed.
+
+    ``small_cohort``: the cohort is known to fit (or not fit) a broadcast.
+    ``largest``: upper bound on the rows of one group in the event table.
+    ``group_limit``: rows of one group that a single task may sort.
+    """
+
+    small_cohort: bool | None = None
+    largest: int | None = None
+    group_limit: int = GROUP_ROWS
+
+
+MEASURE = Sizes()
+
+
 def shared_folder(spark: SparkSession) -> str:
     """Folder for written intermediate tables: ``spark.checkpoint.dir``.
 
@@ -47,9 +66,9 @@ def written(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def fits_broadcast(df: DataFrame, rows: int | None = None) -> bool:
+def fits_broadcast(df: DataFrame, rows: int = BROADCAST_ROWS) -> bool:
     """Whether the table has at most ``rows`` rows. Call it on a written table."""
-    return df.count() <= (BROADCAST_ROWS if rows is None else rows)
+    return df.count() <= rows
 
 
 def largest_group(df: DataFrame, by: list[str]) -> tuple[int, int]:
@@ -59,8 +78,29 @@ def largest_group(df: DataFrame, by: list[str]) -> tuple[int, int]:
     return (row["top"] or 0, row["total"] or 0)
 
 
+def with_largest(sizes: Sizes, *groups: tuple[DataFrame, list[str]]) -> Sizes:
+    """The sizes with the group bound filled in from the given tables, unless known."""
+    if sizes.largest is not None:
+        return sizes
+    return replace(sizes, largest=max(largest_group(df, by)[0] for df, by in groups))
+
+
+def with_cohort(sizes: Sizes, cohort: DataFrame) -> Sizes:
+    """The sizes with the broadcast check of a written cohort done, unless known."""
+    if sizes.small_cohort is not None:
+        return sizes
+    return replace(sizes, small_cohort=fits_broadcast(cohort))
+
+
+def fits_task(df: DataFrame, by: list[str], sizes: Sizes = MEASURE) -> bool:
+    """Whether one task can hold any group; measured when the known bound is too high."""
+    if sizes.largest is not None and sizes.largest <= sizes.group_limit:
+        return True
+    return largest_group(df, by)[0] <= sizes.group_limit
+
+
 def join_cohort(events: DataFrame, cohort: DataFrame, on: list[str],
-                residual: Column | None = None, rows: int | None = None) -> DataFrame:
+                residual: Column | None = None, sizes: Sizes = MEASURE) -> DataFrame:
     """Inner join of a large event table with a written, narrow cohort.
 
     The events stay where they are when the cohort is small enough to
@@ -68,7 +108,7 @@ def join_cohort(events: DataFrame, cohort: DataFrame, on: list[str],
     of one key are spread over the salts by a hash of the whole row.
     Columns besides the keys must have different names on the two sides.
     """
-    if fits_broadcast(cohort, rows):
+    if with_cohort(sizes, cohort).small_cohort:
         joined = events.join(F.broadcast(cohort), on)
     else:
         salt = F.pmod(F.xxhash64(*events.columns), F.lit(SALTS)).cast("int")

@@ -8,7 +8,7 @@ from stayframe.functions.numeric import first_match, oxygen_ratio, threshold_sco
 from stayframe.functions.timeutil import hours
 from stayframe.operators.lookback import Item, item_label, clean_value, lookback, paired_rows, pick_items
 from stayframe.operators.ordered import previous_within
-from stayframe.operators.scale import join_cohort, written
+from stayframe.operators.scale import MEASURE, Sizes, join_cohort, with_cohort, written
 
 # Score steps (operator, bound, points), first match wins.
 RESPIRATION_STEPS = [("<", 300, 2), ("<", 400, 1)]
@@ -44,7 +44,7 @@ def coma_points(score: Column) -> Column:
 
 
 def gas_rows(labs: DataFrame, cohort: DataFrame, items: dict[int, Item], index_time: str,
-             before_hours: float = 24, rows: int | None = None) -> DataFrame:
+             before_hours: float = 24, sizes: Sizes = MEASURE) -> DataFrame:
     """Blood gases with an oxygen pressure: specimen, FiO2 and PO2 of one time side by side."""
     value = F.col("valuenum")
     events = pick_items(labs, items).select(
@@ -52,7 +52,7 @@ def gas_rows(labs: DataFrame, cohort: DataFrame, items: dict[int, Item], index_t
         item_label(F.col("itemid"), items).alias("_label"),
         clean_value(F.col("itemid"), value, items).alias("_clean"))
     narrow = cohort.select("subject_id", "icustay_id", index_time)
-    found = lookback(events, narrow, ["subject_id"], index_time, "charttime", before_hours, rows)
+    found = lookback(events, narrow, ["subject_id"], index_time, "charttime", before_hours, sizes)
 
     def only(label, column):
         return F.when(F.col("_label") == label, F.col(column))
@@ -68,14 +68,15 @@ def gas_rows(labs: DataFrame, cohort: DataFrame, items: dict[int, Item], index_t
 def asof_ratio(cohort: DataFrame, labs: DataFrame, chart: DataFrame, gas_items: dict[int, Item],
                fio2_items: dict[int, Item], index_time: str = "vent_starttime",
                before_hours: float = 24, tolerance_hours: float = 4,
-               rows: int | None = None) -> DataFrame:
+               sizes: Sizes = MEASURE) -> DataFrame:
     """PaO2/FiO2 of each stay's latest arterial gas.
 
     FiO2 comes with the gas, else from the latest charted value at most
     ``tolerance_hours`` old. Gases are reduced to the latest per stay before
     the charted values are matched, so each stay matches one time only.
     """
-    gases = gas_rows(labs, cohort, gas_items, index_time, before_hours, rows)
+    sizes = with_cohort(sizes, cohort)
+    gases = gas_rows(labs, cohort, gas_items, index_time, before_hours, sizes)
     arterial = gases.filter(F.coalesce("specimen", F.lit("ART")) == "ART")
     latest = arterial.groupBy("icustay_id").agg(
         F.max(F.struct("charttime", "po2", "fio2")).alias("_gas"))
@@ -86,7 +87,7 @@ def asof_ratio(cohort: DataFrame, labs: DataFrame, chart: DataFrame, gas_items:
         clean_value(F.col("itemid"), F.col("valuenum"), fio2_items).alias("_charted"))
     recent = F.col("charttime").between(
         F.col("gas_time") - hours(tolerance_hours), F.col("gas_time"))
-    matched = join_cohort(charted, latest.select("icustay_id", "gas_time"), ["icustay_id"], recent, rows)
+    matched = join_cohort(charted, latest.select("icustay_id", "gas_time"), ["icustay_id"], recent, sizes)
     fio2 = matched.groupBy("icustay_id").agg(
         F.max(F.struct("charttime", "_charted")).getField("_charted").alias("fio2_chartevents"))
     both = latest.join(fio2, "icustay_id", "left")
@@ -96,12 +97,12 @@ def asof_ratio(cohort: DataFrame, labs: DataFrame, chart: DataFrame, gas_items:
 
 
 def coma_rows(chart: DataFrame, cohort: DataFrame, motor, verbal, eyes, index_time: str,
-              before_hours: float = 24, rows: int | None = None) -> DataFrame:
+              before_hours: float = 24, sizes: Sizes = MEASURE) -> DataFrame:
     """Motor, verbal and eye response of each charted time in the window."""
     ids = [*motor, *verbal, *eyes]
     events = pick_items(chart, ids).select("subject_id", "charttime", "itemid", "valuenum")
     narrow = cohort.select("subject_id", "icustay_id", index_time)
-    found = lookback(events, narrow, ["subject_id"], index_time, "charttime", before_hours, rows)
+    found = lookback(events, narrow, ["subject_id"], index_time, "charttime", before_hours, sizes)
 
     def part(group):
         return F.max(F.when(F.col("itemid").isin(list(group)), F.col("valuenum")))
@@ -111,14 +112,14 @@ def coma_rows(chart: DataFrame, cohort: DataFrame, motor, verbal, eyes, index_ti
 
 
 def worst_coma(rows_in: DataFrame, by: list[str], time: str = "charttime",
-               limit: int | None = None) -> DataFrame:
+               sizes: Sizes = MEASURE) -> DataFrame:
     """Lowest total per stay; missing parts come from a row less than 6 h older, else normal.
 
     Verbal 0 means intubated and scores 15. After an intubated row nothing is
     carried over.
     """
     parts = ["gcsmotor", "gcsverbal", "gcseyes"]
-    rows = previous_within(rows_in, by, time, parts, hours(6), limit=limit)
+    rows = previous_within(rows_in, by, time, parts, hours(6), sizes=sizes)
     normal = dict(zip(parts, (NORMAL_MOTOR, NORMAL_VERBAL, NORMAL_EYES)))
     verbal, before = F.col("gcsverbal"), F.col("prev_gcsverbal")
     fresh = sum((F.coalesce(p, F.lit(n)) for p, n in normal.items()), F.lit(0))
@@ -149,13 +150,14 @@ def organ_points(parts: DataFrame, keep: list[str]) -> DataFrame:
 
 def organ_score(cohort: DataFrame, labs: DataFrame, chart: DataFrame, outputs: DataFrame, concepts,
                 index_time: str = "vent_starttime", before_hours: float = 24,
-                limit: int | None = None, rows: int | None = None) -> DataFrame:
+                sizes: Sizes = MEASURE) -> DataFrame:
     """Organ dysfunction in the day before the index time, one row per stay."""
+    sizes = with_cohort(sizes, cohort)
     narrow = cohort.select("subject_id", "icustay_id", index_time)
 
     def window(events, ids, columns):
         wanted = pick_items(events, ids).select("subject_id", "charttime", *columns)
-        return lookback(wanted, narrow, ["subject_id"], index_time, "charttime", before_hours, rows)
+        return lookback(wanted, narrow, ["subject_id"], index_time, "charttime", before_hours, sizes)
 
     lab_items = concepts.organ_labs
     value = clean_value(F.col("itemid"), F.col("valuenum"), lab_items)
@@ -170,10 +172,10 @@ def organ_score(cohort: DataFrame, labs: DataFrame, chart: DataFrame, outputs: D
     urine = window(outputs, concepts.urine, ["value"]).groupBy("icustay_id").agg(
         F.sum("value").alias("urineoutput"))
     ratio = asof_ratio(cohort, labs, chart, concepts.gas, concepts.fio2, index_time, before_hours,
-                       rows=rows).select("icustay_id", "pao2fio2")
+                       sizes=sizes).select("icustay_id", "pao2fio2")
     coma = worst_coma(
         coma_rows(chart, cohort, concepts.gcs_motor, concepts.gcs_verbal, concepts.gcs_eyes,
-                  index_time, before_hours, rows), ["icustay_id"], limit=limit)
+                  index_time, before_hours, sizes), ["icustay_id"], sizes=sizes)
     parts = cohort.select("subject_id", "hadm_id", "icustay_id")
     for part in (by_stay, pressure, urine, ratio, coma):
         parts = parts.join(part, "icustay_id", "left")

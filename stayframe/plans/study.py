@@ -10,10 +10,12 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from stayframe.operators.assemble import View, assemble
 from stayframe.operators.cohort import CohortRules, build_cohort
 from stayframe.operators.lookback import pick_items
-from stayframe.operators.scale import fresh_folder, join_cohort, written
+from stayframe.operators.scale import (
+    MEASURE, Sizes, fresh_folder, join_cohort, with_cohort, with_largest, written)
 from stayframe.plans import views
 from stayframe.plans.concepts import Concepts
-from stayframe.plans.views import ADMISSION, STAY, Tables
+from stayframe.plans.views import Tables
+from stayframe.sources.tables import column_names
 
 # Columns of the final table that come from the cohort, in order.
 FINAL_COHORT = [
@@ -57,6 +59,17 @@ WIDE_LABS = ["wbc", "hgb", "platelet", "sodium", "potassium", "tco2", "chloride"
 WIDE_STATUS = ["dnr_adm_flg", "dnr_switch_flg", "cmo_switch_flg", "dnr_cmo_switch_flg"]
 
 
+# Key that ties each extracted table to the cohort.
+EXTRACT_KEYS = {
+    "chartevents": "subject_id", "labevents": "subject_id", "inputevents_cv": "icustay_id",
+    "inputevents_mv": "icustay_id",
+}
+
+
+def flat(groups: dict[str, list[int]]) -> list[int]:
+    return [i for group in groups.values() for i in group]
+
+
 def as_is(*names: str) -> dict[str, str]:
     return {name: name for name in names}
 
@@ -73,52 +86,65 @@ class Study:
     concepts: Concepts = field(default_factory=Concepts)
     rules: CohortRules = field(default_factory=CohortRules)
     flag_concepts: Concepts | None = None
-    limit: int | None = None
+    sizes: Sizes = MEASURE
 
     def cohort(self) -> DataFrame:
-        return build_cohort(self.tables, self.concepts.arterial_line, self.rules)
+        return build_cohort(self.tables, self.concepts.arterial_line, self.rules, self.sizes)
 
-    def extract(self, cohort: DataFrame) -> Tables:
-        """The cohort subjects' chart and lab rows of the study's items, written once.
+    def extract(self, cohort: DataFrame, sizes: Sizes) -> Tables:
+        """The cohort's chart, lab and dose rows of the study's items, written once.
 
-        The two largest tables are read by many views; each is scanned once
-        here and the views read the much smaller extract.
+        The largest tables are read by many views; each is scanned once here
+        and the views read the much smaller extract.
         """
-        c = self.concepts
-        chart_ids = {
-            *c.vitals, *c.mean_pressure, *c.fio2, *c.gcs_motor, *c.gcs_verbal, *c.gcs_eyes,
-            *c.weight_admit, *c.weight_daily, *c.height, *c.code_status_items}
-        lab_ids = {*c.labs, *c.lab_panel, *c.gas, *c.organ_labs}
-        narrow = cohort.select("subject_id")
-        columns = ["event_id", "subject_id", "charttime", "itemid", "valuenum", "value"]
-        chart = pick_items(self.tables["chartevents"], chart_ids).select(*columns, "icustay_id")
-        labs = pick_items(self.tables["labevents"], lab_ids).select(*columns, "flag")
-        return {
-            **self.tables,
-            "chartevents": written(join_cohort(chart, narrow, ["subject_id"]), "chart"),
-            "labevents": written(join_cohort(labs, narrow, ["subject_id"]), "labs"),
+        c, f = self.concepts, self.flag_concepts or self.concepts
+        items = {
+            "chartevents": {
+                *c.vitals, *c.mean_pressure, *c.fio2, *c.gcs_motor, *c.gcs_verbal, *c.gcs_eyes,
+                *c.weight_admit, *c.weight_daily, *c.height, *c.code_status_items},
+            "labevents": {*c.labs, *c.lab_panel, *c.gas, *c.organ_labs},
+            "inputevents_cv": {
+                *c.vasopressor_points, *f.vasopressor_points, *c.anaesthetic_points,
+                *flat(c.red_cell_points)},
+            "inputevents_mv": {
+                *c.vasopressor_intervals, *f.vasopressor_intervals, *c.anaesthetic_intervals,
+                *flat(c.red_cell_intervals)},
         }
-
-    def base_views(self, cohort: DataFrame, tables: Tables, echodata: DataFrame) -> dict[str, DataFrame]:
+        extracted = dict(self.tables)
+        for name, ids in items.items():
+            key = EXTRACT_KEYS[name]
+            rows = pick_items(self.tables[name], ids).select(*column_names(name))
+            found = join_cohort(rows, cohort.select(key), [key], sizes=sizes)
+            extracted[name] = written(found, name)
+        return extracted
+
+    def extract_sizes(self, tables: Tables, sizes: Sizes) -> Sizes:
+        """One bound on the rows per subject or stay for all views."""
+        groups = [(tables[name], [key]) for name, key in EXTRACT_KEYS.items()]
+        return with_largest(sizes, *groups)
+
+    def base_views(self, cohort: DataFrame, tables: Tables, echodata: DataFrame,
+                   sizes: Sizes) -> dict[str, DataFrame]:
         c = self.concepts
+        flags = self.flag_concepts or c
         return {
-            "icd": views.view_icd(cohort, tables, c),
-            "labs": views.view_labs(cohort, tables, c),
-            "sofa": views.view_sofa(cohort, tables, c, self.limit),
-            "vitals": views.view_vitals(cohort, tables, c),
-            "vaso_flg": views.view_vaso_flg(cohort, tables, self.flag_concepts or c),
-            "bmi": views.view_bmi(cohort, tables, c, echodata, self.limit),
-            "sepsis": views.view_sepsis(cohort, tables, c),
+            "icd": views.view_icd(cohort, tables, c, sizes=sizes),
+            "labs": views.view_labs(cohort, tables, c, sizes),
+            "sofa": views.view_sofa(cohort, tables, c, sizes),
+            "vitals": views.view_vitals(cohort, tables, c, sizes),
+            "vaso_flg": views.view_vaso_flg(cohort, tables, flags, sizes),
+            "bmi": views.view_bmi(cohort, tables, c, echodata, sizes),
+            "sepsis": views.view_sepsis(cohort, tables, c, sizes),
         }
 
-    def extra_views(self, cohort: DataFrame, tables: Tables) -> dict[str, DataFrame]:
+    def extra_views(self, cohort: DataFrame, tables: Tables, sizes: Sizes) -> dict[str, DataFrame]:
         c = self.concepts
         return {
-            "anaesthesia": views.view_anaesthesia(cohort, tables, c, limit=self.limit),
-            "codestatus": views.view_codestatus(cohort, tables, c),
-            "labs_all": views.view_lab_panel(cohort, tables, c, self.limit),
-            "rbc": views.view_rbc(cohort, tables, c),
-            "vaso": views.view_vaso(cohort, tables, c, limit=self.limit),
+            "anaesthesia": views.view_anaesthesia(cohort, tables, c, sizes=sizes),
+            "codestatus": views.view_codestatus(cohort, tables, c, sizes),
+            "labs_all": views.view_lab_panel(cohort, tables, c, sizes),
+            "rbc": views.view_rbc(cohort, tables, c, sizes=sizes),
+            "vaso": views.view_vaso(cohort, tables, c, sizes=sizes),
         }
 
     def final_table(self, cohort: DataFrame, v: dict[str, DataFrame]) -> DataFrame:
@@ -203,11 +229,13 @@ def build_all(spark: SparkSession, study: Study, folder: str | None = None,
         return stored[name]
 
     cohort = store("cohort", study.cohort())
-    tables = study.extract(cohort)
-    echodata = store("echodata", views.view_echodata(cohort, tables, study.concepts))
-    for name, df in study.base_views(cohort, tables, echodata).items():
+    sizes = with_cohort(study.sizes, cohort)
+    tables = study.extract(cohort, sizes)
+    sizes = study.extract_sizes(tables, sizes)
+    echodata = store("echodata", views.view_echodata(cohort, tables, study.concepts, sizes))
+    for name, df in study.base_views(cohort, tables, echodata, sizes).items():
         store(name, df)
-    for name, df in study.extra_views(cohort, tables).items():
+    for name, df in study.extra_views(cohort, tables, sizes).items():
         store(name, df)
     store("data", study.final_table(cohort, stored).orderBy("icustay_id"))
     store("data_full", study.wide_table(cohort, stored).orderBy("icustay_id"))

@@ -36,6 +36,10 @@ EXTERNAL = {
 }
 
 
+def column_names(name: str) -> list[str]:
+    return [part.split()[0] for part in SCHEMAS[name].split(", ")]
+
+
 def conform(df: DataFrame, name: str) -> DataFrame:
     """The table's required columns in the required types; fails on a missing column.
 
