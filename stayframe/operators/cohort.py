@@ -43,7 +43,7 @@ def first_stays(base: DataFrame) -> DataFrame:
     order = ["admittime", "intime", "icustay_id"]
     rest = [c for c in base.columns if c not in (*order, "subject_id")]
     first = base.groupBy("subject_id").agg(F.min(F.struct(*order, *rest)).alias("_first"))
-    return first.select("subject_id", "_first.*").withColumn("stay_num", F.lit(1))
+    return first.select("subject_id", "_first.*").withColumn("stay_num", F.lit(1).cast("long"))
 
 
 def numbered_stays(base: DataFrame, sizes: Sizes = MEASURE) -> DataFrame:

@@ -147,6 +147,30 @@ class Study:
             "vaso": views.view_vaso(cohort, tables, c, sizes=sizes),
         }
 
+    def final(self) -> DataFrame:
+        """The analysis table straight from the source tables."""
+        cohort = self.cohort()
+        sizes = with_cohort(self.sizes, cohort)
+        tables = self.extract(cohort, sizes)
+        sizes = self.extract_sizes(tables, sizes)
+        echodata = views.view_echodata(cohort, tables, self.concepts, sizes)
+        return self.final_table(cohort, self.base_views(cohort, tables, echodata, sizes))
+
+    def wide(self) -> DataFrame:
+        """The wide covariate table straight from the source tables."""
+        c, cohort = self.concepts, self.cohort()
+        sizes = with_cohort(self.sizes, cohort)
+        tables = self.extract(cohort, sizes)
+        sizes = self.extract_sizes(tables, sizes)
+        needed = {
+            "echodata": views.view_echodata(cohort, tables, c, sizes),
+            "icd": views.view_icd(cohort, tables, c, sizes=sizes),
+            "vitals": views.view_vitals(cohort, tables, c, sizes),
+            "vaso_flg": views.view_vaso_flg(cohort, tables, self.flag_concepts or c, sizes),
+            **self.extra_views(cohort, tables, sizes),
+        }
+        return self.wide_table(cohort, needed)
+
     def final_table(self, cohort: DataFrame, v: dict[str, DataFrame]) -> DataFrame:
         """The analysis table: one row per included stay, late exclusions applied."""
         stays = cohort.withColumnsRenamed({"intime": "icustay_intime", "outtime": "icustay_outtime"})

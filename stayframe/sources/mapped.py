@@ -108,27 +108,34 @@ def event_rows(spark: SparkSession, folder: str) -> DataFrame:
     return events.selectExpr(*_split(EVENT_COLUMNS))
 
 
-def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
+def stays_of(events: DataFrame) -> DataFrame:
+    stays = events.groupBy("subject_id", "icustay_id").agg(
+        F.min("ts").alias("intime"), F.max("ts").alias("outtime"))
+    return stays.select("subject_id", F.col("icustay_id").alias("hadm_id"), "icustay_id", "intime",
+                        "outtime")
+
+
+def from_events(events: DataFrame, name: str) -> DataFrame:
     """One mapped table; the event-type filter reaches the Parquet scan."""
     if name == "icustays":
-        stays = event_rows(spark, folder).groupBy("subject_id", "icustay_id").agg(
-            F.min("ts").alias("intime"), F.max("ts").alias("outtime"))
-        return stays.select("subject_id", F.col("icustay_id").alias("hadm_id"), "icustay_id",
-                            "intime", "outtime")
+        return stays_of(events)
     if name == "admissions":
-        return table(spark, folder, "icustays").selectExpr(*_split(ADMISSION_COLUMNS))
+        return stays_of(events).selectExpr(*_split(ADMISSION_COLUMNS))
     if name == "patients":
-        subjects = event_rows(spark, folder).select("subject_id").distinct()
-        return subjects.selectExpr(*_split(PATIENT_COLUMNS))
+        return events.select("subject_id").distinct().selectExpr(*_split(PATIENT_COLUMNS))
     types, columns = RECORDS[name]
-    rows = event_rows(spark, folder).filter(F.col("event_type").isin(types))
-    return rows.selectExpr(*_split(columns))
+    return events.filter(F.col("event_type").isin(types)).selectExpr(*_split(columns))
+
+
+def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
+    return from_events(event_rows(spark, folder), name)
 
 
 def tables(spark: SparkSession, folder: str) -> dict[str, DataFrame]:
     """All source tables of the study; chart and lab rows include gas and coma records."""
+    events = event_rows(spark, folder)
     names = ["icustays", "admissions", "patients", *RECORDS]
-    found = {name: table(spark, folder, name) for name in names}
+    found = {name: from_events(events, name) for name in names}
     found["chartevents"] = found["chartevents"].unionByName(found.pop("gcsevents"))
     found["labevents"] = found["labevents"].unionByName(found.pop("gasevents"))
     return found
