@@ -45,16 +45,12 @@ def flags_per_key(codes: DataFrame, keys: DataFrame, by: str, rules: dict[str, C
                   normalise: bool = False, sizes: Sizes = MEASURE) -> DataFrame:
     """One row per key that has codes: 1 when any of its codes matches the rule.
 
-    Codes no rule matches are dropped before the join and the aggregation.
+    The codes are joined to the keys first, so the rules only run on theirs.
     """
     code = F.col("icd9_code")
-    marks = {name: rule.matches(code, normalise) for name, rule in rules.items()}
-    any_mark = F.lit(False)
-    for mark in marks.values():
-        any_mark = any_mark | mark
-    hits = codes.filter(any_mark).select(by, *[flag(m).alias(n) for n, m in marks.items()])
-    found = join_cohort(hits, keys.select(by), [by], sizes=sizes)
-    return found.groupBy(by).agg(*[F.max(name).alias(name) for name in rules])
+    found = join_cohort(codes.select(by, "icd9_code"), keys.select(by), [by], sizes=sizes)
+    flags = [F.max(flag(rule.matches(code, normalise))).alias(n) for n, rule in rules.items()]
+    return found.groupBy(by).agg(*flags)
 
 
 def code_flags(cohort: DataFrame, codes: DataFrame, by: str, rules: dict[str, CodeRule],

@@ -14,6 +14,7 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, replace
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
@@ -73,16 +74,37 @@ def fits_broadcast(df: DataFrame, rows: int = BROADCAST_ROWS) -> bool:
 
 def largest_group(df: DataFrame, by: list[str]) -> tuple[int, int]:
     """(rows of the largest key, rows in all); counts are combined map-side."""
-    sizes = df.groupBy(*by).count()
-    row = sizes.agg(F.max("count").alias("top"), F.sum("count").alias("total")).first()
+    return largest_of((df, by))
+
+
+def largest_of(*groups: tuple[DataFrame, list[str]]) -> tuple[int, int]:
+    """(rows of the largest key, rows in all) over several tables, in one job.
+
+    Keys are compared by hash; a collision can only raise the bound.
+    """
+    keys = [
+        df.select(F.lit(i).alias("_table"), F.xxhash64(*by).alias("_key"))
+        for i, (df, by) in enumerate(groups)
+    ]
+    rows = keys[0]
+    for part in keys[1:]:
+        rows = rows.unionByName(part)
+    counts = rows.groupBy("_table", "_key").count()
+    row = counts.agg(F.max("count").alias("top"), F.sum("count").alias("total")).first()
     return (row["top"] or 0, row["total"] or 0)
 
 
+def in_parallel(jobs: list, workers: int = 4) -> list:
+    """Results of independent Spark jobs submitted from several driver threads."""
+    with ThreadPoolExecutor(workers) as pool:
+        return [done.result() for done in [pool.submit(job) for job in jobs]]
+
+
 def with_largest(sizes: Sizes, *groups: tuple[DataFrame, list[str]]) -> Sizes:
     """The sizes with the group bound filled in from the given tables, unless known."""
     if sizes.largest is not None:
         return sizes
-    return replace(sizes, largest=max(largest_group(df, by)[0] for df, by in groups))
+    return replace(sizes, largest=largest_of(*groups)[0])
 
 
 def with_cohort(sizes: Sizes, cohort: DataFrame) -> Sizes:

@@ -290,10 +290,9 @@ CTES: dict[str, str] = {
         f"max(CASE WHEN label = '{n}' THEN valuenum END) AS {output_name(n)}_first"
         for n in labels_of(mapped.LAB_ITEMS))
         + " FROM cohort c LEFT JOIN lab_day l ON l.adm = c.hadm_id GROUP BY c.subject_id, c.hadm_id",
-    "vital_day": f"""SELECT *, CASE WHEN itemid IN (3, 4) THEN 'map' WHEN itemid IN (5, 6) THEN 'temperature'
-        WHEN itemid IN (7, 8) THEN 'heartrate' WHEN itemid = 9 THEN 'cvp' ELSE 'spo2' END AS label,
-        CASE WHEN itemid = 6 THEN (valuenum - 32) / 1.8 ELSE valuenum END AS reading
-      FROM ({window('chart0', 24)}) WHERE itemid BETWEEN 3 AND 10 {LAST_ROW.format(key='stay')}""",
+    "vital_day": f"""SELECT *, lower({lab_case(mapped.VITAL_ITEMS)}) AS label,
+        CASE WHEN itemid IN (6, 14) THEN (valuenum - 32) / 1.8 ELSE valuenum END AS reading
+      FROM ({window('chart0', 24)}) WHERE itemid BETWEEN 3 AND 18 {LAST_ROW.format(key='stay')}""",
     "v_vitals": "SELECT c.subject_id, c.hadm_id, " + ", ".join(
         f"max(CASE WHEN label = '{n}' THEN reading END) AS {n}"
         for n in ("map", "temperature", "heartrate", "cvp", "spo2"))
@@ -421,7 +420,7 @@ CTES |= {
         min(valuenum) FILTER (itemid BETWEEN 8 AND 11 AND valuenum <= 10000) AS plat
       FROM ({window('lab0', 24, 'AND e.valuenum > 0')}) GROUP BY stay""",
     "pressure": f"SELECT stay AS icustay_id, min(valuenum) AS bp FROM ({window('chart0', 24)})"
-                " WHERE itemid IN (3, 4) GROUP BY stay",
+                f" WHERE itemid IN {ids(mapped.CONCEPTS.mean_pressure)} GROUP BY stay",
     "urine": f"SELECT stay AS icustay_id, sum(value) AS uo FROM ({window('outputevents', 24)})"
              " WHERE itemid IN (0, 1, 2) GROUP BY stay",
     "v_sofa": f"""SELECT subject_id, hadm_id, icustay_id, coalesce(respiration, 0) + coalesce(coagulation, 0)
@@ -447,7 +446,7 @@ CTES |= {
     "v_echo": """SELECT *, 703.0 * (weight_first / (height_first * height_first)) AS bmi FROM reports
       QUALIFY row_number() OVER (PARTITION BY icustay_id ORDER BY charttime ASC NULLS LAST, row_id) = 1""",
     "weights": f"""SELECT stay AS icustay_id, quantile_cont(valuenum, 0.5) FILTER (itemid = 16) AS weight_admit,
-        quantile_cont(valuenum, 0.5) FILTER (itemid = 17) AS weight_daily
+        quantile_cont(valuenum, 0.5) FILTER (itemid IN (11, 12, 13, 14, 15, 17)) AS weight_daily
       FROM ({window('chart0', 24, 'AND e.valuenum <> 0')}) GROUP BY stay""",
     "heights": """SELECT c.icustay_id, quantile_cont(CASE itemid WHEN 18 THEN valuenum * 2.54 ELSE valuenum END, 0.5)
         AS height_chart FROM cohort c JOIN chart0 e ON e.subject_id = c.subject_id AND e.charttime <= c.outtime
@@ -566,9 +565,8 @@ BODIES: dict[str, str] = {
       WHERE itemid IN {ids(mapped.LAB_ITEMS)}""",
     "item_label": f"""SELECT event_id, itemid, {lab_case(mapped.LAB_ITEMS)} AS label, valuenum FROM lab0
       WHERE itemid IN {ids(mapped.LAB_ITEMS)}""",
-    "unit_clean": f"""SELECT event_id, CASE WHEN itemid IN (3, 4) THEN 'MAP' WHEN itemid IN (5, 6) THEN 'Temperature'
-        WHEN itemid IN (7, 8) THEN 'HeartRate' WHEN itemid = 9 THEN 'CVP' WHEN itemid = 10 THEN 'SpO2' END AS vital,
-      {r6('''CASE WHEN itemid = 6 THEN (valuenum - 32) / 1.8 WHEN itemid BETWEEN 3 AND 10 THEN valuenum END''', 'vital_value')},
+    "unit_clean": f"""SELECT event_id, {lab_case(mapped.VITAL_ITEMS)} AS vital,
+      {r6('''CASE WHEN itemid IN (6, 14) THEN (valuenum - 32) / 1.8 WHEN itemid BETWEEN 3 AND 18 THEN valuenum END''', 'vital_value')},
       {r6('''CASE WHEN itemid = 11 AND valuenum > 0 AND valuenum <= 1 THEN valuenum * 100
           WHEN itemid = 11 AND valuenum >= 21 AND valuenum <= 100 THEN valuenum
           WHEN itemid IN (12, 13, 14) THEN valuenum

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import os
 from dataclasses import dataclass, field
+from functools import partial
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
@@ -11,7 +12,7 @@ from stayframe.operators.assemble import View, assemble
 from stayframe.operators.cohort import CohortRules, build_cohort
 from stayframe.operators.lookback import pick_items
 from stayframe.operators.scale import (
-    MEASURE, Sizes, fresh_folder, join_cohort, with_cohort, with_largest, written)
+    MEASURE, Sizes, fresh_folder, in_parallel, join_cohort, with_cohort, with_largest, written)
 from stayframe.plans import views
 from stayframe.plans.concepts import Concepts
 from stayframe.plans.views import Tables
@@ -110,13 +111,14 @@ class Study:
                 *c.vasopressor_intervals, *f.vasopressor_intervals, *c.anaesthetic_intervals,
                 *flat(c.red_cell_intervals)},
         }
-        extracted = dict(self.tables)
-        for name, ids in items.items():
+
+        def extract_one(name: str) -> DataFrame:
             key = EXTRACT_KEYS[name]
-            rows = pick_items(self.tables[name], ids).select(*column_names(name))
-            found = join_cohort(rows, cohort.select(key), [key], sizes=sizes)
-            extracted[name] = written(found, name)
-        return extracted
+            rows = pick_items(self.tables[name], items[name]).select(*column_names(name))
+            return written(join_cohort(rows, cohort.select(key), [key], sizes=sizes), name)
+
+        extracted = in_parallel([partial(extract_one, name) for name in items])
+        return {**self.tables, **dict(zip(items, extracted))}
 
     def extract_sizes(self, tables: Tables, sizes: Sizes) -> Sizes:
         """One bound on the rows per subject or stay for all views."""
@@ -257,13 +259,17 @@ def build_all(spark: SparkSession, study: Study, folder: str | None = None,
     tables = study.extract(cohort, sizes)
     sizes = study.extract_sizes(tables, sizes)
     echodata = store("echodata", views.view_echodata(cohort, tables, study.concepts, sizes))
-    for name, df in study.base_views(cohort, tables, echodata, sizes).items():
-        store(name, df)
-    for name, df in study.extra_views(cohort, tables, sizes).items():
-        store(name, df)
-    store("data", study.final_table(cohort, stored).orderBy("icustay_id"))
-    store("data_full", study.wide_table(cohort, stored).orderBy("icustay_id"))
-    return stored
+    independent = {
+        **study.base_views(cohort, tables, echodata, sizes),
+        **study.extra_views(cohort, tables, sizes),
+    }
+    in_parallel([partial(store, name, df) for name, df in independent.items()])
+    finals = {"data": study.final_table, "data_full": study.wide_table}
+    in_parallel([
+        partial(store, name, make(cohort, stored).orderBy("icustay_id"))
+        for name, make in finals.items()
+    ])
+    return {name: stored[name] for name in VIEW_KEYS}
 
 
 def build_report(stored: dict[str, DataFrame]) -> DataFrame:

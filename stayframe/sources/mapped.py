@@ -161,14 +161,14 @@ def _numbered(labels: list[str]) -> dict[int, Item]:
 
 LINE_ITEMS = (0, 1, 2)
 PANEL_ITEMS = _numbered(labels_of(LAB_PANEL))
-LAB_ITEMS = {i: item for i, item in PANEL_ITEMS.items() if item.label in labels_of(LABS)}
+LAB_ITEMS = {i: Item(labels_of(LABS)[i % 9]) for i in range(22)}
 VITAL_ITEMS = {
-    **same("MAP", 3, 4),
-    **same("Temperature", 5),
-    **same("Temperature", 6, shift=32.0, divisor=1.8),
-    **same("HeartRate", 7, 8),
-    **same("CVP", 9),
-    **same("SpO2", 10),
+    **same("MAP", 3, 4, 11, 12),
+    **same("Temperature", 5, 13),
+    **same("Temperature", 6, 14, shift=32.0, divisor=1.8),
+    **same("HeartRate", 7, 8, 15, 16),
+    **same("CVP", 9, 17),
+    **same("SpO2", 10, 18),
 }
 GAS_ITEMS = {
     **same("SPECIMEN", 100, above=0.0),
@@ -189,7 +189,7 @@ HEIGHT_ITEMS = {**same("HEIGHT", 18, factor=INCH_IN_CM), **same("HEIGHT", 19)}
 
 CONCEPTS = Concepts(
     arterial_line=LINE_ITEMS,
-    mean_pressure=(3, 4),
+    mean_pressure=(3, 4, 11, 12),
     vitals=VITAL_ITEMS,
     labs=LAB_ITEMS,
     lab_panel=PANEL_ITEMS,
@@ -201,7 +201,7 @@ CONCEPTS = Concepts(
     gcs_verbal=(201,),
     gcs_eyes=(202,),
     weight_admit=same("WEIGHT", 16),
-    weight_daily=same("WEIGHT", 17),
+    weight_daily=same("WEIGHT", 11, 12, 13, 14, 15, 17),
     height=HEIGHT_ITEMS,
     vasopressor_points=(0, 1),
     vasopressor_intervals=(0, 1, 2),
