@@ -45,8 +45,9 @@ def rate_episodes(doses: DataFrame, by: str, item: str = "itemid", time: str = "
 
     An episode starts at the first positive rate, after a zero rate or after a
     stop; it ends at its first stop, zero rate or the last record of the item.
-    Episodes without length or without a positive rate are dropped, as are
-    records without an entity.
+    An episode whose first record is also its end, or that never has a positive
+    rate, is dropped, as are records without an entity. The reported start is
+    the first record with a rate, so start and end can still coincide.
     """
     key = [by, item]
     real = doses.filter(F.col(by).isNotNull() & F.col(item).isNotNull())
