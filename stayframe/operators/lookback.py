@@ -9,7 +9,7 @@ from dataclasses import dataclass, replace
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from stayframe.functions.numeric import first_match, flag
+from stayframe.functions.numeric import first_match
 from stayframe.functions.timeutil import hours
 from stayframe.operators.scale import MEASURE, Sizes, join_cohort
 
@@ -134,34 +134,39 @@ def reduce_labels(events: DataFrame, by: list[str], labels: list[str], how: str,
     ``first`` the earliest; ``min``, ``max``, ``sum`` ignore NULL; ``ever`` is
     1 when a known, non-zero value occurred.
     """
-    columns = []
-    for name in labels:
-        mine = F.col(label) == name
-        if how in ("last", "first"):
-            position = F.when(mine, F.struct(time, tie))
-            pick = F.max_by if how == "last" else F.min_by
-            column = pick(F.col(value), position)
-        elif how == "ever":
-            column = F.max(flag(mine & (F.col(value) != 0)))
-        else:
-            column = {"min": F.min, "max": F.max, "sum": F.sum}[how](F.when(mine, F.col(value)))
-        columns.append(column.alias(name.lower() + suffix))
+    form = {
+        "last": "max_by({value}, CASE WHEN {mine} THEN struct({time}, {tie}) END)",
+        "first": "min_by({value}, CASE WHEN {mine} THEN struct({time}, {tie}) END)",
+        "ever": "max(CASE WHEN {mine} AND {value} <> 0 THEN 1 ELSE 0 END)",
+    }.get(how, how + "(CASE WHEN {mine} THEN {value} END)")
+    columns = [
+        F.expr(form.format(value=value, time=time, tie=tie, mine=f"{label} = '{name}'"))
+        .alias(name.lower() + suffix)
+        for name in labels
+    ]
     return events.groupBy(*by).agg(*columns)
 
 
 def last_with_flag(events: DataFrame, by: list[str], labels: list[str], mark: str,
                    time: str = "charttime", tie: str = "event_id", value: str = "valuenum",
-                   label: str = "label") -> DataFrame:
-    """Latest value per label and whether that same row carries the mark."""
-    picked = []
-    for name in labels:
-        position = F.when(F.col(label) == name, F.struct(time, tie))
-        picked.append(F.max_by(F.struct(F.col(value).alias("v"), F.col("flag").alias("f")), position)
-                      .alias(name.lower()))
-    last = events.groupBy(*by).agg(*picked)
-    values = [F.col(f"{n.lower()}.v").alias(n.lower()) for n in labels]
-    flags = [flag(F.col(f"{n.lower()}.f") == mark).alias(f"{n.lower()}_abnormal_flg") for n in labels]
-    return last.select(*by, *values, *flags)
+                   label: str = "label", also: list[Column] = ()) -> DataFrame:
+    """Latest value per label and whether that same row carries the mark.
+
+    ``also`` are further aggregates to take in the same pass.
+    """
+    picked = [
+        F.expr(f"max_by(struct({value} AS v, flag AS f), CASE WHEN {label} = '{name}' "
+               f"THEN struct({time}, {tie}) END)").alias(f"_{name.lower()}")
+        for name in labels
+    ]
+    last = events.groupBy(*by).agg(*picked, *also)
+    kept = [c for c in last.columns if not c.startswith("_")]
+    values = [f"_{n.lower()}.v AS {n.lower()}" for n in labels]
+    flags = [
+        f"CASE WHEN _{n.lower()}.f = '{mark}' THEN 1 ELSE 0 END AS {n.lower()}_abnormal_flg"
+        for n in labels
+    ]
+    return last.selectExpr(*kept, *values, *flags)
 
 
 def paired_rows(events: DataFrame, by: list[str], columns: dict[str, Column],

@@ -14,7 +14,7 @@ from stayframe.functions import numeric as N, text as X, timeutil as T
 from stayframe.operators import (
     asof, cohort as C, episodes as E, intervals as I, lookback as L, measures as M, notes, ordered,
     scores as S)
-from stayframe.operators.scale import written
+from stayframe.operators.scale import MEASURE, Sizes, with_largest, written
 from stayframe.plans import study as build, views as V
 from stayframe.sources import mapped
 
@@ -36,10 +36,17 @@ def cohort_of(spark: SparkSession, folder: str) -> DataFrame:
     return mapped.study(spark, folder).cohort()
 
 
-def all_stays(spark: SparkSession, folder: str) -> DataFrame:
-    """Every adult stay with its position, as a written table."""
-    base = C.cohort_base(mapped.tables(spark, folder), mapped.RULES)
-    return written(C.numbered_stays(base), "stays")
+def cohort_and_tables(spark: SparkSession, folder: str) -> tuple[DataFrame, V.Tables]:
+    study = mapped.study(spark, folder)
+    return study.cohort(), study.tables
+
+
+def flagged_stays(spark: SparkSession, folder: str) -> DataFrame:
+    """Flags of every adult stay, with its position among the subject's stays."""
+    found = mapped.tables(spark, folder)
+    base = C.cohort_base(found, mapped.RULES)
+    stays = written(C.numbered_stays(base), "stays")
+    return C.cohort_flags(stays, found, mapped.LINE_ITEMS, mapped.RULES)
 
 
 # -- scalar functions -------------------------------------------------------
@@ -154,8 +161,7 @@ def cohort_base(spark, folder):
 
 
 def cohort_flags(spark, folder):
-    found = mapped.tables(spark, folder)
-    return tidy(C.cohort_flags(all_stays(spark, folder), found, mapped.LINE_ITEMS, mapped.RULES))
+    return tidy(flagged_stays(spark, folder))
 
 
 def cohort_select(spark, folder):
@@ -163,9 +169,7 @@ def cohort_select(spark, folder):
 
 
 def cohort_attrition(spark, folder):
-    found = mapped.tables(spark, folder)
-    flags = C.cohort_flags(all_stays(spark, folder), found, mapped.LINE_ITEMS, mapped.RULES)
-    return C.attrition(flags, C.inclusion_steps(mapped.RULES))
+    return C.attrition(flagged_stays(spark, folder), C.inclusion_steps(mapped.RULES))
 
 
 def first_event(spark, folder):
@@ -203,7 +207,7 @@ def order_flag(spark, folder):
 
 def last_value_pivot(spark, folder):
     """Latest labs and vitals before the index time, side by side."""
-    found, cohort = mapped.tables(spark, folder), cohort_of(spark, folder)
+    cohort, found = cohort_and_tables(spark, folder)
     labs = V.view_labs(cohort, found, CONCEPTS)
     vitals = V.view_vitals(cohort, found, CONCEPTS)
     return tidy(labs.join(vitals.drop("subject_id"), "hadm_id"))
@@ -267,36 +271,41 @@ def paired_pivot(spark, folder):
     return tidy(L.paired_rows(rows, ["subject_id", "charttime"], columns, "po2"))
 
 
+def panel_of(spark, folder):
+    cohort, found, sizes = mapped.study(spark, folder).prepare("labevents")
+    return V.view_lab_panel(cohort, found, CONCEPTS, sizes)
+
+
 def lab_panel(spark, folder):
-    panel = V.view_lab_panel(cohort_of(spark, folder), mapped.tables(spark, folder), CONCEPTS)
+    panel = panel_of(spark, folder)
     return tidy(panel.select(*[c for c in panel.columns if not c.endswith("_abnormal_flg")]))
 
 
 def lab_abnormal(spark, folder):
-    panel = V.view_lab_panel(cohort_of(spark, folder), mapped.tables(spark, folder), CONCEPTS)
+    panel = panel_of(spark, folder)
     return panel.select("hadm_id", *[c for c in panel.columns if c.endswith("_abnormal_flg")])
 
 
 # -- codes, exposure, status ------------------------------------------------
 
 def code_flags(spark, folder):
-    return V.view_icd(cohort_of(spark, folder), mapped.tables(spark, folder), CONCEPTS)
+    return V.view_icd(*cohort_and_tables(spark, folder), CONCEPTS)
 
 
 def code_flags_trimmed(spark, folder):
-    return V.view_icd(cohort_of(spark, folder), mapped.tables(spark, folder), CONCEPTS, normalise=True)
+    return V.view_icd(*cohort_and_tables(spark, folder), CONCEPTS, normalise=True)
 
 
 def code_rule_score(spark, folder):
-    return V.view_sepsis(cohort_of(spark, folder), mapped.tables(spark, folder), CONCEPTS)
+    return V.view_sepsis(*cohort_and_tables(spark, folder), CONCEPTS)
 
 
 def ever_exposed(spark, folder):
-    return V.view_vaso_flg(cohort_of(spark, folder), mapped.tables(spark, folder), mapped.FLAG_CONCEPTS)
+    return V.view_vaso_flg(*cohort_and_tables(spark, folder), mapped.FLAG_CONCEPTS)
 
 
 def status_history(spark, folder):
-    return V.view_codestatus(cohort_of(spark, folder), mapped.tables(spark, folder), CONCEPTS)
+    return V.view_codestatus(*cohort_and_tables(spark, folder), CONCEPTS)
 
 
 # -- episodes and intervals -------------------------------------------------
@@ -311,66 +320,78 @@ def forward_fill(spark, folder):
                                  "rate", "carried_rate")
 
 
-def rate_episodes(spark, folder):
-    return E.rate_episodes(mapped.table(spark, folder, "inputevents_cv"), "icustay_id")
+def dose_sizes(found: V.Tables) -> Sizes:
+    """One bound for all steps: no later group is larger than a stay's dose records."""
+    stay = ["icustay_id"]
+    points = found["inputevents_cv"].filter(F.col("icustay_id").isNotNull())
+    return with_largest(MEASURE, (points, stay), (found["inputevents_mv"], stay))
 
 
-def orders(spark, folder):
-    return I.order_intervals(mapped.table(spark, folder, "inputevents_mv"), ["icustay_id", "linkorderid"])
+def rate_episodes(spark, folder):
+    return E.rate_episodes(mapped.table(spark, folder, "inputevents_cv"), "icustay_id")
 
 
 def order_intervals(spark, folder):
-    return orders(spark, folder)
+    return I.order_intervals(mapped.table(spark, folder, "inputevents_mv"), ["icustay_id", "linkorderid"])
 
 
 def merge_intervals(spark, folder):
-    return I.merge_intervals(orders(spark, folder), ["icustay_id"])
+    return I.merge_intervals(order_intervals(spark, folder), ["icustay_id"])
 
 
 def anti_overlap(spark, folder):
-    return I.uncovered_starts(orders(spark, folder), ["icustay_id"])
+    return I.uncovered_starts(order_intervals(spark, folder), ["icustay_id"])
 
 
 def episode_sequence(spark, folder):
-    merged = I.merge_intervals(rate_episodes(spark, folder), ["icustay_id"])
-    return ordered.numbered(merged, ["icustay_id"], ["starttime"], "number")
+    (points, _), sizes = merged_systems(mapped.tables(spark, folder))
+    return ordered.numbered(points, ["icustay_id"], ["starttime"], "number", sizes)
 
 
-def both_systems(spark, folder):
-    return [
-        I.merge_intervals(rate_episodes(spark, folder), ["icustay_id"]),
-        I.merge_intervals(orders(spark, folder), ["icustay_id"]),
+def merged_systems(found: V.Tables) -> tuple[list[DataFrame], Sizes]:
+    """Merged episodes of each input system and their size bound."""
+    stay, sizes = ["icustay_id"], dose_sizes(found)
+    systems = [
+        E.rate_episodes(found["inputevents_cv"], "icustay_id", sizes=sizes),
+        I.order_intervals(found["inputevents_mv"], ["icustay_id", "linkorderid"]),
     ]
+    return [I.merge_intervals(system, stay, sizes=sizes) for system in systems], sizes
 
 
 def union_episodes(spark, folder):
-    return I.union_episodes(both_systems(spark, folder), ["icustay_id"], "number")
+    systems, sizes = merged_systems(mapped.tables(spark, folder))
+    return I.union_episodes(systems, ["icustay_id"], "number", sizes=sizes)
 
 
-def episode_features(spark, folder):
-    return tidy(V.view_vaso(cohort_of(spark, folder), mapped.tables(spark, folder), CONCEPTS))
+DOSES = ("inputevents_cv", "inputevents_mv")
 
 
-def anaesthesia_features(spark, folder):
-    return tidy(V.view_anaesthesia(cohort_of(spark, folder), mapped.tables(spark, folder), CONCEPTS))
+def episode_features(spark, folder):
+    cohort, found, sizes = mapped.study(spark, folder).prepare(*DOSES)
+    return tidy(V.view_vaso(cohort, found, CONCEPTS, sizes=sizes))
 
 
 def episode_features_merged(spark, folder):
     """As ``episode_features``, with time covered in both systems counted once."""
-    found = mapped.tables(spark, folder)
-    return tidy(V.view_vaso(cohort_of(spark, folder), found, CONCEPTS, merge_across=True))
+    cohort, found, sizes = mapped.study(spark, folder).prepare(*DOSES)
+    return tidy(V.view_vaso(cohort, found, CONCEPTS, merge_across=True, sizes=sizes))
+
+
+def anaesthesia_features(spark, folder):
+    cohort, found, sizes = mapped.study(spark, folder).prepare(*DOSES)
+    return tidy(V.view_anaesthesia(cohort, found, CONCEPTS, sizes=sizes))
 
 
 def prorated_volume(spark, folder):
-    return tidy(V.view_rbc(cohort_of(spark, folder), mapped.tables(spark, folder), CONCEPTS))
+    return tidy(V.view_rbc(*cohort_and_tables(spark, folder), CONCEPTS))
 
 
 # -- scores, notes, measures ------------------------------------------------
 
 def asof_ratio(spark, folder):
-    found = mapped.tables(spark, folder)
-    return tidy(S.asof_ratio(cohort_of(spark, folder), found["labevents"], found["chartevents"],
-                             CONCEPTS.gas, CONCEPTS.fio2))
+    cohort, found = cohort_and_tables(spark, folder)
+    return tidy(S.asof_ratio(cohort, found["labevents"], found["chartevents"], CONCEPTS.gas,
+                             CONCEPTS.fio2))
 
 
 def asof_values(spark, folder):
@@ -400,16 +421,18 @@ def prev_value_score(spark, folder):
 
 
 def organ_score(spark, folder):
-    return V.view_sofa(cohort_of(spark, folder), mapped.tables(spark, folder), CONCEPTS)
+    cohort, found, sizes = mapped.study(spark, folder).prepare("chartevents", "labevents")
+    return V.view_sofa(cohort, found, CONCEPTS, sizes)
 
 
 def note_fields(spark, folder):
-    return tidy(V.view_echodata(cohort_of(spark, folder), mapped.tables(spark, folder), CONCEPTS))
+    return tidy(V.view_echodata(*cohort_and_tables(spark, folder), CONCEPTS))
 
 
 def body_measure(spark, folder):
-    cohort, found = cohort_of(spark, folder), mapped.tables(spark, folder)
-    return tidy(V.view_bmi(cohort, found, CONCEPTS, V.view_echodata(cohort, found, CONCEPTS)))
+    cohort, found, sizes = mapped.study(spark, folder).prepare("chartevents")
+    echodata = V.view_echodata(cohort, found, CONCEPTS, sizes)
+    return tidy(V.view_bmi(cohort, found, CONCEPTS, echodata, sizes))
 
 
 # -- assembly ---------------------------------------------------------------

@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 import os
+from collections import ChainMap
+from collections.abc import Iterable
 from dataclasses import dataclass, field
 from functools import partial
 
@@ -92,7 +94,7 @@ class Study:
     def cohort(self) -> DataFrame:
         return build_cohort(self.tables, self.concepts.arterial_line, self.rules, self.sizes)
 
-    def extract(self, cohort: DataFrame, sizes: Sizes) -> Tables:
+    def extract(self, cohort: DataFrame, sizes: Sizes, names: Iterable[str]) -> Tables:
         """The cohort's chart, lab and dose rows of the study's items, written once.
 
         The largest tables are read by many views; each is scanned once here
@@ -117,13 +119,20 @@ class Study:
             rows = pick_items(self.tables[name], items[name]).select(*column_names(name))
             return written(join_cohort(rows, cohort.select(key), [key], sizes=sizes), name)
 
-        extracted = in_parallel([partial(extract_one, name) for name in items])
-        return {**self.tables, **dict(zip(items, extracted))}
+        extracted = in_parallel([partial(extract_one, name) for name in names])
+        return ChainMap(dict(zip(names, extracted)), self.tables)
 
-    def extract_sizes(self, tables: Tables, sizes: Sizes) -> Sizes:
-        """One bound on the rows per subject or stay for all views."""
-        groups = [(tables[name], [key]) for name, key in EXTRACT_KEYS.items()]
-        return with_largest(sizes, *groups)
+    def prepare(self, *names: str, cohort: DataFrame | None = None) -> tuple[DataFrame, Tables, Sizes]:
+        """Cohort, tables with the named ones extracted, and one bound for all views.
+
+        The bound is the largest number of extracted rows of a subject or stay.
+        """
+        cohort = cohort or self.cohort()
+        names = names or tuple(EXTRACT_KEYS)
+        sizes = with_cohort(self.sizes, cohort)
+        tables = self.extract(cohort, sizes, names)
+        groups = [(tables[name], [EXTRACT_KEYS[name]]) for name in names]
+        return cohort, tables, with_largest(sizes, *groups)
 
     def base_views(self, cohort: DataFrame, tables: Tables, echodata: DataFrame,
                    sizes: Sizes) -> dict[str, DataFrame]:
@@ -151,19 +160,14 @@ class Study:
 
     def final(self) -> DataFrame:
         """The analysis table straight from the source tables."""
-        cohort = self.cohort()
-        sizes = with_cohort(self.sizes, cohort)
-        tables = self.extract(cohort, sizes)
-        sizes = self.extract_sizes(tables, sizes)
+        cohort, tables, sizes = self.prepare()
         echodata = views.view_echodata(cohort, tables, self.concepts, sizes)
         return self.final_table(cohort, self.base_views(cohort, tables, echodata, sizes))
 
     def wide(self) -> DataFrame:
         """The wide covariate table straight from the source tables."""
-        c, cohort = self.concepts, self.cohort()
-        sizes = with_cohort(self.sizes, cohort)
-        tables = self.extract(cohort, sizes)
-        sizes = self.extract_sizes(tables, sizes)
+        c = self.concepts
+        cohort, tables, sizes = self.prepare()
         needed = {
             "echodata": views.view_echodata(cohort, tables, c, sizes),
             "icd": views.view_icd(cohort, tables, c, sizes=sizes),
@@ -255,9 +259,7 @@ def build_all(spark: SparkSession, study: Study, folder: str | None = None,
         return stored[name]
 
     cohort = store("cohort", study.cohort())
-    sizes = with_cohort(study.sizes, cohort)
-    tables = study.extract(cohort, sizes)
-    sizes = study.extract_sizes(tables, sizes)
+    cohort, tables, sizes = study.prepare(cohort=cohort)
     echodata = store("echodata", views.view_echodata(cohort, tables, study.concepts, sizes))
     independent = {
         **study.base_views(cohort, tables, echodata, sizes),

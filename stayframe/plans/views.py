@@ -6,6 +6,8 @@ and returns a lazy DataFrame with one row per cohort stay or admission.
 
 from __future__ import annotations
 
+from collections.abc import Mapping
+
 from pyspark.sql import DataFrame, functions as F
 
 from stayframe.functions.numeric import flag
@@ -25,7 +27,7 @@ from stayframe.plans.concepts import HEMATOCRIT_RANGE, LAB_NAMES, Concepts
 INDEX = "vent_starttime"
 ADMISSION = ["subject_id", "hadm_id"]
 STAY = ["subject_id", "hadm_id", "icustay_id"]
-Tables = dict[str, DataFrame]
+Tables = Mapping[str, DataFrame]
 
 
 def output_name(label: str) -> str:
@@ -73,15 +75,14 @@ def view_lab_panel(cohort: DataFrame, tables: Tables, concepts: Concepts,
     """Latest value and abnormal flag of the wide lab panel in the week before the index time."""
     found = labelled_window(tables["labevents"], cohort, concepts.lab_panel, 7 * 24, ["flag"], sizes)
     labels = labels_of(concepts.lab_panel)
-    last = last_with_flag(found, ["hadm_id"], labels, "abnormal")
     crit = found.filter(F.col("label") == "HEMATOCRIT")
-    extremes = crit.groupBy("hadm_id").agg(
-        F.min("valuenum").alias("hct_lowest"), F.max("valuenum").alias("hct_highest"))
+    crit_value = F.when(F.col("label") == "HEMATOCRIT", F.col("valuenum"))
+    last = last_with_flag(found, ["hadm_id"], labels, "abnormal", also=[
+        F.min(crit_value).alias("hct_lowest"), F.max(crit_value).alias("hct_highest")])
     middle = exact_median(crit, ["hadm_id"], "valuenum", "hct_med", sizes)
     rows = (
         cohort.select(*ADMISSION, "gender_num")
         .join(last, "hadm_id", "left")
-        .join(extremes, "hadm_id", "left")
         .join(middle, "hadm_id", "left")
     )
     values = [F.col(n.lower()).alias(f"{output_name(n)}_first") for n in labels]

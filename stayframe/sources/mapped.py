@@ -131,14 +131,27 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return from_events(event_rows(spark, folder), name)
 
 
-def tables(spark: SparkSession, folder: str) -> dict[str, DataFrame]:
-    """All source tables of the study; chart and lab rows include gas and coma records."""
-    events = event_rows(spark, folder)
-    names = ["icustays", "admissions", "patients", *RECORDS]
-    found = {name: from_events(events, name) for name in names}
-    found["chartevents"] = found["chartevents"].unionByName(found.pop("gcsevents"))
-    found["labevents"] = found["labevents"].unionByName(found.pop("gasevents"))
-    return found
+# Records that are part of a larger source table in the study.
+JOINED_RECORDS = {"chartevents": "gcsevents", "labevents": "gasevents"}
+
+
+class MappedTables(dict):
+    """The study's source tables, each mapped on first use."""
+
+    def __init__(self, events: DataFrame):
+        super().__init__()
+        self.events = events
+
+    def __missing__(self, name: str) -> DataFrame:
+        rows = from_events(self.events, name)
+        if name in JOINED_RECORDS:
+            rows = rows.unionByName(from_events(self.events, JOINED_RECORDS[name]))
+        self[name] = rows
+        return rows
+
+
+def tables(spark: SparkSession, folder: str) -> MappedTables:
+    return MappedTables(event_rows(spark, folder))
 
 
 def _split(columns: str) -> list[str]:
