@@ -113,7 +113,9 @@ def ever_exposed(cohort: DataFrame, tables: list[DataFrame], by: str, name: str,
                  sizes: Sizes = MEASURE) -> DataFrame:
     """1 when the stay has a row in any of the tables."""
     sizes, cohort_keys = with_cohort(sizes, cohort), cohort.select(by)
-    keys = [join_cohort(t.select(by), cohort_keys, [by], sizes=sizes).distinct() for t in tables]
+    # Copies of a key are dropped before a shuffle join, but after a broadcast join.
+    rows = [t.select(by) if sizes.small_cohort else t.select(by).distinct() for t in tables]
+    keys = [join_cohort(r, cohort_keys, [by], sizes=sizes).distinct() for r in rows]
     union = keys[0]
     for part in keys[1:]:
         union = union.unionByName(part)

@@ -17,7 +17,7 @@ from pyspark.sql import Column, DataFrame, Window as W, functions as F
 
 from stayframe.operators.scale import MEASURE, Sizes, fits_task, largest_group, written
 
-MAX_CHUNKS = 10_000
+MAX_CHUNKS = 20_000
 CHUNK = "_chunk"
 
 

@@ -4,14 +4,15 @@
   so every reader sees the same rows after an executor is lost and its row
   count is cheap to know.
 * A cohort is broadcast only when that count is below ``BROADCAST_ROWS``.
-  Beyond it the join is a salted shuffle join, so one hot key is spread over
-  ``SALTS`` tasks.
+  Beyond it the join is a shuffle join, and a key with more than
+  ``GROUP_ROWS`` event rows is spread over several tasks.
 * The largest group of a key is measured before an ordered operator decides
   how to lay out its rows (see ``ordered``).
 """
 
 from __future__ import annotations
 
+import math
 import tempfile
 import uuid
 from concurrent.futures import ThreadPoolExecutor
@@ -22,7 +23,6 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 BROADCAST_ROWS = 1_000_000
 GROUP_ROWS = 2_000_000
-SALTS = 64
 
 
 @dataclass(frozen=True)
@@ -130,23 +130,40 @@ def join_cohort(events: DataFrame, cohort: DataFrame, on: list[str],
     """Inner join of a large event table with a written, narrow cohort.
 
     The events stay where they are when the cohort is small enough to
-    broadcast. Otherwise each cohort row is repeated per salt and the events
-    of one key are spread over the salts by a hash of the whole row.
+    broadcast. Otherwise it is a shuffle join, with the hot keys spread.
     Columns besides the keys must have different names on the two sides.
     """
     if with_cohort(sizes, cohort).small_cohort:
         joined = events.join(F.broadcast(cohort), on)
     else:
-        salt = F.pmod(F.xxhash64(*events.columns), F.lit(SALTS)).cast("int")
-        copies = F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1)))
-        joined = (
-            events.withColumn("_salt", salt)
-            .join(cohort.withColumn("_salt", copies), [*on, "_salt"])
-            .drop("_salt")
-        )
+        joined = spread_join(events, cohort, on, sizes.group_limit)
     return joined if residual is None else joined.filter(residual)
 
 
+def spread_join(events: DataFrame, cohort: DataFrame, on: list[str], limit: int) -> DataFrame:
+    """Shuffle join in which a key with many event rows is split over several tasks.
+
+    Keys above the limit are counted out first. Their events get a salt from a
+    hash of the row, one per ``limit`` rows, and their cohort rows are repeated
+    per salt. The limit is raised, if need be, so that there are at most
+    ``BROADCAST_ROWS`` hot keys and their table can be broadcast.
+    """
+    counts = events.groupBy(*on).count()
+    row = counts.agg(F.max("count").alias("top"), F.sum("count").alias("total")).first()
+    limit = max(limit, math.ceil((row["total"] or 0) / BROADCAST_ROWS))
+    if (row["top"] or 0) <= limit:
+        return events.join(cohort, on)
+    hot = counts.filter(F.col("count") > limit).select(
+        *on, F.ceil(F.col("count") / limit).cast("int").alias("_salts"))
+    hot = F.broadcast(written(hot, "hot"))
+    spread = F.pmod(F.xxhash64(*events.columns), F.col("_salts")).cast("int")
+    copies = F.explode(F.sequence(F.lit(0), F.coalesce(F.col("_salts"), F.lit(1)) - 1))
+    left = events.join(hot, on, "left").withColumn("_salt", F.coalesce(spread, F.lit(0)))
+    right = cohort.join(hot, on, "left").withColumn("_salt", copies)
+    joined = left.drop("_salts").join(right.drop("_salts"), [*on, "_salt"])
+    return joined.drop("_salt")
+
+
 def assert_unique(df: DataFrame, key: str, name: str) -> None:
     """Fail when a view has two rows for one key."""
     if not df.groupBy(key).count().filter("count > 1").isEmpty():

@@ -10,14 +10,15 @@ from functools import partial
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
+from stayframe.functions.timeutil import hours
 from stayframe.operators.assemble import View, assemble
 from stayframe.operators.cohort import CohortRules, build_cohort
-from stayframe.operators.lookback import pick_items
+from stayframe.operators.lookback import lookback, pick_items
 from stayframe.operators.scale import (
     MEASURE, Sizes, fresh_folder, in_parallel, join_cohort, with_cohort, with_largest, written)
 from stayframe.plans import views
 from stayframe.plans.concepts import Concepts
-from stayframe.plans.views import Tables
+from stayframe.plans.views import INDEX, Tables
 from stayframe.sources.tables import column_names
 
 # Columns of the final table that come from the cohort, in order.
@@ -69,6 +70,20 @@ EXTRACT_KEYS = {
 }
 
 
+# Longest window before the index time that any view reads, where there is one.
+EXTRACT_HOURS = {"labevents": 7 * 24}
+
+
+def in_span(events: DataFrame, cohort: DataFrame, before_hours: float) -> DataFrame:
+    """Events between the cohort's first and last window, as constants the scan can use."""
+    span = cohort.agg(
+        (F.min(INDEX) - hours(before_hours)).alias("low"), F.max(INDEX).alias("high")).first()
+    if span["low"] is None:
+        return events
+    low, high = (F.lit(str(span[side])).cast("timestamp_ntz") for side in ("low", "high"))
+    return events.filter(F.col("charttime").between(low, high))
+
+
 def flat(groups: dict[str, list[int]]) -> list[int]:
     return [i for group in groups.values() for i in group]
 
@@ -115,9 +130,15 @@ class Study:
         }
 
         def extract_one(name: str) -> DataFrame:
-            key = EXTRACT_KEYS[name]
+            key, before = EXTRACT_KEYS[name], EXTRACT_HOURS.get(name)
             rows = pick_items(self.tables[name], items[name]).select(*column_names(name))
-            return written(join_cohort(rows, cohort.select(key), [key], sizes=sizes), name)
+            if before is None:
+                found = join_cohort(rows, cohort.select(key), [key], sizes=sizes)
+            else:
+                rows = in_span(rows, cohort, before)
+                narrow = cohort.select(key, INDEX)
+                found = lookback(rows, narrow, [key], INDEX, "charttime", before, sizes).drop(INDEX)
+            return written(found, name)
 
         extracted = in_parallel([partial(extract_one, name) for name in names])
         return ChainMap(dict(zip(names, extracted)), self.tables)

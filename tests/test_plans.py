@@ -53,9 +53,10 @@ def test_lookback_broadcasts_a_small_cohort(events, cohort):
     narrow = cohort.select("subject_id", "vent_starttime")
     text = plan(L.lookback(rows, narrow, ["subject_id"], "vent_starttime", "charttime", 24))
     assert "BroadcastHashJoin" in text and "Exchange hashpartitioning" not in text
-    salted = plan(L.lookback(rows, narrow, ["subject_id"], "vent_starttime", "charttime", 24,
-                             Sizes(small_cohort=False)))
-    assert re.search(r"hashpartitioning\(subject_id#\d+L?, _salt", salted) or "_salt" in salted
+    every = events.select("subject_id", "charttime", "valuenum")
+    spread = plan(L.lookback(every, narrow, ["subject_id"], "vent_starttime", "charttime", 24,
+                             Sizes(small_cohort=False, group_limit=5)))
+    assert re.search(r"Right keys \[2\]: \[subject_id#\d+L, _salt", spread)
 
 
 def test_latest_values_need_one_shuffle_of_the_events(events, cohort):

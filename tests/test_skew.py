@@ -10,7 +10,7 @@ from stayframe.functions import timeutil as T
 from stayframe.operators import asof, codes, episodes as E, intervals as I, lookback as L, ordered
 from stayframe.operators import scores as S
 from stayframe.operators.ordered import CHUNK, Running, arrange, running
-from stayframe.operators.scale import Sizes, largest_of, shared_folder
+from stayframe.operators.scale import Sizes, largest_of, shared_folder, spread_join
 from stayframe.plans.concepts import COMORBIDITIES
 from stayframe.plans.catalog import QUERIES
 from stayframe.plans.study import Study
@@ -152,6 +152,15 @@ def test_salted_join_equals_broadcast(doses, spark):
     assert joined[0] == joined[1] and joined[0]
 
 
+def test_spread_join_splits_the_hot_key(doses, spark):
+    cohort = spark.createDataFrame([(i,) for i in range(1, 31)], "icustay_id long")
+    joined = spread_join(doses, cohort, ["icustay_id"], 50)
+    assert rows_of(joined) == rows_of(doses.select(*joined.columns))
+    assert "_salt" in joined._jdf.queryExecution().toString()
+    calm = spread_join(doses, cohort, ["icustay_id"], 10**6)
+    assert "_salt" not in calm._jdf.queryExecution().toString()
+
+
 def test_coma_and_codes_on_hot_layout(spark, folder):
     rows = mapped.table(spark, folder, "gcsevents")
     coma = rows.groupBy("icustay_id", "charttime").agg(
