@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from stayframe.functions.numeric import first_match
 from stayframe.functions.timeutil import hours
-from stayframe.operators.scale import MEASURE, Sizes, join_cohort
+from stayframe.operators.scale import MEASURE, Sizes, join_cohort, written
 
 
 @dataclass(frozen=True)
@@ -118,9 +118,11 @@ def lookback_left(events: DataFrame, cohort: DataFrame, on: list[str], index_tim
     """As ``lookback``, plus one row with NULL event columns per subject without events.
 
     Built as matches plus the unmatched cohort rows, so that the event table
-    is never the build side of an outer join. ``key`` is unique in the cohort.
+    is never the build side of an outer join. The matches are written, so the
+    events are scanned once. ``key`` is unique in the cohort.
     """
-    found = lookback(events, cohort, on, index_time, event_time, before_hours, sizes)
+    found = written(
+        lookback(events, cohort, on, index_time, event_time, before_hours, sizes), "matches")
     missing = cohort.join(found.select(key).distinct(), key, "left_anti")
     return found.unionByName(missing, allowMissingColumns=True)
 

@@ -445,6 +445,19 @@ def assemble_wide(spark, folder):
     return tidy(mapped.study(spark, folder).wide())
 
 
+def assemble_scored(spark, folder):
+    """The wide table with external severity scores, here simple functions of the stay."""
+    study = mapped.study(spark, folder)
+    stays = study.tables["icustays"]
+    score = (F.col("icustay_id") % 20).cast("int")
+    study.tables["saps"] = stays.select("icustay_id", score.alias("saps"))
+    study.tables["sofa"] = stays.filter(score > 3).select("icustay_id", (score - 3).alias("sofa"))
+    study.tables["angus_sepsis"] = stays.filter(score % 4 < 2).select(
+        "hadm_id", (score % 4).cast("int").alias("angus"))
+    scored = study.wide()
+    return scored.select(*STAY, "sapsi_first", "sofa_first", "sepsis_flg", "vaso_flg", "anes_flg")
+
+
 def build_all(spark, folder):
     return build.build_report(build.build_all(spark, mapped.study(spark, folder)))
 
@@ -460,6 +473,6 @@ QUERIES: dict[str, Query] = {
         order_intervals, merge_intervals, anti_overlap, episode_sequence, union_episodes,
         episode_features, episode_features_merged, anaesthesia_features, prorated_volume,
         asof_ratio, asof_values, prev_value_score, organ_score, note_fields, body_measure,
-        assemble_final, assemble_wide, build_all,
+        assemble_final, assemble_wide, assemble_scored, build_all,
     )
 }

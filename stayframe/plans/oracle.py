@@ -655,6 +655,14 @@ BODIES: dict[str, str] = {
                                       "height_echo", "weight_echo"]),
     "assemble_final": "SELECT * FROM v_data",
     "assemble_wide": "SELECT * FROM v_data_full",
+    "assemble_scored": """SELECT c.subject_id, c.hadm_id, c.icustay_id,
+        CAST(c.icustay_id % 20 AS INT) AS sapsi_first,
+        CASE WHEN c.icustay_id % 20 > 3 THEN CAST(c.icustay_id % 20 - 3 AS INT) END AS sofa_first,
+        CASE WHEN c.icustay_id % 20 % 4 < 2 THEN CAST(c.icustay_id % 20 % 4 AS INT) END AS sepsis_flg,
+        d.vaso_flg, n.anes_flg
+      FROM cohort c JOIN v_vaso d USING (icustay_id) JOIN v_anes n ON n.icustay_id = c.icustay_id
+        JOIN v_vaso_flg x ON x.icustay_id = c.icustay_id
+      WHERE coalesce(x.vaso_flg, 0) = 0 AND c.icustay_id % 20 % 4 <> 1""",
     "build_all": " UNION ALL ".join(
         f"SELECT '{name}' AS view, count(*) AS n_rows, count(DISTINCT {study.VIEW_KEYS[name]}) AS n_keys FROM {view}"
         for name, view in STORED.items()),

@@ -15,7 +15,7 @@ from stayframe.operators.assemble import View, assemble
 from stayframe.operators.cohort import CohortRules, build_cohort
 from stayframe.operators.lookback import lookback, pick_items
 from stayframe.operators.scale import (
-    MEASURE, Sizes, fresh_folder, in_parallel, join_cohort, with_cohort, with_largest, written)
+    MEASURE, Sizes, assert_unique, fresh_folder, in_parallel, join_cohort, with_cohort, with_largest, written)
 from stayframe.plans import views
 from stayframe.plans.concepts import Concepts
 from stayframe.plans.views import INDEX, Tables
@@ -88,6 +88,10 @@ def flat(groups: dict[str, list[int]]) -> list[int]:
     return [i for group in groups.values() for i in group]
 
 
+# Key of each optional external score.
+EXTERNAL_KEYS = {"saps": "icustay_id", "sofa": "icustay_id", "angus_sepsis": "hadm_id"}
+
+
 def as_is(*names: str) -> dict[str, str]:
     return {name: name for name in names}
 
@@ -220,6 +224,9 @@ class Study:
     def wide_table(self, cohort: DataFrame, v: dict[str, DataFrame]) -> DataFrame:
         """The wide covariate table; missing external scores become typed NULLs."""
         t = self.tables
+        for name, key in EXTERNAL_KEYS.items():
+            if t.get(name) is not None:
+                assert_unique(t[name], key, name)
         lab_columns = [f"{lab}_{kind}" for lab in WIDE_LABS for kind in ("first", "abnormal_flg")]
         icd = dict(list(FINAL_ICD.items())[:9])
         stays = cohort.withColumnsRenamed({"intime": "icustay_intime", "outtime": "icustay_outtime"})
@@ -254,14 +261,11 @@ VIEW_KEYS = {
 }
 
 
-def publish(df: DataFrame, folder: str, name: str, register: bool) -> DataFrame:
+def stored_in(folder: str, name: str, df: DataFrame) -> DataFrame:
     """Write one view into the run's folder and read it back."""
     path = os.path.join(folder, name)
     df.write.parquet(path)
-    stored = df.sparkSession.read.schema(df.schema).parquet(path)
-    if register:
-        stored.createOrReplaceTempView(f"study_{name}")
-    return stored
+    return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
 def build_all(spark: SparkSession, study: Study, folder: str | None = None,
@@ -270,13 +274,13 @@ def build_all(spark: SparkSession, study: Study, folder: str | None = None,
 
     All files of a run go to one new folder, so a failed run never leaves a
     half-replaced view; a rebuild is a new run. ``register`` replaces the temp
-    views ``study_<name>`` as each view is complete.
+    views ``study_<name>`` once the whole run is complete.
     """
     folder = folder or fresh_folder(spark, "study")
     stored: dict[str, DataFrame] = {}
 
     def store(name: str, df: DataFrame) -> DataFrame:
-        stored[name] = publish(df, folder, name, register)
+        stored[name] = stored_in(folder, name, df)
         return stored[name]
 
     cohort = store("cohort", study.cohort())
@@ -292,6 +296,9 @@ def build_all(spark: SparkSession, study: Study, folder: str | None = None,
         partial(store, name, make(cohort, stored).orderBy("icustay_id"))
         for name, make in finals.items()
     ])
+    if register:
+        for name, df in stored.items():
+            df.createOrReplaceTempView(f"study_{name}")
     return {name: stored[name] for name in VIEW_KEYS}
 
 
