@@ -6,7 +6,7 @@ from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from stayframe.functions.numeric import first_match, flag, order_flag
+from stayframe.functions.numeric import flag, order_flag
 from stayframe.functions.timeutil import (
     day_name, day_of_week, days, days_between, hours, years, years_between)
 from stayframe.operators.asof import latest_before

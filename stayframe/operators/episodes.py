@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from stayframe.functions.numeric import first_match, flag, order_flag
 from stayframe.functions.timeutil import SECONDS_PER_DAY, days_between, seconds_between
-from stayframe.operators.ordered import Running, arrange, done, running
+from stayframe.operators.ordered import Running, arrange, done, running, together
 from stayframe.operators.scale import MEASURE, Sizes, join_cohort, with_cohort, with_largest
 
 # Marks that say a dose was disconnected.
@@ -50,9 +50,10 @@ def rate_episodes(doses: DataFrame, by: str, item: str = "itemid", time: str = "
     the first record with a rate, so start and end can still coincide.
     """
     key = [by, item]
-    real = doses.filter(F.col(by).isNotNull() & F.col(item).isNotNull())
-    rows = one_row_per_time(real, key, time, stop_marks=stop_marks)
-    laid = arrange(rows, key, [time], with_largest(sizes, (real, key)))
+    real = doses.filter(F.col(by).isNotNull())
+    sizes = with_largest(sizes, (real, [by]))
+    rows = one_row_per_time(together(real, [by], sizes), key, time, stop_marks=stop_marks)
+    laid = arrange(rows, key, [time], sizes)
     rate, previous = F.col("rate"), F.col("_previous")
     seen = running(laid, key, [time], [
         Running("_previous", "last", rate, inclusive=False),

@@ -34,10 +34,6 @@ class Item:
     otherwise: "Item | None" = None
 
 
-def item_ids(items: dict[int, Item]) -> list[int]:
-    return sorted(items)
-
-
 def labels_of(items: dict[int, Item]) -> list[str]:
     return list(dict.fromkeys(item.label for item in items.values()))
 

@@ -35,11 +35,21 @@ class Running:
     inclusive: bool = True
 
 
+def together(df: DataFrame, by: list[str], sizes: Sizes) -> DataFrame:
+    """Put each group into one partition when its known bound allows it.
+
+    Aggregations and windows over the group or a finer key then need no further
+    shuffle. With a larger or unknown bound the table is left as it is.
+    """
+    if sizes.largest is not None and sizes.largest <= sizes.group_limit:
+        return df.repartition(*by)
+    return df
+
+
 def arrange(df: DataFrame, by: list[str], order: list[str], sizes: Sizes = MEASURE) -> DataFrame:
     """Add a chunk number when a group is too large for one task.
 
-    A known bound on the group size saves the measurement. Group keys must not
-    be NULL.
+    A known bound on the group size saves the measurement.
     """
     if sizes.largest is not None and sizes.largest <= sizes.group_limit:
         return df
@@ -63,8 +73,8 @@ def running(df: DataFrame, by: list[str], order: list[str], specs: list[Running]
 
     names = [spec.name for spec in specs]
     carried = _carried(df, by, order, specs)
-    joined = local.alias("l").join(
-        F.broadcast(carried.alias("c")), [*by, CHUNK], "left")
+    same = [F.col(f"l.{c}").eqNullSafe(F.col(f"c.{c}")) for c in (*by, CHUNK)]
+    joined = local.alias("l").join(F.broadcast(carried.alias("c")), same, "left")
     columns = [F.col(f"l.{c}") for c in df.columns]
     for spec in specs:
         here, before = F.col(f"l.{spec.name}"), F.col(f"c.{spec.name}")

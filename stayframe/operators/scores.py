@@ -7,7 +7,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 from stayframe.functions.numeric import first_match, oxygen_ratio, threshold_score
 from stayframe.functions.timeutil import hours
 from stayframe.operators.lookback import Item, item_label, clean_value, lookback, paired_rows, pick_items
-from stayframe.operators.ordered import previous_within
+from stayframe.operators.ordered import previous_within, together
 from stayframe.operators.scale import MEASURE, Sizes, join_cohort, with_cohort, written
 
 # Score steps (operator, bound, points), first match wins.
@@ -104,6 +104,8 @@ def coma_rows(chart: DataFrame, cohort: DataFrame, motor, verbal, eyes, index_ti
     narrow = cohort.select("subject_id", "icustay_id", index_time)
     found = lookback(events, narrow, ["subject_id"], index_time, "charttime", before_hours, sizes)
 
+    found = together(found, ["icustay_id"], sizes)
+
     def part(group):
         return F.max(F.when(F.col("itemid").isin(list(group)), F.col("valuenum")))
 

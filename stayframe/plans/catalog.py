@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from stayframe.functions import numeric as N, text as X, timeutil as T
 from stayframe.operators import (
@@ -311,13 +311,17 @@ def status_history(spark, folder):
 # -- episodes and intervals -------------------------------------------------
 
 def dose_rows(spark, folder):
+    """One record per stay, item and time, with the bound of the raw records."""
     doses = mapped.table(spark, folder, "inputevents_cv").filter(F.col("icustay_id").isNotNull())
-    return E.one_row_per_time(doses, ["icustay_id", "itemid"], "charttime")
+    key = ["icustay_id", "itemid"]
+    sizes = with_largest(MEASURE, (doses, key))
+    return E.one_row_per_time(ordered.together(doses, key, sizes), key, "charttime"), sizes
 
 
 def forward_fill(spark, folder):
-    return ordered.carry_forward(dose_rows(spark, folder), ["icustay_id", "itemid"], "charttime",
-                                 "rate", "carried_rate")
+    rows, sizes = dose_rows(spark, folder)
+    return ordered.carry_forward(rows, ["icustay_id", "itemid"], "charttime", "rate",
+                                 "carried_rate", sizes)
 
 
 def dose_sizes(found: V.Tables) -> Sizes:
@@ -335,12 +339,21 @@ def order_intervals(spark, folder):
     return I.order_intervals(mapped.table(spark, folder, "inputevents_mv"), ["icustay_id", "linkorderid"])
 
 
+def sized_orders(spark, folder):
+    """Order intervals, laid out by stay when no stay is too large, and their bound."""
+    rows, stay = mapped.table(spark, folder, "inputevents_mv"), ["icustay_id"]
+    sizes = with_largest(MEASURE, (rows, stay))
+    return I.order_intervals(ordered.together(rows, stay, sizes), [*stay, "linkorderid"]), sizes
+
+
 def merge_intervals(spark, folder):
-    return I.merge_intervals(order_intervals(spark, folder), ["icustay_id"])
+    orders, sizes = sized_orders(spark, folder)
+    return I.merge_intervals(orders, ["icustay_id"], sizes=sizes)
 
 
 def anti_overlap(spark, folder):
-    return I.uncovered_starts(order_intervals(spark, folder), ["icustay_id"])
+    orders, sizes = sized_orders(spark, folder)
+    return I.uncovered_starts(orders, ["icustay_id"], sizes=sizes)
 
 
 def episode_sequence(spark, folder):
@@ -353,7 +366,8 @@ def merged_systems(found: V.Tables) -> tuple[list[DataFrame], Sizes]:
     stay, sizes = ["icustay_id"], dose_sizes(found)
     systems = [
         E.rate_episodes(found["inputevents_cv"], "icustay_id", sizes=sizes),
-        I.order_intervals(found["inputevents_mv"], ["icustay_id", "linkorderid"]),
+        I.order_intervals(ordered.together(found["inputevents_mv"], stay, sizes),
+                          ["icustay_id", "linkorderid"]),
     ]
     return [I.merge_intervals(system, stay, sizes=sizes) for system in systems], sizes
 
@@ -406,18 +420,22 @@ def asof_values(spark, folder):
 
 
 def coma_of_all(spark, folder):
-    rows = mapped.table(spark, folder, "gcsevents")
+    rows, stay = mapped.table(spark, folder, "gcsevents"), ["icustay_id"]
+    sizes = with_largest(MEASURE, (rows, stay))
+    rows = ordered.together(rows, stay, sizes)
 
     def part(item):
         return F.max(F.when(F.col("itemid") == item, F.col("valuenum")))
 
     return rows.groupBy("icustay_id", "charttime").agg(
-        part(200).alias("gcsmotor"), part(201).alias("gcsverbal"), part(202).alias("gcseyes"))
+        part(200).alias("gcsmotor"), part(201).alias("gcsverbal"),
+        part(202).alias("gcseyes")), sizes
 
 
 def prev_value_score(spark, folder):
     """Worst coma score of every stay, over all its records."""
-    return S.worst_coma(coma_of_all(spark, folder), ["icustay_id"])
+    rows, sizes = coma_of_all(spark, folder)
+    return S.worst_coma(rows, ["icustay_id"], sizes=sizes)
 
 
 def organ_score(spark, folder):

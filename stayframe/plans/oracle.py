@@ -12,7 +12,7 @@ import re
 
 from stayframe.operators.lookback import labels_of
 from stayframe.plans import study
-from stayframe.plans.concepts import COMORBIDITIES, LAB_NAMES, SEPSIS
+from stayframe.plans.concepts import COMORBIDITIES, SEPSIS
 from stayframe.plans.views import output_name
 from stayframe.sources import mapped
 

@@ -18,7 +18,7 @@ from stayframe.operators.lookback import (
     label_items, labels_of, last_with_flag, lookback, pick_items, reduce_labels)
 from stayframe.operators.measures import body_measure, given_volumes
 from stayframe.operators.notes import note_fields
-from stayframe.operators.ordered import exact_median
+from stayframe.operators.ordered import exact_median, together
 from stayframe.operators.scale import MEASURE, Sizes, join_cohort, with_cohort, with_largest
 from stayframe.operators.scores import organ_score
 from stayframe.operators.status import status_history, switch_flags
@@ -153,7 +153,7 @@ def drug_episodes(cohort: DataFrame, tables: Tables, point_items, interval_items
     # No later group is larger than a stay's records, so one measurement covers every step.
     sizes = with_largest(sizes, (points, by), (orders, by))
     from_points = rate_episodes(points, "icustay_id", sizes=sizes)
-    from_orders = order_intervals(orders, ["icustay_id", "linkorderid"])
+    from_orders = order_intervals(together(orders, by, sizes), ["icustay_id", "linkorderid"])
     systems = [d.select("icustay_id", "starttime", "endtime") for d in (from_points, from_orders)]
     if merge_across:
         systems = [systems[0].unionByName(systems[1])]

@@ -5,9 +5,7 @@ import re
 from contextlib import redirect_stdout
 
 import pytest
-from pyspark.sql import functions as F
-
-from stayframe.operators import intervals as I, lookback as L
+from stayframe.operators import episodes as E, intervals as I, lookback as L
 from stayframe.operators.scale import MEASURE, Sizes, written
 from stayframe.plans import views as V
 from stayframe.plans.concepts import Concepts, LABS
@@ -73,6 +71,14 @@ def test_merging_has_no_loop_join_and_one_sort_order(spark, folder):
     assert "single" not in " ".join(re.findall(r"Exchange.*", text)).lower()
 
 
+def test_episodes_to_union_need_one_shuffle_per_system(spark, folder):
+    found = mapped.tables(spark, folder)
+    known = Sizes(largest=100)
+    points = E.rate_episodes(found["inputevents_cv"], "icustay_id", sizes=known)
+    text = plan(I.merge_intervals(points, ["icustay_id"], sizes=known))
+    assert len(re.findall(r"^\(\d+\) Exchange", text, re.M)) == 1
+
+
 def test_mapped_records_push_the_event_type(spark, folder):
     text = plan(mapped.table(spark, folder, "services").select("hadm_id", "curr_service"))
     assert re.search(r"PushedFilters: \[[^\n]*event_type", text)
