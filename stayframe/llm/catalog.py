@@ -6,16 +6,22 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import repeats
+from . import nearcopies, repeats
 from .tables import read, ship_code
 
 
+def op2_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    ship_code(spark)
+    return nearcopies.near_copy_groups(read(spark, sf_dir, "documents"), shingle_words=4)
+
+
 def op5_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     ship_code(spark)
     return repeats.repeat_digests(read(spark, sf_dir, "documents"))
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op2_minhash_near_dedup": op2_minhash_near_dedup,
     "op5_suffix_array_dedup": op5_suffix_array_dedup,
 }
 
