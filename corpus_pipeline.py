@@ -4,18 +4,39 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from stayframe.llm import repeats
+from stayframe.llm import decontaminate, nearcopies, packing, repeats
 from stayframe.llm.tables import read, ship_code, written
 
 
+def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Keep one document of each group of near copies."""
+    ship_code(spark)
+    return nearcopies.without_near_copies(docs)
+
+
 def cut_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Cut passages of 400 bytes or more that occur elsewhere in the corpus."""
     ship_code(spark)
     return repeats.without_repeats(docs)
 
 
+def cut_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Cut benchmark passages."""
+    ship_code(spark)
+    return decontaminate.decontaminated(docs, read(spark, sf_dir, "benchmark"))
+
+
+def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Pack what is left into training sequences."""
+    ship_code(spark)
+    return packing.pack(docs)
+
+
 STAGES = [
+    ("minhash_near_dedup", drop_near_copies),
     ("suffix_array_dedup", cut_repeats),
+    ("benchmark_decontamination", cut_benchmark),
+    ("best_fit_packing", pack),
 ]
 
 #: stages learn from labels and tokenise, which SQL can't express

@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import nearcopies, repeats
+from . import decontaminate, nearcopies, packing, repeats
 from .tables import read, ship_code
 
 
@@ -20,9 +20,21 @@ def op5_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return repeats.repeat_digests(read(spark, sf_dir, "documents"))
 
 
+def op8_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    ship_code(spark)
+    return packing.pack(read(spark, sf_dir, "documents"))
+
+
+def op10_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    ship_code(spark)
+    return decontaminate.contamination(read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_minhash_near_dedup": op2_minhash_near_dedup,
     "op5_suffix_array_dedup": op5_suffix_array_dedup,
+    "op8_best_fit_packing": op8_best_fit_packing,
+    "op10_benchmark_decontamination": op10_benchmark_decontamination,
 }
 
 ORACLES: dict[str, str] = {}
