@@ -4,10 +4,16 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from stayframe.llm import decontaminate, nearcopies, packing, repeats
+from stayframe.llm import decontaminate, nearcopies, packing, repeats, toxicity
 from stayframe.llm.tables import read, ship_code, written
 
 
+def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Drop documents with a toxicity score of 0.5 or more."""
+    ship_code(spark)
+    return toxicity.without_toxic(docs, read(spark, sf_dir, "labels"))
+
+
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Keep one document of each group of near copies."""
     ship_code(spark)
@@ -33,6 +39,7 @@ def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 STAGES = [
+    ("toxicity", drop_toxic),
     ("minhash_near_dedup", drop_near_copies),
     ("suffix_array_dedup", cut_repeats),
     ("benchmark_decontamination", cut_benchmark),
