@@ -333,7 +333,7 @@ def repeat_digests(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
 
 def _without(texts: pd.Series, spans: pd.Series) -> pd.Series:
     return pd.Series([
-        t if s is None else kept_bytes(t.encode(), merged(s)).decode("utf-8", "ignore")
+        t if s is None else kept_bytes(t.encode(), merged(list(s))).decode("utf-8", "ignore")
         for t, s in zip(texts, spans)])
 
 
