@@ -37,8 +37,8 @@ def sum_of_known(a: Column, b: Column) -> Column:
 
 
 def round_half_up(value: Column, digits: int) -> Column:
-    """Decimal rounding of the printed value, halves away from zero."""
-    return F.round(value.cast("decimal(38,18)"), digits).cast("double")
+    """Decimal rounding of the printed value, halves away from zero; NULL from 1e20 on."""
+    return F.round(value.try_cast("decimal(38,18)"), digits).cast("double")
 
 
 def fahrenheit_to_celsius(value: Column) -> Column:

@@ -17,6 +17,17 @@ def seconds_between(start: Column, end: Column) -> Column:
     return (end - start).cast("interval second").cast("decimal(18,6)")
 
 
+def position(time: str, tie: str) -> str:
+    """SQL of one number that orders rows by (time, tie); NULL when the time is.
+
+    Microseconds and a non-negative id in one DECIMAL(38, 0). Unlike a struct it
+    fits a fixed-width buffer, so min_by and max_by over it hash and combine map-side.
+    """
+    since = f"CAST({time} - TIMESTAMP_NTZ '1970-01-01 00:00:00' AS INTERVAL SECOND)"
+    micros = f"CAST(CAST({since} AS DECIMAL(18, 6)) * 1000000 AS DECIMAL(18, 0))"
+    return f"CAST({micros} * 10000000000000000000 AS DECIMAL(38, 0)) + CAST({tie} AS DECIMAL(19, 0))"
+
+
 def days_between(start: Column, end: Column) -> Column:
     return seconds_between(start, end).cast("double") / F.lit(SECONDS_PER_DAY)
 

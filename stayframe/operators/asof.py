@@ -14,9 +14,18 @@ def asof_join(left: DataFrame, right: DataFrame, by: list[str], left_time: str,
     """Every left row with the columns of the latest right row at or before it.
 
     ``strict`` excludes equal times, ``tolerance`` is an inclusive age limit,
-    ``tie`` decides between right rows of the same time. Both tables are read
-    once and sorted together; no pairs are formed.
+    ``tie`` decides between right rows of the same time. Both tables are
+    sorted together; no pairs are formed. As in SQL, a NULL key or time matches
+    nothing: such left rows stay unmatched and are kept out of the sort, where
+    they would make the largest group.
     """
+    name = right_time if right_time != left_time else f"matched_{right_time}"
+    known = F.lit(True)
+    for key in by:
+        known = known & F.col(key).isNotNull()
+    right = right.filter(known & F.col(right_time).isNotNull())
+    unmatched = left.filter(~(known & F.col(left_time).isNotNull()))
+    left = left.filter(known & F.col(left_time).isNotNull())
     left_side, right_side = (0, 1) if strict else (1, 0)
     payload = F.struct(F.col(right_time).alias("_at"), *columns)
     rows = left.select(
@@ -34,9 +43,9 @@ def asof_join(left: DataFrame, right: DataFrame, by: list[str], left_time: str,
     if tolerance is not None:
         usable = usable & (F.col("_match._at") >= F.col("_time") - tolerance)
     matched = {name: F.when(usable, F.col(f"_match.{name}")) for name in columns}
-    matched[right_time if right_time != left_time else f"matched_{right_time}"] = F.when(
-        usable, F.col("_match._at"))
-    return found.select("_left.*", *[c.alias(n) for n, c in matched.items()])
+    matched[name] = F.when(usable, F.col("_match._at"))
+    found = found.select("_left.*", *[c.alias(n) for n, c in matched.items()])
+    return found.unionByName(unmatched, allowMissingColumns=True)
 
 
 def latest_before(events: DataFrame, cohort: DataFrame, on: list[str], key: str, before: Column,

@@ -13,7 +13,7 @@ from stayframe.operators.asof import latest_before
 from stayframe.operators.intervals import interval_summary
 from stayframe.operators.lookback import first_event, pick_items
 from stayframe.operators.ordered import numbered
-from stayframe.operators.scale import MEASURE, Sizes, written
+from stayframe.operators.scale import MEASURE, Sizes, join_cohort, written
 
 
 @dataclass(frozen=True)
@@ -29,26 +29,40 @@ class CohortRules:
     excluded_services: tuple[str, ...] = ("CSURG", "VSURG", "TSURG", "NB", "NBB")
 
 
-def cohort_base(tables: dict[str, DataFrame], rules: CohortRules = CohortRules()) -> DataFrame:
-    """Adult stays with their admission and patient columns."""
+def all_stays(tables: dict[str, DataFrame]) -> DataFrame:
+    """Stays with their admission and patient columns."""
     admissions = tables["admissions"].select("hadm_id", "admittime", "dischtime", "deathtime")
     patients = tables["patients"].select("subject_id", "gender", "dob", "dod")
     stays = tables["icustays"].select("subject_id", "hadm_id", "icustay_id", "intime", "outtime")
-    joined = stays.join(patients, "subject_id").join(admissions, "hadm_id")
-    return joined.filter(F.col("intime") > F.col("dob") + years(rules.adult_years))
+    return stays.join(patients, "subject_id").join(admissions, "hadm_id")
+
+
+def is_adult(rules: CohortRules = CohortRules()) -> Column:
+    return F.col("intime") > F.col("dob") + years(rules.adult_years)
+
+
+def cohort_base(tables: dict[str, DataFrame], rules: CohortRules = CohortRules()) -> DataFrame:
+    """Adult stays with their admission and patient columns."""
+    return all_stays(tables).filter(is_adult(rules))
 
 
 def first_stays(base: DataFrame) -> DataFrame:
-    """Each subject's first stay. A minimum is combined map-side, unlike a window."""
+    """Each subject's first stay; an unknown admission time ranks last.
+
+    A minimum is combined map-side, unlike a window.
+    """
     order = ["admittime", "intime", "icustay_id"]
     rest = [c for c in base.columns if c not in (*order, "subject_id")]
-    first = base.groupBy("subject_id").agg(F.min(F.struct(*order, *rest)).alias("_first"))
-    return first.select("subject_id", "_first.*").withColumn("stay_num", F.lit(1).cast("long"))
+    unknown = F.col("admittime").isNull().alias("_unknown")
+    first = base.groupBy("subject_id").agg(F.min(F.struct(unknown, *order, *rest)).alias("_first"))
+    return first.select("subject_id", "_first.*").drop("_unknown").withColumn("stay_num", F.lit(1).cast("long"))
 
 
 def numbered_stays(base: DataFrame, sizes: Sizes = MEASURE) -> DataFrame:
-    """All stays with their position among the subject's stays."""
-    return numbered(base, ["subject_id"], ["admittime", "intime", "icustay_id"], "stay_num", sizes)
+    """All stays with their position among the subject's stays; unknown admission times rank last."""
+    ranked = base.withColumn("_unknown", F.col("admittime").isNull())
+    order = ["_unknown", "admittime", "intime", "icustay_id"]
+    return numbered(ranked, ["subject_id"], order, "stay_num", sizes).drop("_unknown")
 
 
 def service_number(service: Column) -> Column:
@@ -73,9 +87,10 @@ def cohort_flags(stays: DataFrame, tables: dict[str, DataFrame], exposure_items,
 
     ``stays`` is a written table of base rows with ``stay_num``.
     """
-    exposure = exposure_times(tables["chartevents"], exposure_items)
+    mine = stays.select("icustay_id").distinct()
+    exposure = exposure_times(join_cohort(tables["chartevents"], mine, ["icustay_id"], sizes=sizes), exposure_items)
     vent = interval_summary(tables["ventdurations"], "icustay_id").select(
-        "icustay_id", F.col("total_day").alias("vent_day"),
+        "icustay_id", F.lit(1).alias("_ventilated"), F.col("total_day").alias("vent_day"),
         F.col("first_start").alias("vent_starttime"), F.col("last_end").alias("vent_endtime"))
     services = tables["services"].select("hadm_id", "transfertime", "curr_service", "event_id")
     service = latest_before(
@@ -103,7 +118,7 @@ def cohort_flags(stays: DataFrame, tables: dict[str, DataFrame], exposure_items,
         "aline_flg": flag(line.isNotNull()),
         "aline_time_day": days_between(intime, line),
         "initial_aline_flg": flag(line <= grace),
-        "vent_flg": flag(vent_start.isNotNull()),
+        "vent_flg": flag(F.col("_ventilated").isNotNull()),
         "vent_1st_12hr": flag(vent_start < intime + hours(12)),
         "vent_1st_24hr": flag(vent_start < intime + hours(24)),
         "vent_b4_aline": order_flag(vent_start, line, early_vent, line > grace, line.isNotNull()),
@@ -157,6 +172,13 @@ def select_cohort(stays: DataFrame, steps: list[tuple[str, Column]]) -> DataFram
     return stays
 
 
+def full_attrition(stays: DataFrame, flagged: DataFrame, rules: CohortRules = CohortRules()) -> DataFrame:
+    """Rows left after each step from all stays on: adults first, then ``inclusion_steps``."""
+    adult = attrition(stays, [("all_stays", F.lit(True)), ("adult", is_adult(rules))])
+    rest = attrition(flagged, inclusion_steps(rules))
+    return adult.unionByName(rest.withColumn("step", F.col("step") + 2))
+
+
 def attrition(stays: DataFrame, steps: list[tuple[str, Column]]) -> DataFrame:
     """Rows left after each step, counted in one pass."""
     counts, passed = [], F.lit(True)

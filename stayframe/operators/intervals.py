@@ -10,6 +10,14 @@ from stayframe.operators.ordered import Running, arrange, done, numbered, runnin
 from stayframe.operators.scale import MEASURE, Sizes
 
 
+def known(by: list[str]) -> Column:
+    """No key is NULL."""
+    test = F.lit(True)
+    for key in by:
+        test = test & F.col(key).isNotNull()
+    return test
+
+
 def interval_summary(intervals: DataFrame, by: str, start: str = "starttime",
                      end: str = "endtime") -> DataFrame:
     """First start, last end and total length in days per entity."""
@@ -33,9 +41,11 @@ def merge_intervals(df: DataFrame, by: list[str], start: str = "starttime", end:
     """Union of closed intervals per entity; touching ones merge, start > end is dropped.
 
     Sorted by start, an interval opens a new island when it starts after
-    everything before it has ended.
+    everything before it has ended. Equal intervals are one, however many there
+    are. A NULL key is no entity: its intervals overlap nothing, not even
+    themselves, and are dropped as in a self-join on the key.
     """
-    valid = df.filter(F.col(start) <= F.col(end)).select(*by, start, end)
+    valid = df.filter(F.col(start) <= F.col(end)).filter(known(by)).select(*by, start, end).distinct()
     order = [start, end]
     laid = arrange(valid, by, order, sizes)
     reach = running(laid, by, order, [Running("_reach", "max", F.col(end), inclusive=False)])
@@ -48,13 +58,17 @@ def merge_intervals(df: DataFrame, by: list[str], start: str = "starttime", end:
 
 def uncovered_starts(df: DataFrame, by: list[str], start: str = "starttime", end: str = "endtime",
                      sizes: Sizes = MEASURE) -> DataFrame:
-    """Distinct starts that no earlier-starting interval of the entity reaches."""
-    valid = df.filter(F.col(start) <= F.col(end))
+    """Distinct starts that no earlier-starting interval of the entity reaches.
+
+    Nothing equals a NULL key, so all starts under one are free.
+    """
+    every = df.filter(F.col(start) <= F.col(end))
+    valid, nameless = every.filter(known(by)), every.filter(~known(by))
     starts = valid.groupBy(*by, start).agg(F.max(end).alias(end))
     laid = arrange(starts, by, [start], sizes)
     reach = running(laid, by, [start], [Running("_reach", "max", F.col(end), inclusive=False)])
     free = F.col("_reach").isNull() | (F.col(start) > F.col("_reach"))
-    return done(reach).filter(free).select(*by, start)
+    return done(reach).filter(free).select(*by, start).unionByName(nameless.select(*by, start).distinct())
 
 
 def union_episodes(systems: list[DataFrame], by: list[str], number: str, start: str = "starttime",

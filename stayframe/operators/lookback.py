@@ -10,7 +10,7 @@ from dataclasses import dataclass, replace
 from pyspark.sql import Column, DataFrame, functions as F
 
 from stayframe.functions.numeric import first_match
-from stayframe.functions.timeutil import hours
+from stayframe.functions.timeutil import hours, position
 from stayframe.operators.scale import MEASURE, Sizes, join_cohort, written
 
 
@@ -133,12 +133,12 @@ def reduce_labels(events: DataFrame, by: list[str], labels: list[str], how: str,
     1 when a known, non-zero value occurred.
     """
     form = {
-        "last": "max_by({value}, CASE WHEN {mine} THEN struct({time}, {tie}) END)",
-        "first": "min_by({value}, CASE WHEN {mine} THEN struct({time}, {tie}) END)",
+        "last": "max_by({value}, CASE WHEN {mine} THEN {place} END)",
+        "first": "min_by({value}, CASE WHEN {mine} THEN {place} END)",
         "ever": "max(CASE WHEN {mine} AND {value} <> 0 THEN 1 ELSE 0 END)",
     }.get(how, how + "(CASE WHEN {mine} THEN {value} END)")
     columns = [
-        F.expr(form.format(value=value, time=time, tie=tie, mine=f"{label} = '{name}'"))
+        F.expr(form.format(value=value, place=position(time, tie), mine=f"{label} = '{name}'"))
         .alias(name.lower() + suffix)
         for name in labels
     ]
@@ -152,18 +152,16 @@ def last_with_flag(events: DataFrame, by: list[str], labels: list[str], mark: st
 
     ``also`` are further aggregates to take in the same pass.
     """
+    place = position(time, tie)
+    taken = {"v": value, "f": f"CASE WHEN flag = '{mark}' THEN 1 ELSE 0 END"}
     picked = [
-        F.expr(f"max_by(struct({value} AS v, flag AS f), CASE WHEN {label} = '{name}' "
-               f"THEN struct({time}, {tie}) END)").alias(f"_{name.lower()}")
-        for name in labels
+        F.expr(f"max_by({taken[part]}, CASE WHEN {label} = '{name}' THEN {place} END)").alias(f"_{name.lower()}_{part}")
+        for name in labels for part in taken
     ]
     last = events.groupBy(*by).agg(*picked, *also)
     kept = [c for c in last.columns if not c.startswith("_")]
-    values = [f"_{n.lower()}.v AS {n.lower()}" for n in labels]
-    flags = [
-        f"CASE WHEN _{n.lower()}.f = '{mark}' THEN 1 ELSE 0 END AS {n.lower()}_abnormal_flg"
-        for n in labels
-    ]
+    values = [f"_{n.lower()}_v AS {n.lower()}" for n in labels]
+    flags = [f"coalesce(_{n.lower()}_f, 0) AS {n.lower()}_abnormal_flg" for n in labels]
     return last.selectExpr(*kept, *values, *flags)
 
 

@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
+from dataclasses import replace
+
 from pyspark.sql import DataFrame, functions as F
 
 from stayframe.functions.numeric import imperial_bmi
 from stayframe.functions.text import first_group, guarded_number
-from stayframe.functions.timeutil import day_floor, days, with_clock
-from stayframe.operators.scale import MEASURE, Sizes, join_cohort
+from stayframe.functions.timeutil import day_floor, days, position, with_clock
+from stayframe.operators.scale import MEASURE, Sizes, join_cohort, written
 
 # Report patterns, group 1 is the field.
 CLOCK_PATTERN = r"Date/Time: [\[\]0-9*-]+ at ([0-9:]+)"
@@ -53,10 +55,13 @@ def note_fields(cohort: DataFrame, notes: DataFrame, category: str = "Echo", day
     found = join_cohort(wanted, narrow, ["hadm_id"], recent, sizes)
     timed = found.withColumn(
         "charttime", with_clock(F.col("chartdate"), first_group(F.col("text"), CLOCK_PATTERN)))
-    position = F.struct(F.col("charttime").isNull(), "charttime", "row_id")
-    first = timed.groupBy("icustay_id").agg(
-        F.min_by(F.struct("row_id", "chartdate", "charttime", "text"), position).alias("_note"))
-    fields = extract_fields(first.select("icustay_id", "_note.*")).drop("text")
+    unknown = F.expr("CAST(9e36 AS DECIMAL(38, 0)) + CAST(row_id AS DECIMAL(19, 0))")
+    place = F.coalesce(F.expr(position("charttime", "row_id")), unknown)
+    first = timed.drop("text").withColumn("_place", place).groupBy("icustay_id").agg(
+        *[F.min_by(c, "_place").alias(c) for c in ("row_id", "chartdate", "charttime")])
+    first = written(first, "first_notes")
+    texts = join_cohort(wanted.select("row_id", "text"), first, ["row_id"], sizes=replace(sizes, small_cohort=None))
+    fields = extract_fields(texts).drop("text")
     fields = fields.withColumn("bmi", imperial_bmi(F.col("weight_first"), F.col("height_first")))
     ordered = ["row_id", "chartdate", "charttime", "indication", "height_first", "weight_first",
                "bmi", "bsa_first", "bp", "bpsys", "bpdias", "hr", "status", "test", "doppler",

@@ -4,8 +4,10 @@ Plain case: a window per group. When the largest group is above
 ``GROUP_ROWS`` the rows are range-partitioned by (group, order) instead, so a
 group is split into consecutive chunks of even size. Each chunk runs its own
 window, and what earlier chunks contribute is carried in from one summary row
-per chunk. There are at most ``MAX_CHUNKS`` chunks, so the summary of the
-groups that span chunks is small by construction and is broadcast.
+per chunk of a group that spans chunks. That summary is broadcast while it has
+``SUMMARY_ROWS`` rows or fewer and joined by shuffle beyond, so the size of
+a chunk does not depend on how much data there is. Rows that are equal in group and
+order are told apart by a hash of the row and a random number, so they too are spread.
 """
 
 from __future__ import annotations
@@ -17,7 +19,7 @@ from pyspark.sql import Column, DataFrame, Window as W, functions as F
 
 from stayframe.operators.scale import MEASURE, Sizes, fits_task, largest_group, written
 
-MAX_CHUNKS = 20_000
+SUMMARY_ROWS = 200_000
 CHUNK = "_chunk"
 
 
@@ -56,8 +58,9 @@ def arrange(df: DataFrame, by: list[str], order: list[str], sizes: Sizes = MEASU
     top, total = largest_group(df, by)
     if top <= sizes.group_limit:
         return df
-    chunks = min(MAX_CHUNKS, max(2, math.ceil(2 * total / sizes.group_limit)))
-    ranged = df.repartitionByRange(chunks, *by, *order)
+    chunks = max(2, math.ceil(2 * total / sizes.group_limit))
+    spread = written(df.withColumn("_spread", F.rand()), "spread")
+    ranged = spread.repartitionByRange(chunks, *by, *order, "_spread").drop("_spread")
     return written(ranged.withColumn(CHUNK, F.spark_partition_id()), "chunks")
 
 
@@ -72,9 +75,11 @@ def running(df: DataFrame, by: list[str], order: list[str], specs: list[Running]
         return local
 
     names = [spec.name for spec in specs]
-    carried = _carried(df, by, order, specs)
+    carried = written(_carried(df, by, order, specs), "carried")
     same = [F.col(f"l.{c}").eqNullSafe(F.col(f"c.{c}")) for c in (*by, CHUNK)]
-    joined = local.alias("l").join(F.broadcast(carried.alias("c")), same, "left")
+    if carried.limit(SUMMARY_ROWS + 1).count() <= SUMMARY_ROWS:
+        carried = F.broadcast(carried)
+    joined = local.alias("l").join(carried.alias("c"), same, "left")
     columns = [F.col(f"l.{c}") for c in df.columns]
     for spec in specs:
         here, before = F.col(f"l.{spec.name}"), F.col(f"c.{spec.name}")
@@ -165,7 +170,7 @@ def exact_median(df: DataFrame, by: list[str], value: str, name: str,
 
     ``percentile`` keeps all distinct values of a group in one buffer. For a
     huge group the values are counted and ranked instead, and only the middle
-    values are read.
+    values are read. Both ways end in the same sum of halves, bit for bit.
     """
     known = df.filter(F.col(value).isNotNull())
     if fits_task(known, by, sizes):
@@ -182,4 +187,6 @@ def exact_median(df: DataFrame, by: list[str], value: str, name: str,
     middle = ranked.filter(holds(lower) | holds(upper))
     low = F.max(F.when(holds(lower), F.col(value)))
     high = F.max(F.when(holds(upper), F.col(value)))
-    return middle.groupBy(*by).agg((low + (high - low) / 2).alias(name))
+    ends = middle.groupBy(*by).agg(low.cast("double").alias("_low"), high.cast("double").alias("_high"))
+    halves = F.lit(0.5) * F.col("_low") + F.lit(0.5) * F.col("_high")
+    return ends.select(*by, F.when(F.col("_low") == F.col("_high"), F.col("_low")).otherwise(halves).alias(name))

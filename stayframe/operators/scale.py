@@ -12,7 +12,6 @@
 
 from __future__ import annotations
 
-import math
 import tempfile
 import uuid
 from concurrent.futures import ThreadPoolExecutor
@@ -143,22 +142,21 @@ def join_cohort(events: DataFrame, cohort: DataFrame, on: list[str],
 def spread_join(events: DataFrame, cohort: DataFrame, on: list[str], limit: int) -> DataFrame:
     """Shuffle join in which a key with many event rows is split over several tasks.
 
-    Keys above the limit are counted out first. Their events get a salt from a
-    hash of the row, one per ``limit`` rows, and their cohort rows are repeated
-    per salt. The limit is raised, if need be, so that there are at most
-    ``BROADCAST_ROWS`` hot keys and their table can be broadcast.
+    Keys above the limit are counted out first. Their events get a random salt,
+    one per ``limit`` rows and fixed by writing them, so that equal rows are spread too; their
+    cohort rows are repeated per salt. The table of hot keys is broadcast
+    while it has ``BROADCAST_ROWS`` rows or fewer and joined by shuffle beyond.
     """
     counts = events.groupBy(*on).count()
-    row = counts.agg(F.max("count").alias("top"), F.sum("count").alias("total")).first()
-    limit = max(limit, math.ceil((row["total"] or 0) / BROADCAST_ROWS))
-    if (row["top"] or 0) <= limit:
+    if (counts.agg(F.max("count").alias("top")).first()["top"] or 0) <= limit:
         return events.join(cohort, on)
     hot = counts.filter(F.col("count") > limit).select(
         *on, F.ceil(F.col("count") / limit).cast("int").alias("_salts"))
-    hot = F.broadcast(written(hot, "hot"))
-    spread = F.pmod(F.xxhash64(*events.columns), F.col("_salts")).cast("int")
+    hot = written(hot, "hot")
+    hot = F.broadcast(hot) if fits_broadcast(hot) else hot
+    spread = F.floor(F.rand() * F.col("_salts")).cast("int")
     copies = F.explode(F.sequence(F.lit(0), F.coalesce(F.col("_salts"), F.lit(1)) - 1))
-    left = events.join(hot, on, "left").withColumn("_salt", F.coalesce(spread, F.lit(0)))
+    left = written(events.join(hot, on, "left").withColumn("_salt", F.coalesce(spread, F.lit(0))), "salted")
     right = cohort.join(hot, on, "left").withColumn("_salt", copies)
     joined = left.drop("_salts").join(right.drop("_salts"), [*on, "_salt"])
     return joined.drop("_salt")

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, functions as F
 
 from stayframe.functions.numeric import first_match, flag
+from stayframe.functions.timeutil import position
 
 
 def status_label(value: Column, mapping: dict[str, str]) -> Column:
@@ -22,19 +23,24 @@ def status_history(events: DataFrame, by: str, mapping: dict[str, str], time: st
     """First and last category and whether each occurred.
 
     Unmapped texts give a NULL category but still count as first or last.
-    Ignored and NULL texts do not. One aggregation, no window.
+    Ignored and NULL texts do not, nor rows of unknown time. One hash
+    aggregation over small codes, no window.
     """
     rows = events.filter(F.col(value) != ignore).withColumn("_label", status_label(F.col(value), mapping))
-    position = F.struct(time, tie)
+    names = list(dict.fromkeys(mapping.values()))
+    code = first_match(*[(F.col("_label") == name, i) for i, name in enumerate(names)])
+    place = F.expr(position(time, tie))
+    rows = rows.withColumns({"_code": code, "_place": place})
     ever = [
         F.max(flag(F.col("_label") == label)).alias(label.lower())
-        for label in dict.fromkeys(mapping.values())
+        for label in names
     ]
-    return rows.groupBy(by).agg(
-        F.min_by("_label", position).alias("firstcodestatus"),
-        F.max_by("_label", position).alias("lastcodestatus"),
-        *ever,
-    )
+    found = rows.groupBy(by).agg(
+        F.min_by("_code", "_place").alias("_first"), F.max_by("_code", "_place").alias("_last"), *ever)
+    named = F.array(*map(F.lit, names))
+    return found.select(
+        by, F.get(named, F.col("_first")).alias("firstcodestatus"),
+        F.get(named, F.col("_last")).alias("lastcodestatus"), *[n.lower() for n in names])
 
 
 def switch_flags(history: DataFrame) -> DataFrame:

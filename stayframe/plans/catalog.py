@@ -169,7 +169,8 @@ def cohort_select(spark, folder):
 
 
 def cohort_attrition(spark, folder):
-    return C.attrition(flagged_stays(spark, folder), C.inclusion_steps(mapped.RULES))
+    stays = C.all_stays(mapped.tables(spark, folder))
+    return C.full_attrition(stays, flagged_stays(spark, folder), mapped.RULES)
 
 
 def first_event(spark, folder):
@@ -419,6 +420,32 @@ def asof_values(spark, folder):
                           "event_id", tolerance=T.hours(4))
 
 
+def asof_unknown(spark, folder):
+    """As-of match in which some keys and times are unknown on either side."""
+    labs = mapped.table(spark, folder, "labevents").select(
+        F.when(F.col("event_id") % 5 != 0, F.col("hadm_id")).alias("icustay_id"),
+        F.col("event_id").alias("lab_id"), F.col("charttime").alias("lab_time"))
+    chart = mapped.table(spark, folder, "chartevents").select(
+        F.when(F.col("event_id") % 7 != 0, F.col("icustay_id")).alias("icustay_id"), "event_id",
+        F.when(F.col("event_id") % 11 != 0, F.col("charttime")).alias("charttime"), "valuenum")
+    return asof.asof_join(labs, chart, ["icustay_id"], "lab_time", "charttime", ["valuenum"], "event_id")
+
+
+def unknown_orders(spark, folder):
+    """Every order twice, some without a stay."""
+    orders, _ = sized_orders(spark, folder)
+    stay = F.when(F.hour("starttime") % 4 != 0, F.col("icustay_id"))
+    return orders.unionByName(orders).withColumn("icustay_id", stay)
+
+
+def merge_unknown(spark, folder):
+    return I.merge_intervals(unknown_orders(spark, folder), ["icustay_id"])
+
+
+def anti_unknown(spark, folder):
+    return I.uncovered_starts(unknown_orders(spark, folder), ["icustay_id"])
+
+
 def coma_of_all(spark, folder):
     rows, stay = mapped.table(spark, folder, "gcsevents"), ["icustay_id"]
     sizes = with_largest(MEASURE, (rows, stay))
@@ -490,7 +517,7 @@ QUERIES: dict[str, Query] = {
         code_rule_score, ever_exposed, status_history, forward_fill, rate_episodes,
         order_intervals, merge_intervals, anti_overlap, episode_sequence, union_episodes,
         episode_features, episode_features_merged, anaesthesia_features, prorated_volume,
-        asof_ratio, asof_values, prev_value_score, organ_score, note_fields, body_measure,
+        asof_ratio, asof_values, asof_unknown, merge_unknown, anti_unknown, prev_value_score, organ_score, note_fields, body_measure,
         assemble_final, assemble_wide, assemble_scored, build_all,
     )
 }

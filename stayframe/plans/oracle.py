@@ -576,15 +576,18 @@ BODIES: dict[str, str] = {
     "cohort_flags": rounded("flagged", COHORT_DOUBLES),
     "cohort_select": rounded("cohort", COHORT_DOUBLES),
     "cohort_attrition": """SELECT step, name, CAST(remaining AS BIGINT) AS remaining FROM (
-      SELECT 1 AS step, 'first_stay' AS name, count(*) AS remaining FROM flagged WHERE stay_num = 1 UNION ALL
-      SELECT 2, 'long_enough', count(*) FROM flagged WHERE stay_num = 1 AND icu_los_day > 1 UNION ALL
-      SELECT 3, 'not_exposed_at_intake', count(*) FROM flagged WHERE stay_num = 1 AND icu_los_day > 1
+      SELECT 1 AS step, 'all_stays' AS name, count(*) AS remaining FROM icustays
+        JOIN patients USING (subject_id) JOIN admissions USING (hadm_id) UNION ALL
+      SELECT 2, 'adult', count(*) FROM flagged UNION ALL
+      SELECT 3, 'first_stay', count(*) FROM flagged WHERE stay_num = 1 UNION ALL
+      SELECT 4, 'long_enough', count(*) FROM flagged WHERE stay_num = 1 AND icu_los_day > 1 UNION ALL
+      SELECT 5, 'not_exposed_at_intake', count(*) FROM flagged WHERE stay_num = 1 AND icu_los_day > 1
         AND initial_aline_flg = 0 UNION ALL
-      SELECT 4, 'ventilated', count(*) FROM flagged WHERE stay_num = 1 AND icu_los_day > 1
+      SELECT 6, 'ventilated', count(*) FROM flagged WHERE stay_num = 1 AND icu_los_day > 1
         AND initial_aline_flg = 0 AND vent_starttime IS NOT NULL UNION ALL
-      SELECT 5, 'ventilated_early', count(*) FROM flagged WHERE stay_num = 1 AND icu_los_day > 1
+      SELECT 7, 'ventilated_early', count(*) FROM flagged WHERE stay_num = 1 AND icu_los_day > 1
         AND initial_aline_flg = 0 AND vent_starttime < intime + INTERVAL 48 HOUR UNION ALL
-      SELECT 6, 'service', count(*) FROM cohort)""",
+      SELECT 8, 'service', count(*) FROM cohort)""",
     "first_event": "SELECT * FROM placed",
     "interval_summary": f"""SELECT icustay_id, {r6('vent_day', 'total_day')}, vent_starttime AS first_start,
       vent_endtime AS last_end FROM vent""",
@@ -648,6 +651,24 @@ BODIES: dict[str, str] = {
       FROM lab0 l LEFT JOIN chart0 c ON c.icustay_id = l.hadm_id
         AND c.charttime BETWEEN l.charttime - INTERVAL 4 HOUR AND l.charttime
       QUALIFY row_number() OVER (PARTITION BY l.event_id ORDER BY c.charttime DESC NULLS LAST, c.event_id DESC) = 1""",
+    "asof_unknown": """SELECT l.k AS icustay_id, l.lab_id, l.lab_time, c.valuenum, c.charttime
+      FROM (SELECT CASE WHEN event_id % 5 <> 0 THEN hadm_id END AS k, event_id AS lab_id, charttime AS lab_time
+        FROM lab0) l
+      LEFT JOIN (SELECT CASE WHEN event_id % 7 <> 0 THEN icustay_id END AS k, event_id, valuenum,
+        CASE WHEN event_id % 11 <> 0 THEN charttime END AS charttime FROM chart0) c
+        ON c.k = l.k AND c.charttime <= l.lab_time
+      QUALIFY row_number() OVER (PARTITION BY l.lab_id ORDER BY c.charttime DESC NULLS LAST, c.event_id DESC) = 1""",
+    "merge_unknown": """SELECT icustay_id, min(starttime) AS starttime, max(endtime) AS endtime FROM (
+      SELECT *, sum(CASE WHEN reach IS NULL OR starttime > reach THEN 1 ELSE 0 END)
+        OVER (PARTITION BY icustay_id ORDER BY starttime, endtime ROWS UNBOUNDED PRECEDING) AS island
+      FROM (SELECT *, max(endtime) OVER (PARTITION BY icustay_id ORDER BY starttime, endtime
+          ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS reach
+        FROM orders WHERE starttime <= endtime AND icustay_id IS NOT NULL AND hour(starttime) % 4 <> 0))
+      GROUP BY icustay_id, island""",
+    "anti_unknown": """SELECT DISTINCT k AS icustay_id, starttime
+      FROM (SELECT CASE WHEN hour(starttime) % 4 <> 0 THEN icustay_id END AS k, * FROM orders WHERE starttime <= endtime) a
+      WHERE NOT EXISTS (SELECT 1 FROM orders b WHERE hour(b.starttime) % 4 <> 0 AND b.icustay_id = a.k
+        AND b.starttime <= b.endtime AND b.starttime < a.starttime AND b.endtime >= a.starttime)""",
     "prev_value_score": worst_coma("coma_all"),
     "organ_score": "SELECT * FROM v_sofa",
     "note_fields": rounded("v_echo", NOTE_OUT),

@@ -71,7 +71,7 @@ EXTRACT_KEYS = {
 
 
 # Longest window before the index time that any view reads, where there is one.
-EXTRACT_HOURS = {"labevents": 7 * 24}
+EXTRACT_HOURS = {"labevents": max(views.LAB_HOURS.values())}
 
 
 def in_span(events: DataFrame, cohort: DataFrame, before_hours: float) -> DataFrame:
@@ -219,7 +219,7 @@ class Study:
             *FINAL_COHORT, "weight_first", "height_first", "bmi", "service_unit", "sofa_first",
             *FINAL_VITALS.values(), *FINAL_LABS, *FINAL_ICD.values(),
         ]
-        return assemble(stays, attached, keep, ["_septic", "_exposed"])
+        return assemble(stays, attached, keep, ["_septic", "_exposed"], check=True).orderBy("icustay_id")
 
     def wide_table(self, cohort: DataFrame, v: dict[str, DataFrame]) -> DataFrame:
         """The wide covariate table; missing external scores become typed NULLs."""
@@ -249,7 +249,7 @@ class Study:
             *WIDE_COHORT_2, *WIDE_VASO, *WIDE_ANES, "sepsis_flg", *icd.values(),
             *WIDE_VITALS.values(), *WIDE_CRIT, *lab_columns, *WIDE_STATUS,
         ]
-        return assemble(stays, attached, keep, ["sepsis_flg", "_exposed"])
+        return assemble(stays, attached, keep, ["sepsis_flg", "_exposed"], check=True).orderBy("icustay_id")
 
 
 VIEW_KEYS = {
@@ -293,7 +293,7 @@ def build_all(spark: SparkSession, study: Study, folder: str | None = None,
     in_parallel([partial(store, name, df) for name, df in independent.items()])
     finals = {"data": study.final_table, "data_full": study.wide_table}
     in_parallel([
-        partial(store, name, make(cohort, stored).orderBy("icustay_id"))
+        partial(store, name, make(cohort, stored))
         for name, make in finals.items()
     ])
     if register:

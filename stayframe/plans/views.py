@@ -24,6 +24,9 @@ from stayframe.operators.scores import organ_score
 from stayframe.operators.status import status_history, switch_flags
 from stayframe.plans.concepts import HEMATOCRIT_RANGE, LAB_NAMES, Concepts
 
+# Hours before the index time that each view reads from the lab table.
+LAB_HOURS = {"labs": 24, "lab_panel": 7 * 24, "sofa": 24}
+
 INDEX = "vent_starttime"
 ADMISSION = ["subject_id", "hadm_id"]
 STAY = ["subject_id", "hadm_id", "icustay_id"]
@@ -46,7 +49,7 @@ def labelled_window(events: DataFrame, cohort: DataFrame, items, before_hours: f
 def view_labs(cohort: DataFrame, tables: Tables, concepts: Concepts,
               sizes: Sizes = MEASURE) -> DataFrame:
     """Latest value of each lab in the day before the index time."""
-    found = labelled_window(tables["labevents"], cohort, concepts.labs, 24, [], sizes)
+    found = labelled_window(tables["labevents"], cohort, concepts.labs, LAB_HOURS["labs"], [], sizes)
     labels = labels_of(concepts.labs)
     last = reduce_labels(found, ADMISSION, labels, "last")
     named = [F.col(n.lower()).alias(f"{output_name(n)}_first") for n in labels]
@@ -73,7 +76,7 @@ def hematocrit_flag(gender, median):
 def view_lab_panel(cohort: DataFrame, tables: Tables, concepts: Concepts,
                    sizes: Sizes = MEASURE) -> DataFrame:
     """Latest value and abnormal flag of the wide lab panel in the week before the index time."""
-    found = labelled_window(tables["labevents"], cohort, concepts.lab_panel, 7 * 24, ["flag"], sizes)
+    found = labelled_window(tables["labevents"], cohort, concepts.lab_panel, LAB_HOURS["lab_panel"], ["flag"], sizes)
     labels = labels_of(concepts.lab_panel)
     crit = found.filter(F.col("label") == "HEMATOCRIT")
     crit_value = F.when(F.col("label") == "HEMATOCRIT", F.col("valuenum"))
@@ -120,7 +123,7 @@ def view_sepsis(cohort: DataFrame, tables: Tables, concepts: Concepts,
 def view_sofa(cohort: DataFrame, tables: Tables, concepts: Concepts,
               sizes: Sizes = MEASURE) -> DataFrame:
     return organ_score(cohort, tables["labevents"], tables["chartevents"], tables["outputevents"],
-                       concepts, INDEX, sizes=sizes)
+                       concepts, INDEX, LAB_HOURS["sofa"], sizes)
 
 
 def view_vaso_flg(cohort: DataFrame, tables: Tables, concepts: Concepts,

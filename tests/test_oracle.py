@@ -4,6 +4,8 @@ import duckdb
 import pytest
 
 import __spark_entry__ as entry
+from stayframe.plans.catalog import QUERIES
+from stayframe.plans.oracle import ORACLES
 
 TABLES = ("region nation customer supplier part orders lineitem events documents embeddings pages "
           "benchmark labels conversations").split()
@@ -24,13 +26,13 @@ def sortable(rows):
 
 
 def test_every_query_has_sql():
-    assert set(entry.queries()) == set(entry.oracle_sql())
+    assert set(QUERIES) == set(ORACLES)
 
 
-@pytest.mark.parametrize("name", list(entry.queries()))
+@pytest.mark.parametrize("name", list(QUERIES))
 def test_same_rows(spark, folder, duck, name):
-    df = entry.queries()[name](spark, folder)
-    expected = duck.sql(entry.oracle_sql()[name])
+    df = QUERIES[name](spark, folder)
+    expected = duck.sql(ORACLES[name])
     columns = sorted(df.columns)
     assert columns == sorted(expected.columns)
     types = {c: TYPES.get(str(t)) for c, t in zip(expected.columns, expected.types)}
