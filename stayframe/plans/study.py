@@ -142,7 +142,8 @@ class Study:
                 rows = in_span(rows, cohort, before)
                 narrow = cohort.select(key, INDEX)
                 found = lookback(rows, narrow, [key], INDEX, "charttime", before, sizes).drop(INDEX)
-            return written(found, name)
+            # few, even files, clustered by the key that all views group by
+            return written(found.hint("rebalance", key), name)
 
         extracted = in_parallel([partial(extract_one, name) for name in names])
         return ChainMap(dict(zip(names, extracted)), self.tables)
@@ -219,7 +220,7 @@ class Study:
             *FINAL_COHORT, "weight_first", "height_first", "bmi", "service_unit", "sofa_first",
             *FINAL_VITALS.values(), *FINAL_LABS, *FINAL_ICD.values(),
         ]
-        return assemble(stays, attached, keep, ["_septic", "_exposed"], check=True).orderBy("icustay_id")
+        return assemble(stays, attached, keep, ["_septic", "_exposed"], unique="icustay_id").orderBy("icustay_id")
 
     def wide_table(self, cohort: DataFrame, v: dict[str, DataFrame]) -> DataFrame:
         """The wide covariate table; missing external scores become typed NULLs."""
@@ -249,7 +250,7 @@ class Study:
             *WIDE_COHORT_2, *WIDE_VASO, *WIDE_ANES, "sepsis_flg", *icd.values(),
             *WIDE_VITALS.values(), *WIDE_CRIT, *lab_columns, *WIDE_STATUS,
         ]
-        return assemble(stays, attached, keep, ["sepsis_flg", "_exposed"], check=True).orderBy("icustay_id")
+        return assemble(stays, attached, keep, ["sepsis_flg", "_exposed"], unique="icustay_id").orderBy("icustay_id")
 
 
 VIEW_KEYS = {
@@ -268,13 +269,20 @@ def stored_in(folder: str, name: str, df: DataFrame) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def drop_build(spark: SparkSession, folder: str) -> None:
+    """Delete the folder of an earlier run, wherever it is stored."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def build_all(spark: SparkSession, study: Study, folder: str | None = None,
-              register: bool = False) -> dict[str, DataFrame]:
+              register: bool = False, replaces: str | None = None) -> dict[str, DataFrame]:
     """Write every view and both final tables in dependency order.
 
     All files of a run go to one new folder, so a failed run never leaves a
     half-replaced view; a rebuild is a new run. ``register`` replaces the temp
-    views ``study_<name>`` once the whole run is complete.
+    views ``study_<name>`` once the whole run is complete, and ``replaces`` is the
+    folder of an earlier run to delete then.
     """
     folder = folder or fresh_folder(spark, "study")
     stored: dict[str, DataFrame] = {}
@@ -299,6 +307,8 @@ def build_all(spark: SparkSession, study: Study, folder: str | None = None,
     if register:
         for name, df in stored.items():
             df.createOrReplaceTempView(f"study_{name}")
+    if replaces:
+        drop_build(spark, replaces)
     return {name: stored[name] for name in VIEW_KEYS}
 
 

@@ -5,7 +5,9 @@ from pyspark.sql import functions as F
 
 from stayframe.functions import numeric as N
 from stayframe.operators import asof, cohort as C, intervals as I, lookback as L, ordered, status
+from stayframe.operators.assemble import View, assemble
 from stayframe.operators.scale import Sizes, largest_group, spread_join
+from stayframe.plans.study import drop_build
 
 LAYOUTS = [Sizes(), Sizes(group_limit=20)]
 
@@ -73,3 +75,18 @@ def test_latest_and_first_are_hash_aggregates(table):
         plan = found._jdf.queryExecution().executedPlan().toString()
         assert "SortAggregate" not in plan and "HashAggregate" in plan
     assert L.reduce_labels(events, ["k"], ["A"], "last").first()["a"] == 2.0
+
+
+def test_repeated_view_key_fails(spark):
+    cohort = spark.createDataFrame([(1,), (2,)], "icustay_id long")
+    view = lambda rows: [View("v", spark.createDataFrame(rows, "icustay_id long, x int"), "icustay_id", {"x": "y"})]
+    found = assemble(cohort, view([(1, 5)]), ["icustay_id", "y"], unique="icustay_id").orderBy("icustay_id")
+    assert [tuple(r) for r in found.collect()] == [(1, 5), (2, None)]
+    with pytest.raises(Exception, match="more than one row for icustay_id 1"):
+        assemble(cohort, view([(1, 5), (1, 6)]), ["icustay_id", "y"], unique="icustay_id").collect()
+
+
+def test_old_build_is_dropped(spark, tmp_path):
+    spark.range(3).write.parquet(str(tmp_path / "old" / "cohort"))
+    drop_build(spark, str(tmp_path / "old"))
+    assert not (tmp_path / "old").exists()
