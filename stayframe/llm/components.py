@@ -1,18 +1,48 @@
-"""Connected components of a table of links, as repeated joins."""
+"""Connected components of a table of links."""
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
 from .tables import written
 
 MAX_ROUNDS = 60
+#: links (16 bytes each) that one task may hold; counted, and joined in rounds beyond
+TASK_LINKS = 1_000_000
+
+
+def least_reachable(a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(nodes, smallest node of the component of each) by hooking and pointer jumping."""
+    nodes, ends = np.unique(np.concatenate([a, b]), return_inverse=True)
+    one, two = ends[: len(a)], ends[len(a) :]
+    label = np.arange(len(nodes))
+    while True:
+        least = np.minimum(label[one], label[two])
+        before = label.copy()
+        for end in (one, two):
+            np.minimum.at(label, before[end], least)
+            np.minimum.at(label, end, least)
+        while not np.array_equal(label, label[label]):
+            label = label[label]
+        if np.array_equal(label, before):
+            return nodes, nodes[label]
+
+
+def _in_one_task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    table = pa.Table.from_batches(list(batches), pa.schema([("v", pa.int64()), ("u", pa.int64())]))
+    nodes, component = least_reachable(np.asarray(table["v"]), np.asarray(table["u"]))
+    yield pa.RecordBatch.from_arrays([pa.array(nodes, pa.int64()), pa.array(component, pa.int64())], ["node", "component"])
 
 
-def components(links: DataFrame) -> DataFrame:
+def components(links: DataFrame, task_links: int = TASK_LINKS) -> DataFrame:
     """(node, component) for every node of ``links(a, b)``; component is its smallest node.
 
-    Alternating large-star and small-star steps: every node hands its larger
+    Up to ``task_links`` links are joined up in one task. Beyond, with the same result:
+    alternating large-star and small-star steps: every node hands its larger
     neighbours, then its smaller ones, the smallest node it knows. Minima are
     combined before the shuffle and no neighbourhood is gathered, so one node may
     have links to a third of all. Each round is written to the shared folder.
@@ -20,6 +50,8 @@ def components(links: DataFrame) -> DataFrame:
     """
     edges = written(links.filter("a <> b").select(
         F.greatest("a", "b").alias("v"), F.least("a", "b").alias("u")).distinct(), "links")
+    if edges.count() <= task_links:
+        return edges.coalesce(1).mapInArrow(_in_one_task, "node long, component long")
     before = None
     for _ in range(MAX_ROUNDS):
         both = edges.unionByName(edges.select(F.col("u").alias("v"), F.col("v").alias("u")))

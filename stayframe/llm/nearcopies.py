@@ -15,7 +15,11 @@
    So a large group of near copies costs one row for each, not one for each pair.
    Where a sorted range is cut between two tasks, rows on either side of
    the cut are matched in a step of their own.
-4. Every candidate is confirmed on the full shingle sets.
+4. Neighbours of the second pass are compared by sketches, the ``SKETCH`` smallest shingle hashes, before
+   any row is made for them. Sets of that size or less are compared whole, and then one link
+   from a row to each other component of its region is enough. For larger sets a pair is left out when the
+   sample's similarity is ``DEVIATIONS`` standard deviations too low (a true pair with probability 3e-6).
+   All pairs that remain are confirmed on the full shingle sets.
 
 A pair of similarity 0.8 misses one tree's ``LEAST`` = 4 values with probability
 0.59, and all 24 trees with 3e-6. The second pass is repeated while crowded regions still merge;
@@ -40,8 +44,10 @@ from .words import SPACED, chunks, mix, random_values, runs, signed, words_of
 
 TREES, DEPTH, LEAST = 24, 8, 4
 REGION = 64
-SORTED_ROWS = 200_000
+SORTED_ROWS, SKETCHED_ROWS = 200_000, 50_000
 UNCROWDED = 1 << 40
+SKETCH, DEVIATIONS = 192, 4.5
+_PAD = np.uint32(0xFFFFFFFF)
 
 _MULTIPLIERS = (random_values(TREES * DEPTH, 21) >> np.uint64(32)).astype(np.uint32) | np.uint32(1)
 _ADDENDS = (random_values(TREES * DEPTH, 22) >> np.uint64(32)).astype(np.uint32)
@@ -72,22 +78,45 @@ def signature(shingles: np.ndarray) -> np.ndarray:
     return least.astype(">u4")
 
 
-_SIGNED = "doc long, n_shingles long, one long, two long, signature binary"
+def sketch(shingles: np.ndarray) -> np.ndarray:
+    """1 if the whole set fits (else 0), and its smallest 32-bit hashes, sorted and padded."""
+    low = np.unique(np.minimum(shingles.astype(np.uint32), _PAD - np.uint32(1)))
+    out = np.full(SKETCH + 1, _PAD)
+    out[0] = len(low) <= SKETCH
+    out[1 : 1 + min(len(low), SKETCH)] = low[:SKETCH]
+    return out
+
+
+def alike(sketches: np.ndarray, row: int, others: np.ndarray, ratio: float) -> tuple[np.ndarray, np.ndarray]:
+    """Which of the others may be as similar as ``ratio`` to the row; which of these by their whole sets."""
+    mine, grid = sketches[row, 1:], sketches[others, 1:]
+    whole = (sketches[row, 0] & sketches[others, 0]).astype(bool)
+    reach = np.minimum(np.where(sketches[others, 0], _PAD - np.uint32(1), grid[:, -1]), _PAD - np.uint32(1) if sketches[row, 0] else mine[-1])
+    seen = grid <= reach[:, None]
+    both = (seen & (mine[np.minimum(np.searchsorted(mine, grid), SKETCH - 1)] == grid)).sum(axis=1)
+    either = np.searchsorted(mine, reach, "right") + seen.sum(axis=1) - both
+    spread = DEVIATIONS * np.sqrt(ratio * (1 - ratio) * np.maximum(either, 1))
+    kept = both + 1 >= ratio * either - np.where(whole, 0, spread)
+    return kept, whole & kept
+
+
+_SIGNED = "doc long, n_shingles long, one long, two long, signature binary, sketch binary"
 
 
 def _sign(n: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            size, one, two, signatures = [], [], [], []
+            size, one, two, signatures, sketches = [], [], [], [], []
             for shingles in shingle_sets(batch.column(1), n):
                 size.append(len(shingles))
                 one.append(int(mix(shingles + np.uint64(1)).sum(dtype=np.uint64).view(np.int64)))
                 two.append(int(mix(shingles ^ np.uint64(0x5555555555555555)).sum(dtype=np.uint64).view(np.int64)))
                 signatures.append(signature(shingles).tobytes() if len(shingles) else None)
+                sketches.append(sketch(shingles).tobytes() if len(shingles) else None)
             yield pa.RecordBatch.from_arrays([
                 batch.column(0), pa.array(size, pa.int64()), pa.array(one, pa.int64()),
-                pa.array(two, pa.int64()), pa.array(signatures, pa.binary())],
-                ["doc", "n_shingles", "one", "two", "signature"])
+                pa.array(two, pa.int64()), pa.array(signatures, pa.binary()), pa.array(sketches, pa.binary())],
+                ["doc", "n_shingles", "one", "two", "signature", "sketch"])
     return run
 
 
@@ -121,9 +150,11 @@ def hubs(docs: np.ndarray, common: np.ndarray, region: int) -> tuple[np.ndarray,
     return rows, hub[rows]
 
 
-def strangers(groups: np.ndarray, common: np.ndarray, region: int) -> tuple[np.ndarray, np.ndarray, bool]:
+def strangers(groups: np.ndarray, common: np.ndarray, sketches: np.ndarray, region: int, ratio: float) -> tuple[np.ndarray, np.ndarray, bool]:
     """Pairs of rows with a common prefix and different groups, as (row, other row); whether a region was crowded.
 
+    Only pairs with sketches as similar as ``ratio`` are returned, and one for each row and group where whole sets tell.
+
     A region with ``region`` rows or fewer outside its largest group is matched in full: those
     rows with all of the region. A larger one is crowded: it is cut at the next depth, and at full
     depth rows are matched with the next two of other groups.
@@ -131,6 +162,18 @@ def strangers(groups: np.ndarray, common: np.ndarray, region: int) -> tuple[np.n
     pairs: list[tuple[np.ndarray, np.ndarray]] = []
     crowded = False
 
+    def keep(row: int, others: np.ndarray) -> None:
+        linked = np.zeros(0, groups.dtype)
+        for at in range(0, len(others), 4096):
+            part = others[at : at + 4096]
+            kept, whole = alike(sketches, row, part, ratio)
+            sure = part[whole]
+            found, first = np.unique(groups[sure], return_index=True)
+            new = ~np.isin(found, linked)
+            linked = np.r_[linked, found[new]]
+            picked = np.r_[part[kept & ~whole], sure[first[new]]]
+            pairs.append((np.full(len(picked), row), picked))
+
     def region_pairs(low: int, high: int, depth: int) -> None:
         nonlocal crowded
         if high - low < 2:
@@ -142,7 +185,7 @@ def strangers(groups: np.ndarray, common: np.ndarray, region: int) -> tuple[np.n
         if len(outside) <= region:
             for k in outside:
                 other = np.flatnonzero((which != which[k]) & ((which == np.argmax(count)) | (np.arange(len(which)) > k)))
-                pairs.append((np.full(len(other), low + k), low + other))
+                keep(low + int(k), low + other)
             return
         crowded = True
         if depth < DEPTH:
@@ -154,7 +197,8 @@ def strangers(groups: np.ndarray, common: np.ndarray, region: int) -> tuple[np.n
             for step in (1, 2):
                 at = change[change + step < high - low]
                 at = at[which[at] != which[at + step]]
-                pairs.append((low + at, low + at + step))
+                for k in at:
+                    keep(low + int(k), np.array([low + int(k) + step]))
 
     edges = np.flatnonzero(np.r_[common < LEAST, True])
     mixed = np.minimum.reduceat(groups, edges[:-1]) != np.maximum.reduceat(groups, edges[:-1])
@@ -168,7 +212,9 @@ def strangers(groups: np.ndarray, common: np.ndarray, region: int) -> tuple[np.n
 
 def _columns(batches: list[pa.RecordBatch], names: list[str]) -> dict[str, np.ndarray]:
     table = pa.Table.from_batches(batches)
-    out = {n: np.asarray(table[n]) for n in names if n != "signature"}
+    out = {n: np.asarray(table[n]) for n in names}
+    if "sketch" in table.column_names:
+        out["sketch"] = np.frombuffer(b"".join(table["sketch"].to_pylist()), np.uint32).reshape(-1, SKETCH + 1)
     out["grid"] = np.frombuffer(b"".join(table["signature"].to_pylist()), ">u4").reshape(-1, DEPTH)
     return out
 
@@ -200,7 +246,7 @@ def _first_pass(region: int):
     return run
 
 
-def _second_pass(region: int):
+def _second_pass(region: int, ratio: float):
     """A sorted range to candidate pairs of different groups, and the rows on both sides of each cut."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held = list(batches)
@@ -208,26 +254,27 @@ def _second_pass(region: int):
         if not rows:
             return
         c = _columns(held, ["tree", "doc", "group"])
-        one, two, crowded = strangers(c["group"], _prefixes(c["tree"], c["grid"]), region)
+        one, two, crowded = strangers(c["group"], _prefixes(c["tree"], c["grid"]), c["sketch"], region, ratio)
         found = _pairs(c["doc"][one], c["doc"][two])
         none = lambda n, kind: pa.nulls(n, kind)
         n = found.num_rows
-        yield pa.RecordBatch.from_arrays([*found.columns, none(n, pa.int64()), none(n, pa.int32()), none(n, pa.binary()), none(n, pa.int64()), none(n, pa.int64())], _EDGE_NAMES)
+        yield pa.RecordBatch.from_arrays([*found.columns, none(n, pa.int64()), none(n, pa.int32()), none(n, pa.binary()), none(n, pa.int64()), none(n, pa.int64()), none(n, pa.binary())], _EDGE_NAMES)
         if crowded:
-            yield pa.RecordBatch.from_arrays([none(1, pa.int64()), none(1, pa.int64()), pa.array([-1], pa.int64()), none(1, pa.int32()), none(1, pa.binary()), none(1, pa.int64()), none(1, pa.int64())], _EDGE_NAMES)
+            yield pa.RecordBatch.from_arrays([none(1, pa.int64()), none(1, pa.int64()), pa.array([-1], pa.int64()), none(1, pa.int32()), none(1, pa.binary()), none(1, pa.int64()), none(1, pa.int64()), none(1, pa.binary())], _EDGE_NAMES)
         part, edge = TaskContext.get().partitionId(), min(REGION, rows)
         for cut, at in ((part, np.arange(edge)), (part + 1, np.arange(rows - edge, rows))):
             yield pa.RecordBatch.from_arrays([
                 none(edge, pa.int64()), none(edge, pa.int64()), pa.array(np.full(edge, cut)), pa.array(c["tree"][at].astype(np.int32)),
-                pa.array([x.tobytes() for x in c["grid"][at]], pa.binary()), pa.array(c["doc"][at]), pa.array(c["group"][at])], _EDGE_NAMES)
+                pa.array([x.tobytes() for x in c["grid"][at]], pa.binary()), pa.array(c["doc"][at]), pa.array(c["group"][at]),
+                pa.array([x.tobytes() for x in c["sketch"][at]], pa.binary())], _EDGE_NAMES)
     return run
 
 
-_EDGE_NAMES = ["a", "b", "cut", "tree", "signature", "doc", "group"]
-_EDGES = "a long, b long, cut long, tree int, signature binary, doc long, group long"
+_EDGE_NAMES = ["a", "b", "cut", "tree", "signature", "doc", "group", "sketch"]
+_EDGES = "a long, b long, cut long, tree int, signature binary, doc long, group long, sketch binary"
 
 
-def _at_cuts(region: int):
+def _at_cuts(region: int, ratio: float):
     """Rows around the cuts between ranges, each cut's together, to candidate pairs."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held = [b for b in batches if b.num_rows]
@@ -236,7 +283,7 @@ def _at_cuts(region: int):
         c = _columns(held, ["cut", "tree", "doc", "group"])
         common = _prefixes(c["tree"], c["grid"])
         common[1:][c["cut"][1:] != c["cut"][:-1]] = -1
-        one, two, _ = strangers(c["group"], common, 2 * region)
+        one, two, _ = strangers(c["group"], common, c["sketch"], 2 * region, ratio)
         yield _pairs(c["doc"][one], c["doc"][two])
     return run
 
@@ -255,7 +302,6 @@ def _confirm(n: int, similar: tuple[int, int]):
 
 def _links(texts: DataFrame, pairs: DataFrame, n: int, similar: tuple[int, int]) -> DataFrame:
     """The pairs of class ids that are near copies by their full sets."""
-    pairs = written(pairs, "candidates")
     ids = written(pairs.select(F.col("a").alias("doc")).unionByName(pairs.select(F.col("b").alias("doc"))).distinct(), "ids")
     some = written(texts.join(F.broadcast(ids) if small(ids) else ids, "doc", "left_semi").dropDuplicates(["doc"]), "texts")
     one, two = some.toDF("a", "text_a"), some.toDF("b", "text_b")
@@ -287,21 +333,31 @@ def near_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     # one hub for each class: the one that most trees name
     votes = near.filter("hub is not null").groupBy("doc", "hub").count()
     best = votes.groupBy("doc").agg(F.max_by("hub", F.col("count") * 4_000_000_000 - F.pmod(F.xxhash64("hub"), F.lit(4_000_000_000))).alias("hub"))
-    first = _links(texts, best.select(F.least("doc", "hub").alias("a"), F.greatest("doc", "hub").alias("b")).distinct(),
-                   shingle_words, similar)
+    hubs_of = written(best.select(F.least("doc", "hub").alias("a"), F.greatest("doc", "hub").alias("b")).distinct(), "candidates")
+    first = _links(texts, hubs_of, shingle_words, similar)
     groups = written(components(first), "groups")
 
-    n = partitions(near.count(), SORTED_ROWS)
-    links, crowd, confirmed = first, region, True
+    sketches = holders.select(F.col("doc").alias("_doc"), "sketch")
+    links, tried, crowd, ratio = first, hubs_of, region, similar[0] / similar[1]
     while True:
-        grouped = near.join(groups, near["doc"] == groups["node"], "left").select(
-            *order, F.coalesce("component", "doc").alias("group"))
-        again = written(grouped.repartitionByRange(n, *order).sortWithinPartitions(*order).mapInArrow(
-            _second_pass(crowd), _EDGES), "neighbours")
+        # regions that are one component already have no pairs left
+        labelled = near.join(groups, near["doc"] == groups["node"], "left").select(
+            *order, F.substring("signature", 1, 4 * LEAST).alias("_prefix"), F.coalesce("component", "doc").alias("group"))
+        regions = labelled.groupBy("tree", "_prefix").agg(F.min("group").alias("low"), F.max("group").alias("high"))
+        regions = written(regions.filter("low <> high").select("tree", "_prefix"), "regions")
+        open_rows = written(labelled.join(regions, ["tree", "_prefix"], "left_semi").drop("_prefix"), "open")
+        n = partitions(open_rows.count(), SKETCHED_ROWS)
+        ids = written(open_rows.select(F.col("doc").alias("_doc")).distinct(), "ids")
+        mine = sketches.join(F.broadcast(ids) if small(ids) else ids, "_doc", "left_semi")
+        open_rows = open_rows.join(mine, F.col("doc") == F.col("_doc")).drop("_doc")
+        again = written(open_rows.repartitionByRange(n, *order).sortWithinPartitions(*order).mapInArrow(
+            _second_pass(crowd, ratio), _EDGES), "neighbours")
         cuts = again.filter("cut >= 0").repartition("cut").sortWithinPartitions("cut", *order)
         pairs = again.filter("a is not null").select("a", "b").unionByName(cuts.select(
-            "cut", *order, "group").mapInArrow(_at_cuts(crowd), "a long, b long")).distinct()
-        more = _links(texts, pairs.join(links, ["a", "b"], "left_anti"), shingle_words, similar)
+            "cut", *order, "group", "sketch").mapInArrow(_at_cuts(crowd, ratio), "a long, b long")).distinct()
+        pairs = written(pairs.join(tried, ["a", "b"], "left_anti"), "candidates")
+        more = _links(texts, pairs, shingle_words, similar)
+        tried = tried.unionByName(pairs)
         crowded, confirmed = not again.filter("cut = -1").isEmpty(), not more.isEmpty()
         if confirmed:
             links = links.unionByName(more)
@@ -309,6 +365,8 @@ def near_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
         if not crowded:
             break
         if not confirmed:
+            if crowd == UNCROWDED:
+                break
             crowd = UNCROWDED  # nothing left to merge: match what is crowded in full
     found = groups
 

@@ -95,7 +95,17 @@ def test_one_of_each_group_stays(spark):
     assert nearcopies.without_near_copies(df.limit(0)).count() == 0
 
 
-def test_components_of_chains_and_stars(spark):
+@pytest.mark.parametrize("task_links", [components.TASK_LINKS, 0])
+def test_components_of_chains_and_stars(spark, task_links):
     links = [(i, i + 1) for i in range(40)] + [(100, 100 + i) for i in range(1, 30)] + [(7, 7), (5, 4)]
-    got = {r["node"]: r["component"] for r in components.components(spark.createDataFrame(links, "a long, b long")).collect()}
+    got = {r["node"]: r["component"] for r in components.components(spark.createDataFrame(links, "a long, b long"), task_links).collect()}
     assert got == {**{i: 0 for i in range(41)}, **{100 + i: 100 for i in range(30)}}
+    rng = np.random.default_rng(1)
+    a, b = rng.integers(0, 300, (2, 200))
+    nodes, least = components.least_reachable(a, b)
+    reach = {n: {n} for n in nodes}
+    for x, y in zip(a, b):
+        both = reach[x] | reach[y]
+        for n in both:
+            reach[n] = both
+    assert {n: min(reach[n]) for n in nodes} == dict(zip(nodes, least))
