@@ -34,12 +34,12 @@ from pyspark.sql import DataFrame, functions as F
 from pyspark.sql.types import StructType
 
 from .repeats import kept_bytes
-from .words import PLAIN, chunks, signed, words_of
+from .words import CHUNK_BYTES, PLAIN, chunks, signed, words_of
 
 WINDOW, SAMPLE = 10, 8
 #: phrases one task holds (about 100 bytes each)
 BLOCK_PHRASES = 500_000
-SHARD_BYTES = 1 << 21
+SHARD_BYTES = CHUNK_BYTES
 
 
 def _phrases(window: int):
