@@ -236,7 +236,8 @@ def repeated_spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
         _parse(length), "doc long, key long, pos long, far int, near int, group long, phrase long"), "parse")
     groups = places.groupBy("group").agg(
         F.count("*").alias("n"), F.min("phrase").alias("low"), F.max("phrase").alias("high"))
-    groups = groups.filter("n > 1").select("group", (F.col("low") != F.col("high")).alias("mixed"))
+    groups = written(groups.filter("n > 1").select("group", (F.col("low") != F.col("high")).alias("mixed")), "groups")
+    # a table of its own, so that a group with very many places can be split in the join
     hits = written(places.join(groups, "group"), "repeats")
     one_place = F.xxhash64("doc", "key", "pos")
     phrases = written(hits.filter("mixed").groupBy("group", "phrase").agg(
