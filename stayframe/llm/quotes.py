@@ -65,20 +65,32 @@ def _passages(lines: Column) -> Column:
     return F.concat(whole, single)
 
 
-def parsed(messages: DataFrame, conversation: str, turn: str, text: str) -> DataFrame:
-    """All rows and columns plus ``_own`` (text without quotes), ``_quoted`` (quoted lines) and ``_passages``."""
-    lines = messages.withColumn("_lines", _lines(F.col(text).cast("string")))
-    quoted = F.size(F.filter("_lines", lambda x: x["level"] > 0)).cast("long")
-    own = F.array_join(F.transform(F.filter("_lines", lambda x: x["level"] == 0), lambda x: x["raw"]), "\n")
-    return lines.withColumns({
-        "_own": F.when(F.col(text).isNotNull(), own), "_quoted": quoted,
-        "_passages": _passages(F.col("_lines"))}).drop("_lines")
+def _quotes() -> Column:
+    """Whether any line of ``text`` starts with quotation marks."""
+    return F.coalesce(F.col("text").rlike("(?:^|\n)[ \t]*>"), F.lit(False))
+
+
+def parsed(messages: DataFrame) -> DataFrame:
+    """All rows and columns plus ``_own`` (``text`` without quotes) and ``_quoted`` (quoted lines).
+
+    A text without quotation marks is its own text as it stands.
+    """
+    lines = _lines(F.col("text"))
+    quoted = F.size(F.filter(lines, lambda x: x["level"] > 0)).cast("long")
+    own = F.array_join(F.transform(F.filter(lines, lambda x: x["level"] == 0), lambda x: x["raw"]), "\n")
+    return messages.withColumns({
+        "_own": F.when(_quotes(), own).otherwise(F.col("text")), "_quoted": F.when(_quotes(), quoted).otherwise(F.lit(0).cast("long"))})
 
 
 def parents(messages: DataFrame) -> DataFrame:
-    """(conv, turn, parent) of the messages with a linked quote, from ``parsed`` rows."""
-    passages = messages.filter("conv is not null and turn is not null").select(
-        "conv", "turn", F.explode("_passages").alias("p")).select("conv", "turn", "p.*")
+    """(conv, turn, parent) of the messages with a linked quote.
+
+    Only conversations in which anything is quoted are cut into passages.
+    """
+    known = messages.select("conv", "turn", "text").filter("conv is not null and turn is not null")
+    quoting = known.filter(_quotes()).select("conv").distinct()
+    lines = known.join(quoting, "conv", "left_semi").select("conv", "turn", _lines(F.col("text")).alias("_lines"))
+    passages = lines.select("conv", "turn", F.explode(_passages(F.col("_lines"))).alias("p")).select("conv", "turn", "p.*")
     passages = written(passages, "passages")
     quotes = passages.filter("level > 0").distinct()
     asked = quotes.select("conv", "hash").distinct()
@@ -107,9 +119,8 @@ def linked(messages: DataFrame, conversation: str = "conv_id", turn: str = "turn
     """One row per message, in reply order: its thread, depth, parent, quotes, own text and chat form."""
     rows = messages.select(F.col(conversation).cast("long").alias("conv"), F.col(turn).cast("long").alias("turn"),
                            F.col(role).cast("string").alias("role"), F.col(text).cast("string").alias("text"))
-    rows = parsed(rows, "conv", "turn", "text").drop("text")
     placed = threads(parents(rows)).withColumnsRenamed({"conv": "_conv", "turn": "_turn"})
-    out = rows.join(placed, (F.col("conv") == F.col("_conv")) & (F.col("turn") == F.col("_turn")), "left")
+    out = parsed(rows).drop("text").join(placed, (F.col("conv") == F.col("_conv")) & (F.col("turn") == F.col("_turn")), "left")
     chat = F.concat(F.lit("<|"), F.coalesce("role", F.lit("unknown")), F.lit("|>\n"), F.coalesce("_own", F.lit("")))
     return out.select(
         F.col("conv").alias("conv_id"), "turn", "role", F.coalesce("root", "turn").alias("thread_turn"), F.col("parent").alias("parent_turn"),
