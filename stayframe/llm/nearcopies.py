@@ -16,7 +16,8 @@
    Where a sorted range is cut between two tasks, rows on either side of
    the cut are matched in a step of their own.
 4. Neighbours of the second pass are compared by sketches, the ``SKETCH`` smallest shingle hashes, before
-   any row is made for them. Sets of that size or less are compared whole, and then one link
+   any row is made for them. Sets of that size or less are compared whole, by the exact test. Where such a pair
+   would be a link even if one equal pair of 32-bit hashes were chance, one link
    from a row to each other component of its region is enough. For larger sets a pair is left out when the
    sample's similarity is ``DEVIATIONS`` standard deviations too low (a true pair with probability 3e-6).
    All pairs that remain are confirmed on the full shingle sets.
@@ -79,25 +80,30 @@ def signature(shingles: np.ndarray) -> np.ndarray:
 
 
 def sketch(shingles: np.ndarray) -> np.ndarray:
-    """1 if the whole set fits (else 0), and its smallest 32-bit hashes, sorted and padded."""
+    """1 if the whole set fits (else 0), and its smallest 32-bit hashes, sorted and padded.
+
+    A set with two shingles of one 32-bit hash counts as too large, so whole sketches never show too few equal shingles.
+    """
     low = np.unique(np.minimum(shingles.astype(np.uint32), _PAD - np.uint32(1)))
     out = np.full(SKETCH + 1, _PAD)
-    out[0] = len(low) <= SKETCH
+    out[0] = len(low) == len(shingles) <= SKETCH
     out[1 : 1 + min(len(low), SKETCH)] = low[:SKETCH]
     return out
 
 
-def alike(sketches: np.ndarray, row: int, others: np.ndarray, ratio: float) -> tuple[np.ndarray, np.ndarray]:
-    """Which of the others may be as similar as ``ratio`` to the row; which of these by their whole sets."""
+def alike(sketches: np.ndarray, row: int, others: np.ndarray, similar: tuple[int, int]) -> tuple[np.ndarray, np.ndarray]:
+    """Which of the others may be links of the row; which of these are links by their whole sets, one chance hit or not."""
     mine, grid = sketches[row, 1:], sketches[others, 1:]
     whole = (sketches[row, 0] & sketches[others, 0]).astype(bool)
-    reach = np.minimum(np.where(sketches[others, 0], _PAD - np.uint32(1), grid[:, -1]), _PAD - np.uint32(1) if sketches[row, 0] else mine[-1])
+    last = _PAD - np.uint32(1)
+    reach = np.minimum(np.where(sketches[others, 0], last, np.minimum(grid[:, -1], last)), last if sketches[row, 0] else mine[-1])
     seen = grid <= reach[:, None]
     both = (seen & (mine[np.minimum(np.searchsorted(mine, grid), SKETCH - 1)] == grid)).sum(axis=1)
     either = np.searchsorted(mine, reach, "right") + seen.sum(axis=1) - both
-    spread = DEVIATIONS * np.sqrt(ratio * (1 - ratio) * np.maximum(either, 1))
-    kept = both + 1 >= ratio * either - np.where(whole, 0, spread)
-    return kept, whole & kept
+    part, of = similar
+    spread = DEVIATIONS * np.sqrt(part * (of - part) * np.maximum(either, 1))
+    kept = np.where(whole, of * both >= part * either, of * (both + 1) >= part * either - spread)
+    return kept, whole & (of * (both - 1) >= part * (either + 1))
 
 
 _SIGNED = "doc long, n_shingles long, one long, two long, signature binary, sketch binary"
@@ -150,10 +156,11 @@ def hubs(docs: np.ndarray, common: np.ndarray, region: int) -> tuple[np.ndarray,
     return rows, hub[rows]
 
 
-def strangers(groups: np.ndarray, common: np.ndarray, sketches: np.ndarray, region: int, ratio: float) -> tuple[np.ndarray, np.ndarray, bool]:
+def strangers(groups: np.ndarray, common: np.ndarray, sketches: np.ndarray, region: int,
+              similar: tuple[int, int]) -> tuple[np.ndarray, np.ndarray, bool]:
     """Pairs of rows with a common prefix and different groups, as (row, other row); whether a region was crowded.
 
-    Only pairs with sketches as similar as ``ratio`` are returned, and one for each row and group where whole sets tell.
+    Only pairs with sketches ``similar`` enough are returned: one for a row and a group with sure links, else all.
 
     A region with ``region`` rows or fewer outside its largest group is matched in full: those
     rows with all of the region. A larger one is crowded: it is cut at the next depth, and at full
@@ -166,12 +173,11 @@ def strangers(groups: np.ndarray, common: np.ndarray, sketches: np.ndarray, regi
         linked = np.zeros(0, groups.dtype)
         for at in range(0, len(others), 4096):
             part = others[at : at + 4096]
-            kept, whole = alike(sketches, row, part, ratio)
-            sure = part[whole]
-            found, first = np.unique(groups[sure], return_index=True)
+            kept, sure = alike(sketches, row, part, similar)
+            found, first = np.unique(groups[part[sure]], return_index=True)
             new = ~np.isin(found, linked)
             linked = np.r_[linked, found[new]]
-            picked = np.r_[part[kept & ~whole], sure[first[new]]]
+            picked = np.r_[part[kept & ~np.isin(groups[part], linked)], part[sure][first[new]]]
             pairs.append((np.full(len(picked), row), picked))
 
     def region_pairs(low: int, high: int, depth: int) -> None:
@@ -246,7 +252,7 @@ def _first_pass(region: int):
     return run
 
 
-def _second_pass(region: int, ratio: float):
+def _second_pass(region: int, similar: tuple[int, int]):
     """A sorted range to candidate pairs of different groups, and the rows on both sides of each cut."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held = list(batches)
@@ -254,7 +260,7 @@ def _second_pass(region: int, ratio: float):
         if not rows:
             return
         c = _columns(held, ["tree", "doc", "group"])
-        one, two, crowded = strangers(c["group"], _prefixes(c["tree"], c["grid"]), c["sketch"], region, ratio)
+        one, two, crowded = strangers(c["group"], _prefixes(c["tree"], c["grid"]), c["sketch"], region, similar)
         found = _pairs(c["doc"][one], c["doc"][two])
         none = lambda n, kind: pa.nulls(n, kind)
         n = found.num_rows
@@ -274,7 +280,7 @@ _EDGE_NAMES = ["a", "b", "cut", "tree", "signature", "doc", "group", "sketch"]
 _EDGES = "a long, b long, cut long, tree int, signature binary, doc long, group long, sketch binary"
 
 
-def _at_cuts(region: int, ratio: float):
+def _at_cuts(region: int, similar: tuple[int, int]):
     """Rows around the cuts between ranges, each cut's together, to candidate pairs."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held = [b for b in batches if b.num_rows]
@@ -283,7 +289,7 @@ def _at_cuts(region: int, ratio: float):
         c = _columns(held, ["cut", "tree", "doc", "group"])
         common = _prefixes(c["tree"], c["grid"])
         common[1:][c["cut"][1:] != c["cut"][:-1]] = -1
-        one, two, _ = strangers(c["group"], common, c["sketch"], 2 * region, ratio)
+        one, two, _ = strangers(c["group"], common, c["sketch"], 2 * region, similar)
         yield _pairs(c["doc"][one], c["doc"][two])
     return run
 
@@ -338,7 +344,7 @@ def near_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     groups = written(components(first), "groups")
 
     sketches = holders.select(F.col("doc").alias("_doc"), "sketch")
-    links, tried, crowd, ratio = first, hubs_of, region, similar[0] / similar[1]
+    links, tried, crowd = first, hubs_of, region
     while True:
         # regions that are one component already have no pairs left
         labelled = near.join(groups, near["doc"] == groups["node"], "left").select(
@@ -351,10 +357,10 @@ def near_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
         mine = sketches.join(F.broadcast(ids) if small(ids) else ids, "_doc", "left_semi")
         open_rows = open_rows.join(mine, F.col("doc") == F.col("_doc")).drop("_doc")
         again = written(open_rows.repartitionByRange(n, *order).sortWithinPartitions(*order).mapInArrow(
-            _second_pass(crowd, ratio), _EDGES), "neighbours")
+            _second_pass(crowd, similar), _EDGES), "neighbours")
         cuts = again.filter("cut >= 0").repartition("cut").sortWithinPartitions("cut", *order)
         pairs = again.filter("a is not null").select("a", "b").unionByName(cuts.select(
-            "cut", *order, "group", "sketch").mapInArrow(_at_cuts(crowd, ratio), "a long, b long")).distinct()
+            "cut", *order, "group", "sketch").mapInArrow(_at_cuts(crowd, similar), "a long, b long")).distinct()
         pairs = written(pairs.join(tried, ["a", "b"], "left_anti"), "candidates")
         more = _links(texts, pairs, shingle_words, similar)
         tried = tried.unionByName(pairs)

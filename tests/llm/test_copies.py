@@ -86,6 +86,35 @@ def test_a_crowd_of_edited_copies(spark, region):
     assert sorted(got, key=str) == sorted(brute.near_copies(rows, 5), key=str)
 
 
+def test_a_pair_that_is_no_link_hides_none(monkeypatch):
+    """A row, and two members of another group with 79 and 80 of 100 shingles in common: the link has to come out."""
+    rng = np.random.default_rng(7)
+    low = np.unique(rng.integers(0, 1 << 32, 400, dtype=np.uint64))[rng.permutation(350)]
+    own, near, link = low[:90], np.r_[low[:79], low[100:110]], np.r_[low[:80], low[120:130]]
+    grid = np.stack([nearcopies.sketch(x) for x in (own, near, link)])
+    one, two, crowded = nearcopies.strangers(np.array([1, 2, 2]), np.array([-1, 8, 8]), grid, 64, (80, 100))
+    assert (one.tolist().count(0) or two.tolist().count(0)) and {0, 2} in [{a, b} for a, b in zip(one.tolist(), two.tolist())]
+    assert not crowded and not nearcopies.alike(grid, 0, np.array([1, 2]), (80, 100))[1].any()
+
+
+@pytest.mark.parametrize("region", [nearcopies.REGION, 4])
+def test_a_crowd_of_short_edited_copies(spark, region):
+    """Texts of 60 to 150 words, compared by whole sketches; many pairs are just above or below the limit."""
+    rng = random.Random(11)
+    words = [f"w{i}" for i in range(500)]
+    rows = []
+    for k in range(6):
+        base = [rng.choice(words) for _ in range(rng.randrange(60, 151))]
+        for i in range(60):
+            text = list(base)
+            for _ in range(rng.choice([1, 2, 3, 4, 5])):
+                text[rng.randrange(len(text))] = rng.choice(words)
+            rows.append((100 * k + i, " ".join(text)))
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    got = [tuple(r) for r in nearcopies.near_copies(df, shingle_words=4, region=region).collect()]
+    assert sorted(got) == sorted(brute.near_copies(rows, 4))
+
+
 def test_one_of_each_group_stays(spark):
     text = " ".join(f"w{i}" for i in range(40))
     df = spark.createDataFrame([(3, text, 1), (2, text, 2), (9, "other words", 3), (None, text, 4)], "doc_id long, text string, keep int")
