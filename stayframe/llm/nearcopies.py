@@ -13,8 +13,8 @@
    pass only neighbours in different components are tried, at the shallowest
    depth at which a class has ``REGION`` neighbours of other components or fewer.
    So a large group of near copies costs one row for each, not one for each pair.
-   Where a sorted range is cut between two tasks, rows on either side of
-   the cut are matched in a step of their own.
+   A region of ``WIDE`` rows or fewer is never cut between tasks. In a larger one the rows outside its largest
+   component are dealt out in blocks, each against all blocks of the region.
 4. Neighbours of the second pass are compared by sketches, the ``SKETCH`` smallest shingle hashes, before
    any row is made for them. Sets of that size or less are compared whole, by the exact test. Where such a pair
    would be a link even if one equal pair of 32-bit hashes were chance, one link
@@ -36,7 +36,6 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark import TaskContext
 from pyspark.sql import DataFrame, functions as F
 
 from .components import components
@@ -45,7 +44,7 @@ from .words import SPACED, chunks, mix, random_values, runs, signed, words_of
 
 TREES, DEPTH, LEAST = 24, 8, 4
 REGION = 64
-SORTED_ROWS, SKETCHED_ROWS = 200_000, 50_000
+SORTED_ROWS, SKETCHED_ROWS, WIDE = 200_000, 50_000, 2_048
 UNCROWDED = 1 << 40
 SKETCH, DEVIATIONS = 192, 4.5
 _PAD = np.uint32(0xFFFFFFFF)
@@ -156,6 +155,19 @@ def hubs(docs: np.ndarray, common: np.ndarray, region: int) -> tuple[np.ndarray,
     return rows, hub[rows]
 
 
+def likely(groups: np.ndarray, sketches: np.ndarray, row: int, others: np.ndarray, similar: tuple[int, int]) -> np.ndarray:
+    """The others to be confirmed as links of the row: one for a group with sure links, else all that may be links."""
+    linked, found = np.zeros(0, groups.dtype), [others[:0]]
+    for at in range(0, len(others), 4096):
+        part = others[at : at + 4096]
+        kept, sure = alike(sketches, row, part, similar)
+        names, first = np.unique(groups[part[sure]], return_index=True)
+        new = ~np.isin(names, linked)
+        linked = np.r_[linked, names[new]]
+        found += [part[kept & ~np.isin(groups[part], linked)], part[sure][first[new]]]
+    return np.concatenate(found)
+
+
 def strangers(groups: np.ndarray, common: np.ndarray, sketches: np.ndarray, region: int,
               similar: tuple[int, int]) -> tuple[np.ndarray, np.ndarray, bool]:
     """Pairs of rows with a common prefix and different groups, as (row, other row); whether a region was crowded.
@@ -170,15 +182,8 @@ def strangers(groups: np.ndarray, common: np.ndarray, sketches: np.ndarray, regi
     crowded = False
 
     def keep(row: int, others: np.ndarray) -> None:
-        linked = np.zeros(0, groups.dtype)
-        for at in range(0, len(others), 4096):
-            part = others[at : at + 4096]
-            kept, sure = alike(sketches, row, part, similar)
-            found, first = np.unique(groups[part[sure]], return_index=True)
-            new = ~np.isin(found, linked)
-            linked = np.r_[linked, found[new]]
-            picked = np.r_[part[kept & ~np.isin(groups[part], linked)], part[sure][first[new]]]
-            pairs.append((np.full(len(picked), row), picked))
+        picked = likely(groups, sketches, row, others, similar)
+        pairs.append((np.full(len(picked), row), picked))
 
     def region_pairs(low: int, high: int, depth: int) -> None:
         nonlocal crowded
@@ -221,7 +226,8 @@ def _columns(batches: list[pa.RecordBatch], names: list[str]) -> dict[str, np.nd
     out = {n: np.asarray(table[n]) for n in names}
     if "sketch" in table.column_names:
         out["sketch"] = np.frombuffer(b"".join(table["sketch"].to_pylist()), np.uint32).reshape(-1, SKETCH + 1)
-    out["grid"] = np.frombuffer(b"".join(table["signature"].to_pylist()), ">u4").reshape(-1, DEPTH)
+    if "signature" in table.column_names:
+        out["grid"] = np.frombuffer(b"".join(table["signature"].to_pylist()), ">u4").reshape(-1, DEPTH)
     return out
 
 
@@ -253,47 +259,66 @@ def _first_pass(region: int):
 
 
 def _second_pass(region: int, similar: tuple[int, int]):
-    """A sorted range to candidate pairs of different groups, and the rows on both sides of each cut."""
+    """Whole regions, or parts of wide ones, to candidate pairs of different groups; a row of NULLs if one was crowded."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held = list(batches)
-        rows = sum(b.num_rows for b in held)
-        if not rows:
+        if not sum(b.num_rows for b in held):
             return
         c = _columns(held, ["tree", "doc", "group"])
         one, two, crowded = strangers(c["group"], _prefixes(c["tree"], c["grid"]), c["sketch"], region, similar)
-        found = _pairs(c["doc"][one], c["doc"][two])
-        none = lambda n, kind: pa.nulls(n, kind)
-        n = found.num_rows
-        yield pa.RecordBatch.from_arrays([*found.columns, none(n, pa.int64()), none(n, pa.int32()), none(n, pa.binary()), none(n, pa.int64()), none(n, pa.int64()), none(n, pa.binary())], _EDGE_NAMES)
+        yield _pairs(c["doc"][one], c["doc"][two])
         if crowded:
-            yield pa.RecordBatch.from_arrays([none(1, pa.int64()), none(1, pa.int64()), pa.array([-1], pa.int64()), none(1, pa.int32()), none(1, pa.binary()), none(1, pa.int64()), none(1, pa.int64()), none(1, pa.binary())], _EDGE_NAMES)
-        part, edge = TaskContext.get().partitionId(), min(REGION, rows)
-        for cut, at in ((part, np.arange(edge)), (part + 1, np.arange(rows - edge, rows))):
-            yield pa.RecordBatch.from_arrays([
-                none(edge, pa.int64()), none(edge, pa.int64()), pa.array(np.full(edge, cut)), pa.array(c["tree"][at].astype(np.int32)),
-                pa.array([x.tobytes() for x in c["grid"][at]], pa.binary()), pa.array(c["doc"][at]), pa.array(c["group"][at]),
-                pa.array([x.tobytes() for x in c["sketch"][at]], pa.binary())], _EDGE_NAMES)
+            yield pa.RecordBatch.from_arrays([pa.nulls(1, pa.int64()), pa.nulls(1, pa.int64())], ["a", "b"])
     return run
 
 
-_EDGE_NAMES = ["a", "b", "cut", "tree", "signature", "doc", "group", "sketch"]
-_EDGES = "a long, b long, cut long, tree int, signature binary, doc long, group long, sketch binary"
-
-
-def _at_cuts(region: int, similar: tuple[int, int]):
-    """Rows around the cuts between ranges, each cut's together, to candidate pairs."""
+def _across(similar: tuple[int, int]):
+    """Cells of wide regions, each a block of outside rows (side 0) and one of all rows (side 1), to candidate pairs."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held = [b for b in batches if b.num_rows]
         if not held:
             return
-        c = _columns(held, ["cut", "tree", "doc", "group"])
-        common = _prefixes(c["tree"], c["grid"])
-        common[1:][c["cut"][1:] != c["cut"][:-1]] = -1
-        one, two, _ = strangers(c["group"], common, c["sketch"], 2 * region, similar)
-        yield _pairs(c["doc"][one], c["doc"][two])
+        c = _columns(held, ["cell", "side", "doc", "group", "top"])
+        edges = np.flatnonzero(np.r_[True, c["cell"][1:] != c["cell"][:-1], True])
+        for low, high in zip(edges[:-1], edges[1:]):
+            middle = low + np.searchsorted(c["side"][low:high], 1)
+            docs, groups = c["doc"][middle:high], c["group"][middle:high]
+            one, two = [docs[:0]], [docs[:0]]
+            for row in range(low, middle):
+                other = np.flatnonzero((groups != c["group"][row]) & ((groups == c["top"][row]) | (docs > c["doc"][row])))
+                picked = likely(c["group"], c["sketch"], row, middle + other, similar)
+                one.append(np.full(len(picked), c["doc"][row]))
+                two.append(c["doc"][picked])
+            yield _pairs(np.concatenate(one), np.concatenate(two))
     return run
 
 
+def _wide_regions(rows: DataFrame) -> DataFrame:
+    """(tree, _prefix, top, outside, blocks, outer): each region's largest group, the rows outside it, and the blocks of all and of those."""
+    sizes = rows.groupBy("tree", "_prefix", "group").agg(F.count("*").alias("n"))
+    tops = sizes.groupBy("tree", "_prefix").agg(F.max(F.struct("n", "group")).alias("_top"), F.sum("n").alias("rows"))
+    blocks = lambda n: F.ceil(n / F.lit(WIDE)).cast("long")
+    return tops.select("tree", "_prefix", F.col("_top.group").alias("top"), "rows", (F.col("rows") - F.col("_top.n")).alias("outside")).select(
+        "tree", "_prefix", "top", "rows", "outside", blocks(F.col("rows")).alias("blocks"), blocks(F.col("outside")).alias("outer"))
+
+
+def _wide_pairs(rows: DataFrame, sketches: DataFrame, regions: DataFrame, similar: tuple[int, int]) -> DataFrame:
+    """Candidate pairs of the wide regions: all rows outside the largest group with all rows of the region."""
+    n = regions.agg(F.sum(F.col("rows") * F.col("outer") + F.col("outside") * F.col("blocks"))).first()[0] or 0
+    rows = rows.join(F.broadcast(regions) if small(regions) else regions, ["tree", "_prefix"])
+    rows = rows.join(sketches, F.col("doc") == F.col("_doc"))
+    own = lambda count: F.pmod(F.xxhash64("doc"), F.col(count))
+    each = lambda count: F.explode(F.sequence(F.lit(0).cast("long"), F.col(count) - 1))
+    columns = ["tree", "_prefix", "doc", "group", "top", "sketch"]
+    outside = rows.filter(F.col("group") != F.col("top")).select(
+        *columns, F.lit(0).alias("side"), own("outer").alias("_outer"), each("blocks").alias("_block"))
+    every = rows.select(*columns, F.lit(1).alias("side"), each("outer").alias("_outer"), own("blocks").alias("_block"))
+    cells = outside.unionByName(every).select(
+        F.xxhash64("tree", "_prefix", "_outer", "_block").alias("cell"), "side", "doc", "group", "top", "sketch")
+    dealt = cells.repartition(partitions(n, SKETCHED_ROWS), "cell").sortWithinPartitions("cell", "side")
+    return dealt.mapInArrow(_across(similar), "a long, b long")
+
+
 def _confirm(n: int, similar: tuple[int, int]):
     """Rows (a, b, text_a, text_b) to the pairs whose sets are similar enough."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -349,22 +374,34 @@ def near_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
         # regions that are one component already have no pairs left
         labelled = near.join(groups, near["doc"] == groups["node"], "left").select(
             *order, F.substring("signature", 1, 4 * LEAST).alias("_prefix"), F.coalesce("component", "doc").alias("group"))
-        regions = labelled.groupBy("tree", "_prefix").agg(F.min("group").alias("low"), F.max("group").alias("high"))
-        regions = written(regions.filter("low <> high").select("tree", "_prefix"), "regions")
-        open_rows = written(labelled.join(regions, ["tree", "_prefix"], "left_semi").drop("_prefix"), "open")
+        regions = labelled.groupBy("tree", "_prefix").agg(
+            F.min("group").alias("low"), F.max("group").alias("high"), (F.count("*") > WIDE).alias("wide"))
+        regions = written(regions.filter("low <> high").select("tree", "_prefix", "wide"), "regions")
+        open_rows = written(labelled.join(regions, ["tree", "_prefix"]), "open")
         n = partitions(open_rows.count(), SKETCHED_ROWS)
         ids = written(open_rows.select(F.col("doc").alias("_doc")).distinct(), "ids")
         mine = sketches.join(F.broadcast(ids) if small(ids) else ids, "_doc", "left_semi")
-        open_rows = open_rows.join(mine, F.col("doc") == F.col("_doc")).drop("_doc")
-        again = written(open_rows.repartitionByRange(n, *order).sortWithinPartitions(*order).mapInArrow(
-            _second_pass(crowd, similar), _EDGES), "neighbours")
-        cuts = again.filter("cut >= 0").repartition("cut").sortWithinPartitions("cut", *order)
-        pairs = again.filter("a is not null").select("a", "b").unionByName(cuts.select(
-            "cut", *order, "group", "sketch").mapInArrow(_at_cuts(crowd, similar), "a long, b long")).distinct()
+        wide = not regions.filter("wide").isEmpty()
+        inside, crowded = open_rows, False
+        if wide:
+            sizes = written(_wide_regions(open_rows.filter("wide")), "wide")
+            spread = sizes.filter(F.col("outside") <= crowd)
+            crowded = not sizes.filter(F.col("outside") > crowd).isEmpty()
+            keys = spread.select("tree", "_prefix")
+            inside = open_rows.join(F.broadcast(keys) if small(keys) else keys, ["tree", "_prefix"], "left_anti")
+        # only a wide region is cut between tasks: one that is crowded, so that it is matched again
+        inside = inside.join(mine, F.col("doc") == F.col("_doc")).drop("_doc")
+        ranges = inside.repartitionByRange(n, "tree", "_prefix", F.when(F.col("wide"), F.col("signature")), F.when(F.col("wide"), F.col("doc")))
+        again = written(ranges.select(*order, "group", "sketch").sortWithinPartitions(*order).mapInArrow(
+            _second_pass(crowd, similar), "a long, b long"), "neighbours")
+        pairs = again.filter("a is not null")
+        if wide:
+            pairs = pairs.unionByName(_wide_pairs(open_rows, mine, spread, similar))
+        pairs = pairs.distinct()
         pairs = written(pairs.join(tried, ["a", "b"], "left_anti"), "candidates")
         more = _links(texts, pairs, shingle_words, similar)
         tried = tried.unionByName(pairs)
-        crowded, confirmed = not again.filter("cut = -1").isEmpty(), not more.isEmpty()
+        crowded, confirmed = crowded or not again.filter("a is null").isEmpty(), not more.isEmpty()
         if confirmed:
             links = links.unionByName(more)
             groups = written(components(links), "groups")

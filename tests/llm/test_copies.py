@@ -5,6 +5,7 @@ import random
 
 import brute
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from stayframe.llm import components, nearcopies, repeats
@@ -115,6 +116,30 @@ def test_a_crowd_of_short_edited_copies(spark, region):
     assert sorted(got) == sorted(brute.near_copies(rows, 4))
 
 
+@pytest.mark.parametrize("region, wide", [(nearcopies.REGION, 16), (1000, 16), (nearcopies.REGION, nearcopies.WIDE)])
+def test_a_region_that_spans_tasks(spark, monkeypatch, region, wide):
+    """Pairs of copies with one template and one 4-value prefix, in a single tree that is cut into many ranges."""
+    rng = random.Random(2)
+    words = [f"w{i}" for i in range(5000)]
+    template = [rng.choice(words) for _ in range(60)]
+    texts = []
+    for _ in range(400):
+        tail = [rng.choice(words) for _ in range(12)]
+        texts += [" ".join(template + tail), " ".join(template + tail[:9] + [rng.choice(words) for _ in range(3)])]
+    sets = nearcopies.shingle_sets(pa.array(texts), 4)
+    prefix = [nearcopies.signature(x)[: nearcopies.LEAST].tobytes() for x in sets]
+    rows = [(i, t) for i, t in enumerate(texts) if prefix[i] == max(prefix, key=prefix.count)]
+    rng.shuffle(rows)
+    wanted = brute.near_copies(rows, 4)
+    assert len(rows) > 200 and len({c for _, _, c in wanted}) < len(rows) - 50
+    monkeypatch.setattr(nearcopies, "TREES", 1)
+    monkeypatch.setattr(nearcopies, "SKETCHED_ROWS", 20)
+    monkeypatch.setattr(nearcopies, "WIDE", wide)
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    got = [tuple(r) for r in nearcopies.near_copies(df, shingle_words=4, region=region).collect()]
+    assert sorted(got) == sorted(wanted)
+
+
 def test_one_of_each_group_stays(spark):
     text = " ".join(f"w{i}" for i in range(40))
     df = spark.createDataFrame([(3, text, 1), (2, text, 2), (9, "other words", 3), (None, text, 4)], "doc_id long, text string, keep int")
