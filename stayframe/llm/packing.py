@@ -60,11 +60,17 @@ class ByteBPE:
     """
 
     def __init__(self, path: str):
-        table, vocabulary = _byte_of(), Tokenizer.from_file(path).get_vocab()
-        ranks = {bytes(table[c] for c in token): i for token, i in vocabulary.items() if not token.startswith("<|")}
-        self.encoder = tiktoken.Encoding("vocabulary", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={})
+        self.ranks = self.vocabulary(path)
+        self.encoder = tiktoken.Encoding("vocabulary", pat_str=public_tokenizers.PATTERN, mergeable_ranks=self.ranks, special_tokens={})
         self.known: dict[str, bytes] = {}
 
+    @staticmethod
+    def vocabulary(path: str) -> dict[bytes, int]:
+        """Bytes and id of each token that is not a special one."""
+        table = _byte_of()
+        known = Tokenizer.from_file(path).get_vocab()
+        return {bytes(table[c] for c in token): i for token, i in known.items() if not token.startswith("<|")}
+
     def _encode(self, text: str) -> bytes:
         ids = array("I", self.encoder.encode_ordinary(text))
         if sys.byteorder != "little":
