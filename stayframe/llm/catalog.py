@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import alignment, decontaminate, licenses, nearcopies, packing, quality, quotes, repeats, rules, sharding, toxicity
+from . import alignment, decontaminate, languages, licenses, nearcopies, packing, quality, quotes, repeats, rules, sharding, toxicity
 from .tables import read, ship_code
 
 
@@ -62,11 +62,17 @@ def op11_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
     return alignment.alignment_digests(read(spark, sf_dir, "documents"))
 
 
+def op12_language_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    ship_code(spark)
+    return languages.languages(read(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     query.__name__: query
     for query in (
         op1_maglev_sharding, op2_minhash_near_dedup, op3_chat_quote_linking, op4_quality_ftrl, op5_suffix_array_dedup,
-        op6_license_scan, op7_toxicity_neighbours, op8_best_fit_packing, op9_quality_rules, op10_benchmark_decontamination, op11_token_alignment)
+        op6_license_scan, op7_toxicity_neighbours, op8_best_fit_packing, op9_quality_rules, op10_benchmark_decontamination, op11_token_alignment,
+        op12_language_filters)
 }
 
 ORACLES: dict[str, str] = {
