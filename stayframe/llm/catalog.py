@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import alignment, decontaminate, languages, licenses, nearcopies, packing, quality, quotes, repeats, rules, sharding, toxicity
+from . import alignment, decontaminate, languages, licenses, nearcopies, packing, quality, quotes, repeats, rules, sharding, toxicity, trie
 from .tables import read, ship_code
 
 
@@ -67,16 +67,22 @@ def op12_language_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
     return languages.languages(read(spark, sf_dir, "documents"))
 
 
+def op13_conversation_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    ship_code(spark)
+    return trie.shared_trie(read(spark, sf_dir, "conversations"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     query.__name__: query
     for query in (
         op1_maglev_sharding, op2_minhash_near_dedup, op3_chat_quote_linking, op4_quality_ftrl, op5_suffix_array_dedup,
         op6_license_scan, op7_toxicity_neighbours, op8_best_fit_packing, op9_quality_rules, op10_benchmark_decontamination, op11_token_alignment,
-        op12_language_filters)
+        op12_language_filters, op13_conversation_trie)
 }
 
 ORACLES: dict[str, str] = {
     "op1_maglev_sharding": sharding.ORACLE,
     "op3_chat_quote_linking": quotes.ORACLE,
     "op9_quality_rules": rules.ORACLE,
+    "op13_conversation_trie": trie.ORACLE,
 }
