@@ -40,20 +40,28 @@ def body_measure(cohort: DataFrame, chart: DataFrame, notes: DataFrame, weight_a
     admit = window(weight_admit, "vent_starttime", 24, "weight_admit")
     daily = window(weight_daily, "vent_starttime", 24, "weight_daily")
     charted = window(height, "outtime", None, "height_chart")
-    reported = notes.select(
+    parts = cohort.select("icustay_id")
+    for part in (admit, daily, charted, echo_parts(notes)):
+        parts = parts.join(part, "icustay_id", "left")
+    return body_columns(parts).select(
+        "icustay_id", "bmi", "height", "weight", "height_chart", "weight_admit", "weight_daily", "height_echo", "weight_echo")
+
+
+def echo_parts(notes: DataFrame) -> DataFrame:
+    """Height and weight of the reports in metric units."""
+    return notes.select(
         "icustay_id",
         (F.lit(INCH_IN_CM) * F.col("height_first")).alias("height_echo"),
         (F.lit(POUND_IN_KG) * F.col("weight_first")).alias("weight_echo"),
     )
-    parts = cohort.select("icustay_id")
-    for part in (admit, daily, charted, reported):
-        parts = parts.join(part, "icustay_id", "left")
+
+
+def body_columns(parts: DataFrame) -> DataFrame:
+    """Adds weight, height and BMI: charted medians first, then the report's values."""
     weight = round_half_up(F.coalesce("weight_admit", "weight_daily", "weight_echo"), 2)
     height_m = F.coalesce("height_chart", "height_echo") / 100.0
     both = parts.withColumns({"weight": weight, "height": height_m})
-    return both.select(
-        "icustay_id", metric_bmi(F.col("weight"), F.col("height")).alias("bmi"), "height", "weight",
-        "height_chart", "weight_admit", "weight_daily", "height_echo", "weight_echo")
+    return both.withColumn("bmi", metric_bmi(F.col("weight"), F.col("height")))
 
 
 def given_volumes(cohort: DataFrame, points: DataFrame, intervals: DataFrame,

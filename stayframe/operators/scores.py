@@ -19,6 +19,7 @@ PRESSURE_STEPS = [("<", 70, 1)]
 COMA_BANDS = [(13, 14, 1), (10, 12, 2), (6, 9, 3)]
 # Normal motor, verbal and eye response.
 NORMAL_MOTOR, NORMAL_VERBAL, NORMAL_EYES = 6, 5, 4
+COMA_PARTS = ["gcsmotor", "gcsverbal", "gcseyes"]
 COMPONENTS = ["respiration", "coagulation", "liver", "cardiovascular", "cns", "renal"]
 
 
@@ -120,19 +121,22 @@ def worst_coma(rows_in: DataFrame, by: list[str], time: str = "charttime",
     Verbal 0 means intubated and scores 15. After an intubated row nothing is
     carried over.
     """
-    parts = ["gcsmotor", "gcsverbal", "gcseyes"]
-    rows = previous_within(rows_in, by, time, parts, hours(6), sizes=sizes)
-    normal = dict(zip(parts, (NORMAL_MOTOR, NORMAL_VERBAL, NORMAL_EYES)))
+    rows = previous_within(rows_in, by, time, COMA_PARTS, hours(6), sizes=sizes)
+    return rows.groupBy(*by).agg(F.min(coma_total()).cast("double").alias("mingcs"))
+
+
+def coma_total() -> Column:
+    """Total of a row's parts and those of the row before (``prev_``)."""
+    normal = dict(zip(COMA_PARTS, (NORMAL_MOTOR, NORMAL_VERBAL, NORMAL_EYES)))
     verbal, before = F.col("gcsverbal"), F.col("prev_gcsverbal")
     fresh = sum((F.coalesce(p, F.lit(n)) for p, n in normal.items()), F.lit(0))
     carried = sum((F.coalesce(p, f"prev_{p}", F.lit(n)) for p, n in normal.items()), F.lit(0))
-    total = (
+    return (
         F.when(verbal == 0, 15)
         .when(verbal.isNull() & (before == 0), 15)
         .when(before == 0, fresh)
         .otherwise(carried)
     )
-    return rows.groupBy(*by).agg(F.min(total).cast("double").alias("mingcs"))
 
 
 def organ_points(parts: DataFrame, keep: list[str]) -> DataFrame:

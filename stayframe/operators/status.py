@@ -37,10 +37,14 @@ def status_history(events: DataFrame, by: str, mapping: dict[str, str], time: st
     ]
     found = rows.groupBy(by).agg(
         F.min_by("_code", "_place").alias("_first"), F.max_by("_code", "_place").alias("_last"), *ever)
-    named = F.array(*map(F.lit, names))
-    return found.select(
-        by, F.get(named, F.col("_first")).alias("firstcodestatus"),
-        F.get(named, F.col("_last")).alias("lastcodestatus"), *[n.lower() for n in names])
+    return named_history(found, mapping).select(by, "firstcodestatus", "lastcodestatus", *[n.lower() for n in names])
+
+
+def named_history(rows: DataFrame, mapping: dict[str, str]) -> DataFrame:
+    """Names of the first and the last category in place of their codes."""
+    named = F.array(*map(F.lit, dict.fromkeys(mapping.values())))
+    return rows.withColumns({
+        "firstcodestatus": F.get(named, F.col("_first")), "lastcodestatus": F.get(named, F.col("_last"))}).drop("_first", "_last")
 
 
 def switch_flags(history: DataFrame) -> DataFrame:

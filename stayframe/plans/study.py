@@ -6,17 +6,18 @@ import os
 from collections import ChainMap
 from collections.abc import Iterable
 from dataclasses import dataclass, field
+from datetime import timedelta
 from functools import partial
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from stayframe.functions.timeutil import hours
 from stayframe.operators.assemble import View, assemble
 from stayframe.operators.cohort import CohortRules, build_cohort
 from stayframe.operators.lookback import lookback, pick_items
 from stayframe.operators.scale import (
-    MEASURE, Sizes, assert_unique, fresh_folder, in_parallel, join_cohort, with_cohort, with_largest, written)
-from stayframe.plans import views
+    MEASURE, Sizes, assert_unique, fits_task, fresh_folder, in_parallel, join_cohort, with_cohort, with_largest, written)
+from stayframe.operators.scores import COMPONENTS
+from stayframe.plans import passes, views
 from stayframe.plans.concepts import Concepts
 from stayframe.plans.views import INDEX, Tables
 from stayframe.sources.tables import column_names
@@ -42,6 +43,10 @@ FINAL_ICD = {
     "respfail": "resp_flg", "endocarditis": "endocarditis_flg", "ards": "ards_flg",
     "pneumonia": "pneumonia_flg",
 }
+FINAL = [
+    *FINAL_COHORT, "weight_first", "height_first", "bmi", "service_unit", "sofa_first",
+    *FINAL_VITALS.values(), *FINAL_LABS, *FINAL_ICD.values(),
+]
 WIDE_COHORT_1 = [
     "subject_id", "hadm_id", "icustay_id", "icustay_intime", "initial_aline_flg", "aline_flg",
     "aline_time_day", "icu_los_day", "hospital_los_day", "age", "gender_num",
@@ -60,6 +65,7 @@ WIDE_ANES = ["anes_flg", "anes_day", "anes_free_day", "anes_b4_aline"]
 WIDE_VITALS = {"map": "map_1st", "heartrate": "hr_1st", "temperature": "temp_1st", "spo2": "spo2_1st"}
 WIDE_CRIT = ["hct_med", "hct_lowest", "hct_highest", "hct_abnormal_flg"]
 WIDE_LABS = ["wbc", "hgb", "platelet", "sodium", "potassium", "tco2", "chloride", "bun", "creatinine"]
+DOSES = ("inputevents_cv", "inputevents_mv")
 WIDE_STATUS = ["dnr_adm_flg", "dnr_switch_flg", "cmo_switch_flg", "dnr_cmo_switch_flg"]
 
 
@@ -76,12 +82,20 @@ EXTRACT_HOURS = {"labevents": max(views.LAB_HOURS.values())}
 
 def in_span(events: DataFrame, cohort: DataFrame, before_hours: float) -> DataFrame:
     """Events between the cohort's first and last window, as constants the scan can use."""
-    span = cohort.agg(
-        (F.min(INDEX) - hours(before_hours)).alias("low"), F.max(INDEX).alias("high")).first()
-    if span["low"] is None:
-        return events
-    low, high = (F.lit(str(span[side])).cast("timestamp_ntz") for side in ("low", "high"))
-    return events.filter(F.col("charttime").between(low, high))
+    return span_filter(cohort)(events, before_hours)
+
+
+def span_filter(cohort: DataFrame):
+    """``in_span`` of a cohort whose span is looked up once."""
+    span = cohort.agg(F.min(INDEX).alias("low"), F.max(INDEX).alias("high")).first()
+
+    def within(events: DataFrame, before_hours: float) -> DataFrame:
+        if span["low"] is None:
+            return events
+        low, high = (F.lit(str(time)).cast("timestamp_ntz") for time in (span["low"] - timedelta(hours=before_hours), span["high"]))
+        return events.filter(F.col("charttime").between(low, high))
+
+    return within
 
 
 def flat(groups: dict[str, list[int]]) -> list[int]:
@@ -184,24 +198,75 @@ class Study:
             "vaso": views.view_vaso(cohort, tables, c, sizes=sizes),
         }
 
+    def stats(self, cohort: DataFrame) -> DataFrame | None:
+        """Every measurement of each stay in one pass; None when a stay has too many events for one task."""
+        c, sizes = self.concepts, with_cohort(self.sizes, cohort)
+        events = passes.stay_events(cohort, self.tables, c, self.flag_concepts or c, span_filter(cohort), sizes)
+        return passes.stay_stats(events, c) if fits_task(events, ["icustay_id"], self.sizes) else None
+
+    def measured(self, cohort: DataFrame, stats: DataFrame, echodata: DataFrame) -> DataFrame:
+        return passes.measured(cohort, stats, echodata, self.concepts)
+
+    def other_views(self, cohort: DataFrame, tables: Tables, sizes: Sizes) -> dict[str, DataFrame]:
+        """The views that are not measurements: codes, drugs and volumes."""
+        c = self.concepts
+        codes = passes.code_views(cohort, tables, c, sizes)
+        key, verdict = ["subject_id", "hadm_id", "icustay_id"], ["infection", "explicit_sepsis", "organ_dysfunction", "mech_vent", "angus"]
+        return {
+            "icd": codes.select("hadm_id", *c.comorbidities),
+            "sepsis": codes.select(*key, *verdict),
+            "anaesthesia": views.view_anaesthesia(cohort, tables, c, sizes=sizes),
+            "rbc": views.view_rbc(cohort, tables, c, sizes=sizes),
+            "vaso": views.view_vaso(cohort, tables, c, sizes=sizes),
+        }
+
     def final(self) -> DataFrame:
         """The analysis table straight from the source tables."""
-        cohort, tables, sizes = self.prepare()
-        echodata = views.view_echodata(cohort, tables, self.concepts, sizes)
-        return self.final_table(cohort, self.base_views(cohort, tables, echodata, sizes))
+        cohort = self.cohort()
+        stats, sizes = self.stats(cohort), with_cohort(self.sizes, cohort)
+        if stats is None:
+            cohort, tables, sizes = self.prepare(cohort=cohort)
+            echodata = views.view_echodata(cohort, tables, self.concepts, sizes)
+            return self.final_table(cohort, self.base_views(cohort, tables, echodata, sizes))
+        echodata = views.view_echodata(cohort, self.tables, self.concepts, sizes)
+        codes = passes.code_views(cohort, self.tables, self.concepts, sizes).drop("subject_id", "icustay_id")
+        # the score's parts have names of code groups
+        rows = self.measured(cohort, stats, echodata).drop(*COMPONENTS).join(codes, "hadm_id", "left")
+        names = {
+            "icustay_intime": "intime", "icustay_outtime": "outtime", "sofa_first": "sofa", "weight_first": "weight",
+            "height_first": "height", **{new: f"vitals_{old}" for old, new in FINAL_VITALS.items()},
+            **{n: passes.lab_names(self.concepts)[n] for n in FINAL_LABS}, **{new: old for old, new in FINAL_ICD.items()}}
+        return self.chosen(rows, FINAL, names, ["angus", "vaso_flg"])
+
+    @staticmethod
+    def chosen(rows: DataFrame, keep: list[str], names: dict[str, str], exclude: list[str]) -> DataFrame:
+        """Columns ``keep`` of the rows, some under other names, without the rows with an exclusion flag."""
+        rows = assemble(rows, [], rows.columns, exclude, unique="icustay_id")
+        return rows.select(*[F.col(names.get(n, n)).alias(n) for n in keep]).orderBy("icustay_id")
 
     def wide(self) -> DataFrame:
         """The wide covariate table straight from the source tables."""
-        c = self.concepts
-        cohort, tables, sizes = self.prepare()
+        c, cohort = self.concepts, self.cohort()
+        stats = self.stats(cohort)
+        cohort, tables, sizes = self.prepare(*(EXTRACT_KEYS if stats is None else DOSES), cohort=cohort)
         needed = {
             "echodata": views.view_echodata(cohort, tables, c, sizes),
             "icd": views.view_icd(cohort, tables, c, sizes=sizes),
-            "vitals": views.view_vitals(cohort, tables, c, sizes),
-            "vaso_flg": views.view_vaso_flg(cohort, tables, self.flag_concepts or c, sizes),
-            **self.extra_views(cohort, tables, sizes),
+            "vaso": views.view_vaso(cohort, tables, c, sizes=sizes),
+            "anaesthesia": views.view_anaesthesia(cohort, tables, c, sizes=sizes),
         }
-        return self.wide_table(cohort, needed)
+        if stats is None:
+            needed |= {
+                "vitals": views.view_vitals(cohort, tables, c, sizes),
+                "vaso_flg": views.view_vaso_flg(cohort, tables, self.flag_concepts or c, sizes),
+                "codestatus": views.view_codestatus(cohort, tables, c, sizes),
+                "labs_all": views.view_lab_panel(cohort, tables, c, sizes),
+            }
+            return self.wide_table(cohort, needed)
+        rows, found = self.measured(cohort, stats, needed["echodata"]), passes.columns_of(c)
+        rows = rows.select(*cohort.columns, *[F.col(f"vitals_{old}").alias(new) for old, new in WIDE_VITALS.items()],
+                           *found["labs_all"], *[F.col(n) for n in WIDE_STATUS], F.col("vaso_flg").alias("_exposed"))
+        return self.wide_table(rows, needed)
 
     def final_table(self, cohort: DataFrame, v: dict[str, DataFrame]) -> DataFrame:
         """The analysis table: one row per included stay, late exclusions applied."""
@@ -216,14 +281,13 @@ class Study:
             View("vitals", v["vitals"], "hadm_id", FINAL_VITALS),
             View("labs", v["labs"], "hadm_id", as_is(*FINAL_LABS)),
         ]
-        keep = [
-            *FINAL_COHORT, "weight_first", "height_first", "bmi", "service_unit", "sofa_first",
-            *FINAL_VITALS.values(), *FINAL_LABS, *FINAL_ICD.values(),
-        ]
-        return assemble(stays, attached, keep, ["_septic", "_exposed"], unique="icustay_id").orderBy("icustay_id")
+        return assemble(stays, attached, FINAL, ["_septic", "_exposed"], unique="icustay_id").orderBy("icustay_id")
 
     def wide_table(self, cohort: DataFrame, v: dict[str, DataFrame]) -> DataFrame:
-        """The wide covariate table; missing external scores become typed NULLs."""
+        """The wide covariate table; missing external scores become typed NULLs.
+
+        ``cohort`` may have the columns of measurement views already; those are not in ``v`` then.
+        """
         t = self.tables
         for name, key in EXTERNAL_KEYS.items():
             if t.get(name) is not None:
@@ -238,13 +302,14 @@ class Study:
                  {"angus": "int"}),
             View("echodata", v["echodata"], "icustay_id", as_is("weight_first", "height_first", "bmi")),
             View("vaso", v["vaso"], "icustay_id", as_is(*WIDE_VASO)),
-            View("vaso_flg", v["vaso_flg"], "icustay_id", {"vaso_flg": "_exposed"}),
             View("anaesthesia", v["anaesthesia"], "icustay_id", as_is(*WIDE_ANES)),
             View("icd", v["icd"], "hadm_id", icd),
-            View("vitals", v["vitals"], "hadm_id", WIDE_VITALS),
-            View("labs_all", v["labs_all"], "hadm_id", as_is(*WIDE_CRIT, *lab_columns)),
-            View("codestatus", v["codestatus"], "icustay_id", as_is(*WIDE_STATUS)),
         ]
+        measures = {
+            "vaso_flg": ("icustay_id", {"vaso_flg": "_exposed"}), "vitals": ("hadm_id", WIDE_VITALS),
+            "labs_all": ("hadm_id", as_is(*WIDE_CRIT, *lab_columns)), "codestatus": ("icustay_id", as_is(*WIDE_STATUS)),
+        }
+        attached += [View(name, v[name], *how) for name, how in measures.items() if name in v]
         keep = [
             *WIDE_COHORT_1, "weight_first", "height_first", "bmi", "sapsi_first", "sofa_first",
             *WIDE_COHORT_2, *WIDE_VASO, *WIDE_ANES, "sepsis_flg", *icd.values(),
@@ -292,12 +357,17 @@ def build_all(spark: SparkSession, study: Study, folder: str | None = None,
         return stored[name]
 
     cohort = store("cohort", study.cohort())
-    cohort, tables, sizes = study.prepare(cohort=cohort)
+    stats = study.stats(cohort)
+    cohort, tables, sizes = study.prepare(*(EXTRACT_KEYS if stats is None else DOSES), cohort=cohort)
     echodata = store("echodata", views.view_echodata(cohort, tables, study.concepts, sizes))
-    independent = {
-        **study.base_views(cohort, tables, echodata, sizes),
-        **study.extra_views(cohort, tables, sizes),
-    }
+    if stats is None:
+        independent = {
+            **study.base_views(cohort, tables, echodata, sizes),
+            **study.extra_views(cohort, tables, sizes),
+        }
+    else:
+        rows = written(study.measured(cohort, stats, echodata), "measured")
+        independent = {**passes.views_of(rows, study.concepts), **study.other_views(cohort, tables, sizes)}
     in_parallel([partial(store, name, df) for name, df in independent.items()])
     finals = {"data": study.final_table, "data_full": study.wide_table}
     in_parallel([
