@@ -272,18 +272,13 @@ def paired_pivot(spark, folder):
     return tidy(L.paired_rows(rows, ["subject_id", "charttime"], columns, "po2"))
 
 
-def panel_of(spark, folder):
-    cohort, found, sizes = mapped.study(spark, folder).prepare("labevents")
-    return V.view_lab_panel(cohort, found, CONCEPTS, sizes)
-
-
 def lab_panel(spark, folder):
-    panel = panel_of(spark, folder)
+    panel = mapped.study(spark, folder).view("labs_all")
     return tidy(panel.select(*[c for c in panel.columns if not c.endswith("_abnormal_flg")]))
 
 
 def lab_abnormal(spark, folder):
-    panel = panel_of(spark, folder)
+    panel = mapped.study(spark, folder).view("labs_all")
     return panel.select("hadm_id", *[c for c in panel.columns if c.endswith("_abnormal_flg")])
 
 
@@ -466,8 +461,7 @@ def prev_value_score(spark, folder):
 
 
 def organ_score(spark, folder):
-    cohort, found, sizes = mapped.study(spark, folder).prepare("chartevents", "labevents")
-    return V.view_sofa(cohort, found, CONCEPTS, sizes)
+    return mapped.study(spark, folder).view("sofa")
 
 
 def note_fields(spark, folder):
@@ -475,9 +469,7 @@ def note_fields(spark, folder):
 
 
 def body_measure(spark, folder):
-    cohort, found, sizes = mapped.study(spark, folder).prepare("chartevents")
-    echodata = V.view_echodata(cohort, found, CONCEPTS, sizes)
-    return tidy(V.view_bmi(cohort, found, CONCEPTS, echodata, sizes))
+    return tidy(mapped.study(spark, folder).view("bmi"))
 
 
 # -- assembly ---------------------------------------------------------------

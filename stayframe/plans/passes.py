@@ -162,11 +162,12 @@ def stay_stats(events: DataFrame, c: Concepts) -> DataFrame:
     return reduced(rows, statistics(f), also)
 
 
-def measured(cohort: DataFrame, stats: DataFrame, echodata: DataFrame, c: Concepts) -> DataFrame:
-    """Cohort stays with all measurements, scores, body measures and status flags."""
-    rows = cohort.join(stats, STAY, "left").join(echo_parts(echodata), STAY, "left")
-    rows = organ_points(rows, rows.columns)
-    rows = body_columns(named_history(rows, c.code_status))
+def measured(cohort: DataFrame, stats: DataFrame, echodata: DataFrame | None, c: Concepts) -> DataFrame:
+    """Cohort stays with all measurements, scores, body measures (given reports) and status flags."""
+    rows = cohort.join(stats, STAY, "left")
+    if echodata is not None:
+        rows = body_columns(rows.join(echo_parts(echodata), STAY, "left"))
+    rows = named_history(organ_points(rows, rows.columns), c.code_status)
     rows = rows.withColumn("vaso_flg", F.coalesce("vaso_flg", F.lit(0)))
     crit = hematocrit_flag(F.col("gender_num"), F.col("hct_med"))
     return switch_flags(rows).withColumn("hct_abnormal_flg", crit)
@@ -215,7 +216,26 @@ VIEW_KEYS = {"labs": ADMISSION, "vitals": ADMISSION, "labs_all": ADMISSION, "sof
 
 def views_of(rows: DataFrame, c: Concepts) -> dict[str, DataFrame]:
     """The study's measurement views from ``measured`` rows."""
-    return {name: rows.select(*VIEW_KEYS[name], *columns) for name, columns in columns_of(c).items()}
+    given = {name: columns for name, columns in columns_of(c).items() if name != "bmi" or "height_echo" in rows.columns}
+    return {name: rows.select(*VIEW_KEYS[name], *columns) for name, columns in given.items()}
+
+
+def side_by_side(cohort: DataFrame, views: dict[str, DataFrame], c: Concepts) -> DataFrame:
+    """``measured`` rows from views that were made one by one."""
+    rows = cohort
+    for name, columns in columns_of(c).items():
+        view, key = views[name], VIEW_KEYS[name][-1]
+        internal = [F.col(new).alias(old) for new, old in _renamed(name, c).items()]
+        rows = rows.join(view.select(key, *internal), key, "left")
+    mark = next(old for new, old in panel_names(c).items() if new.endswith("_flg"))
+    return rows.withColumn("panel_seen", F.when(F.col(mark).isNotNull(), 1))
+
+
+def _renamed(view: str, c: Concepts) -> dict[str, str]:
+    """Name in ``measured`` rows of each column of a view."""
+    given = {"labs": lab_names(c), "vitals": vital_names(c), "labs_all": {n: n for n in CRIT} | panel_names(c)}
+    same = {"sofa": ["sofa", *COMPONENTS], "bmi": BODY, "vaso_flg": ["vaso_flg"], "codestatus": STATUS}
+    return given.get(view) or {n: n for n in same[view]}
 
 
 def code_views(cohort: DataFrame, tables: Tables, c: Concepts, sizes: Sizes) -> DataFrame:

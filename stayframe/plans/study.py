@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-import os
+import uuid
 from collections import ChainMap
 from collections.abc import Iterable
 from dataclasses import dataclass, field
@@ -18,9 +18,11 @@ from stayframe.operators.scale import (
     MEASURE, Sizes, assert_unique, fits_task, fresh_folder, in_parallel, join_cohort, with_cohort, with_largest, written)
 from stayframe.operators.scores import COMPONENTS
 from stayframe.plans import passes, views
+from stayframe.plans.manifest import Run, Step, publish, source_fingerprint
 from stayframe.plans.concepts import Concepts
 from stayframe.plans.views import INDEX, Tables
-from stayframe.sources.tables import column_names
+from stayframe.sources import files
+from stayframe.sources.tables import EXTERNAL, SCHEMAS, column_names
 
 # Columns of the final table that come from the cohort, in order.
 FINAL_COHORT = [
@@ -47,6 +49,7 @@ FINAL = [
     *FINAL_COHORT, "weight_first", "height_first", "bmi", "service_unit", "sofa_first",
     *FINAL_VITALS.values(), *FINAL_LABS, *FINAL_ICD.values(),
 ]
+SEPSIS = ["subject_id", "hadm_id", "icustay_id", "infection", "explicit_sepsis", "organ_dysfunction", "mech_vent", "angus"]
 WIDE_COHORT_1 = [
     "subject_id", "hadm_id", "icustay_id", "icustay_intime", "initial_aline_flg", "aline_flg",
     "aline_time_day", "icu_los_day", "hospital_los_day", "age", "gender_num",
@@ -174,17 +177,17 @@ class Study:
         groups = [(tables[name], [EXTRACT_KEYS[name]]) for name in names]
         return cohort, tables, with_largest(sizes, *groups)
 
-    def base_views(self, cohort: DataFrame, tables: Tables, echodata: DataFrame,
+    def base_views(self, cohort: DataFrame, tables: Tables, echodata: DataFrame | None,
                    sizes: Sizes) -> dict[str, DataFrame]:
         c = self.concepts
         flags = self.flag_concepts or c
-        return {
+        found = {} if echodata is None else {"bmi": views.view_bmi(cohort, tables, c, echodata, sizes)}
+        return found | {
             "icd": views.view_icd(cohort, tables, c, sizes=sizes),
             "labs": views.view_labs(cohort, tables, c, sizes),
             "sofa": views.view_sofa(cohort, tables, c, sizes),
             "vitals": views.view_vitals(cohort, tables, c, sizes),
             "vaso_flg": views.view_vaso_flg(cohort, tables, flags, sizes),
-            "bmi": views.view_bmi(cohort, tables, c, echodata, sizes),
             "sepsis": views.view_sepsis(cohort, tables, c, sizes),
         }
 
@@ -204,21 +207,30 @@ class Study:
         events = passes.stay_events(cohort, self.tables, c, self.flag_concepts or c, span_filter(cohort), sizes)
         return passes.stay_stats(events, c) if fits_task(events, ["icustay_id"], self.sizes) else None
 
-    def measured(self, cohort: DataFrame, stats: DataFrame, echodata: DataFrame) -> DataFrame:
+    def measured(self, cohort: DataFrame, stats: DataFrame, echodata: DataFrame | None) -> DataFrame:
         return passes.measured(cohort, stats, echodata, self.concepts)
 
-    def other_views(self, cohort: DataFrame, tables: Tables, sizes: Sizes) -> dict[str, DataFrame]:
-        """The views that are not measurements: codes, drugs and volumes."""
+    def view(self, name: str) -> DataFrame:
+        """One measurement view straight from the source tables."""
+        cohort = self.cohort()
+        stats, sizes = self.stats(cohort), with_cohort(self.sizes, cohort)
+        echodata = views.view_echodata(cohort, self.tables, self.concepts, sizes) if name == "bmi" else None
+        if stats is not None:
+            return passes.views_of(self.measured(cohort, stats, echodata), self.concepts)[name]
+        cohort, tables, sizes = self.prepare(cohort=cohort)
+        return {**self.base_views(cohort, tables, echodata, sizes), **self.extra_views(cohort, tables, sizes)}[name]
+
+    def all_tables(self) -> dict[str, DataFrame]:
+        """The source tables and those external scores that are given."""
+        found = {name: self.tables[name] for name in SCHEMAS}
+        return found | {name: self.tables.get(name) for name in EXTERNAL}
+
+    def measured_apart(self, cohort: DataFrame, echodata: DataFrame) -> DataFrame:
+        """As ``measured``, made view by view, for stays too large for one task."""
         c = self.concepts
-        codes = passes.code_views(cohort, tables, c, sizes)
-        key, verdict = ["subject_id", "hadm_id", "icustay_id"], ["infection", "explicit_sepsis", "organ_dysfunction", "mech_vent", "angus"]
-        return {
-            "icd": codes.select("hadm_id", *c.comorbidities),
-            "sepsis": codes.select(*key, *verdict),
-            "anaesthesia": views.view_anaesthesia(cohort, tables, c, sizes=sizes),
-            "rbc": views.view_rbc(cohort, tables, c, sizes=sizes),
-            "vaso": views.view_vaso(cohort, tables, c, sizes=sizes),
-        }
+        cohort, tables, sizes = self.prepare(cohort=cohort)
+        found = {**self.base_views(cohort, tables, echodata, sizes), **self.extra_views(cohort, tables, sizes)}
+        return passes.side_by_side(cohort, {n: found[n] for n in passes.VIEW_KEYS}, c)
 
     def final(self) -> DataFrame:
         """The analysis table straight from the source tables."""
@@ -327,56 +339,73 @@ VIEW_KEYS = {
 }
 
 
-def stored_in(folder: str, name: str, df: DataFrame) -> DataFrame:
-    """Write one view into the run's folder and read it back."""
-    path = os.path.join(folder, name)
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
-
-
 def drop_build(spark: SparkSession, folder: str) -> None:
     """Delete the folder of an earlier run, wherever it is stored."""
-    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
-    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+    files.delete(spark, folder)
+
+
+def build_steps(study: Study) -> list[Step]:
+    """Tables of a build in terms of those before them; names in ``VIEW_KEYS`` are the views, others are for them."""
+    c = study.concepts
+
+    def measurement(name: str):
+        return lambda t: passes.views_of(t["measured"], c)[name]
+
+    def drug(view):
+        def make(t: dict[str, DataFrame]) -> DataFrame:
+            names, sizes = [f"{n}_rows" for n in DOSES], with_cohort(study.sizes, t["cohort"])
+            rows = ChainMap({n: t[r] for n, r in zip(DOSES, names)}, study.tables)
+            sizes = with_largest(sizes, *[(t[r], ["icustay_id"]) for r in names])
+            return view(t["cohort"], rows, c, sizes=sizes)
+        return make
+
+    def dose_rows(name: str):
+        return lambda t: study.extract(t["cohort"], with_cohort(study.sizes, t["cohort"]), [name])[name]
+
+    def measured(t: dict[str, DataFrame]) -> DataFrame:
+        stats = study.stats(t["cohort"])
+        if stats is None:
+            return study.measured_apart(t["cohort"], t["echodata"])
+        return study.measured(t["cohort"], stats, t["echodata"])
+
+    rows = tuple(f"{n}_rows" for n in DOSES)
+    finals = {"data": study.final_table, "data_full": study.wide_table}
+    views_needed = [n for n in VIEW_KEYS if n not in finals]
+    return [
+        Step("cohort", (), lambda t: study.cohort()),
+        Step("echodata", ("cohort",), lambda t: views.view_echodata(t["cohort"], study.tables, c, with_cohort(study.sizes, t["cohort"]))),
+        Step("codes", ("cohort",), lambda t: passes.code_views(t["cohort"], study.tables, c, with_cohort(study.sizes, t["cohort"]))),
+        *[Step(f"{n}_rows", ("cohort",), dose_rows(n)) for n in DOSES],
+        Step("measured", ("cohort", "echodata"), measured),
+        *[Step(n, ("measured",), measurement(n)) for n in passes.VIEW_KEYS],
+        Step("icd", ("codes",), lambda t: t["codes"].select("hadm_id", *c.comorbidities)),
+        Step("sepsis", ("codes",), lambda t: t["codes"].select(*SEPSIS)),
+        *[Step(n, ("cohort", *rows), drug(view)) for n, view in
+          {"vaso": views.view_vaso, "anaesthesia": views.view_anaesthesia, "rbc": views.view_rbc}.items()],
+        *[Step(n, tuple(views_needed), lambda t, make=make: make(t["cohort"], t)) for n, make in finals.items()],
+    ]
 
 
 def build_all(spark: SparkSession, study: Study, folder: str | None = None,
-              register: bool = False, replaces: str | None = None) -> dict[str, DataFrame]:
+              register: bool = False, replaces: str | None = None, root: str | None = None) -> dict[str, DataFrame]:
     """Write every view and both final tables in dependency order.
 
-    All files of a run go to one new folder, so a failed run never leaves a
-    half-replaced view; a rebuild is a new run. ``register`` replaces the temp
-    views ``study_<name>`` once the whole run is complete, and ``replaces`` is the
-    folder of an earlier run to delete then.
+    All files of a run go to one folder, a new one by default. With the folder of a run that failed it goes on
+    with what is complete there (see ``manifest``). ``root`` publishes the run under its name in that folder
+    once all views are complete. ``register`` replaces the temp
+    views ``study_<name>`` then, and ``replaces`` is the folder of an earlier run to delete.
     """
-    folder = folder or fresh_folder(spark, "study")
-    stored: dict[str, DataFrame] = {}
-
-    def store(name: str, df: DataFrame) -> DataFrame:
-        stored[name] = stored_in(folder, name, df)
-        return stored[name]
-
-    cohort = store("cohort", study.cohort())
-    stats = study.stats(cohort)
-    cohort, tables, sizes = study.prepare(*(EXTRACT_KEYS if stats is None else DOSES), cohort=cohort)
-    echodata = store("echodata", views.view_echodata(cohort, tables, study.concepts, sizes))
-    if stats is None:
-        independent = {
-            **study.base_views(cohort, tables, echodata, sizes),
-            **study.extra_views(cohort, tables, sizes),
-        }
-    else:
-        rows = written(study.measured(cohort, stats, echodata), "measured")
-        independent = {**passes.views_of(rows, study.concepts), **study.other_views(cohort, tables, sizes)}
-    in_parallel([partial(store, name, df) for name, df in independent.items()])
-    finals = {"data": study.final_table, "data_full": study.wide_table}
-    in_parallel([
-        partial(store, name, make(cohort, stored))
-        for name, make in finals.items()
-    ])
+    if root is not None and folder is None:
+        folder = f"{root}/run-{uuid.uuid4().hex}"
+    folder = (folder or fresh_folder(spark, "study")).rstrip("/")
+    settings = repr([study.concepts, study.flag_concepts, study.rules, study.sizes])
+    run = Run(spark, folder, source_fingerprint(spark, dict(study.all_tables()), settings))
+    stored = run.all(build_steps(study))
+    if root is not None:
+        publish(spark, root, folder.removeprefix(f"{root.rstrip('/')}/"), list(VIEW_KEYS))
     if register:
-        for name, df in stored.items():
-            df.createOrReplaceTempView(f"study_{name}")
+        for name in VIEW_KEYS:
+            stored[name].createOrReplaceTempView(f"study_{name}")
     if replaces:
         drop_build(spark, replaces)
     return {name: stored[name] for name in VIEW_KEYS}
