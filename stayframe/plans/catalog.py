@@ -499,6 +499,26 @@ def build_all(spark, folder):
     return build.build_report(build.build_all(spark, mapped.study(spark, folder)))
 
 
+def build_rows(spark, folder):
+    """Every number in every stored view of a build."""
+    return build.build_numbers(build.build_all(spark, mapped.study(spark, folder)))
+
+
+def final_broad(spark, folder):
+    """The analysis table of nearly all first stays."""
+    return tidy(mapped.broad_study(spark, folder).final())
+
+
+def wide_broad(spark, folder):
+    return tidy(mapped.broad_study(spark, folder).wide())
+
+
+def ratio_broad(spark, folder):
+    """As ``asof_ratio``, for nearly all first stays."""
+    study = mapped.broad_study(spark, folder)
+    return tidy(S.asof_ratio(study.cohort(), study.tables["labevents"], study.tables["chartevents"], CONCEPTS.gas, CONCEPTS.fio2))
+
+
 QUERIES: dict[str, Query] = {
     f.__name__: f for f in (
         scalar_time, scalar_text, scalar_numeric, null_logic, scan_chart_items, scan_lab_items,
@@ -510,6 +530,6 @@ QUERIES: dict[str, Query] = {
         order_intervals, merge_intervals, anti_overlap, episode_sequence, union_episodes,
         episode_features, episode_features_merged, anaesthesia_features, prorated_volume,
         asof_ratio, asof_values, asof_unknown, merge_unknown, anti_unknown, prev_value_score, organ_score, note_fields, body_measure,
-        assemble_final, assemble_wide, assemble_scored, build_all,
+        assemble_final, assemble_wide, assemble_scored, build_all, build_rows, final_broad, wide_broad, ratio_broad,
     )
 }

@@ -707,4 +707,26 @@ def statement(body: str) -> str:
     return "WITH " + ",\n".join(f"{name} AS ({CTES[name]})" for name in ordered) + "\n" + body
 
 
-ORACLES: dict[str, str] = {name: statement(body) for name, body in BODIES.items()}
+def numbers(name: str, view: str) -> str:
+    """Every known number of a view, one to a row."""
+    key = study.VIEW_KEYS[name]
+    cells = f"TRY_CAST(CAST(COLUMNS(* EXCLUDE ({key})) AS VARCHAR) AS DOUBLE)"
+    return f"""SELECT '{name}' AS view, id, field, {r6('value', 'value')} FROM (UNPIVOT (SELECT {key} AS id, {cells} FROM {view})
+      ON COLUMNS(* EXCLUDE (id)) INTO NAME field VALUE value)"""
+
+
+BROAD = """SELECT * FROM flagged WHERE stay_num = 1 AND icu_los_day > -1 AND initial_aline_flg = 0
+      AND vent_starttime < intime + INTERVAL 100000 HOUR AND service_unit <> 'none'"""
+
+
+def broad(body: str) -> str:
+    """The statement over the broad cohort, without late exclusions."""
+    return statement(body.split("WHERE coalesce(")[0]).replace(CTES["cohort"], BROAD)
+
+
+ORACLES: dict[str, str] = {name: statement(body) for name, body in BODIES.items()} | {
+    "build_rows": statement(" UNION ALL ".join(numbers(name, view) for name, view in STORED.items())),
+    "final_broad": broad(final_sql()),
+    "wide_broad": broad(wide_sql()),
+    "ratio_broad": broad(BODIES["asof_ratio"]),
+}

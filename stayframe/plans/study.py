@@ -13,6 +13,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from stayframe.operators.assemble import View, assemble
 from stayframe.operators.cohort import CohortRules, build_cohort
+from stayframe.operators.fused import stream
 from stayframe.operators.lookback import lookback, pick_items
 from stayframe.operators.scale import (
     MEASURE, Sizes, assert_unique, fits_task, fresh_folder, in_parallel, join_cohort, with_cohort, with_largest, written)
@@ -411,6 +412,18 @@ def build_all(spark: SparkSession, study: Study, folder: str | None = None,
     return {name: stored[name] for name in VIEW_KEYS}
 
 
+def build_numbers(stored: dict[str, DataFrame]) -> DataFrame:
+    """(view, id, field, value) for every known number of the stored views, rounded to 6 digits."""
+    parts = []
+    for name, df in stored.items():
+        key = VIEW_KEYS[name]
+        cells = [F.struct(F.lit(c).alias("field"), F.col(c).cast("string").try_cast("double").alias("value"))
+                 for c in df.columns if c != key]
+        rows = df.select(F.lit(name).alias("view"), F.col(key).alias("id"), F.inline(F.array(*cells)))
+        parts.append(rows.filter("value IS NOT NULL").withColumn("value", F.round("value", 6)))
+    return stream(parts)
+
+
 def build_report(stored: dict[str, DataFrame]) -> DataFrame:
     """Rows and distinct keys of each stored view; equal numbers mean the key is unique."""
     parts = [

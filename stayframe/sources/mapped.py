@@ -8,9 +8,12 @@ code with its own dictionary (``CONCEPTS``).
 
 from __future__ import annotations
 
+from dataclasses import replace
+
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from stayframe.functions.numeric import INCH_IN_CM
+from stayframe.operators.codes import CodeRule, SepsisRule
 from stayframe.operators.cohort import CohortRules
 from stayframe.plans.concepts import LAB_PANEL, LABS, Concepts, same
 from stayframe.operators.lookback import Item, labels_of
@@ -229,5 +232,16 @@ FLAG_CONCEPTS = Concepts(vasopressor_points=(7,), vasopressor_intervals=(5,))
 RULES = CohortRules(vent_within_hours=48)
 
 
+# A cohort of nearly all first stays, without late exclusions, for results of more rows.
+NEVER = CodeRule(exact=("none",))
+BROAD_CONCEPTS = replace(CONCEPTS, sepsis=SepsisRule(NEVER, NEVER, NEVER, NEVER))
+BROAD_FLAGS = Concepts(vasopressor_points=(99,), vasopressor_intervals=(99,))
+BROAD_RULES = CohortRules(vent_within_hours=100_000, min_days=-1.0, excluded_services=("none",))
+
+
+def broad_study(spark: SparkSession, folder: str) -> Study:
+    return Study(tables(spark, folder), BROAD_CONCEPTS, BROAD_RULES, BROAD_FLAGS)
+
+
 def study(spark: SparkSession, folder: str) -> Study:
     return Study(tables(spark, folder), CONCEPTS, RULES, FLAG_CONCEPTS)

@@ -85,6 +85,20 @@ def test_mapped_records_push_the_event_type(spark, folder):
     assert "value:double" not in text
 
 
+@pytest.mark.parametrize("make, scans, broadcasts", [("final", 12, 8), ("wide", 24, 12)])
+def test_events_are_read_once(spark, folder, make, scans, broadcasts):
+    text = plan(getattr(mapped.study(spark, folder), make)())
+    assert len(re.findall(r"^\(\d+\) Scan parquet", text, re.M)) <= scans
+    assert len(re.findall(r"^\(\d+\) BroadcastExchange", text, re.M)) <= broadcasts
+    assert len(re.findall(r"/events-", text)) == 1
+
+
+def test_a_pass_shuffles_once(spark, folder):
+    study = mapped.study(spark, folder)
+    text = plan(study.stats(study.cohort()))
+    assert len(re.findall(r"^\(\d+\) Exchange", text, re.M)) == 1
+
+
 def test_no_python_workers(spark, folder):
     study = mapped.study(spark, folder)
     text = plan(study.final())
