@@ -14,12 +14,13 @@ chunk. Its index is over words, not characters:
 * Suffix positions are kept at the start of each stretch and at every ``SAMPLE``-th
   word; the others are found by stepping back to the nearest kept one.
 
-Occurrences become word spans; a text's spans are merged. The phrases are sent to
-the tasks in blocks of bounded size (``BLOCK_PHRASES``); with more than one block, each is searched in
-turn over the same shards and the spans of all blocks are merged.
+Occurrences become word spans; a text's spans are merged. The phrases are a written table in blocks of
+about ``BLOCK_PHRASES``; the driver and a task hold one block at a time, however large the benchmark
+is. With more than one block each is searched in a pass of its own and the spans are united.
 
-NULL texts and items have no words. Items without words have no phrases. Rows with
-one id are separate texts. Results do not depend on how texts fall into shards.
+Words are compared by 64-bit hashes, and texts by SHA-256 where passes are united. NULL texts and items have no words.
+Items without words have no phrases. Rows with one id are separate texts. Texts are read whole, in chunks. Results do not
+depend on how texts fall into shards. All columns of the user's rows come back as they are, whatever their names.
 """
 
 from __future__ import annotations
@@ -28,16 +29,15 @@ from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
-from pyspark.sql.types import StructType
 
 from .repeats import kept_bytes
+from .tables import free_name, tidy_memory, written
 from .words import CHUNK_BYTES, PLAIN, chunks, signed, words_of
 
 WINDOW, SAMPLE = 10, 8
-#: phrases one task holds (about 100 bytes each)
+#: phrases the driver and a task hold at a time (about 100 bytes each)
 BLOCK_PHRASES = 500_000
 SHARD_BYTES = CHUNK_BYTES
 
@@ -203,87 +203,120 @@ def occurrences(hashes: np.ndarray, first: np.ndarray, block: Block) -> tuple[np
     return origin[index.locate(rows)], phrase
 
 
-def _hits(blocks: list[tuple]):
-    """(id, text) rows to (id, words, spans of words that are hit, their bytes, items) per text."""
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        ready = [Block.of(rows) for rows in blocks]
-        for batch in batches:
+_SPAN = pa.struct([("start", pa.int64()), ("end", pa.int64()), ("first", pa.int64()), ("last", pa.int64())])
+_KINDS = [pa.field("n_words", pa.int64()), pa.field("n_hit", pa.int64()), pa.field("spans", pa.list_(_SPAN)), pa.field("items", pa.list_(pa.string()))]
+_FOUND = "n_words long, n_hit long, spans array<struct<start: long, end: long, first: long, last: long>>, items array<string>"
+
+
+def _hits(rows: list[tuple]):
+    """Texts to (words, words that are hit, spans of them in bytes and words, items)."""
+    def run(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        block = Block.of(rows)
+        for texts in batches:
             out: list[tuple] = []
-            for _, _, data, bounds in chunks(batch.column(1), SHARD_BYTES):
+            for _, _, data, bounds in chunks(texts, SHARD_BYTES):
                 words = words_of(data, bounds, PLAIN)
-                hit, pairs = np.zeros(len(words.hash) + 1, np.int64), []
-                for block in ready:
-                    start, phrase = occurrences(words.hash, words.first, block)
-                    np.add.at(hit, start, 1)
-                    np.add.at(hit, start + block.sizes[phrase], -1)
-                    text = np.searchsorted(words.first, start, "right") - 1
-                    pairs.extend((int(t), i) for t, p in set(zip(text.tolist(), phrase.tolist())) for i in block.items[p])
+                start, phrase = occurrences(words.hash, words.first, block)
+                hit = np.zeros(len(words.hash) + 1, np.int64)
+                np.add.at(hit, start, 1)
+                np.add.at(hit, start + block.sizes[phrase], -1)
+                text = np.searchsorted(words.first, start, "right") - 1
                 items: dict[int, set] = {}
-                for t, i in pairs:
-                    items.setdefault(t, set()).add(i)
+                for t, p in set(zip(text.tolist(), phrase.tolist())):
+                    items.setdefault(t, set()).update(block.items[p])
                 covered = np.cumsum(hit)[:-1] > 0
                 for t, (first, last) in enumerate(zip(words.first[:-1], words.first[1:])):
                     edge = np.diff(np.r_[0, covered[first:last].astype(np.int8), 0])
                     low, high = np.flatnonzero(edge == 1) + first, np.flatnonzero(edge == -1) + first
-                    spans = [{"start": int(words.start[a] - bounds[t]), "end": int(words.end[b - 1] - bounds[t])} for a, b in zip(low, high)]
+                    spans = [{"start": int(words.start[a] - bounds[t]), "end": int(words.end[b - 1] - bounds[t]),
+                              "first": int(a - first), "last": int(b - first)} for a, b in zip(low, high)]
                     out.append((int(last - first), int((high - low).sum()), spans, sorted(map(str, items.get(t, ())))))
             columns = list(zip(*out)) or [(), (), (), ()]
-            kinds = [pa.int64(), pa.int64(), pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())])), pa.list_(pa.string())]
-            yield pa.RecordBatch.from_arrays([*batch.columns, *(pa.array(c, k) for c, k in zip(columns, kinds))],
-                                             [*batch.schema.names, *_FOUND])
+            yield pa.StructArray.from_arrays([pa.array(c, f.type) for c, f in zip(columns, _KINDS)], fields=_KINDS)
+        tidy_memory()
     return run
 
 
-_FOUND = ["_n_words", "_n_hit", "_spans", "_items"]
-_FOUND_SCHEMA = "_n_words long, _n_hit long, _spans array<struct<start: long, end: long>>, _items array<string>"
+def _united(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+    """Spans of several blocks as one set of runs of words."""
+    for lists in batches:
+        out = []
+        for spans in lists.to_pylist():
+            runs: list[dict] = []
+            for x in sorted(spans or (), key=lambda x: x["first"]):
+                if runs and x["first"] <= runs[-1]["last"]:
+                    if x["last"] > runs[-1]["last"]:
+                        runs[-1] |= {"last": x["last"], "end": x["end"]}
+                else:
+                    runs.append(dict(x))
+            out.append(runs)
+        yield pa.array(out, pa.list_(_SPAN))
 
 
-def phrase_blocks(benchmark: DataFrame, item_col: str = "item_id", text_col: str = "text", window: int = WINDOW,
-                  limit: int = BLOCK_PHRASES) -> list[list[tuple]]:
-    """The different phrases and their items, in blocks of at most ``limit``.
+def phrase_table(benchmark: DataFrame, item_col: str = "item_id", text_col: str = "text", window: int = WINDOW,
+                 limit: int = BLOCK_PHRASES) -> tuple[DataFrame, int]:
+    """(written table (phrase, items, block), number of blocks of about ``limit`` phrases).
 
     The benchmark is the stated query set; its words are hashed, its texts are not sent.
     """
     found = benchmark.select(F.col(item_col).cast("string").alias("item"), F.col(text_col).cast("string").alias("text"))
     found = found.mapInArrow(_phrases(window), "item string, phrase array<long>").filter("size(phrase) > 0")
-    rows = found.groupBy("phrase").agg(F.collect_set("item").alias("items")).orderBy("phrase")
-    blocks: list[list[tuple]] = []
-    for row in rows.toLocalIterator():
-        if not blocks or len(blocks[-1]) >= limit:
-            blocks.append([])
-        blocks[-1].append((row["phrase"], row["items"]))
-    return blocks
+    rows = written(found.groupBy("phrase").agg(F.collect_set("item").alias("items")), "phrases")
+    blocks = max(1, -(-rows.count() // limit))
+    return rows.withColumn("block", F.pmod(F.xxhash64("phrase"), F.lit(blocks))), blocks
+
 
+def mark(docs: DataFrame, phrases: DataFrame, blocks: int = 1, text_col: str = "text", name: str = "found") -> DataFrame:
+    """All rows and columns of ``docs`` plus, under ``name``, what of the phrases their texts hold.
 
-def mark(docs: DataFrame, blocks: list[list[tuple]], text_col: str = "text") -> DataFrame:
-    """All rows and columns of ``docs`` plus what of the phrases their texts hold."""
-    columns = [c for c in docs.columns if c != text_col]
-    shaped = docs.select(F.struct(*columns).alias("_row"), F.col(text_col).alias("_text"))
-    schema = StructType([*shaped.schema.fields, *StructType.fromDDL(_FOUND_SCHEMA).fields])
-    found = shaped.mapInArrow(_hits(blocks), schema)
-    return found.select("_row.*", F.col("_text").alias(text_col), *_FOUND).select(*docs.columns, *_FOUND)
+    Only the texts go to Python. One block of phrases is on the driver and in a task at a time: with more, each is searched in a pass
+    of its own, whose hits are written by the texts' hashes; the passes' hits are united and joined to the documents.
+    """
+    def search(block: int):
+        rows = [(r["phrase"], r["items"]) for r in phrases.filter(F.col("block") == block).orderBy("phrase").toLocalIterator()]
+        return F.arrow_udf(_hits(rows), _FOUND)(F.col(text_col).cast("string"))
+
+    if blocks == 1:
+        return docs.withColumn(name, search(0))
+    texts = docs.select(F.sha2(F.col(text_col).cast("string"), 256).alias("key"), F.col(text_col)).filter(F.col(text_col).isNotNull())
+    parts = [written(texts.select("key", search(b).alias("found")).filter("found.n_hit > 0 OR size(found.items) > 0")
+                     .select("key", "found.spans", "found.items").dropDuplicates(["key"]), "hits") for b in range(blocks)]
+    hits = parts[0]
+    for part in parts[1:]:
+        hits = hits.unionByName(part)
+    hits = hits.groupBy("key").agg(F.flatten(F.collect_list("spans")).alias("spans"), F.array_sort(F.array_distinct(F.flatten(F.collect_list("items")))).alias("items"))
+    hits = hits.select("key", F.arrow_udf(_united, "array<struct<start: long, end: long, first: long, last: long>>")("spans").alias("spans"), "items")
+    n_hit = F.aggregate("spans", F.lit(0).cast("long"), lambda n, x: n + x["last"] - x["first"])
+    hits = hits.select(F.col("key").alias(free_name(docs, "key")), F.struct(n_hit.alias("n_hit"), "spans", "items").alias(free_name(docs, "hits")))
+    key, hit = hits.columns
+    counted = docs.withColumns({key: F.sha2(F.col(text_col).cast("string"), 256), name: F.arrow_udf(_hits([]), _FOUND)(F.col(text_col).cast("string"))})
+    joined = counted.join(hits, key, "left")
+    none = F.col(hit).isNull()
+    return joined.withColumn(name, F.struct(
+        F.col(f"{name}.n_words").alias("n_words"), *[F.when(none, F.col(f"{name}.{c}")).otherwise(F.col(f"{hit}.{c}")).alias(c) for c in ("n_hit", "spans", "items")])).select(
+        *docs.columns, name)
 
 
 def contamination(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text",
-                  window: int = WINDOW) -> DataFrame:
+                  window: int = WINDOW, limit: int = BLOCK_PHRASES) -> DataFrame:
     """(doc_id, n_words, n_hit, n_items, items_sha256, contaminated) for every row."""
     slim = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"))
-    found = mark(slim, phrase_blocks(benchmark, window=window), "text")
-    return found.select(
-        "doc_id", F.col("_n_words").alias("n_words"), F.col("_n_hit").alias("n_hit"),
-        F.size("_items").cast("long").alias("n_items"), F.sha2(F.array_join("_items", ","), 256).alias("items_sha256"),
-        (F.col("_n_hit") > 0).alias("contaminated"))
+    return mark(slim, *phrase_table(benchmark, window=window, limit=limit)).select(
+        "doc_id", "found.n_words", "found.n_hit", F.size("found.items").cast("long").alias("n_items"),
+        F.sha2(F.array_join("found.items", ","), 256).alias("items_sha256"), (F.col("found.n_hit") > 0).alias("contaminated"))
 
 
-def _without(texts: pd.Series, spans: pd.Series) -> pd.Series:
-    return pd.Series([
-        t if t is None or s is None or not len(s) else kept_bytes(t.encode(), [(x["start"], x["end"]) for x in s]).decode()
-        for t, s in zip(texts, spans)])
+def _without(batches: Iterator[tuple[pa.Array, pa.Array]]) -> Iterator[pa.Array]:
+    for texts, spans in batches:
+        yield pa.array([
+            t if t is None or not s else kept_bytes(t.encode(), [(x["start"], x["end"]) for x in s]).decode()
+            for t, s in zip(texts.to_pylist(), spans.to_pylist())], pa.string())
+    tidy_memory()
 
 
-def decontaminated(docs: DataFrame, benchmark: DataFrame, text_col: str = "text", window: int = WINDOW) -> DataFrame:
+def decontaminated(docs: DataFrame, benchmark: DataFrame, text_col: str = "text", window: int = WINDOW, limit: int = BLOCK_PHRASES) -> DataFrame:
     """The same rows and columns with the hit words, and what stands between them, cut out of the texts."""
-    found = mark(docs, phrase_blocks(benchmark, window=window), text_col)
-    cut = F.pandas_udf(_without, "string")
-    return found.withColumn(text_col, F.when(F.size("_spans") > 0, cut(F.col(text_col), F.col("_spans"))).otherwise(
-        F.col(text_col))).drop(*_FOUND)
+    name = free_name(docs, "found")
+    found = mark(docs, *phrase_table(benchmark, window=window, limit=limit), text_col, name)
+    cut = F.arrow_udf(_without, "string")(F.col(text_col), F.col(f"{name}.spans"))
+    return found.withColumn(text_col, F.when(F.size(f"{name}.spans") > 0, cut).otherwise(F.col(text_col))).drop(name)

@@ -1,9 +1,10 @@
 """Toxicity from the nearest labelled examples by exact TF-IDF cosine.
 
-*Features* are words and word beginnings (5 to 8 bytes), lower-cased, so that the forms of one
-stem meet. Those kept have a chi-squared statistic of ``CHI_SQUARED`` or more
-against the label in the sample, the best ``FEATURES`` of them. Their document frequencies are
-counted over all documents; weights are (1 + ln tf) * idf, scaled to length 1.
+*Features* are all lower-cased words of the sample, and those word beginnings (5 to 8 bytes) that tell the
+labels apart (chi-squared of ``CHI_SQUARED`` or more), so that the forms of one stem meet. Document frequencies are counted
+over all documents. Weights are (1 + ln tf) * idf, times the root of chi-squared where that is ``CHI_SQUARED`` or more,
+scaled to length 1. No feature of the sample is left out: a text that shares any word with it has neighbours, and a
+copy of an example finds that example.
 
 *Search.* The sample is a block-max inverted index: examples in blocks of
 ``BLOCK``, a posting list for each feature cut at block borders, and the largest weight
@@ -12,30 +13,36 @@ in each block. A text's blocks are visited in the order of their upper bounds, u
 
 *Score.* Neighbours vote with weight 1 / (distance + ``SOFTEN``), distance = 1 - cosine. The
 vote becomes a probability by a logistic curve fitted on the sample, each example searched without
-itself. Texts without any kept feature, the empty and NULL ones among them, get the rate of
+itself. Texts without any word of the sample, the empty and NULL ones among them, get the rate of
 label 1 among such examples. The evidence is the ids of the neighbours with label 1, best first.
 
 ``SAMPLE`` bounds the labelled rows learned from (the smallest hashes of their ids); everything else
 covers all documents. NULL labels are not learned from; a document with several labels has the
-largest. Rows that repeat an id are scored each. Ties in cosine go to the smaller id.
+largest. Rows that repeat an id are scored each. Ties in cosine go to the smaller id. Texts are read whole, in chunks. All
+columns of the user's rows come back as they are, whatever their names.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
+from itertools import islice
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute
 from pyspark.sql import Column, DataFrame, functions as F
-from pyspark.sql.types import StructType
 
-from .tables import written
+from .tables import free_name, tidy_memory, written
 from .words import PLAIN, chunks, signed, words_of
 
-SAMPLE, FEATURES, CHI_SQUARED = 8_000, 2_048, 30.0
-BLOCK, NEIGHBOURS, SOFTEN = 64, 25, 0.05
+SAMPLE, CHI_SQUARED = 2_500, 30.0
+BLOCK, NEIGHBOURS, SOFTEN = 128, 25, 0.05
+#: share of the examples (one in so many) from which on a list is long; texts searched at a time
+LONG, QUERIES = 16, 256
 PREFIXES = (5, 6, 7, 8)
+#: tasks that read the sample
+SPREAD = 16
 
 
 def held_out(id_col: str) -> Column:
@@ -54,100 +61,168 @@ def labelled_sample(docs: DataFrame, labels: DataFrame, label: str, rows: int, i
     return written(texts.join(F.broadcast(chosen), "doc").dropDuplicates(["doc"]), "sample")
 
 
-def _feature_counts(texts: pa.Array, known: np.ndarray | None = None):
-    """Per text (features, counts); with ``known`` (sorted), places in it."""
+@dataclass
+class Known:
+    """Hashes of the features, sorted: words first, then word beginnings; features are numbered in this order."""
+
+    words: np.ndarray
+    beginnings: np.ndarray
+
+    def __len__(self) -> int:
+        return len(self.words) + len(self.beginnings)
+
+
+def _places(table: np.ndarray, found: np.ndarray, owner: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(places in the sorted table, owners) of what stands in it."""
+    if not len(table):
+        return np.zeros(0, np.int64), owner[:0]
+    at = np.minimum(np.searchsorted(table, found), len(table) - 1)
+    kept = np.flatnonzero(table[at] == found)
+    return at[kept], owner[kept]
+
+
+def _feature_counts(texts: pa.Array, known: Known | None = None):
+    """Per text (features, counts, which of them are words): hashes, or places in ``known``."""
     for _, _, data, bounds in chunks(texts):
         words = words_of(data, bounds, PLAIN)
         text = np.repeat(np.arange(len(bounds) - 1), np.diff(words.first))
-        found, owner = [words.hash], [text]
+        found, owner = [], []
         for size in PREFIXES:
             longer = np.flatnonzero(words.end - words.start > size)
             found.append(words.ranges.hash(words.start[longer], words.start[longer] + size, 31))
             owner.append(text[longer])
         found, owner = np.concatenate(found), np.concatenate(owner)
+        whole = words.hash
         if known is not None:
-            at = np.minimum(np.searchsorted(known, found), max(len(known) - 1, 0))
-            kept = np.flatnonzero(known[at] == found) if len(known) else np.zeros(0, np.int64)
-            found, owner = at[kept], owner[kept]
+            whole, text = _places(known.words, whole, text)
+            found, owner = _places(known.beginnings, found, owner)
+            found = found + len(known.words)
+        is_word = np.repeat([True, False], [len(whole), len(found)])
+        found, owner = np.concatenate([whole, found]), np.concatenate([text, owner])
         order = np.lexsort((found, owner))
-        found, owner = found[order], owner[order]
+        found, owner, is_word = found[order], owner[order], is_word[order]
         new = np.flatnonzero(np.r_[True, (found[1:] != found[:-1]) | (owner[1:] != owner[:-1])]) if len(found) else np.zeros(0, np.int64)
         count = np.diff(np.r_[new, len(found)])
-        found, edges = found[new], np.searchsorted(owner[new], np.arange(len(bounds)))
+        found, is_word, edges = found[new], is_word[new], np.searchsorted(owner[new], np.arange(len(bounds)))
         for low, high in zip(edges[:-1], edges[1:]):
-            yield found[low:high], count[low:high]
+            yield found[low:high], count[low:high], is_word[low:high]
 
 
 def _features(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(label, feature, whether it is a word) for each feature of each text."""
     for batch in batches:
-        rows = [signed(found) for found, _ in _feature_counts(batch.column(1))]
-        yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(rows, pa.list_(pa.int64()))], ["label", "features"])
+        labels = batch.column(0).to_pylist()
+        for label, (found, _, is_word) in zip(labels, _feature_counts(batch.column(1))):
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(np.full(len(found), label, np.int32)), pa.array(signed(found)), pa.array(is_word)], ["label", "feature", "word"])
 
 
-def _known_counts(known: np.ndarray):
+def _known_counts(known: Known):
+    """(feature, texts that hold it) of a task's texts; -1 counts the texts."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total, texts = np.zeros(len(known), np.int64), 0
         for batch in batches:
-            for found, _ in _feature_counts(batch.column(0), known):
+            for found, _, _ in _feature_counts(batch.column(0), known):
                 total[found] += 1
             texts += batch.num_rows
-        yield pa.RecordBatch.from_arrays(
-            [pa.array(np.arange(-1, len(known))), pa.array(np.r_[texts, total])], ["feature", "texts"])
+        held = np.flatnonzero(total)
+        yield pa.RecordBatch.from_arrays([pa.array(np.r_[-1, held]), pa.array(np.r_[texts, total[held]])], ["feature", "texts"])
+        tidy_memory()
     return run
 
 
 @dataclass
 class BlockMaxIndex:
-    """Labelled examples by feature. Postings of feature ``f`` in block ``b`` are ``cut[f, b]:cut[f, b + 1]``."""
+    """Labelled examples by feature.
 
-    known: np.ndarray
-    idf: np.ndarray
+    Cell ``c`` is a feature in a block of examples: its postings are ``post[c]:post[c + 1]``, its largest weight is
+    ``bound[c]``; the cells of feature ``f`` are ``cut[f]:cut[f + 1]``. Lists of a ``LONG``-th of the examples and more are
+    rows of the matrix ``long`` instead (``row`` is theirs, or -1); for them a block's bound is the largest of its products.
+    """
+
+    known: Known
+    scale: np.ndarray
     ids: np.ndarray
     labels: np.ndarray
     cut: np.ndarray
+    block: np.ndarray
+    bound: np.ndarray
+    post: np.ndarray
     example: np.ndarray
     weight: np.ndarray
-    bound: np.ndarray
+    row: np.ndarray
+    long: np.ndarray
 
     @classmethod
-    def of(cls, known: np.ndarray, idf: np.ndarray, ids: np.ndarray, labels: np.ndarray, vectors: list) -> BlockMaxIndex:
-        lead = np.array([-1 if not len(f) else f[np.argmax(w)] for f, w in vectors], np.int64)
+    def of(cls, known: Known, scale: np.ndarray, ids: np.ndarray, labels: np.ndarray, first: np.ndarray,
+           feature: np.ndarray, weight: np.ndarray) -> BlockMaxIndex:
+        """Example ``i`` has the features and weights ``first[i]:first[i + 1]``."""
+        size = np.diff(first)
+        example = np.repeat(np.arange(len(ids)), size)
+        heavy = np.lexsort((weight, example))
+        lead = np.full(len(ids), -1, np.int64)
+        lead[size > 0] = feature[heavy[first[1:][size > 0] - 1]]
         order = np.lexsort((ids, lead, labels))  # alike examples share blocks, which makes bounds tight
-        blocks = -(-max(len(order), 1) // BLOCK)
-        feature = np.concatenate([vectors[i][0] for i in order] or [np.zeros(0, np.int64)]).astype(np.int64)
-        weight = np.concatenate([vectors[i][1] for i in order] or [np.zeros(0)])
-        example = np.repeat(np.arange(len(order)), [len(vectors[i][0]) for i in order])
+        rank = np.empty(len(ids), np.int64)
+        rank[order] = np.arange(len(ids))
+        example = rank[example]
+        holders = np.bincount(feature, minlength=len(known))
+        is_long = (holders > 1) & (holders * LONG >= len(ids))
+        row = np.where(is_long, np.cumsum(is_long) - 1, -1)
+        blocks = -(-len(ids) // BLOCK)
+        long = np.zeros((int(is_long.sum()), blocks * BLOCK))
+        dense = row[feature] >= 0
+        long[row[feature[dense]], example[dense]] = weight[dense]
+        feature, weight, example = feature[~dense], weight[~dense], example[~dense]
         by = np.lexsort((example, feature))
         feature, weight, example = feature[by], weight[by], example[by]
-        cell = feature * blocks + example // BLOCK
-        cut = np.searchsorted(cell, np.arange(len(known) * blocks + 1))
-        bound = np.zeros(len(known) * blocks)
-        np.maximum.at(bound, cell, weight)
-        starts = np.lib.stride_tricks.sliding_window_view(cut, blocks + 1)[::blocks][: len(known)] if len(known) else np.zeros((0, blocks + 1), np.int64)
-        return cls(known, idf, ids[order], labels[order], np.ascontiguousarray(starts), example, weight, bound.reshape(len(known), blocks))
+        cell = feature * (blocks + 1) + example // BLOCK
+        post = np.flatnonzero(np.r_[True, cell[1:] != cell[:-1]]) if len(cell) else np.zeros(0, np.int64)
+        bound = np.maximum.reduceat(weight, post) if len(post) else np.zeros(0)
+        return cls(known, scale, ids[order], labels[order], np.searchsorted(feature[post], np.arange(len(known) + 1)),
+                   (example[post] // BLOCK).astype(np.int32), bound, np.r_[post, len(cell)], example.astype(np.int32), weight, row, long)
 
     def weights(self, found: np.ndarray, count: np.ndarray) -> np.ndarray:
-        raw = (1 + np.log(count)) * self.idf[found]
-        return raw / max(np.sqrt(raw @ raw), 1e-12)
-
-    def nearest(self, found: np.ndarray, weight: np.ndarray, k: int, but: int | None = None) -> tuple[np.ndarray, np.ndarray]:
-        """(examples, cosines) of the ``k`` best, ties by id; ``but`` is an id to leave out."""
-        bounds = weight @ self.bound[found]
+        return _scaled(found, count, self.scale)
+
+    def search(self, texts: Iterable[tuple], k: int, buts: Iterable[int | None] = ()) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+        """(examples, cosines) of the ``k`` best of each text, ties by id; ``buts`` are ids to leave out."""
+        buts, texts = iter(buts), iter(texts)
+        while some := list(islice(texts, QUERIES)):
+            weights = [self.weights(found, count) if len(found) else np.zeros(0) for found, count, _ in some]
+            rows = np.zeros((len(some), len(self.long)))
+            for i, ((found, _, _), weight) in enumerate(zip(some, weights)):
+                at = self.row[found]
+                rows[i, at[at >= 0]] = weight[at >= 0]
+            for (found, _, _), weight, base in zip(some, weights, rows @ self.long):
+                rest = self.row[found] < 0
+                yield self._nearest(found[rest], weight[rest], base, k, next(buts, None))
+
+    def _nearest(self, found: np.ndarray, weight: np.ndarray, base: np.ndarray, k: int, but: int | None) -> tuple[np.ndarray, np.ndarray]:
+        cells, of = _ranges(self.cut[found], self.cut[found + 1])
+        block, by_cell = self.block[cells], weight[of]
+        blocks = len(base) // BLOCK
+        bounds = np.bincount(block, by_cell * self.bound[cells], blocks) + base.reshape(blocks, BLOCK).max(1, initial=0)
         order = np.argsort(-bounds, kind="stable")
         order = order[bounds[order] > 0]
-        best, cosine, step = np.zeros(0, np.int64), np.zeros(0), 4
-        at = 0
+        best, cosine, at, step = np.zeros(0, np.int64), np.zeros(0), 0, max(4, blocks // 3)
         while at < len(order) and (len(best) < k or bounds[order[at]] >= cosine[-1] - 1e-9):
-            blocks = order[at : at + step]
+            visited = order[at : at + step]
             at, step = at + step, step * 2
-            low, high = self.cut[found][:, blocks].ravel(), self.cut[found][:, blocks + 1].ravel()
-            size = high - low
-            place = np.arange(size.sum()) - np.repeat(np.cumsum(size) - size, size) + np.repeat(low, size)
-            part = np.bincount(self.example[place], np.repeat(np.repeat(weight, len(blocks)), size) * self.weight[place])
-            hit = np.flatnonzero(part)
+            mine = np.zeros(blocks, bool)
+            mine[visited] = True
+            chosen = mine[block]
+            place, which = _ranges(self.post[cells[chosen]], self.post[cells[chosen] + 1])
+            part = np.bincount(self.example[place], by_cell[chosen][which] * self.weight[place], len(base)) + base
+            inside = (visited[:, None] * BLOCK + np.arange(BLOCK)).ravel()
+            hit = inside[part[inside] > 0]
             if but is not None:
                 hit = hit[self.ids[hit] != but]
-            best, cosine = np.concatenate([best, hit]), np.concatenate([cosine, np.round(part[hit], 9)])
+            value = np.round(part[hit], 9)
+            if len(value) > 4 * k:  # most are far from the best
+                high = value >= np.partition(value, len(value) - k)[len(value) - k]
+                hit, value = hit[high], value[high]
+            best, cosine = np.concatenate([best, hit]), np.concatenate([cosine, value])
             top = np.lexsort((self.ids[best], -cosine))[:k]
             best, cosine = best[top], cosine[top]
         return best, cosine
@@ -157,6 +232,18 @@ class BlockMaxIndex:
         return float(weight @ self.labels[best] / weight.sum())
 
 
+def _ranges(low: np.ndarray, high: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(all numbers of the ranges, which range each is of)."""
+    size = high - low
+    of = np.repeat(np.arange(len(size)), size)
+    return np.arange(len(of)) - np.repeat(np.cumsum(size) - size, size) + np.repeat(low, size), of
+
+
+def _scaled(found: np.ndarray, count: np.ndarray, scale: np.ndarray) -> np.ndarray:
+    raw = (1 + np.log(count)) * scale[found]
+    return raw / max(np.sqrt(raw @ raw), 1e-12)
+
+
 @dataclass
 class Model:
     index: BlockMaxIndex
@@ -164,26 +251,24 @@ class Model:
     shift: float
     prior: float
 
-    def score(self, found: np.ndarray, count: np.ndarray) -> tuple[float, np.ndarray]:
-        if len(found):
-            best, cosine = self.index.nearest(found, self.index.weights(found, count), NEIGHBOURS)
+    def scores(self, texts: Iterable[tuple]) -> Iterator[tuple[float, np.ndarray]]:
+        """(score, evidence) of each text."""
+        for best, cosine in self.index.search(texts, NEIGHBOURS):
             if len(best):
                 logit = self.slope * self.index.vote(best, cosine) + self.shift
-                return float(1 / (1 + np.exp(-logit))), self.index.ids[best[self.index.labels[best] == 1]]
-        return self.prior, np.zeros(0, np.int64)
+                yield float(1 / (1 + np.exp(-logit))), self.index.ids[best[self.index.labels[best] == 1]]
+            else:
+                yield self.prior, np.zeros(0, np.int64)
 
 
 def _votes(index: BlockMaxIndex):
     """Sample rows to (label, vote of the neighbours without the row itself)."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            votes = []
-            for doc, (found, count) in zip(batch.column(0).to_pylist(), _feature_counts(batch.column(2), index.known)):
-                best = np.zeros(0)
-                if len(found):
-                    best, cosine = index.nearest(found, index.weights(found, count), NEIGHBOURS, doc)
-                votes.append(index.vote(best, cosine) if len(best) else None)
+            found = index.search(_feature_counts(batch.column(2), index.known), NEIGHBOURS, batch.column(0).to_pylist())
+            votes = [index.vote(best, cosine) if len(best) else None for best, cosine in found]
             yield pa.RecordBatch.from_arrays([batch.column(1), pa.array(votes, pa.float64())], ["label", "vote"])
+        tidy_memory()
     return run
 
 
@@ -210,56 +295,66 @@ def fit(docs: DataFrame, labels: DataFrame, label: str = "toxic", id_col: str =
     a, n = F.col("a"), F.col("n")
     expected = n * ones / max(total, 1)
     chi = (a - expected) ** 2 * total / (expected * (total - n) * (1 - ones / max(total, 1)) + 1e-9)
-    features = rows.select("label", "text").mapInArrow(_features, "label int, features array<long>")
-    features = features.select("label", F.explode("features").alias("feature")).groupBy("feature").agg(
-        F.sum("label").alias("a"), F.count("*").alias("n")).withColumn("chi", chi)
-    chosen = features.filter(F.col("chi") >= CHI_SQUARED).orderBy(F.desc("chi"), "feature").limit(FEATURES).select("feature")
-    known = np.sort(np.array([r["feature"] for r in chosen.collect()], np.int64).view(np.uint64))  # FEATURES rows at most
+    features = rows.repartition(SPREAD).select("label", "text").mapInArrow(_features, "label int, feature long, word boolean")
+    features = features.groupBy("feature", "word").agg(F.sum("label").alias("a"), F.count("*").alias("n")).withColumn("chi", chi)
+    features = features.filter(F.col("word") | (F.col("chi") >= CHI_SQUARED)).select("feature", "word", "chi").toArrow()
+    hashes, is_word = np.asarray(features["feature"]).view(np.uint64), np.asarray(features["word"])
+    order = np.lexsort((hashes, ~is_word))  # words of the sample's texts and some beginnings: the model's size
+    known = Known(hashes[order][is_word[order]], hashes[order][~is_word[order]])
+    chi = np.asarray(features["chi"])[order]
     seen = docs.select(F.col(text_col).cast("string")).mapInArrow(_known_counts(known), "feature long, texts long")
-    seen = {r["feature"]: r["texts"] for r in seen.groupBy("feature").agg(F.sum("texts").alias("texts")).collect()}
-    df = np.array([seen.get(i, 0) for i in range(len(known))], float)
-    idf = np.log((1 + seen.get(-1, 0)) / (1 + df)) + 1
-    examples = rows.select("doc", "label", "text").mapInArrow(_vectors(known, idf), "doc long, label int, features array<long>, weights array<double>")
-    examples = examples.collect()  # at most ``sample`` rows of kept features
+    seen = seen.groupBy("feature").agg(F.sum("texts").alias("texts")).toArrow()
+    feature, texts = np.asarray(seen["feature"]), np.asarray(seen["texts"])
+    df = np.zeros(len(known))
+    df[feature[feature >= 0]] = texts[feature >= 0]
+    idf = np.log((1 + texts[feature < 0].sum()) / (1 + df)) + 1
+    scale = idf * np.where(chi >= CHI_SQUARED, np.sqrt(chi), 1)
+    examples = rows.repartition(SPREAD).select("doc", "label", "text").mapInArrow(_vectors(known, scale), "doc long, label int, features array<long>, weights array<double>")
+    examples = examples.toArrow().combine_chunks()  # at most ``sample`` rows
+    lists = examples["features"].combine_chunks() if len(examples) else pa.array([], pa.list_(pa.int64()))
+    values = examples["weights"].combine_chunks() if len(examples) else pa.array([], pa.list_(pa.float64()))
     index = BlockMaxIndex.of(
-        known, idf, np.array([r["doc"] for r in examples], np.int64), np.array([r["label"] for r in examples], float),
-        [(np.array(r["features"], np.int64), np.array(r["weights"], float)) for r in examples])
-    votes = [(r["label"], r["vote"]) for r in rows.select("doc", "label", "text").mapInArrow(_votes(index), "label int, vote double").collect()]
-    none = [y for y, v in votes if v is None]
-    slope, shift = _logistic(np.array([v for _, v in votes if v is not None]), np.array([y for y, v in votes if v is not None], float))
+        known, scale, np.asarray(examples["doc"]), np.asarray(examples["label"]).astype(float),
+        np.r_[0, np.cumsum(np.asarray(pa.compute.list_value_length(lists)))].astype(np.int64), np.asarray(lists.flatten()), np.asarray(values.flatten()))
+    votes = rows.repartition(SPREAD).select("doc", "label", "text").mapInArrow(_votes(index), "label int, vote double").collect()
+    none = [r["label"] for r in votes if r["vote"] is None]
+    known_votes = [r for r in votes if r["vote"] is not None]
+    slope, shift = _logistic(np.array([r["vote"] for r in known_votes]), np.array([r["label"] for r in known_votes], float))
     return Model(index, slope, shift, (sum(none) + ones / max(total, 1)) / (len(none) + 1))
 
 
-def _vectors(known: np.ndarray, idf: np.ndarray):
+def _vectors(known: Known, scale: np.ndarray):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             found, weights = [], []
-            for f, c in _feature_counts(batch.column(2), known):
-                raw = (1 + np.log(c)) * idf[f]
+            for f, c, _ in _feature_counts(batch.column(2), known):
                 found.append(f)
-                weights.append(raw / max(np.sqrt(raw @ raw), 1e-12))
+                weights.append(_scaled(f, c, scale))
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(found, pa.list_(pa.int64())),
                                               pa.array(weights, pa.list_(pa.float64()))], ["doc", "label", "features", "weights"])
+        tidy_memory()
     return run
 
 
 def _scores(model: Model):
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            found = [model.score(f, c) for f, c in _feature_counts(batch.column(1), model.index.known)]
-            yield pa.RecordBatch.from_arrays([
-                *batch.columns, pa.array([s for s, _ in found], pa.float64()),
-                pa.array([e for _, e in found], pa.list_(pa.int64()))], [*batch.schema.names, "_score", "_evidence"])
+    kinds = [pa.field("score", pa.float64()), pa.field("evidence", pa.list_(pa.int64()))]
+
+    def run(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        for texts in batches:
+            found = list(model.scores(_feature_counts(texts, model.index.known)))
+            columns = [pa.array([s for s, _ in found], pa.float64()), pa.array([e for _, e in found], pa.list_(pa.int64()))]
+            yield pa.StructArray.from_arrays(columns, fields=kinds)
+        tidy_memory()
     return run
 
 
-def score(docs: DataFrame, model: Model, text_col: str = "text") -> DataFrame:
-    """All rows and columns of ``docs`` plus ``_score`` and ``_evidence``."""
-    columns = [c for c in docs.columns if c != text_col]
-    shaped = docs.select(F.struct(*columns).alias("_row"), F.col(text_col).cast("string").alias("_text"))
-    schema = StructType([*shaped.schema.fields, *StructType.fromDDL("_score double, _evidence array<long>").fields])
-    return shaped.mapInArrow(_scores(model), schema).select(
-        "_row.*", F.col("_text").alias(text_col), "_score", "_evidence").select(*docs.columns, "_score", "_evidence")
+def score(docs: DataFrame, model: Model, text_col: str = "text", name: str = "toxicity") -> DataFrame:
+    """All rows and columns of ``docs`` plus a struct (score, evidence) under ``name``.
+
+    Only the texts go to Python.
+    """
+    udf = F.arrow_udf(_scores(model), "score double, evidence array<long>")
+    return docs.withColumn(name, udf(F.col(text_col).cast("string")))
 
 
 def toxicity(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text",
@@ -267,11 +362,13 @@ def toxicity(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_co
     """(doc_id, held_out, score, predicted, evidence) for every row."""
     model = fit(docs, labels, "toxic", id_col, text_col, sample)
     slim = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"))
-    return score(slim, model).select(
-        "doc_id", held_out("doc_id").alias("held_out"), F.col("_score").alias("score"),
-        (F.col("_score") >= 0.5).cast("int").alias("predicted"), F.col("_evidence").alias("evidence"))
+    return score(slim, model, name="found").select(
+        "doc_id", held_out("doc_id").alias("held_out"), "found.score",
+        (F.col("found.score") >= 0.5).cast("int").alias("predicted"), "found.evidence")
 
 
-def without_toxic(docs: DataFrame, labels: DataFrame, text_col: str = "text", threshold: float = 0.5) -> DataFrame:
+def without_toxic(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", threshold: float = 0.5) -> DataFrame:
     """The rows of ``docs`` with a score below ``threshold``."""
-    return score(docs, fit(docs, labels, text_col=text_col), text_col).filter(F.col("_score") < threshold).select(*docs.columns)
+    name = free_name(docs, "toxicity")
+    model = fit(docs, labels, id_col=id_col, text_col=text_col)
+    return score(docs, model, text_col, name).filter(F.col(f"{name}.score") < threshold).drop(name)

@@ -10,7 +10,7 @@ from stayframe.llm.tables import written
 
 def test_registered():
     names = __spark_entry__.queries()
-    assert "pipeline" in names and [f"op{n}_" for n in range(1, 11)] == sorted(
+    assert "pipeline" in names and [f"op{n}_" for n in range(1, 14)] == sorted(
         (x[: x.index("_") + 1] for x in names if x.startswith("op") and x[2].isdigit()), key=lambda x: int(x[2:-1]))
 
 
