@@ -8,10 +8,10 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from .tables import written
+from .tables import partitions, written
 
 MAX_ROUNDS = 60
-#: links (16 bytes each) that one task may hold; counted, and joined in rounds beyond
+#: links (16 bytes each) that one task joins up at a time
 TASK_LINKS = 1_000_000
 
 
@@ -32,16 +32,19 @@ def least_reachable(a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarra
             return nodes, nodes[label]
 
 
-def _in_one_task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _joined_up(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The links of one task as stars: each node to the smallest it reaches by them."""
     table = pa.Table.from_batches(list(batches), pa.schema([("v", pa.int64()), ("u", pa.int64())]))
     nodes, component = least_reachable(np.asarray(table["v"]), np.asarray(table["u"]))
-    yield pa.RecordBatch.from_arrays([pa.array(nodes, pa.int64()), pa.array(component, pa.int64())], ["node", "component"])
+    other = nodes != component
+    yield pa.RecordBatch.from_arrays([pa.array(nodes[other], pa.int64()), pa.array(component[other], pa.int64())], ["v", "u"])
 
 
 def components(links: DataFrame, task_links: int = TASK_LINKS) -> DataFrame:
     """(node, component) for every node of ``links(a, b)``; component is its smallest node.
 
-    Up to ``task_links`` links are joined up in one task. Beyond, with the same result:
+    First each task joins up ``task_links`` links of its own, whatever they are, which leaves one
+    for a node at most. Then, until nothing changes,
     alternating large-star and small-star steps: every node hands its larger
     neighbours, then its smaller ones, the smallest node it knows. Minima are
     combined before the shuffle and no neighbourhood is gathered, so one node may
@@ -50,9 +53,9 @@ def components(links: DataFrame, task_links: int = TASK_LINKS) -> DataFrame:
     """
     edges = written(links.filter("a <> b").select(
         F.greatest("a", "b").alias("v"), F.least("a", "b").alias("u")).distinct(), "links")
-    if edges.count() <= task_links:
-        return edges.coalesce(1).mapInArrow(_in_one_task, "node long, component long")
-    before = None
+    tasks = partitions(edges.count(), task_links)
+    edges = written(edges.repartition(tasks).mapInArrow(_joined_up, "v long, u long"), "forest")
+    before = edges.agg(F.count("*"), F.sum(F.xxhash64("v", "u").cast("decimal(38,0)"))).first()
     for _ in range(MAX_ROUNDS):
         both = edges.unionByName(edges.select(F.col("u").alias("v"), F.col("v").alias("u")))
         least = both.groupBy("v").agg(F.least(F.min("u"), F.col("v")).alias("m"))

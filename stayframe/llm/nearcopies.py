@@ -27,7 +27,10 @@ A pair of similarity 0.8 misses one tree's ``LEAST`` = 4 values with probability
 regions that stay crowded are then matched in full, so no candidate is capped.
 
 NULL and texts without words have the empty set and are linked with nothing. Rows
-with one id are one node. A NULL id is never linked and its component is NULL.
+with one id are one node, whatever their texts: the links of all of them are its links. A NULL id is never linked and
+its component is NULL. Sets are equal when their sizes and two 64-bit sums of hashes are; shingles are compared by
+64-bit hashes. Texts are read whole, in chunks. Columns besides the id and the text are not read, and those of
+``without_near_copies`` come back as they are, whatever their names.
 """
 
 from __future__ import annotations
@@ -39,7 +42,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
 from .components import components
-from .tables import partitions, small, written
+from .tables import free_name, keyed, partitions, small, tidy_memory, written
 from .words import SPACED, chunks, mix, random_values, runs, signed, words_of
 
 TREES, DEPTH, LEAST = 24, 8, 4
@@ -105,23 +108,24 @@ def alike(sketches: np.ndarray, row: int, others: np.ndarray, similar: tuple[int
     return kept, whole & (of * (both - 1) >= part * (either + 1))
 
 
-_SIGNED = "doc long, n_shingles long, one long, two long, signature binary, sketch binary"
+_SIGNED = "doc long, key long, n_shingles long, one long, two long, signature binary, sketch binary"
 
 
 def _sign(n: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             size, one, two, signatures, sketches = [], [], [], [], []
-            for shingles in shingle_sets(batch.column(1), n):
+            for shingles in shingle_sets(batch.column(2), n):
                 size.append(len(shingles))
                 one.append(int(mix(shingles + np.uint64(1)).sum(dtype=np.uint64).view(np.int64)))
                 two.append(int(mix(shingles ^ np.uint64(0x5555555555555555)).sum(dtype=np.uint64).view(np.int64)))
                 signatures.append(signature(shingles).tobytes() if len(shingles) else None)
                 sketches.append(sketch(shingles).tobytes() if len(shingles) else None)
             yield pa.RecordBatch.from_arrays([
-                batch.column(0), pa.array(size, pa.int64()), pa.array(one, pa.int64()),
+                batch.column(0), batch.column(1), pa.array(size, pa.int64()), pa.array(one, pa.int64()),
                 pa.array(two, pa.int64()), pa.array(signatures, pa.binary()), pa.array(sketches, pa.binary())],
-                ["doc", "n_shingles", "one", "two", "signature", "sketch"])
+                ["doc", "key", "n_shingles", "one", "two", "signature", "sketch"])
+        tidy_memory()
     return run
 
 
@@ -331,28 +335,55 @@ def _confirm(n: int, similar: tuple[int, int]):
     return run
 
 
-def _links(texts: DataFrame, pairs: DataFrame, n: int, similar: tuple[int, int]) -> DataFrame:
-    """The pairs of class ids that are near copies by their full sets."""
-    ids = written(pairs.select(F.col("a").alias("doc")).unionByName(pairs.select(F.col("b").alias("doc"))).distinct(), "ids")
-    some = written(texts.join(F.broadcast(ids) if small(ids) else ids, "doc", "left_semi").dropDuplicates(["doc"]), "texts")
+def _links(texts: DataFrame, names: DataFrame, pairs: DataFrame, n: int, similar: tuple[int, int]) -> DataFrame:
+    """The pairs of classes that are near copies by their full sets; ``names(node, doc, key)`` has a text of each class."""
+    ids = written(pairs.select(F.col("a").alias("node")).unionByName(pairs.select(F.col("b").alias("node"))).distinct(), "ids")
+    wanted = written(names.join(F.broadcast(ids) if small(ids) else ids, "node", "left_semi"), "wanted")
+    some = texts.join(F.broadcast(wanted) if small(wanted) else wanted, ["doc", "key"]).select("node", "text")
+    some = written(some.dropDuplicates(["node"]), "texts")
     one, two = some.toDF("a", "text_a"), some.toDF("b", "text_b")
     both = pairs.join(one, "a").join(two, "b").select("a", "b", "text_a", "text_b")
     return written(both.mapInArrow(_confirm(n, similar), "a long, b long"), "confirmed")
 
 
+def _named_classes(sets: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Classes (n_shingles, one, two, class, node) and rows (doc, n_shingles, node) of ``sets``.
+
+    ``class`` is the smallest id of a class. ``node`` is its name: that id, or a hash where another class has
+    the same smallest id, which takes rows with one id and other texts.
+    """
+    same = ["n_shingles", "one", "two"]
+    kinds = sets.filter("n_shingles > 0 and doc is not null").groupBy(*same).agg(F.min("doc").alias("class"))
+    kinds = written(kinds, "kinds")
+    first = kinds.groupBy("class").agg(F.min("one").alias("_one"))
+    node = F.when(F.col("one") == F.col("_one"), F.col("class")).otherwise(F.xxhash64("class", *same))
+    classes = written(kinds.join(first, "class").select(*same, "class", node.alias("node")), "classes")
+    return classes, written(sets.select("doc", *same).join(classes, same, "left").select("doc", "n_shingles", "node"), "rows")
+
+
+def _links_of_ids(rows: DataFrame) -> DataFrame:
+    """Links between the classes of rows with one id."""
+    several = rows.filter("doc is not null and node is not null").groupBy("doc").agg(F.min("node").alias("a"), F.max("node").alias("b"))
+    several = written(several.filter("a <> b").select("doc", "a"), "several")
+    if several.isEmpty():
+        return several.select("a", F.col("a").alias("b"))
+    return written(rows.join(several, "doc").filter("node <> a").select("a", F.col("node").alias("b")).distinct(), "same_ids")
+
+
 def near_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle_words: int = 5,
                 similar: tuple[int, int] = (80, 100), region: int = REGION) -> DataFrame:
     """(doc, n_shingles, component) for every row of ``docs``.
 
     Two texts are linked when ``similar[1] * |intersection| >= similar[0] * |union|``.
     """
-    texts = docs.select(F.col(id_col).cast("long").alias("doc"), F.col(text_col).alias("text"))
+    texts = keyed(docs, id_col, text_col)
     sets = written(texts.mapInArrow(_sign(shingle_words), _SIGNED), "signatures")
-    kinds = sets.filter("n_shingles > 0 and doc is not null").groupBy("n_shingles", "one", "two").agg(
-        F.min("doc").alias("class"))
-    classes = written(kinds.filter("class is not null"), "classes")
+    classes, of_rows = _named_classes(sets)
     holders = sets.filter("n_shingles > 0").join(classes, ["n_shingles", "one", "two"]).filter("doc = class")
-    holders = holders.dropDuplicates(["doc", "one", "two"])
+    holders = holders.dropDuplicates(["node"])
+    names = written(holders.select("node", "doc", "key"), "names")
+    holders = holders.select(F.col("node").alias("doc"), "signature", "sketch")
+    same_ids = _links_of_ids(of_rows)
     width = 4 * DEPTH
     rows = holders.select("doc", "signature", F.explode(F.sequence(F.lit(0), F.lit(TREES - 1))).alias("tree"))
     rows = rows.select("tree", F.substring("signature", F.col("tree") * width + 1, F.lit(width)).alias("signature"), "doc")
@@ -365,7 +396,7 @@ def near_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     votes = near.filter("hub is not null").groupBy("doc", "hub").count()
     best = votes.groupBy("doc").agg(F.max_by("hub", F.col("count") * 4_000_000_000 - F.pmod(F.xxhash64("hub"), F.lit(4_000_000_000))).alias("hub"))
     hubs_of = written(best.select(F.least("doc", "hub").alias("a"), F.greatest("doc", "hub").alias("b")).distinct(), "candidates")
-    first = _links(texts, hubs_of, shingle_words, similar)
+    first = _links(texts, names, hubs_of, shingle_words, similar).unionByName(same_ids)
     groups = written(components(first), "groups")
 
     sketches = holders.select(F.col("doc").alias("_doc"), "sketch")
@@ -399,7 +430,7 @@ def near_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
             pairs = pairs.unionByName(_wide_pairs(open_rows, mine, spread, similar))
         pairs = pairs.distinct()
         pairs = written(pairs.join(tried, ["a", "b"], "left_anti"), "candidates")
-        more = _links(texts, pairs, shingle_words, similar)
+        more = _links(texts, names, pairs, shingle_words, similar)
         tried = tried.unionByName(pairs)
         crowded, confirmed = crowded or not again.filter("a is null").isEmpty(), not more.isEmpty()
         if confirmed:
@@ -411,12 +442,11 @@ def near_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
             if crowd == UNCROWDED:
                 break
             crowd = UNCROWDED  # nothing left to merge: match what is crowded in full
-    found = groups
-
-    labels = classes.join(found, classes["class"] == found["node"], "left").select(
-        "n_shingles", "one", "two", F.coalesce("component", "class").alias("component"))
-    out = sets.select("doc", "n_shingles", "one", "two").join(labels, ["n_shingles", "one", "two"], "left")
-    return out.select("doc", "n_shingles", F.when(F.col("doc").isNotNull(), F.coalesce("component", "doc")).alias("component"))
+    least = classes.join(groups, "node").groupBy("component").agg(F.min("class").alias("least"))
+    labels = classes.join(groups, "node", "left").join(least, "component", "left").select(
+        "node", F.coalesce("least", "class").alias("least"))
+    out = of_rows.join(labels, "node", "left")
+    return out.select("doc", "n_shingles", F.when(F.col("doc").isNotNull(), F.coalesce("least", "doc")).alias("component"))
 
 
 def near_copy_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle_words: int = 5) -> DataFrame:
@@ -428,8 +458,8 @@ def near_copy_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
 
 def without_near_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle_words: int = 5) -> DataFrame:
     """The rows of ``docs`` whose id is the smallest of its group; rows with a NULL id stay."""
-    dropped = near_copy_groups(docs, id_col, text_col, shingle_words).filter("not kept").select(
-        F.col("doc_id").alias("__dropped"))
+    name = free_name(docs, "dropped")
+    dropped = near_copy_groups(docs, id_col, text_col, shingle_words).filter("not kept").select(F.col("doc_id").alias(name))
     dropped = written(dropped.distinct(), "dropped")
     gone = F.broadcast(dropped) if small(dropped) else dropped
-    return docs.join(gone, F.col(id_col).cast("long") == F.col("__dropped"), "left_anti")
+    return docs.join(gone, F.col(id_col).cast("long") == F.col(name), "left_anti")

@@ -140,6 +140,26 @@ def test_a_region_that_spans_tasks(spark, monkeypatch, region, wide):
     assert sorted(got) == sorted(wanted)
 
 
+def test_rows_with_one_id_are_one_node(spark):
+    """Ids with several texts hold groups together; each of their texts has its own near copies."""
+    rng = random.Random(8)
+    words = [f"w{i}" for i in range(900)]
+    base = [[rng.choice(words) for _ in range(200)] for _ in range(8)]
+
+    def edited(k):
+        text = list(base[k])
+        text[rng.randrange(200)] = "edit"
+        return " ".join(text)
+
+    rows = [(1, edited(0)), (1, edited(1)), (5, edited(0)), (2, edited(1)), (9, edited(2)), (9, edited(3)), (9, edited(3)),
+            (20, edited(3)), (21, edited(2)), (30, edited(4)), (30, None), (30, ""), (31, edited(4)), (40, edited(5)), (41, edited(6)),
+            (None, edited(5)), (None, edited(6)), (50, edited(7)), (51, edited(7)), (51, edited(6))]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    got = [tuple(r) for r in nearcopies.near_copies(df, shingle_words=5).collect()]
+    assert sorted(got, key=str) == sorted(brute.near_copies(rows, 5), key=str)
+    assert {c for i, _, c in got if i in (1, 2, 5)} == {1} and {c for i, n, c in got if i in (41, 50) and n} == {41}
+
+
 def test_one_of_each_group_stays(spark):
     text = " ".join(f"w{i}" for i in range(40))
     df = spark.createDataFrame([(3, text, 1), (2, text, 2), (9, "other words", 3), (None, text, 4)], "doc_id long, text string, keep int")
@@ -149,7 +169,7 @@ def test_one_of_each_group_stays(spark):
     assert nearcopies.without_near_copies(df.limit(0)).count() == 0
 
 
-@pytest.mark.parametrize("task_links", [components.TASK_LINKS, 0])
+@pytest.mark.parametrize("task_links", [components.TASK_LINKS, 20, 1])
 def test_components_of_chains_and_stars(spark, task_links):
     links = [(i, i + 1) for i in range(40)] + [(100, 100 + i) for i in range(1, 30)] + [(7, 7), (5, 4)]
     got = {r["node"]: r["component"] for r in components.components(spark.createDataFrame(links, "a long, b long"), task_links).collect()}
