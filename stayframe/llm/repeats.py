@@ -19,12 +19,12 @@ anywhere else in the corpus, in the same text or in another one.
    strings that start ``t`` bytes before their triggers are equal when they are in
    one run of the dictionary order at depth ``t`` and in one run of the parse order
    at depth ``length - t``. Both comparisons are on bytes, not on hashes.
-4. A group with more than ``GROUP_PHRASES`` different phrases isn't gathered: its
-   strings are counted by a 128-bit hash each.
+4. A group with more than ``GROUP_PHRASES`` different phrases is cut into bands of string starts, each grouped anew by
+   the longer strings that all of a band share, until it is small enough for the same orders; see ``_hot_spans``.
 
-NULL and texts shorter than ``length`` have no repeats. Rows that repeat an id are
-separate texts, so equal rows are repeats of each other. Columns besides the id and
-the text are not read.
+Phrases and groups are told apart by two 64-bit hashes together. NULL and texts shorter than ``length`` have no repeats.
+Rows that repeat an id are separate texts, so equal rows are repeats of each other. Columns besides the id and
+the text are not read; those of ``without_repeats`` come back as they are, whatever their names.
 """
 
 from __future__ import annotations
@@ -33,16 +33,17 @@ import hashlib
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from .tables import keyed, small, written
+from .tables import free_name, keyed, small, tidy_memory, written
 from .words import CHUNK_BYTES, Ranges, chunks, mix, signed
 
 LENGTH, GRAM, SPAN = 400, 16, 256
-GROUP_PHRASES = 200_000
-BLOCK = 20_000
+GROUP_PHRASES = 4_000
+#: starts in a band of a group that is cut, from the first cut to the last
+WIDTHS = (32, 4, 1)
+BLOCK = 4_000
 
 _MASK = np.uint64((1 << 24) - 1)
 
@@ -94,6 +95,7 @@ def _parse(length: int):
                         pa.array(signed(ranges.hash(trigger, trigger + (length - SPAN + 1), 11))),
                         pa.array(signed(mix(ranges.hash(first, last + length, 12) + mix((trigger - first).astype(np.uint64))))),
                     ], ["doc", "key", "pos", "far", "near", "group", "phrase"])
+        tidy_memory()
     return run
 
 
@@ -127,9 +129,12 @@ def _extract(length: int):
                     out = []
             if out:
                 yield _batch(out)
+        tidy_memory()
     return run
 
 
+_SPANS = "doc long, key long, start long, end long"
+_COLUMNS = ["doc", "key", "pos", "near", "places", "group", "left", "right"]
 _EXTRACTED = "doc long, key long, pos long, near int, places long, group long, left binary, right binary"
 
 
@@ -201,26 +206,55 @@ def _resolve(length: int):
                 rows = table.num_rows - cut
         if rows:
             yield spans(pa.Table.from_batches(held))
+        tidy_memory()
     return run
 
 
-def _strings(length: int):
-    """Rows of ``_extract`` to one row per string: its hash and where it starts."""
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            columns = {n: batch.column(n).to_pylist() for n in batch.schema.names}
-            for i, left in enumerate(columns["left"]):
-                data = np.frombuffer(left[::-1] + columns["right"][i], np.uint8)
-                ranges, first = Ranges(data), columns["pos"][i] - len(left)
-                at = np.arange(len(left) - columns["near"][i] + 1)
-                n = len(at)
-                yield pa.RecordBatch.from_arrays([
-                    pa.array([columns["doc"][i]] * n, pa.int64()), pa.array([columns["key"][i]] * n, pa.int64()),
-                    pa.array(first + at), pa.array([columns["places"][i]] * n, pa.int64()),
-                    pa.array(signed(ranges.hash(at, at + length, 13))),
-                    pa.array(signed(ranges.hash(at, at + length // 2, 14))),
-                ], ["doc", "key", "start", "places", "one", "two"])
-    return run
+def _bands(rows: DataFrame, width: int, length: int) -> DataFrame:
+    """Rows (place, doc, key, pos, near, far, places, group, left, right) cut into bands of string starts.
+
+    A band holds the strings that start ``t0`` to ``t0 + width - 1`` bytes before the trigger. Equal ones of a
+    band share ``t0`` bytes before the trigger and what the longest start leaves behind it: their new group.
+    """
+    band = F.explode(F.sequence(F.floor(F.col("near") / width).cast("int"), F.floor(F.col("far") / width).cast("int")))
+    cut = rows.withColumn("_band", band).withColumn("_low", F.col("_band") * width)
+    high = F.col("_low") + width - 1
+    shared = [F.substring("left", F.lit(1), F.col("_low")), F.substring("right", F.lit(1), F.lit(length) - high)]
+    cut = cut.withColumns({"_group": F.xxhash64("group", "_band", *shared), "near": F.greatest("near", "_low"), "far": F.least("far", high)})
+    cut = cut.withColumns({"group": F.col("_group"), "left": F.substring("left", F.lit(1), F.col("far")),
+                           "right": F.substring("right", F.lit(1), F.lit(length) - F.col("near"))})
+    return cut.drop("_band", "_low", "_group").withColumn("phrase", F.xxhash64("near", "far", "left", "right"))
+
+
+def _hot_spans(rows: DataFrame, length: int, group_phrases: int) -> DataFrame:
+    """Spans of groups with too many phrases for one task, by cutting them into narrower and narrower bands.
+
+    Places that are equal in a whole band are counted, hot ones before the shuffle, as phrases are. Groups that
+    are small enough then are resolved as all others; the rest is cut further. A band of one start has one string.
+    """
+    rows = rows.withColumns({"far": F.length("left"), "place": F.xxhash64("doc", "key", "pos", "near")})
+    found = []
+    for width in WIDTHS:
+        banded = _bands(rows, width, length)
+        bare = written(banded.drop("left", "right"), "bands")
+        counts = written(bare.groupBy("group", "phrase").agg(F.sum("places").alias("n"), F.min("place").alias("first")), "dictionary")
+        sizes = counts.groupBy("group").agg(F.count("*").alias("phrases"))
+        equal = bare.join(counts.filter("n > 1").select("group", "phrase"), ["group", "phrase"], "left_semi").filter("places = 1")
+        found.append(equal.select("doc", "key", (F.col("pos") - F.col("far")).alias("start"), (F.col("pos") - F.col("near") + length).alias("end")))
+        if width == 1:
+            break
+        mixed = written(sizes.filter("phrases > 1").select("group", (F.col("phrases") > group_phrases).alias("hot")), "groups")
+        wanted = counts.join(mixed, "group").select("group", "phrase", F.col("first").alias("place"), F.col("n").alias("_n"), "hot")
+        some = written(banded.join(wanted, ["group", "phrase", "place"]).drop("places").withColumnRenamed("_n", "places"), "phrases")
+        laid = some.filter("not hot").select(*_COLUMNS).repartition("group").sortWithinPartitions("group")
+        found.append(laid.mapInArrow(_resolve(length), _SPANS))
+        rows = some.filter("hot").drop("hot", "phrase")
+        if rows.isEmpty():
+            break
+    spans = found[0]
+    for more in found[1:]:
+        spans = spans.unionByName(more)
+    return spans
 
 
 def repeated_spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", length: int = LENGTH,
@@ -259,17 +293,13 @@ def repeated_spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     cut = cut.mapInArrow(_extract(length), _EXTRACTED)
     hot = written(phrases.groupBy("group").count().filter(F.col("count") > group_phrases).select("group"), "hot")
     if hot.isEmpty():
-        spans = spans.unionByName(cut.repartition("group").sortWithinPartitions("group").mapInArrow(
-            _resolve(length), "doc long, key long, start long, end long"))
+        laid = cut
     else:
         cut = written(cut, "phrases")
-        rest = cut.join(hot, "group", "left_anti").repartition("group").sortWithinPartitions("group")
-        spans = spans.unionByName(rest.mapInArrow(_resolve(length), "doc long, key long, start long, end long"))
-        strings = written(cut.join(hot, "group", "left_semi").mapInArrow(
-            _strings(length), "doc long, key long, start long, places long, one long, two long"), "strings")
-        found = strings.groupBy("one", "two").agg(F.sum("places").alias("n")).filter("n > 1").select("one", "two")
-        spans = spans.unionByName(strings.filter("places = 1").join(found, ["one", "two"], "left_semi").select(
-            "doc", "key", "start", (F.col("start") + length).alias("end")))
+        laid = cut.join(hot, "group", "left_anti")
+        spans = spans.unionByName(_hot_spans(cut.join(hot, "group", "left_semi"), length, group_phrases))
+    laid = laid.select(*_COLUMNS).repartition("group").sortWithinPartitions("group")
+    spans = spans.unionByName(laid.mapInArrow(_resolve(length), _SPANS))
     return spans.groupBy("doc", "key").agg(F.collect_list(F.struct("start", "end")).alias("spans"))
 
 
@@ -292,23 +322,22 @@ def kept_bytes(data: bytes, spans: list[tuple[int, int]]) -> bytes:
     return b"".join([*out, data[at:]])
 
 
-def with_spans(docs: DataFrame, spans: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    """All rows and columns of ``docs`` plus ``spans`` (NULL where there are none).
+def with_spans(docs: DataFrame, spans: DataFrame, id_col: str, text_col: str, name: str = "spans") -> DataFrame:
+    """All rows and columns of ``docs`` plus the spans under ``name`` (NULL where there are none).
 
     Only texts with repeats are shuffled, as long as their ids may be broadcast.
     """
-    spans = written(spans.select(
-        F.col("doc").alias("__doc"), F.col("key").alias("__key"), F.col("spans").alias("_spans")), "spans")
-    here = {"__here": F.col(id_col).cast("long"), "__text": F.xxhash64(F.col(text_col))}
-    keyed_docs = docs.withColumns(here)
-    on = F.col("__here").eqNullSafe(F.col("__doc")) & (F.col("__text") == F.col("__key"))
-    mine = ["__here", "__text", "__doc", "__key"]
-    ids = spans.select("__doc", "__key")
+    doc, key = free_name(docs, "doc"), free_name(docs, "key")
+    of, text = f"{doc}_of", f"{key}_of"
+    spans = written(spans.select(F.col("doc").alias(doc), F.col("key").alias(key), F.col("spans").alias(name)), "spans")
+    here = docs.withColumns({of: F.col(id_col).cast("long"), text: F.xxhash64(F.col(text_col))})
+    on = F.col(of).eqNullSafe(F.col(doc)) & (F.col(text) == F.col(key))
+    ids = spans.select(doc, key)
     if not small(ids):
-        return keyed_docs.join(spans, on, "left").drop(*mine)
-    repeating = keyed_docs.join(F.broadcast(ids), on, "left_semi").join(spans, on).drop(*mine)
-    others = keyed_docs.join(F.broadcast(ids), on, "left_anti").drop(*mine)
-    return repeating.unionByName(others.withColumn("_spans", F.lit(None).cast(spans.schema["_spans"].dataType)))
+        return here.join(spans, on, "left").select(*docs.columns, name)
+    repeating = here.join(F.broadcast(ids), on, "left_semi").join(spans, on).select(*docs.columns, name)
+    others = here.join(F.broadcast(ids), on, "left_anti").select(*docs.columns)
+    return repeating.unionByName(others.withColumn(name, F.lit(None).cast(spans.schema[name].dataType)))
 
 
 def _digests(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -332,10 +361,12 @@ def repeat_digests(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
         _digests, "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string")
 
 
-def _without(texts: pd.Series, spans: pd.Series) -> pd.Series:
-    return pd.Series([
-        t if s is None else kept_bytes(t.encode(), merged(list(s))).decode("utf-8", "ignore")
-        for t, s in zip(texts, spans)])
+def _without(batches: Iterator[tuple[pa.Array, pa.Array]]) -> Iterator[pa.Array]:
+    for texts, spans in batches:
+        yield pa.array([
+            t if s is None else kept_bytes(t.encode(), merged(s)).decode("utf-8", "ignore")
+            for t, s in zip(texts.to_pylist(), spans.to_pylist())], pa.string())
+    tidy_memory()
 
 
 def without_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", length: int = LENGTH) -> DataFrame:
@@ -343,7 +374,7 @@ def without_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
 
     A character cut through goes as a whole. NULL texts stay NULL.
     """
-    found = with_spans(docs, repeated_spans(docs, id_col, text_col, length), id_col, text_col)
-    cut = F.pandas_udf(_without, "string")
-    return found.withColumn(text_col, F.when(F.col("_spans").isNull(), F.col(text_col)).otherwise(
-        cut(F.col(text_col), F.col("_spans")))).drop("_spans")
+    name = free_name(docs, "spans")
+    found = with_spans(docs, repeated_spans(docs, id_col, text_col, length), id_col, text_col, name)
+    cut = F.arrow_udf(_without, "string")(F.col(text_col), F.col(name))
+    return found.withColumn(text_col, F.when(F.col(name).isNull(), F.col(text_col)).otherwise(cut)).drop(name)

@@ -40,6 +40,22 @@ def test_repeats_of_odd_texts(odd, group_phrases):
     assert sorted((tuple(r) for r in got.collect()), key=str) == sorted(digests(brute.without_repeats(rows)), key=str)
 
 
+@pytest.mark.parametrize("group_phrases", [3, 10])
+def test_a_passage_in_many_contexts(spark, group_phrases):
+    """Its first and last phrases make groups of as many phrases as there are texts; contexts agree for some bytes."""
+    rng = random.Random(9)
+    passage, ends = "".join(rng.choice("abcdefg ") for _ in range(900)), ["".join(rng.choice("xyz ") for _ in range(500)) for _ in range(5)]
+    rows = []
+    for i in range(60):
+        before, after = rng.choice(ends), rng.choice(ends)
+        own = "".join(rng.choice("0123456789") for _ in range(rng.choice([0, 3, 40, 300])))
+        rows.append((i, before[: rng.randrange(500)] + own + before[-rng.randrange(1, 60):] + passage + after[: rng.randrange(60)] + own[::-1] + after))
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    found = repeats.with_spans(df, repeats.repeated_spans(df, group_phrases=group_phrases), "doc_id", "text").mapInArrow(
+        repeats._digests, "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string")
+    assert sorted(tuple(r) for r in found.collect()) == sorted(digests(brute.without_repeats(rows)))
+
+
 def test_cutting_keeps_rows_columns_and_nulls(odd):
     rows, df = odd
     cut = repeats.without_repeats(df)
