@@ -21,7 +21,6 @@ separate documents. Extra columns are not read.
 
 from __future__ import annotations
 
-import re
 import sys
 import zlib
 from array import array
@@ -35,13 +34,11 @@ import tiktoken
 from pyspark.sql import DataFrame, Window, functions as F
 from tokenizers import Tokenizer
 
-from .tables import written
+from .tables import tidy_memory, written
+from .words import chunks
 
 CAPACITY, END = 2048, 0
 NUMBERED_ROWS = 500_000
-CACHED_WORDS, CACHED_LENGTH = 400_000, 40
-
-_WORD_GAP, _ODD_GAP = re.compile(r" (?=\S)"), re.compile(r" (?!\S)")
 
 
 def _byte_of() -> dict[str, int]:
@@ -55,14 +52,12 @@ class ByteBPE:
     """Ids of a byte-level BPE file of ``tokenizers``; texts of special tokens are ordinary.
 
     The file's vocabulary runs in the faster ``tiktoken`` encoder, which gives the
-    same ids (see the tests). No token has a space other than at its front, so the text between two
-    single spaces is encoded once and remembered.
+    same ids (see the tests).
     """
 
     def __init__(self, path: str):
         self.ranks = self.vocabulary(path)
         self.encoder = tiktoken.Encoding("vocabulary", pat_str=public_tokenizers.PATTERN, mergeable_ranks=self.ranks, special_tokens={})
-        self.known: dict[str, bytes] = {}
 
     @staticmethod
     def vocabulary(path: str) -> dict[bytes, int]:
@@ -71,30 +66,13 @@ class ByteBPE:
         known = Tokenizer.from_file(path).get_vocab()
         return {bytes(table[c] for c in token): i for token, i in known.items() if not token.startswith("<|")}
 
-    def _encode(self, text: str) -> bytes:
+    def ids(self, text: str) -> bytes:
+        """Little-endian 32-bit ids."""
         ids = array("I", self.encoder.encode_ordinary(text))
         if sys.byteorder != "little":
             ids.byteswap()
         return ids.tobytes()
 
-    def _new(self, word: str) -> bytes:
-        stem = word[:-1]
-        if word[-1] in ".," and stem.isascii() and stem.isalpha():  # letters never share a token with these
-            ids = (self.known.get(stem) or self._new(stem)) + self._encode(word[-1])
-        else:
-            ids = self._encode(" " + word)
-        if len(word) <= CACHED_LENGTH:
-            if len(self.known) >= CACHED_WORDS:
-                self.known.clear()
-            self.known[word] = ids
-        return ids
-
-    def ids(self, text: str) -> bytes:
-        """Little-endian 32-bit ids."""
-        head, *rest = _WORD_GAP.split(text) if _ODD_GAP.search(text) else text.split(" ")
-        known, new = self.known.get, self._new
-        return self._encode(head) + b"".join([known(w) or new(w) for w in rest])
-
 
 @cache
 def _encoder(path: str) -> ByteBPE:
@@ -109,10 +87,17 @@ def cuts(length: int, capacity: int) -> list[tuple[int, int]]:
     return [(0, short)] * (short > 0) + [(start, capacity) for start in range(short, length, capacity)]
 
 
+def _parts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The batches in parts of about a chunk of text each."""
+    for batch in batches:
+        for at, to, _, _ in chunks(batch.column(1)):
+            yield batch.slice(at, to - at)
+
+
 def _pieces(path: str, capacity: int, end: int, with_ids: bool):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder, tail = _encoder(path), np.array([end], "<u4").tobytes()
-        for batch in batches:
+        for batch in _parts(batches):
             rows: list[tuple] = []
             for i, text in enumerate(batch.column(1).to_pylist()):
                 ids = (encoder.ids(text) if text else b"") + tail
@@ -123,6 +108,7 @@ def _pieces(path: str, capacity: int, end: int, with_ids: bool):
             out = [batch.column(0).take(pa.array(at, pa.int64()))]
             out += [pa.array(c, k) for c, k in zip(columns, [pa.int32(), *[pa.int64()] * 3, pa.binary()])]
             yield pa.RecordBatch.from_arrays(out, ["doc_id", "piece", "start", "length", "ids_crc32", "ids"])
+        tidy_memory()
     return run
 
 

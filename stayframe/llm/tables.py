@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import ctypes
 import io
 import os
 import tempfile
@@ -10,10 +9,10 @@ import zipfile
 from functools import cache
 from pathlib import Path
 
-import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ..operators.scale import written
+from .words import tidy_memory
 
 #: rows of two or three longs that one broadcast may hold (about 25 MB)
 BROADCAST_KEYS = 1_000_000
@@ -63,31 +62,6 @@ def free_name(df: DataFrame, wanted: str) -> str:
     return wanted
 
 
-#: what glibc calls the size from which memory is mapped, and given back, on its own
-_MMAP_THRESHOLD, _MMAP_BYTES = -3, 1 << 20
-
-
-@cache
-def _libc():
-    try:
-        libc = ctypes.CDLL(None)
-        libc.mallopt(_MMAP_THRESHOLD, _MMAP_BYTES)
-        return libc
-    except (OSError, AttributeError):  # another C library: nothing to set
-        return None
-
-
-def tidy_memory() -> None:
-    """Give a worker's free memory back to the system, at the end of a task.
-
-    Spark keeps Python workers for later tasks; without this each keeps the most that any task took.
-    """
-    pa.default_memory_pool().release_unused()
-    libc = _libc()
-    if libc is not None:
-        libc.malloc_trim(0)
-
-
 def partitions(rows: int, per_task: int) -> int:
     return max(1, -(-rows // per_task))
 

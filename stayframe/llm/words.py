@@ -10,8 +10,10 @@ every task, run and Python version.
 
 from __future__ import annotations
 
+import ctypes
 from collections.abc import Iterator
 from dataclasses import dataclass
+from functools import cache
 
 import numpy as np
 import pyarrow as pa
@@ -23,6 +25,31 @@ _BASE_INVERSE = np.uint64(pow(0x9E3779B97F4A7C15, -1, 1 << 64))
 _SHIFTS = (np.uint64(30), np.uint64(27), np.uint64(31))
 
 
+#: what glibc calls the size from which memory is mapped, and given back, on its own
+_MMAP_THRESHOLD, _MMAP_BYTES = -3, 1 << 20
+
+
+@cache
+def _libc():
+    try:
+        libc = ctypes.CDLL(None)
+        libc.mallopt(_MMAP_THRESHOLD, _MMAP_BYTES)
+        return libc
+    except (OSError, AttributeError):  # another C library: nothing to set
+        return None
+
+
+def tidy_memory() -> None:
+    """Give a worker's free memory back to the system, at the end of a task.
+
+    Spark keeps Python workers for later tasks; without this each keeps the most that any task took.
+    """
+    pa.default_memory_pool().release_unused()
+    libc = _libc()
+    if libc is not None:
+        libc.malloc_trim(0)
+
+
 def mix(x: np.ndarray) -> np.ndarray:
     """Finalise 64-bit hashes so that every bit depends on every input bit."""
     x = (x ^ (x >> _SHIFTS[0])) * np.uint64(0xBF58476D1CE4E5B9)
@@ -95,6 +122,7 @@ def chunks(texts: pa.Array, limit: int = CHUNK_BYTES) -> Iterator[tuple[int, int
 
     Text ``from + i`` is ``bytes[bounds[i]:bounds[i + 1]]``.
     """
+    _libc()
     if isinstance(texts, pa.ChunkedArray):
         texts = texts.combine_chunks()
     values = texts.cast(pa.large_string()).fill_null("") if texts.null_count else texts.cast(pa.large_string())
