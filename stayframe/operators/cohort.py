@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from stayframe.functions.numeric import flag, order_flag
 from stayframe.functions.timeutil import (
-    day_name, day_of_week, days, days_between, hours, years, years_between)
+    day_name, day_of_week, days, days_between, hours, position, years, years_between)
 from stayframe.operators.asof import latest_before
 from stayframe.operators.intervals import interval_summary
 from stayframe.operators.lookback import first_event, pick_items
@@ -47,15 +47,19 @@ def cohort_base(tables: dict[str, DataFrame], rules: CohortRules = CohortRules()
 
 
 def first_stays(base: DataFrame) -> DataFrame:
-    """Each subject's first stay; an unknown admission time ranks last.
+    """Each subject's first stay; an unknown admission time ranks last, unknown intake times first.
 
-    A minimum is combined map-side, unlike a window.
+    Two steps of fixed-width minima, which hash and combine map-side: the earliest admission, then the earliest
+    (intake, stay) at it. The other columns are fetched by the stay that is left, and never enter a buffer.
     """
-    order = ["admittime", "intime", "icustay_id"]
-    rest = [c for c in base.columns if c not in (*order, "subject_id")]
-    unknown = F.col("admittime").isNull().alias("_unknown")
-    first = base.groupBy("subject_id").agg(F.min(F.struct(unknown, *order, *rest)).alias("_first"))
-    return first.select("subject_id", "_first.*").drop("_unknown").withColumn("stay_num", F.lit(1).cast("long"))
+    latest, earliest = (F.lit(t).cast("timestamp_ntz") for t in ("9999-12-31 23:59:59", "0001-01-01 00:00:00"))
+    known = base.withColumns({"_admit": F.coalesce("admittime", latest), "_in": F.coalesce("intime", earliest)})
+    known = known.withColumn("_place", F.expr(position("_in", "icustay_id"))).drop("_in")
+    admitted = known.groupBy("subject_id").agg(F.min("_admit").alias("_admit"))
+    at_first = known.select("subject_id", "_admit", "_place").join(admitted, ["subject_id", "_admit"])
+    chosen = at_first.groupBy("subject_id").agg(F.min("_place").alias("_place"))
+    first = known.join(chosen, ["subject_id", "_place"])
+    return first.select(*base.columns, F.lit(1).cast("long").alias("stay_num"))
 
 
 def numbered_stays(base: DataFrame, sizes: Sizes = MEASURE) -> DataFrame:

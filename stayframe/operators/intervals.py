@@ -7,7 +7,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 from stayframe.functions.numeric import flag
 from stayframe.functions.timeutil import seconds_between
 from stayframe.operators.ordered import Running, arrange, done, numbered, running
-from stayframe.operators.scale import MEASURE, Sizes
+from stayframe.operators.scale import MEASURE, Sizes, written
 
 
 def known(by: list[str]) -> Column:
@@ -71,6 +71,47 @@ def uncovered_starts(df: DataFrame, by: list[str], start: str = "starttime", end
     return done(reach).filter(free).select(*by, start).unionByName(nameless.select(*by, start).distinct())
 
 
+def bin_numbers(start: Column, end: Column, width_seconds: int) -> tuple[Column, Column]:
+    """First and last time bin of a closed interval."""
+    def number(time: Column) -> Column:
+        since = (time - F.lit("1970-01-01 00:00:00").cast("timestamp_ntz")).cast("interval second").cast("decimal(18,6)")
+        return F.floor(since / width_seconds).cast("long")
+
+    return number(start), number(end)
+
+
+def overlapping_pairs(left: DataFrame, right: DataFrame, by: list[str], width_seconds: int = 6 * 3600,
+                      start: str = "starttime", end: str = "endtime", prefix: str = "other_",
+                      sizes: Sizes = MEASURE) -> DataFrame:
+    """Every pair of closed intervals of one entity that have a moment in common.
+
+    All columns of ``left``, and those of ``right`` besides the key under ``prefix``. An interval stands in each
+    time bin it touches; pairs are made within (key, bin), an equality join, and kept in the first bin they have in common.
+    So an entity with many intervals is spread over its bins, and a bin that is still hot over salts: the left rows of
+    such a bin are dealt out, the right ones repeated. NULL keys and times and start > end overlap nothing.
+    """
+    def binned(df: DataFrame, names: dict[str, str], mark: str) -> DataFrame:
+        valid = df.filter(known(by)).filter(F.col(start) <= F.col(end)).withColumnsRenamed(names)
+        low, high = bin_numbers(F.col(names.get(start, start)), F.col(names.get(end, end)), width_seconds)
+        return valid.withColumn(mark, low).withColumn("_bin", F.explode(F.sequence(low, high)))
+
+    rights = {c: f"{prefix}{c}" for c in right.columns if c not in by}
+    ours, theirs = binned(left, {}, "_first"), binned(right, rights, "_other_first")
+    keys = [*by, "_bin"]
+    counts = ours.groupBy(*keys).count()
+    hot = written(counts.filter(F.col("count") > sizes.group_limit).select(
+        *keys, F.ceil(F.col("count") / sizes.group_limit).cast("int").alias("_salts")), "hot")
+    if not hot.isEmpty():
+        spread = F.floor(F.rand() * F.coalesce("_salts", F.lit(1))).cast("int")
+        ours = written(ours.join(hot, keys, "left").withColumn("_salt", spread).drop("_salts"), "salted")
+        each = F.explode(F.sequence(F.lit(0), F.coalesce("_salts", F.lit(1)) - 1))
+        theirs = theirs.join(hot, keys, "left").withColumn("_salt", each).drop("_salts")
+        keys = [*keys, "_salt"]
+    pairs = ours.join(theirs, keys).filter(F.col("_bin") == F.greatest("_first", "_other_first"))
+    meet = (F.col(start) <= F.col(f"{prefix}{end}")) & (F.col(f"{prefix}{start}") <= F.col(end))
+    return pairs.filter(meet).select(*left.columns, *rights.values())
+
+
 def union_episodes(systems: list[DataFrame], by: list[str], number: str, start: str = "starttime",
                    end: str = "endtime", sizes: Sizes = MEASURE) -> DataFrame:
     """Number each system's episodes per entity and take the distinct union."""

@@ -3,9 +3,9 @@
 * A cohort is written once as a Parquet table in the cluster's shared folder,
   so every reader sees the same rows after an executor is lost and its row
   count is cheap to know.
-* A cohort is broadcast only when that count is below ``BROADCAST_ROWS``.
-  Beyond it the join is a shuffle join, and a key with more than
-  ``GROUP_ROWS`` event rows is spread over several tasks.
+* A cohort is broadcast only when its joined columns take ``BROADCAST_BYTES`` or less.
+  Beyond it the join is a shuffle join: event rows that a Bloom filter of the cohort's keys rules out
+  go before it, and a key with more than ``GROUP_ROWS`` event rows is spread over several tasks.
 * The largest group of a key is measured before an ordered operator decides
   how to lay out its rows (see ``ordered``).
 """
@@ -20,7 +20,13 @@ from functools import cache
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-BROADCAST_ROWS = 1_000_000
+from stayframe.operators.bloom import thinned
+
+BROADCAST_BYTES = 64 << 20
+#: bytes of a value of a type; a row has ROW_BYTES besides, and texts are measured
+ROW_BYTES, TYPE_BYTES = 16, {"tinyint": 1, "smallint": 2, "int": 4, "boolean": 1, "date": 4, "float": 4}
+#: columns of a cohort that joins take along
+JOINED = ("subject_id", "hadm_id", "icustay_id", "intime", "outtime", "vent_starttime")
 GROUP_ROWS = 2_000_000
 
 
@@ -70,9 +76,23 @@ def written(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def fits_broadcast(df: DataFrame, rows: int = BROADCAST_ROWS) -> bool:
-    """Whether the table has at most ``rows`` rows. Call it on a written table."""
-    return df.count() <= rows
+def broadcast_bytes(df: DataFrame) -> int:
+    """Bytes of a table's values: by type, texts as they are. Call it on a written table."""
+    fixed, texts = ROW_BYTES, [F.lit(0).cast("long")]
+    for name, kind in df.dtypes:
+        if kind in ("string", "binary"):
+            texts.append(F.coalesce(F.octet_length(F.col(name)).cast("long"), F.lit(0)))
+        elif kind.startswith(("array", "map", "struct")):
+            texts.append(F.coalesce(F.octet_length(F.to_json(F.struct(name))).cast("long"), F.lit(0)))
+        else:
+            fixed += TYPE_BYTES.get(kind, 8)
+    row = df.agg(F.count("*").alias("n"), F.sum(sum(texts[1:], texts[0])).alias("texts")).first()
+    return row["n"] * fixed + (row["texts"] or 0)
+
+
+def fits_broadcast(df: DataFrame, limit: int = BROADCAST_BYTES) -> bool:
+    """Whether the table's values take ``limit`` bytes or less. Call it on a written table."""
+    return broadcast_bytes(df) <= limit
 
 
 def largest_group(df: DataFrame, by: list[str]) -> tuple[int, int]:
@@ -114,7 +134,8 @@ def with_cohort(sizes: Sizes, cohort: DataFrame) -> Sizes:
     """The sizes with the broadcast check of a written cohort done, unless known."""
     if sizes.small_cohort is not None:
         return sizes
-    return replace(sizes, small_cohort=fits_broadcast(cohort))
+    joined = [c for c in JOINED if c in cohort.columns] or cohort.columns
+    return replace(sizes, small_cohort=fits_broadcast(cohort.select(*joined)))
 
 
 def fits_task(df: DataFrame, by: list[str], sizes: Sizes = MEASURE) -> bool:
@@ -135,7 +156,7 @@ def join_cohort(events: DataFrame, cohort: DataFrame, on: list[str],
     if with_cohort(sizes, cohort).small_cohort:
         joined = events.join(F.broadcast(cohort), on)
     else:
-        joined = spread_join(events, cohort, on, sizes.group_limit)
+        joined = spread_join(thinned(events, cohort, on, cohort.count()), cohort, on, sizes.group_limit)
     return joined if residual is None else joined.filter(residual)
 
 
@@ -145,7 +166,7 @@ def spread_join(events: DataFrame, cohort: DataFrame, on: list[str], limit: int)
     Keys above the limit are counted out first. Their events get a random salt,
     one per ``limit`` rows and fixed by writing them, so that equal rows are spread too; their
     cohort rows are repeated per salt. The table of hot keys is broadcast
-    while it has ``BROADCAST_ROWS`` rows or fewer and joined by shuffle beyond.
+    while it takes ``BROADCAST_BYTES`` or less and joined by shuffle beyond.
     """
     counts = events.groupBy(*on).count()
     if (counts.agg(F.max("count").alias("top")).first()["top"] or 0) <= limit:

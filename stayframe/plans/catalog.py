@@ -14,9 +14,9 @@ from stayframe.functions import numeric as N, text as X, timeutil as T
 from stayframe.operators import (
     asof, cohort as C, episodes as E, intervals as I, lookback as L, measures as M, notes, ordered,
     scores as S)
-from stayframe.operators.scale import MEASURE, Sizes, with_largest, written
+from stayframe.operators.scale import MEASURE, Sizes, fresh_folder, with_largest, written
 from stayframe.plans import study as build, views as V
-from stayframe.sources import mapped
+from stayframe.sources import layout, mapped
 
 STAY = ["subject_id", "hadm_id", "icustay_id"]
 CONCEPTS = mapped.CONCEPTS
@@ -220,6 +220,22 @@ def lookback_join(spark, folder):
     return L.lookback(rows, cohort, ["subject_id"], INDEX, "charttime", 24)
 
 
+def lookback_thinned(spark, folder):
+    """As ``lookback_join``, for a cohort too large to broadcast: events pass a Bloom filter before the shuffle."""
+    cohort = written(cohort_of(spark, folder).select("subject_id", "icustay_id", INDEX), "keys")
+    rows = mapped.table(spark, folder, "chartevents").drop("icustay_id", "value")
+    return L.lookback(rows, cohort, ["subject_id"], INDEX, "charttime", 24, Sizes(small_cohort=False))
+
+
+def grouped_scan(spark, folder):
+    """As ``scan_lab_items``, from lab rows stored in one folder for each concept group."""
+    groups = {"labs": CONCEPTS.labs, "organ": CONCEPTS.organ_labs, "gas": CONCEPTS.gas}
+    path = fresh_folder(spark, "labevents")
+    layout.store_by_group(mapped.table(spark, folder, "labevents"), path, groups, key="subject_id")
+    found = layout.read_by_group(spark, path, groups, CONCEPTS.labs)
+    return found.select("event_id", "subject_id", "charttime", "itemid", "valuenum", "flag")
+
+
 def lookback_left(spark, folder):
     cohort = cohort_of(spark, folder).select("subject_id", "icustay_id", INDEX)
     rows = mapped.table(spark, folder, "labevents").select(
@@ -347,6 +363,12 @@ def merge_intervals(spark, folder):
     return I.merge_intervals(orders, ["icustay_id"], sizes=sizes)
 
 
+def overlap_pairs(spark, folder):
+    """Every drug order with every ventilation of its stay that it overlaps."""
+    orders, sizes = sized_orders(spark, folder)
+    return I.overlapping_pairs(orders, mapped.table(spark, folder, "ventdurations").select("icustay_id", "starttime", "endtime"), ["icustay_id"], prefix="vent_", sizes=sizes)
+
+
 def anti_overlap(spark, folder):
     orders, sizes = sized_orders(spark, folder)
     return I.uncovered_starts(orders, ["icustay_id"], sizes=sizes)
@@ -531,5 +553,6 @@ QUERIES: dict[str, Query] = {
         episode_features, episode_features_merged, anaesthesia_features, prorated_volume,
         asof_ratio, asof_values, asof_unknown, merge_unknown, anti_unknown, prev_value_score, organ_score, note_fields, body_measure,
         assemble_final, assemble_wide, assemble_scored, build_all, build_rows, final_broad, wide_broad, ratio_broad,
+        overlap_pairs, lookback_thinned, grouped_scan,
     )
 }

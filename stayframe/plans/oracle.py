@@ -729,4 +729,10 @@ ORACLES: dict[str, str] = {name: statement(body) for name, body in BODIES.items(
     "final_broad": broad(final_sql()),
     "wide_broad": broad(wide_sql()),
     "ratio_broad": broad(BODIES["asof_ratio"]),
+    "overlap_pairs": statement("""SELECT o.icustay_id, o.linkorderid, o.starttime, o.endtime,
+        v.starttime AS vent_starttime, v.endtime AS vent_endtime
+      FROM orders o JOIN ventdurations v ON v.icustay_id = o.icustay_id
+      WHERE o.starttime <= o.endtime AND v.starttime <= v.endtime AND o.starttime <= v.endtime AND v.starttime <= o.endtime"""),
+    "lookback_thinned": statement(BODIES["lookback_join"]),
+    "grouped_scan": statement(BODIES["scan_lab_items"]),
 }
