@@ -22,10 +22,9 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
-from pyspark.sql.types import StructType
 
 from .toxicity import held_out, labelled_sample
-from .words import SPACED, chunks, mix, random_values, words_of
+from .words import SPACED, chunks, mix, random_values, tidy_memory, words_of
 
 BITS, SAMPLE, EPOCHS = 20, 12_000, 3
 ALPHA, BETA, L1, L2 = 0.3, 1.0, 0.3, 1.0
@@ -135,24 +134,21 @@ def fit(docs: DataFrame, labels: DataFrame, label: str = "quality", id_col: str
 
 
 def _scores(place: np.ndarray, weight: np.ndarray, bits: int):
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def run(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         weights = np.zeros(1 << bits)
         weights[place] = weight
-        for batch in batches:
-            logits = np.array([weights[p] @ x for p, x in features(batch.column(1), bits)], float)
-            yield pa.RecordBatch.from_arrays(
-                [*batch.columns, pa.array(1 / (1 + np.exp(-np.clip(logits, -35, 35))))], [*batch.schema.names, "_score"])
+        for texts in batches:
+            logits = np.array([weights[p] @ x for p, x in features(texts, bits)], float)
+            yield pa.array(1 / (1 + np.exp(-np.clip(logits, -35, 35))), pa.float64())
+        tidy_memory()
     return run
 
 
-def score(docs: DataFrame, weights: np.ndarray, text_col: str = "text") -> DataFrame:
-    """All rows and columns of ``docs`` plus ``_score``."""
+def score(docs: DataFrame, weights: np.ndarray, text_col: str = "text", name: str = "quality") -> DataFrame:
+    """All rows and columns of ``docs`` plus the score under ``name``. Only the texts go to Python."""
     bits, place = int(len(weights)).bit_length() - 1, np.flatnonzero(weights)
-    columns = [c for c in docs.columns if c != text_col]
-    shaped = docs.select(F.struct(*columns).alias("_row"), F.col(text_col).cast("string").alias("_text"))
-    schema = StructType([*shaped.schema.fields, *StructType.fromDDL("_score double").fields])
-    return shaped.mapInArrow(_scores(place.astype(np.int32), weights[place], bits), schema).select(
-        "_row.*", F.col("_text").alias(text_col), "_score").select(*docs.columns, "_score")
+    udf = F.arrow_udf(_scores(place.astype(np.int32), weights[place], bits), "double")
+    return docs.withColumn(name, udf(F.col(text_col).cast("string")))
 
 
 def quality(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", threshold: float = 0.3,
@@ -160,6 +156,6 @@ def quality(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col
     """(doc_id, held_out, score, predicted) for every row."""
     weights = fit(docs, labels, "quality", id_col, text_col, sample)
     slim = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"))
-    return score(slim, weights).select(
-        "doc_id", held_out("doc_id").alias("held_out"), F.col("_score").alias("score"),
-        (F.col("_score") >= threshold).cast("int").alias("predicted"))
+    return score(slim, weights, name="score").select(
+        "doc_id", held_out("doc_id").alias("held_out"), "score",
+        (F.col("score") >= threshold).cast("int").alias("predicted"))

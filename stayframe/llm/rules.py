@@ -117,8 +117,9 @@ def failed(rules: tuple[Rule, ...] = RULES) -> Column:
 
 
 def passing(docs: DataFrame, text_col: str = "text", rules: tuple[Rule, ...] = RULES) -> DataFrame:
-    """The rows of ``docs`` that fail no rule."""
-    return measured(docs, text_col).filter(F.size(failed(rules)) == 0).drop("_measures")
+    """The rows of ``docs`` that fail no rule, with all their columns as they are, whatever their names."""
+    packed = docs.select(F.struct("*").alias("row"), F.col(text_col).alias("text"))
+    return measured(packed).filter(F.size(failed(rules)) == 0).select("row.*")
 
 
 def quality_rules(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
