@@ -30,6 +30,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute
 from pyspark.sql import DataFrame, functions as F
 
 from .repeats import kept_bytes
@@ -205,34 +206,39 @@ def occurrences(hashes: np.ndarray, first: np.ndarray, block: Block) -> tuple[np
 
 _SPAN = pa.struct([("start", pa.int64()), ("end", pa.int64()), ("first", pa.int64()), ("last", pa.int64())])
 _KINDS = [pa.field("n_words", pa.int64()), pa.field("n_hit", pa.int64()), pa.field("spans", pa.list_(_SPAN)), pa.field("items", pa.list_(pa.string()))]
-_FOUND = "n_words long, n_hit long, spans array<struct<start: long, end: long, first: long, last: long>>, items array<string>"
+_SPANS = "array<struct<start: long, end: long, first: long, last: long>>"
+_FOUND = f"n_words long, n_hit long, spans {_SPANS}, items array<string>"
+
+
+def _found(texts: pa.Array, block: Block) -> pa.StructArray:
+    """Per text: words, words that are hit, spans of them in bytes and words, items."""
+    out: list[tuple] = []
+    for _, _, data, bounds in chunks(texts, SHARD_BYTES):
+        words = words_of(data, bounds, PLAIN)
+        start, phrase = occurrences(words.hash, words.first, block)
+        hit = np.zeros(len(words.hash) + 1, np.int64)
+        np.add.at(hit, start, 1)
+        np.add.at(hit, start + block.sizes[phrase], -1)
+        text = np.searchsorted(words.first, start, "right") - 1
+        items: dict[int, set] = {}
+        for t, p in set(zip(text.tolist(), phrase.tolist())):
+            items.setdefault(t, set()).update(block.items[p])
+        covered = np.cumsum(hit)[:-1] > 0
+        for t, (first, last) in enumerate(zip(words.first[:-1], words.first[1:])):
+            edge = np.diff(np.r_[0, covered[first:last].astype(np.int8), 0])
+            low, high = np.flatnonzero(edge == 1) + first, np.flatnonzero(edge == -1) + first
+            spans = [{"start": int(words.start[a] - bounds[t]), "end": int(words.end[b - 1] - bounds[t]),
+                      "first": int(a - first), "last": int(b - first)} for a, b in zip(low, high)]
+            out.append((int(last - first), int((high - low).sum()), spans, sorted(map(str, items.get(t, ())))))
+    columns = list(zip(*out)) or [(), (), (), ()]
+    return pa.StructArray.from_arrays([pa.array(c, f.type) for c, f in zip(columns, _KINDS)], fields=_KINDS)
 
 
 def _hits(rows: list[tuple]):
-    """Texts to (words, words that are hit, spans of them in bytes and words, items)."""
     def run(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         block = Block.of(rows)
         for texts in batches:
-            out: list[tuple] = []
-            for _, _, data, bounds in chunks(texts, SHARD_BYTES):
-                words = words_of(data, bounds, PLAIN)
-                start, phrase = occurrences(words.hash, words.first, block)
-                hit = np.zeros(len(words.hash) + 1, np.int64)
-                np.add.at(hit, start, 1)
-                np.add.at(hit, start + block.sizes[phrase], -1)
-                text = np.searchsorted(words.first, start, "right") - 1
-                items: dict[int, set] = {}
-                for t, p in set(zip(text.tolist(), phrase.tolist())):
-                    items.setdefault(t, set()).update(block.items[p])
-                covered = np.cumsum(hit)[:-1] > 0
-                for t, (first, last) in enumerate(zip(words.first[:-1], words.first[1:])):
-                    edge = np.diff(np.r_[0, covered[first:last].astype(np.int8), 0])
-                    low, high = np.flatnonzero(edge == 1) + first, np.flatnonzero(edge == -1) + first
-                    spans = [{"start": int(words.start[a] - bounds[t]), "end": int(words.end[b - 1] - bounds[t]),
-                              "first": int(a - first), "last": int(b - first)} for a, b in zip(low, high)]
-                    out.append((int(last - first), int((high - low).sum()), spans, sorted(map(str, items.get(t, ())))))
-            columns = list(zip(*out)) or [(), (), (), ()]
-            yield pa.StructArray.from_arrays([pa.array(c, f.type) for c, f in zip(columns, _KINDS)], fields=_KINDS)
+            yield _found(texts, block)
         tidy_memory()
     return run
 
@@ -266,35 +272,42 @@ def phrase_table(benchmark: DataFrame, item_col: str = "item_id", text_col: str
     return rows.withColumn("block", F.pmod(F.xxhash64("phrase"), F.lit(blocks))), blocks
 
 
-def mark(docs: DataFrame, phrases: DataFrame, blocks: int = 1, text_col: str = "text", name: str = "found") -> DataFrame:
-    """All rows and columns of ``docs`` plus, under ``name``, what of the phrases their texts hold.
+def _block(phrases: DataFrame, number: int) -> list[tuple]:
+    """Phrases and items of one block: all that the driver and a task hold at a time."""
+    return [(r["phrase"], r["items"]) for r in phrases.filter(F.col("block") == number).orderBy("phrase").toLocalIterator()]
 
-    Only the texts go to Python. One block of phrases is on the driver and in a task at a time: with more, each is searched in a pass
-    of its own, whose hits are written by the texts' hashes; the passes' hits are united and joined to the documents.
-    """
-    def search(block: int):
-        rows = [(r["phrase"], r["items"]) for r in phrases.filter(F.col("block") == block).orderBy("phrase").toLocalIterator()]
-        return F.arrow_udf(_hits(rows), _FOUND)(F.col(text_col).cast("string"))
 
-    if blocks == 1:
-        return docs.withColumn(name, search(0))
-    texts = docs.select(F.sha2(F.col(text_col).cast("string"), 256).alias("key"), F.col(text_col)).filter(F.col(text_col).isNotNull())
-    parts = [written(texts.select("key", search(b).alias("found")).filter("found.n_hit > 0 OR size(found.items) > 0")
-                     .select("key", "found.spans", "found.items").dropDuplicates(["key"]), "hits") for b in range(blocks)]
-    hits = parts[0]
-    for part in parts[1:]:
-        hits = hits.unionByName(part)
+def _united_hits(docs: DataFrame, phrases: DataFrame, blocks: int, text_col: str) -> DataFrame:
+    """(key, n_hit, spans, items) of the texts with hits, by their hashes: one pass for each block, the hits written and united."""
+    texts = docs.select(F.sha2(F.col(text_col).cast("string"), 256).alias("key"), F.col(text_col).cast("string").alias("text")).filter("text IS NOT NULL")
+    hits = None
+    for b in range(blocks):
+        found = texts.select("key", F.arrow_udf(_hits(_block(phrases, b)), _FOUND)("text").alias("found"))
+        part = written(found.filter("size(found.items) > 0 OR found.n_hit > 0").select("key", "found.spans", "found.items").dropDuplicates(["key"]), "hits")
+        hits = part if hits is None else hits.unionByName(part)
     hits = hits.groupBy("key").agg(F.flatten(F.collect_list("spans")).alias("spans"), F.array_sort(F.array_distinct(F.flatten(F.collect_list("items")))).alias("items"))
-    hits = hits.select("key", F.arrow_udf(_united, "array<struct<start: long, end: long, first: long, last: long>>")("spans").alias("spans"), "items")
+    hits = written(hits.withColumn("spans", F.arrow_udf(_united, _SPANS)("spans")), "hits")
     n_hit = F.aggregate("spans", F.lit(0).cast("long"), lambda n, x: n + x["last"] - x["first"])
-    hits = hits.select(F.col("key").alias(free_name(docs, "key")), F.struct(n_hit.alias("n_hit"), "spans", "items").alias(free_name(docs, "hits")))
-    key, hit = hits.columns
-    counted = docs.withColumns({key: F.sha2(F.col(text_col).cast("string"), 256), name: F.arrow_udf(_hits([]), _FOUND)(F.col(text_col).cast("string"))})
-    joined = counted.join(hits, key, "left")
-    none = F.col(hit).isNull()
-    return joined.withColumn(name, F.struct(
-        F.col(f"{name}.n_words").alias("n_words"), *[F.when(none, F.col(f"{name}.{c}")).otherwise(F.col(f"{hit}.{c}")).alias(c) for c in ("n_hit", "spans", "items")])).select(
-        *docs.columns, name)
+    return hits.select("key", n_hit.alias("n_hit"), "spans", "items")
+
+
+def _with_hits(docs: DataFrame, hits: DataFrame, text_col: str, name: str) -> DataFrame:
+    """All rows and columns of ``docs`` plus the hits of their texts as a struct, NULL without any."""
+    key = free_name(docs, "key")
+    packed = hits.select(F.col("key").alias(key), F.struct("n_hit", "spans", "items").alias(name))
+    return docs.withColumn(key, F.sha2(F.col(text_col).cast("string"), 256)).join(packed, key, "left").select(*docs.columns, name)
+
+
+def mark(docs: DataFrame, phrases: DataFrame, blocks: int = 1, text_col: str = "text", name: str = "found") -> DataFrame:
+    """All rows and columns of ``docs`` plus, under ``name``, what of the phrases their texts hold. Only the texts go to Python."""
+    search = F.arrow_udf(_hits(_block(phrases, 0) if blocks == 1 else []), _FOUND)
+    counted = docs.withColumn(name, search(F.col(text_col).cast("string")))
+    if blocks == 1:
+        return counted
+    other = free_name(counted, "hits")
+    joined = _with_hits(counted, _united_hits(docs, phrases, blocks, text_col), text_col, other)
+    parts = [F.when(F.col(other).isNull(), F.col(f"{name}.{c}")).otherwise(F.col(f"{other}.{c}")).alias(c) for c in ("n_hit", "spans", "items")]
+    return joined.withColumn(name, F.struct(F.col(f"{name}.n_words").alias("n_words"), *parts)).drop(other)
 
 
 def contamination(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text",
@@ -306,17 +319,38 @@ def contamination(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id",
         F.sha2(F.array_join("found.items", ","), 256).alias("items_sha256"), (F.col("found.n_hit") > 0).alias("contaminated"))
 
 
+def _cut(text: str | None, spans: list[dict] | None) -> str | None:
+    return kept_bytes(text.encode(), [(x["start"], x["end"]) for x in spans]).decode() if text is not None and spans else text
+
+
 def _without(batches: Iterator[tuple[pa.Array, pa.Array]]) -> Iterator[pa.Array]:
     for texts, spans in batches:
-        yield pa.array([
-            t if t is None or not s else kept_bytes(t.encode(), [(x["start"], x["end"]) for x in s]).decode()
-            for t, s in zip(texts.to_pylist(), spans.to_pylist())], pa.string())
+        yield pa.array(list(map(_cut, texts.to_pylist(), spans.to_pylist())), pa.string())
     tidy_memory()
 
 
+def _cleaned(rows: list[tuple]):
+    """Texts without the words that the phrases hit: found and cut in one worker."""
+    def run(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        block = Block.of(rows)
+        for texts in batches:
+            spans = _found(texts, block).field("spans")
+            hit = pa.compute.greater(pa.compute.list_value_length(spans), 0).to_numpy(zero_copy_only=False)
+            if hit.any():
+                at = np.flatnonzero(hit)
+                cut = [_cut(texts[i].as_py(), spans[i].as_py()) for i in at.tolist()]
+                texts = pa.compute.replace_with_mask(texts, pa.array(hit), pa.array(cut, texts.type))
+            yield texts
+        tidy_memory()
+    return run
+
+
 def decontaminated(docs: DataFrame, benchmark: DataFrame, text_col: str = "text", window: int = WINDOW, limit: int = BLOCK_PHRASES) -> DataFrame:
     """The same rows and columns with the hit words, and what stands between them, cut out of the texts."""
-    name = free_name(docs, "found")
-    found = mark(docs, *phrase_table(benchmark, window=window, limit=limit), text_col, name)
-    cut = F.arrow_udf(_without, "string")(F.col(text_col), F.col(f"{name}.spans"))
-    return found.withColumn(text_col, F.when(F.size(f"{name}.spans") > 0, cut).otherwise(F.col(text_col))).drop(name)
+    phrases, blocks = phrase_table(benchmark, window=window, limit=limit)
+    if blocks == 1:
+        return docs.withColumn(text_col, F.arrow_udf(_cleaned(_block(phrases, 0)), "string")(F.col(text_col).cast("string")))
+    name = free_name(docs, "hits")
+    found = _with_hits(docs, _united_hits(docs, phrases, blocks, text_col), text_col, name)
+    cut = F.arrow_udf(_without, "string")(F.col(text_col).cast("string"), F.col(f"{name}.spans"))
+    return found.withColumn(text_col, F.when(F.col(name).isNotNull(), cut).otherwise(F.col(text_col))).drop(name)
