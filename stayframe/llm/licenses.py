@@ -2,9 +2,9 @@
 
 A rule is a regular expression over a text's words (lower-cased in A-Z, joined by one space), with the
 label it gives, keywords of which the text must hold one, and a priority.
-The table is written as hand-made name patterns of licenses, each put into the
-forms in which a license is named: declaration, grant, title, reference and link.
-Full notices have rules of their own.
+Two kinds make the table. ``notices.NOTICES`` are signature sentences of texts, notices and headers, written license by
+license. ``LICENSES`` are hand-written name patterns and short names, each put into the ``FORMS`` in which any license
+is named: declaration, grant, link, title and field.
 
 1. An Aho-Corasick automaton over all keywords reads each lower-cased text once. Most texts end here.
 2. Only the rules whose keywords were met are run, over the whole text.
@@ -32,6 +32,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
+from .notices import NOTICES
 from .words import PLAIN, chunks, words_of
 
 WORD = re.compile(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+")
@@ -43,7 +44,7 @@ _VERSION = r"(?: (?:version|v))? ?"
 
 #: label, name pattern over words, short-name patterns, keywords of which one must be in the text
 LICENSES = (
-    ("0bsd", r"(?:zero clause|free public license 1 0 0) ?bsd?", "0bsd", ("zero", "free public", "0bsd")),
+    ("0bsd", r"(?:bsd )?zero clause(?: bsd)? licen[cs]e|free public licen[cs]e(?: 1 0 0)?", "0bsd", ("zero", "free public", "0bsd")),
     ("afl", r"academic free license", r"afl(?: [123] [01])?", ("academic", "afl")),
     ("agpl", r"(?:gnu )?affero general public license", r"agpl ?(?:v?[13](?: 0)?)?", ("affero", "agpl")),
     ("apache", r"apache(?: software)? licen[cs]e", r"apache(?: license)? 1 [01]", ("apache",)),
@@ -119,25 +120,6 @@ FORMS = (
     ("field", 50, 0.8, r"licen[cs]e (?:is |type |name )?(?:the )?(?:{short})"),
 )
 
-#: label, priority, confidence, pattern, keywords: sentences of full notices and plain statements
-NOTICES = (
-    ("mit", 95, 1.0, r"permission is hereby granted free of charge to any person obtaining a copy", ("hereby granted",)),
-    ("apache 2.0", 95, 1.0, r"you may not use this file except in compliance with the license", ("in compliance with",)),
-    ("gpl", 95, 1.0, r"you can redistribute it and or modify it under the terms of the gnu general public license", ("redistribute it",)),
-    ("lgpl", 96, 1.0, r"you can redistribute it and or modify it under the terms of the gnu (?:lesser|library) general public license", ("redistribute it",)),
-    ("agpl", 96, 1.0, r"you can redistribute it and or modify it under the terms of the gnu affero general public license", ("redistribute it",)),
-    ("bsd", 95, 1.0, r"redistribution and use in source and binary forms with or without modification are permitted", ("source and binary",)),
-    ("bsd 3-clause", 96, 1.0, r"neither the name of .{1,80}? may be used to endorse or promote products", ("endorse or promote",)),
-    ("isc", 95, 1.0, r"permission to use copy modify and or distribute this software for any purpose with or without fee", ("without fee",)),
-    ("zlib", 95, 1.0, r"this software is provided as is without any express or implied warranty in no event", ("express or implied",)),
-    ("mpl", 95, 1.0, r"this source code form is subject to the terms of the mozilla public license", ("source code form",)),
-    ("unlicense", 95, 1.0, r"this is free and unencumbered software released into the public domain", ("unencumbered",)),
-    ("public domain", 40, 0.7, r"(?:released|placed|dedicated) (?:in|into|to) the public domain", ("public domain",)),
-    ("proprietary", 40, 0.7, r"all rights reserved", ("all rights",)),
-    ("proprietary", 45, 0.8, r"proprietary and confidential", ("proprietary",)),
-)
-
-
 @dataclass(frozen=True)
 class Rule:
     label: str

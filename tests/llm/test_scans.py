@@ -1,6 +1,7 @@
 """Decontamination, license scan and packing against plain versions."""
 
 import random
+import re
 import zlib
 
 import brute
@@ -90,6 +91,53 @@ def test_license_rules(spark):
     assert licenses.license_scan(df.limit(0)).count() == 0
 
 
+def plain_detections(text):
+    """Every rule over the whole text, and containment by comparing each detection with all kept ones."""
+    joined, table = " ".join(brute.PLAIN.findall(brute.low(text))), licenses.rules()
+    found = [(m.start(), m.end(), i) for i, r in enumerate(table)
+             for m in re.finditer(rf"(?<![^ ])(?:{r.pattern})(?![^ ])", joined) if m.end() > m.start()]
+    kept = []
+    for start, end, i in sorted(found, key=lambda d: (-table[d[2]].priority, d[0] - d[1], d[0])):
+        if not any(a <= start and end <= b for a, b, _ in kept):
+            kept.append((start, end, i))
+    return sorted((joined[:a].count(" "), joined[:b].count(" ") + 1, table[i].label) for a, b, i in kept)
+
+
+LICENSED = [
+    ("BSD Zero Clause License", "0bsd"), ("Free Public License 1.0.0", "0bsd"), ("you can buy me a beer in return; if we meet some day, and "
+     "you think this stuff is worth it, you can buy me a beer in return", "beerware"),
+    ("GNU Library General Public License version 2", "lgpl 2.0"), ("under the terms of the GNU General Public License version 2 as published by the "
+     "Free Software Foundation", "gpl 2.0 only"), ("with the Classpath exception", "gpl with classpath exception"),
+    ("https://creativecommons.org/licenses/by-nc-sa/4.0/", "cc by-nc-sa"), ("https://creativecommons.org/licenses/by/4.0/", "cc by"),
+    ("the Software shall be used for Good, not Evil.", "jsonlicense"), ("This software is governed by the CeCILL-B license under French law", "cecill"),
+    ("All advertising materials mentioning features or use of this software must display the following acknowledgement", "bsd 4-clause"),
+    ("Licensed to the Apache Software Foundation (ASF) under one or more contributor license agreements.", "apache 2.0"),
+    ("same terms as Perl itself", "artistic"), ("This Font Software is licensed under the SIL Open Font License", "ofl"),
+    ("Elastic License 2.0", "elastic"), ("for academic use only", "research only"), ("Datenlizenz Deutschland Namensnennung", "dl-de"),
+    ("Mozilla Public License, v. 2.0", "mpl"), ("subject to the terms of the Mozilla Public License, v. 2.0", "mpl 2.0"),
+    ("copyright restrictions: no known copyright restrictions", "public domain")]
+
+
+def test_priority_and_containment(spark, rows):
+    texts = [t for _, t in rows[0]] + [t for t, _ in LICENSED]
+    texts += [" filler ".join(t for t, _ in LICENSED[k : k + 4]) for k in range(0, len(LICENSED), 2)]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    found = {r["doc_id"]: r for r in licenses.license_scan(df).collect()}
+    for i, text in enumerate(texts):
+        assert sorted((d["start"], d["end"], d["label"]) for d in found[i]["detections"]) == plain_detections(text)
+    for i, (text, label) in enumerate(LICENSED, len(rows[0])):
+        assert label in found[i]["labels"].split(","), (text, found[i]["labels"])
+
+
+def test_signatures_are_many_and_whole():
+    written = {r.pattern for r in licenses.rules()}
+    names = [p for _, name, short, _ in licenses.LICENSES for p in (name, short)]
+    assert len(licenses.NOTICES) >= 130 and len(licenses.NOTICES) + len(set(names)) >= 250 and len(written) >= 430
+    for label, _, _, pattern, keywords in licenses.NOTICES:
+        words = {max(k.split(), key=len) for k in keywords}
+        assert any(re.search(w, pattern.replace("[cs]", "s").replace("[sz]", "s")) for w in words), (label, pattern)
+
+
 def sequences(rows, capacity):
     by = {}
     for r in rows:
