@@ -5,6 +5,7 @@ import collections
 import duckdb
 import pandas as pd
 import pytest
+from pyspark.sql import Window, functions as F
 
 from stayframe.llm import catalog, quotes, rules, sharding
 
@@ -49,6 +50,35 @@ def test_quoted_messages(spark):
     assert quotes.linked(df.limit(0)).count() == 0
 
 
+def quoting(spark, folder):
+    """Replies that quote earlier turns at one to three levels; one conversation has a third of the rows."""
+    rows = spark.read.parquet(f"{folder}/conversations.parquet").select("conv_id", "turn", "role", F.substring("text", 1, 120).alias("text"))
+    hot = F.col("conv_id") % 3 == 0
+    rows = rows.select(F.when(hot, 0).otherwise(F.col("conv_id")).alias("conv_id"),
+                       F.when(hot, F.col("conv_id") * 100 + F.col("turn")).otherwise(F.col("turn")).alias("turn"), "role", "text")
+    order = Window.partitionBy("conv_id").orderBy("turn")
+
+    def quoted(back, marks):
+        lines = F.transform(F.split(F.lag("text", back).over(order), "\n"), lambda line: F.concat(F.lit(marks), line))
+        return F.array_join(lines, "\n")
+
+    kind = F.pmod(F.xxhash64("conv_id", "turn"), F.lit(4))
+    parts = [F.when(kind >= 1, quoted(1, "> ")), F.when(kind >= 2, quoted(2, ">> ")), F.when(kind == 3, quoted(3, "> > > ")), F.col("text")]
+    return rows.select("conv_id", "turn", "role", F.concat_ws("\n", *parts).alias("text"))
+
+
+def test_quotes_of_real_conversations(spark, folder):
+    df = quoting(spark, folder)
+    frame = df.toPandas()
+    con = duckdb.connect()
+    con.register("conversations", frame)
+    found = quotes.linked(df)
+    same_as_sql(found, con, quotes.ORACLE)
+    linked = found.filter("parent_turn IS NOT NULL").count()
+    assert frame["conv_id"].value_counts().iloc[0] > len(frame) / 4 and linked > len(frame) / 2
+    assert found.filter("n_quoted_lines > 0").count() >= linked
+
+
 def test_rules_on_odd_texts(spark):
     long = "the of and to " * 400
     rows = [(1, None), (2, ""), (3, "a b c a b c"), (4, "a a a a"), (None, "x y z w"), (5, " \n\n a\n a\n b\n"), (6, long)]
