@@ -13,8 +13,9 @@
    pass only neighbours in different components are tried, at the shallowest
    depth at which a class has ``REGION`` neighbours of other components or fewer.
    So a large group of near copies costs one row for each, not one for each pair.
-   A region of ``WIDE`` rows or fewer is never cut between tasks. In a larger one the rows outside its largest
-   component are dealt out in blocks, each against all blocks of the region.
+   A region of ``WIDE`` rows or fewer is never cut between tasks. The rows of larger ones meet by what is rare in
+   them instead (see ``_rare_buckets``): rows that share no more than a common prefix, a boilerplate, never meet. In a bucket of
+   a rare hash the rows outside its largest component are dealt out in blocks, each against all blocks of the bucket.
 4. Neighbours of the second pass are compared by sketches, the ``SKETCH`` smallest shingle hashes, before
    any row is made for them. Sets of that size or less are compared whole, by the exact test. Where such a pair
    would be a link even if one equal pair of 32-bit hashes were chance, one link
@@ -297,6 +298,52 @@ def _across(similar: tuple[int, int]):
     return run
 
 
+def needed(sizes: np.ndarray, whole: np.ndarray, similar: tuple[int, int]) -> np.ndarray:
+    """How many of its rarest hashes a sketch needs in an index so that ``alike`` ones share one.
+
+    Two sketches with ``both`` hashes in common and fewer than ``both`` left out of each index share an indexed one. A pair of whole sets
+    needs ``both`` of the share ``similar`` of the larger one; a pair with a full sketch the least that ``alike`` lets pass of ``SKETCH``.
+    """
+    part, of = similar
+    least = (part * SKETCH - DEVIATIONS * np.sqrt(part * (of - part) * SKETCH)) / of - 1
+    exact = np.where(whole, -(-part * sizes // of), SKETCH)
+    both = np.maximum(np.minimum(exact, np.floor(least)), 1)
+    # one more for a set that lost a hash to a chance hit; small sets with such a hit are not whole, and indexed in full
+    return np.where(whole | (sizes >= SKETCH), np.minimum(sizes - both + 2, sizes), sizes).clip(0).astype(np.int64)
+
+
+def _hashes(similar: tuple[int, int]):
+    """(doc, group, sketch) to (doc, group, indexed, hash): each hash of each sketch."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            grid = np.frombuffer(b"".join(batch.column(2).to_pylist()), np.uint32).reshape(-1, SKETCH + 1)
+            row, at = np.nonzero(grid[:, 1:] != _PAD)
+            sizes = np.bincount(row, minlength=len(grid))
+            indexed = needed(sizes, grid[:, 0].astype(bool), similar)
+            picked = pa.array(row)
+            yield pa.RecordBatch.from_arrays([
+                batch.column(0).take(picked), batch.column(1).take(picked), pa.array(indexed[row].astype(np.int32)),
+                pa.array(grid[row, at + 1].astype(np.int64))], ["doc", "group", "indexed", "hash"])
+        tidy_memory()
+    return run
+
+
+def _rare_buckets(rows: DataFrame, similar: tuple[int, int]) -> DataFrame:
+    """(tree, _prefix, doc, group): the rows (doc, group, sketch) by their rarest sketch hashes, as regions of a tree -1.
+
+    A prefix filter: every row stands under so many of its rarest hashes that rows ``alike`` meet under one (``needed``). Rarity is
+    counted over all the rows; hashes of one row are left out, as nothing meets there.
+    """
+    hashes = written(rows.mapInArrow(_hashes(similar), "doc long, group long, indexed int, hash long"), "hashes")
+    common = hashes.groupBy("hash").agg(F.count("*").alias("n")).filter("n > 1")
+    rare = hashes.join(written(common, "common"), "hash", "left").withColumn("n", F.coalesce("n", F.lit(1).cast("long")))
+    each = rare.groupBy("doc", "group", "indexed").agg(F.array_sort(F.collect_list(F.struct("n", "hash"))).alias("hashes"))  # SKETCH at most
+    chosen = each.select("doc", "group", F.inline(F.slice("hashes", F.lit(1), F.col("indexed")))).filter("n > 1")
+    return chosen.select(F.lit(-1).alias("tree"), F.col("hash").cast("string").cast("binary").alias("_prefix"), "doc", "group")
+
+
 def _wide_regions(rows: DataFrame) -> DataFrame:
     """(tree, _prefix, top, outside, blocks, outer): each region's largest group, the rows outside it, and the blocks of all and of those."""
     sizes = rows.groupBy("tree", "_prefix", "group").agg(F.count("*").alias("n"))
@@ -307,7 +354,7 @@ def _wide_regions(rows: DataFrame) -> DataFrame:
 
 
 def _wide_pairs(rows: DataFrame, sketches: DataFrame, regions: DataFrame, similar: tuple[int, int]) -> DataFrame:
-    """Candidate pairs of the wide regions: all rows outside the largest group with all rows of the region."""
+    """Candidate pairs of wide regions or buckets: all rows outside the largest group with all rows of the region."""
     n = regions.agg(F.sum(F.col("rows") * F.col("outer") + F.col("outside") * F.col("blocks"))).first()[0] or 0
     rows = rows.join(F.broadcast(regions) if small(regions) else regions, ["tree", "_prefix"])
     rows = rows.join(sketches, F.col("doc") == F.col("_doc"))
@@ -415,11 +462,13 @@ def near_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
         wide = not regions.filter("wide").isEmpty()
         inside, crowded = open_rows, False
         if wide:
-            sizes = written(_wide_regions(open_rows.filter("wide")), "wide")
+            meeting = open_rows.filter("wide").select("doc", "group").distinct().join(mine, F.col("doc") == F.col("_doc"))
+            buckets = written(_rare_buckets(meeting.select("doc", "group", "sketch"), similar), "buckets")
+            sizes = written(_wide_regions(buckets).filter("outside > 0"), "wide")
             spread = sizes.filter(F.col("outside") <= crowd)
             crowded = not sizes.filter(F.col("outside") > crowd).isEmpty()
-            keys = spread.select("tree", "_prefix")
-            inside = open_rows.join(F.broadcast(keys) if small(keys) else keys, ["tree", "_prefix"], "left_anti")
+            if not crowded:
+                inside = open_rows.filter("not wide")
         # only a wide region is cut between tasks: one that is crowded, so that it is matched again
         inside = inside.join(mine, F.col("doc") == F.col("_doc")).drop("_doc")
         ranges = inside.repartitionByRange(n, "tree", "_prefix", F.when(F.col("wide"), F.col("signature")), F.when(F.col("wide"), F.col("doc")))
@@ -427,7 +476,7 @@ def near_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
             _second_pass(crowd, similar), "a long, b long"), "neighbours")
         pairs = again.filter("a is not null")
         if wide:
-            pairs = pairs.unionByName(_wide_pairs(open_rows, mine, spread, similar))
+            pairs = pairs.unionByName(_wide_pairs(buckets, mine, spread, similar))
         pairs = pairs.distinct()
         pairs = written(pairs.join(tried, ["a", "b"], "left_anti"), "candidates")
         more = _links(texts, names, pairs, shingle_words, similar)

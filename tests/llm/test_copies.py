@@ -156,6 +156,39 @@ def test_a_region_that_spans_tasks(spark, monkeypatch, region, wide):
     assert sorted(got) == sorted(wanted)
 
 
+def test_unlike_rows_of_one_prefix_do_not_meet(spark):
+    """20,000 rows that share a boilerplate and nothing else, and a few near copies among them: work in proportion to the rows."""
+    rng = np.random.default_rng(6)
+    boilerplate, sketches = rng.integers(0, 1 << 32, 60, dtype=np.uint64), []
+    for i in range(20_000):
+        own = rng.integers(0, 1 << 32, 120, dtype=np.uint64)
+        if i % 1000 == 7:  # nearly the row before
+            own = np.r_[last[:115], own[:5]]
+        last = own
+        sketches.append(nearcopies.sketch(np.r_[boilerplate, own]).tobytes())
+    df = spark.createDataFrame([(i, i, bytearray(s)) for i, s in enumerate(sketches)], "doc long, group long, sketch binary")
+    buckets = nearcopies.written(nearcopies._rare_buckets(df, (80, 100)), "buckets")
+    assert buckets.count() < 20_000
+    regions = nearcopies._wide_regions(buckets).filter("outside > 0")
+    pairs = nearcopies._wide_pairs(buckets, df.select(df.doc.alias("_doc"), "sketch"), nearcopies.written(regions, "regions"), (80, 100))
+    found = {(r["a"], r["b"]) for r in pairs.collect()}
+    assert found == {(i - 1, i) for i in range(7, 20_000, 1000)}
+
+
+def test_alike_sketches_share_an_indexed_hash():
+    rng = np.random.default_rng(5)
+    for _ in range(300):
+        n, edits = int(rng.choice([10, 60, 150, 192, 260, 800])), rng.random() * 0.3
+        a = rng.integers(0, 1 << 32, n, dtype=np.uint64)
+        b = np.where(rng.random(n) < edits, rng.integers(0, 1 << 32, n, dtype=np.uint64), a)
+        grid = np.stack([nearcopies.sketch(a), nearcopies.sketch(b)])
+        if nearcopies.alike(grid, 0, np.array([1]), (80, 100))[0][0]:
+            sets = [row[1:][row[1:] != nearcopies._PAD] for row in grid]
+            count = nearcopies.needed(np.array([len(s) for s in sets]), grid[:, 0].astype(bool), (80, 100))
+            order = [sorted(s.tolist(), key=lambda h: h * 2654435761 % (1 << 32))[:k] for s, k in zip(sets, count)]
+            assert set(order[0]) & set(order[1])
+
+
 def test_rows_with_one_id_are_one_node(spark):
     """Ids with several texts hold groups together; each of their texts has its own near copies."""
     rng = random.Random(8)
