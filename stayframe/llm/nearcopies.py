@@ -456,6 +456,7 @@ def near_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
             F.min("group").alias("low"), F.max("group").alias("high"), (F.count("*") > WIDE).alias("wide"))
         regions = written(regions.filter("low <> high").select("tree", "_prefix", "wide"), "regions")
         open_rows = written(labelled.join(regions, ["tree", "_prefix"]), "open")
+        near = open_rows.select(*order)  # the others are settled in the next round too
         n = partitions(open_rows.count(), SKETCHED_ROWS)
         ids = written(open_rows.select(F.col("doc").alias("_doc")).distinct(), "ids")
         mine = sketches.join(F.broadcast(ids) if small(ids) else ids, "_doc", "left_semi")
