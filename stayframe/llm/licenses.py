@@ -16,7 +16,7 @@ The *base* phrases are matched as consecutive words apart from the rules and nev
 The score is the largest rule confidence among the kept detections, raised to ``BASE_SCORE`` by a base
 phrase; 0 without any.
 
-NULL is an empty text: no words, no labels, score 0. Rows that repeat an id are scanned each. The time for
+NULL is an empty text: no words, no labels, score 0. Texts are read whole; columns besides the id and the text are not read. Rows that repeat an id are scanned each. The time for
 a text is linear in its length for each rule that is run.
 """
 

@@ -16,7 +16,8 @@ over all pieces, not one per partition, and needs no piece on the driver:
   spread over tasks. The plan turns (length, number) into sequence and offset.
 
 NULL is an empty text, which is the end id alone. Rows that repeat an id are
-separate documents. Extra columns are not read.
+separate documents; pieces of one id and number are placed in the order of their checksums, and those equal in
+that too are interchangeable. A text is encoded whole, however long. Extra columns are not read.
 """
 
 from __future__ import annotations
@@ -214,7 +215,7 @@ def pack(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", capaci
     before = salted.groupBy("length", "_salt").agg(F.count("*").alias("_n"))
     ahead = Window.partitionBy("length").orderBy("_salt").rowsBetween(Window.unboundedPreceding, -1)
     before = written(before.select("length", "_salt", F.coalesce(F.sum("_n").over(ahead), F.lit(0)).alias("_before")), "before")
-    order = Window.partitionBy("length", "_salt").orderBy("doc_id", "piece")
+    order = Window.partitionBy("length", "_salt").orderBy("doc_id", "piece", "ids_crc32", "start")
     numbered = salted.withColumn("_row", F.row_number().over(order) - 1).join(before, ["length", "_salt"])
     numbered = numbered.select(*pieces.columns, (F.col("_row") + F.col("_before")).alias("number"))
     shape = ", ".join([*(f"{f.name} {f.dataType.simpleString()}" for f in pieces.schema), "sequence_id long", "offset long"])

@@ -12,7 +12,7 @@ their ids. Weights that stay at 0 take no room, so the model is at most
 ``2**BITS`` numbers. Scores are sparse dot products, made where the documents lie.
 
 NULL and texts without words have the constant alone. NULL labels are not learned from; a document with several
-labels has the largest. Rows that repeat an id are scored each.
+labels has the largest. Rows that repeat an id are scored each. Texts are read whole, in chunks. Columns of the user's rows come back as they are.
 """
 
 from __future__ import annotations
