@@ -43,7 +43,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
 from .components import components
-from .tables import free_name, keyed, partitions, small, tidy_memory, written
+from .tables import forget, free_name, keyed, partitions, small, tidy_memory, written
 from .words import SPACED, chunks, mix, random_values, runs, signed, words_of
 
 TREES, DEPTH, LEAST = 24, 8, 4
@@ -390,7 +390,18 @@ def _links(texts: DataFrame, names: DataFrame, pairs: DataFrame, n: int, similar
     some = written(some.dropDuplicates(["node"]), "texts")
     one, two = some.toDF("a", "text_a"), some.toDF("b", "text_b")
     both = pairs.join(one, "a").join(two, "b").select("a", "b", "text_a", "text_b")
-    return written(both.mapInArrow(_confirm(n, similar), "a long, b long"), "confirmed")
+    found = written(both.mapInArrow(_confirm(n, similar), "a long, b long"), "confirmed")
+    forget(some, wanted, ids)
+    return found
+
+
+def _bucket_hubs(buckets: DataFrame, crowded: DataFrame) -> DataFrame:
+    """(a, b): each row outside the largest group of crowded buckets with the hub that most of its buckets name, one pair for a row."""
+    inside = buckets.join(crowded.select("tree", "_prefix", "top"), ["tree", "_prefix"])
+    hub = inside.filter(F.col("group") == F.col("top")).groupBy("tree", "_prefix").agg(F.min("doc").alias("hub"))
+    votes = inside.filter(F.col("group") != F.col("top")).join(hub, ["tree", "_prefix"]).groupBy("doc", "hub").count()
+    best = votes.groupBy("doc").agg(F.max_by("hub", F.col("count") * 4_000_000_000 - F.pmod(F.xxhash64("hub"), F.lit(4_000_000_000))).alias("hub"))
+    return best.select(F.least("doc", "hub").alias("a"), F.greatest("doc", "hub").alias("b"))
 
 
 def _named_classes(sets: DataFrame) -> tuple[DataFrame, DataFrame]:
@@ -437,17 +448,17 @@ def near_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     order = ["tree", "signature", "doc"]
     n = partitions(classes.count() * TREES, SORTED_ROWS)
     forest = rows.repartitionByRange(n, *order).sortWithinPartitions(*order)
-    near = written(forest.mapInArrow(_first_pass(region), "tree int, signature binary, doc long, hub long"), "forest")
+    named = written(forest.mapInArrow(_first_pass(region), "tree int, signature binary, doc long, hub long"), "forest")
 
     # one hub for each class: the one that most trees name
-    votes = near.filter("hub is not null").groupBy("doc", "hub").count()
+    votes = named.filter("hub is not null").groupBy("doc", "hub").count()
     best = votes.groupBy("doc").agg(F.max_by("hub", F.col("count") * 4_000_000_000 - F.pmod(F.xxhash64("hub"), F.lit(4_000_000_000))).alias("hub"))
     hubs_of = written(best.select(F.least("doc", "hub").alias("a"), F.greatest("doc", "hub").alias("b")).distinct(), "candidates")
     first = _links(texts, names, hubs_of, shingle_words, similar).unionByName(same_ids)
     groups = written(components(first), "groups")
 
     sketches = holders.select(F.col("doc").alias("_doc"), "sketch")
-    links, tried, crowd = first, hubs_of, region
+    links, tried, crowd, near = first, hubs_of, region, named.drop("hub")
     while True:
         # regions that are one component already have no pairs left
         labelled = near.join(groups, near["doc"] == groups["node"], "left").select(
@@ -456,11 +467,12 @@ def near_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
             F.min("group").alias("low"), F.max("group").alias("high"), (F.count("*") > WIDE).alias("wide"))
         regions = written(regions.filter("low <> high").select("tree", "_prefix", "wide"), "regions")
         open_rows = written(labelled.join(regions, ["tree", "_prefix"]), "open")
+        forget(regions, near)
         near = open_rows.select(*order)  # the others are settled in the next round too
         n = partitions(open_rows.count(), SKETCHED_ROWS)
         ids = written(open_rows.select(F.col("doc").alias("_doc")).distinct(), "ids")
         mine = sketches.join(F.broadcast(ids) if small(ids) else ids, "_doc", "left_semi")
-        wide = not regions.filter("wide").isEmpty()
+        wide = not open_rows.filter("wide").isEmpty()
         inside, crowded = open_rows, False
         if wide:
             meeting = open_rows.filter("wide").select("doc", "group").distinct().join(mine, F.col("doc") == F.col("_doc"))
@@ -468,16 +480,16 @@ def near_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
             sizes = written(_wide_regions(buckets).filter("outside > 0"), "wide")
             spread = sizes.filter(F.col("outside") <= crowd)
             crowded = not sizes.filter(F.col("outside") > crowd).isEmpty()
-            if not crowded:
-                inside = open_rows.filter("not wide")
-        # only a wide region is cut between tasks: one that is crowded, so that it is matched again
+            inside = open_rows.filter("not wide")
         inside = inside.join(mine, F.col("doc") == F.col("_doc")).drop("_doc")
-        ranges = inside.repartitionByRange(n, "tree", "_prefix", F.when(F.col("wide"), F.col("signature")), F.when(F.col("wide"), F.col("doc")))
+        ranges = inside.repartitionByRange(n, "tree", "_prefix")
         again = written(ranges.select(*order, "group", "sketch").sortWithinPartitions(*order).mapInArrow(
             _second_pass(crowd, similar), "a long, b long"), "neighbours")
         pairs = again.filter("a is not null")
         if wide:
             pairs = pairs.unionByName(_wide_pairs(buckets, mine, spread, similar))
+            if crowded:
+                pairs = pairs.unionByName(_bucket_hubs(buckets, sizes.filter(F.col("outside") > crowd)))
         pairs = pairs.distinct()
         pairs = written(pairs.join(tried, ["a", "b"], "left_anti"), "candidates")
         more = _links(texts, names, pairs, shingle_words, similar)
@@ -492,6 +504,7 @@ def near_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
             if crowd == UNCROWDED:
                 break
             crowd = UNCROWDED  # nothing left to merge: match what is crowded in full
+    forget(sets, near, names, tried)
     least = classes.join(groups, "node").groupBy("component").agg(F.min("class").alias("least"))
     labels = classes.join(groups, "node", "left").join(least, "component", "left").select(
         "node", F.coalesce("least", "class").alias("least"))

@@ -36,7 +36,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from .tables import free_name, keyed, small, tidy_memory, written
+from .tables import forget, free_name, keyed, small, tidy_memory, written
 from .words import CHUNK_BYTES, Ranges, chunks, mix, signed
 
 LENGTH, GRAM, SPAN = 400, 16, 256
@@ -259,7 +259,7 @@ def _hot_spans(rows: DataFrame, length: int, group_phrases: int) -> DataFrame:
 
 def repeated_spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", length: int = LENGTH,
                    group_phrases: int = GROUP_PHRASES) -> DataFrame:
-    """(doc, key, spans): per text with repeats, array of struct(start, end) in bytes, unmerged.
+    """(doc, key, spans): per text with repeats, array of struct(start, end) in bytes, unmerged; a written table.
 
     ``length`` may not be below ``SPAN + GRAM``.
     """
@@ -273,12 +273,14 @@ def repeated_spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     groups = written(groups.filter("n > 1").select("group", (F.col("low") != F.col("high")).alias("mixed")), "groups")
     # a table of its own, so that a group with very many places can be split in the join
     hits = written(places.join(groups, "group"), "repeats")
+    forget(places)
     one_place = F.xxhash64("doc", "key", "pos")
     phrases = written(hits.filter("mixed").groupBy("group", "phrase").agg(
         F.count("*").alias("places"), *(F.min_by(c, one_place).alias(c) for c in ("doc", "key", "pos")),
         F.min("far").alias("far"), F.min("near").alias("near")), "dictionary")
+    equal = written(phrases.filter("places > 1").select("group", "phrase"), "equal")
     whole = hits.filter("not mixed").unionByName(
-        hits.filter("mixed").join(phrases.filter("places > 1").select("group", "phrase"), ["group", "phrase"], "left_semi"))
+        hits.filter("mixed").join(F.broadcast(equal) if small(equal) else equal, ["group", "phrase"], "left_semi"))
     spans = whole.select("doc", "key", (F.col("pos") - F.col("far")).alias("start"),
                          (F.col("pos") - F.col("near") + length).alias("end"))
 
@@ -286,9 +288,9 @@ def repeated_spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
         F.collect_list(F.struct("pos", "far", "near", "places", "group")).alias("wanted"))
     ids = written(phrases.select("doc", "key").distinct(), "ids")
     on = F.col("doc").eqNullSafe(F.col("__doc")) & (F.col("key") == F.col("__key"))
-    ids = ids.select(F.col("doc").alias("__doc"), F.col("key").alias("__key"))
+    wanted_ids = ids.select(F.col("doc").alias("__doc"), F.col("key").alias("__key"))
     wanted = wanted.select(F.col("doc").alias("__doc"), F.col("key").alias("__key"), "wanted")
-    some = texts.join(F.broadcast(ids), on, "left_semi") if small(ids) else texts
+    some = texts.join(F.broadcast(wanted_ids), on, "left_semi") if small(ids) else texts
     cut = some.dropDuplicates(["doc", "key"]).join(wanted, on).select("doc", "key", "text", "wanted")
     cut = cut.mapInArrow(_extract(length), _EXTRACTED)
     hot = written(phrases.groupBy("group").count().filter(F.col("count") > group_phrases).select("group"), "hot")
@@ -300,7 +302,9 @@ def repeated_spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
         spans = spans.unionByName(_hot_spans(cut.join(hot, "group", "left_semi"), length, group_phrases))
     laid = laid.select(*_COLUMNS).repartition("group").sortWithinPartitions("group")
     spans = spans.unionByName(laid.mapInArrow(_resolve(length), _SPANS))
-    return spans.groupBy("doc", "key").agg(F.collect_list(F.struct("start", "end")).alias("spans"))
+    found = written(spans.groupBy("doc", "key").agg(F.collect_list(F.struct("start", "end")).alias("spans")), "spans")
+    forget(groups, hits, phrases, equal, ids, hot)
+    return found
 
 
 def merged(spans: list[dict] | None) -> list[tuple[int, int]]:
@@ -329,7 +333,7 @@ def with_spans(docs: DataFrame, spans: DataFrame, id_col: str, text_col: str, na
     """
     doc, key = free_name(docs, "doc"), free_name(docs, "key")
     of, text = f"{doc}_of", f"{key}_of"
-    spans = written(spans.select(F.col("doc").alias(doc), F.col("key").alias(key), F.col("spans").alias(name)), "spans")
+    spans = spans.select(F.col("doc").alias(doc), F.col("key").alias(key), F.col("spans").alias(name))
     here = docs.withColumns({of: F.col(id_col).cast("long"), text: F.xxhash64(F.col(text_col))})
     on = F.col(of).eqNullSafe(F.col(doc)) & (F.col(text) == F.col(key))
     ids = spans.select(doc, key)

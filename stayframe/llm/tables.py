@@ -11,7 +11,8 @@ from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from ..operators.scale import written
+from ..operators.scale import shared_folder, written
+from ..sources import files
 from .words import tidy_memory
 
 #: rows of two or three longs that one broadcast may hold (about 25 MB)
@@ -62,8 +63,18 @@ def free_name(df: DataFrame, wanted: str) -> str:
     return wanted
 
 
+def forget(*tables: DataFrame) -> None:
+    """Delete written tables that nothing reads any more. Folders outside the shared one are left alone."""
+    for table in tables:
+        shared = shared_folder(table.sparkSession).split(":", 1)[-1].lstrip("/")
+        folders = {path.rsplit("/", 1)[0] for path in table.inputFiles()}
+        for folder in folders:
+            if folder.split(":", 1)[-1].lstrip("/").startswith(f"{shared}/"):
+                files.delete(table.sparkSession, folder)
+
+
 def partitions(rows: int, per_task: int) -> int:
     return max(1, -(-rows // per_task))
 
 
-__all__ = ["BROADCAST_KEYS", "free_name", "keyed", "partitions", "read", "ship_code", "small", "tidy_memory", "written"]
+__all__ = ["BROADCAST_KEYS", "forget", "free_name", "keyed", "partitions", "read", "ship_code", "small", "tidy_memory", "written"]
