@@ -44,7 +44,7 @@ from ..operators.ordered import Running, arrange, done, numbered, running
 from ..operators.scale import MEASURE
 from .tables import written
 
-BATCHES = 3
+BATCHES = 2
 #: how conversations and edges of many rows are laid out
 LAYOUT = MEASURE
 #: depths of an edge that one row expands to
