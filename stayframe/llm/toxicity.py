@@ -41,6 +41,8 @@ BLOCK, NEIGHBOURS, SOFTEN = 128, 25, 0.05
 #: share of the examples (one in so many) from which on a list is long; texts searched at a time
 LONG, QUERIES = 16, 256
 PREFIXES = (5, 6, 7, 8)
+#: bytes of text whose features are found at a time
+CHUNK = 1 << 18
 #: tasks that read the sample
 SPREAD = 16
 
@@ -83,7 +85,7 @@ def _places(table: np.ndarray, found: np.ndarray, owner: np.ndarray) -> tuple[np
 
 def _feature_counts(texts: pa.Array, known: Known | None = None):
     """Per text (features, counts, which of them are words): hashes, or places in ``known``."""
-    for _, _, data, bounds in chunks(texts):
+    for _, _, data, bounds in chunks(texts, CHUNK):
         words = words_of(data, bounds, PLAIN)
         text = np.repeat(np.arange(len(bounds) - 1), np.diff(words.first))
         found, owner = [], []
