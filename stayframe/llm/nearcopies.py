@@ -24,8 +24,8 @@
    All pairs that remain are confirmed on the full shingle sets.
 
 A pair of similarity 0.8 misses one tree's ``LEAST`` = 4 values with probability
-0.59, and all 24 trees with 3e-6. The second pass is repeated while crowded regions still merge;
-regions that stay crowded are then matched in full, so no candidate is capped.
+0.59, and all 24 trees with 3e-6. The second pass is repeated on crowded regions while they still merge;
+those that stay crowded are then matched in full, so no candidate is capped. A region that was not crowded is settled by one pass.
 
 NULL and texts without words have the empty set and are linked with nothing. Rows
 with one id are one node, whatever their texts: the links of all of them are its links. A NULL id is never linked and
@@ -174,8 +174,8 @@ def likely(groups: np.ndarray, sketches: np.ndarray, row: int, others: np.ndarra
 
 
 def strangers(groups: np.ndarray, common: np.ndarray, sketches: np.ndarray, region: int,
-              similar: tuple[int, int]) -> tuple[np.ndarray, np.ndarray, bool]:
-    """Pairs of rows with a common prefix and different groups, as (row, other row); whether a region was crowded.
+              similar: tuple[int, int]) -> tuple[np.ndarray, np.ndarray, list[int]]:
+    """Pairs of rows with a common prefix and different groups, as (row, other row); a row of each region that was crowded.
 
     Only pairs with sketches ``similar`` enough are returned: one for a row and a group with sure links, else all.
 
@@ -184,14 +184,13 @@ def strangers(groups: np.ndarray, common: np.ndarray, sketches: np.ndarray, regi
     depth rows are matched with the next two of other groups.
     """
     pairs: list[tuple[np.ndarray, np.ndarray]] = []
-    crowded = False
+    crowded: list[int] = []
 
     def keep(row: int, others: np.ndarray) -> None:
         picked = likely(groups, sketches, row, others, similar)
         pairs.append((np.full(len(picked), row), picked))
 
     def region_pairs(low: int, high: int, depth: int) -> None:
-        nonlocal crowded
         if high - low < 2:
             return
         found, which, count = np.unique(groups[low:high], return_inverse=True, return_counts=True)
@@ -203,7 +202,8 @@ def strangers(groups: np.ndarray, common: np.ndarray, sketches: np.ndarray, regi
                 other = np.flatnonzero((which != which[k]) & ((which == np.argmax(count)) | (np.arange(len(which)) > k)))
                 keep(low + int(k), low + other)
             return
-        crowded = True
+        if depth == LEAST:
+            crowded.append(low)
         if depth < DEPTH:
             cuts = [low, *(low + 1 + np.flatnonzero(common[low + 1 : high] <= depth)), high]
             for a, b in zip(cuts[:-1], cuts[1:]):
@@ -263,17 +263,24 @@ def _first_pass(region: int):
     return run
 
 
+_FOUND, _FOUND_NAMES = "a long, b long, tree int, _prefix binary", ["a", "b", "tree", "_prefix"]
+
+
 def _second_pass(region: int, similar: tuple[int, int]):
-    """Whole regions, or parts of wide ones, to candidate pairs of different groups; a row of NULLs if one was crowded."""
+    """Whole regions to candidate pairs of different groups, and to the (tree, _prefix) of those that were crowded."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held = list(batches)
         if not sum(b.num_rows for b in held):
             return
         c = _columns(held, ["tree", "doc", "group"])
         one, two, crowded = strangers(c["group"], _prefixes(c["tree"], c["grid"]), c["sketch"], region, similar)
-        yield _pairs(c["doc"][one], c["doc"][two])
-        if crowded:
-            yield pa.RecordBatch.from_arrays([pa.nulls(1, pa.int64()), pa.nulls(1, pa.int64())], ["a", "b"])
+        pairs, n = _pairs(c["doc"][one], c["doc"][two]), len(crowded)
+        yield pa.RecordBatch.from_arrays(
+            [*pairs.columns, pa.nulls(len(pairs), pa.int32()), pa.nulls(len(pairs), pa.binary())], _FOUND_NAMES)
+        prefixes = [x.tobytes() for x in c["grid"][crowded, :LEAST]]
+        yield pa.RecordBatch.from_arrays([
+            pa.nulls(n, pa.int64()), pa.nulls(n, pa.int64()), pa.array(c["tree"][crowded].astype(np.int32)),
+            pa.array(prefixes, pa.binary())], _FOUND_NAMES)
     return run
 
 
@@ -419,6 +426,24 @@ def _named_classes(sets: DataFrame) -> tuple[DataFrame, DataFrame]:
     return classes, written(sets.select("doc", *same).join(classes, same, "left").select("doc", "n_shingles", "node"), "rows")
 
 
+def _holders(sets: DataFrame, classes: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(node, doc, key, row) with one row of ``sets`` for each class, and (doc, signature, sketch) of these, ``doc`` being the node.
+
+    Rows are picked by narrow columns. The wide ones are read where they lie as long as the rows that hold no class may be broadcast.
+    """
+    same = ["n_shingles", "one", "two"]
+    narrow = sets.filter("n_shingles > 0 and doc is not null").select("row", "doc", "key", *same)
+    names = narrow.join(classes, same).filter("doc = class").groupBy("node").agg(
+        F.min("row").alias("row"), F.min_by("doc", "row").alias("doc"), F.min_by("key", "row").alias("key"))
+    names = written(names.select("node", "doc", "key", "row"), "names")
+    spare = written(narrow.select("row").join(names, "row", "left_anti"), "spare")
+    other = written(names.filter("node <> doc").select("row", "node"), "other")
+    own = sets.filter("n_shingles > 0 and doc is not null").select("row", "doc", "signature", "sketch")
+    own = own.join(F.broadcast(spare) if small(spare) else spare, "row", "left_anti")
+    own = own.join(F.broadcast(other) if small(other) else other, "row", "left")
+    return names, own.select(F.coalesce("node", "doc").alias("doc"), "signature", "sketch")
+
+
 def _links_of_ids(rows: DataFrame) -> DataFrame:
     """Links between the classes of rows with one id."""
     several = rows.filter("doc is not null and node is not null").groupBy("doc").agg(F.min("node").alias("a"), F.max("node").alias("b"))
@@ -435,12 +460,10 @@ def near_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     Two texts are linked when ``similar[1] * |intersection| >= similar[0] * |union|``.
     """
     texts = keyed(docs, id_col, text_col)
-    sets = written(texts.mapInArrow(_sign(shingle_words), _SIGNED), "signatures")
+    sets = texts.mapInArrow(_sign(shingle_words), _SIGNED).withColumn("row", F.monotonically_increasing_id())
+    sets = written(sets, "signatures")
     classes, of_rows = _named_classes(sets)
-    holders = sets.filter("n_shingles > 0").join(classes, ["n_shingles", "one", "two"]).filter("doc = class")
-    holders = holders.dropDuplicates(["node"])
-    names = written(holders.select("node", "doc", "key"), "names")
-    holders = holders.select(F.col("node").alias("doc"), "signature", "sketch")
+    names, holders = _holders(sets, classes)
     same_ids = _links_of_ids(of_rows)
     width = 4 * DEPTH
     rows = holders.select("doc", "signature", F.explode(F.sequence(F.lit(0), F.lit(TREES - 1))).alias("tree"))
@@ -466,10 +489,8 @@ def near_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
         regions = labelled.groupBy("tree", "_prefix").agg(
             F.min("group").alias("low"), F.max("group").alias("high"), (F.count("*") > WIDE).alias("wide"))
         regions = written(regions.filter("low <> high").select("tree", "_prefix", "wide"), "regions")
-        open_rows = written(labelled.join(regions, ["tree", "_prefix"]), "open")
+        open_rows = written(labelled.join(F.broadcast(regions) if small(regions) else regions, ["tree", "_prefix"]), "open")
         forget(regions, near)
-        near = open_rows.select(*order)  # the others are settled in the next round too
-        n = partitions(open_rows.count(), SKETCHED_ROWS)
         ids = written(open_rows.select(F.col("doc").alias("_doc")).distinct(), "ids")
         mine = sketches.join(F.broadcast(ids) if small(ids) else ids, "_doc", "left_semi")
         wide = not open_rows.filter("wide").isEmpty()
@@ -481,11 +502,13 @@ def near_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
             spread = sizes.filter(F.col("outside") <= crowd)
             crowded = not sizes.filter(F.col("outside") > crowd).isEmpty()
             inside = open_rows.filter("not wide")
+        # what is left after the first round is crowded: more pairs to a row
+        n = partitions(inside.count(), SKETCHED_ROWS if tried is hubs_of else min(SKETCHED_ROWS, 2 * WIDE))
         inside = inside.join(mine, F.col("doc") == F.col("_doc")).drop("_doc")
-        ranges = inside.repartitionByRange(n, "tree", "_prefix")
-        again = written(ranges.select(*order, "group", "sketch").sortWithinPartitions(*order).mapInArrow(
-            _second_pass(crowd, similar), "a long, b long"), "neighbours")
-        pairs = again.filter("a is not null")
+        # by hash: a sample for ranges would make the join a second time
+        dealt = inside.repartition(n, "tree", "_prefix").select(*order, "group", "sketch").sortWithinPartitions(*order)
+        again = written(dealt.mapInArrow(_second_pass(crowd, similar), _FOUND), "neighbours")
+        pairs = again.filter("a is not null").select("a", "b")
         if wide:
             pairs = pairs.unionByName(_wide_pairs(buckets, mine, spread, similar))
             if crowded:
@@ -494,7 +517,13 @@ def near_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
         pairs = written(pairs.join(tried, ["a", "b"], "left_anti"), "candidates")
         more = _links(texts, names, pairs, shingle_words, similar)
         tried = tried.unionByName(pairs)
-        crowded, confirmed = crowded or not again.filter("a is null").isEmpty(), not more.isEmpty()
+        # a region that was not crowded has been matched in full: only the others can have more links
+        left = again.filter("a is null").select("tree", "_prefix")
+        if crowded:
+            left = left.unionByName(open_rows.filter("wide").select("tree", "_prefix").distinct())
+        left = written(left, "crowded")
+        near = open_rows.join(F.broadcast(left) if small(left) else left, ["tree", "_prefix"], "left_semi").select(*order)
+        crowded, confirmed = not left.isEmpty(), not more.isEmpty()
         if confirmed:
             links = links.unionByName(more)
             groups = written(components(links), "groups")

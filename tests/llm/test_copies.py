@@ -8,7 +8,7 @@ import numpy as np
 import pyarrow as pa
 import pytest
 
-from stayframe.llm import components, nearcopies, repeats
+from stayframe.llm import components, nearcopies, repeats, tables
 
 
 def digests(found):
@@ -209,6 +209,76 @@ def test_rows_with_one_id_are_one_node(spark):
     assert {c for i, _, c in got if i in (1, 2, 5)} == {1} and {c for i, n, c in got if i in (41, 50) and n} == {41}
 
 
+@pytest.fixture
+def counted(spark):
+    """Only what the code itself counts as small is broadcast."""
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    yield
+    spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
+def _plans(monkeypatch, module):
+    """(name, plan, rows) of each table that the module writes."""
+    seen, write = [], module.written
+
+    def writes(df, name):
+        plan, table = df._jdf.queryExecution().executedPlan().toString(), write(df, name)
+        seen.append((name, plan, table.collect() if name in ("open", "names") else []))
+        return table
+
+    monkeypatch.setattr(module, "written", writes)
+    return seen
+
+
+def test_only_crowded_regions_are_matched_again(spark, monkeypatch):
+    """A crowd of edited copies, and couples that are no links: the couples are settled by the first round."""
+    rng = random.Random(4)
+    words = [f"w{i}" for i in range(3000)]
+    base = [rng.choice(words) for _ in range(300)]
+    rows = []
+    for i in range(120):
+        text = list(base)
+        for _ in range(rng.choice([1, 3, 8, 12])):
+            text[rng.randrange(300)] = rng.choice(words)
+        rows.append((i, " ".join(text)))
+    for k in range(60):
+        own = [rng.choice(words) for _ in range(200)]
+        rows += [(1000 + 2 * k, " ".join(own)), (1001 + 2 * k, " ".join(own[:160] + [rng.choice(words) for _ in range(40)]))]
+    seen = _plans(monkeypatch, nearcopies)
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    got = [tuple(r) for r in nearcopies.near_copies(df, shingle_words=4, region=4).collect()]
+    assert sorted(got) == sorted(brute.near_copies(rows, 4))
+    first, *later = [{r["doc"] for r in found} for name, _, found in seen if name == "open"]
+    assert later and max(first) >= 1000 and all(max(x, default=0) < 1000 for x in later)
+    assert not any("rangepartitioning" in plan for name, plan, _ in seen if name == "neighbours")
+
+
+@pytest.mark.parametrize("most", [tables.BROADCAST_KEYS, 0])
+def test_signatures_stay_where_they_are(spark, counted, monkeypatch, most):
+    """Equal rows, copies and ids with several texts: one row for a class, with no exchange of its signature before the forest."""
+    text = [" ".join(f"w{i * k}" for i in range(60)) for k in (1, 7, 11)]
+    rows = [(1, text[0]), (1, text[0]), (1, text[1]), (2, text[0]), (3, text[1]), (4, text[2]), (4, text[2]), (None, text[2]), (5, ""), (5, None)]
+    monkeypatch.setattr(tables, "BROADCAST_KEYS", most)
+    seen = _plans(monkeypatch, nearcopies)
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    got = [tuple(r) for r in nearcopies.near_copies(df, shingle_words=4).collect()]
+    assert sorted(got, key=str) == sorted(brute.near_copies(rows, 4), key=str)
+    names = next(found for name, _, found in seen if name == "names")
+    assert len(names) == len({r["node"] for r in names}) == len({r["row"] for r in names}) == 3
+    forest = next(plan for name, plan, _ in seen if name == "forest")
+    assert ("hashpartitioning" in forest) == (most == 0)
+
+
+@pytest.mark.parametrize("most", [tables.BROADCAST_KEYS, 0])
+def test_places_of_few_groups_do_not_move(odd, counted, monkeypatch, most):
+    rows, df = odd
+    monkeypatch.setattr(tables, "BROADCAST_KEYS", most)
+    seen = _plans(monkeypatch, repeats)
+    assert sorted(map(tuple, repeats.repeat_digests(df).collect()), key=str) == sorted(digests(brute.without_repeats(rows)), key=str)
+    hits = next(plan for name, plan, _ in seen if name == "repeats")
+    assert ("Exchange hashpartitioning" in hits) == (most == 0)
+
+
 def test_one_of_each_group_stays(spark):
     text = " ".join(f"w{i}" for i in range(40))
     df = spark.createDataFrame([(3, text, 1), (2, text, 2), (9, "other words", 3), (None, text, 4)], "doc_id long, text string, keep int")
